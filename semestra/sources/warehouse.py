@@ -12,6 +12,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from semestra.reference_data import literal_frame
 from semestra.schemas import TABLES
 
 _VERSIONS = "version long, table_name string, path string"
@@ -45,7 +46,7 @@ class Warehouse:
         """The current content under its declared schema; empty before the first load."""
         schema = TABLES[name].schema
         if not self.has(name):
-            return self.spark.createDataFrame([], schema)
+            return literal_frame(self.spark, [], schema)
         return self.spark.read.schema(schema).parquet(f"{self.root}/{self._paths[name]}")
 
     def write(self, name: str, rows: DataFrame) -> str:

@@ -69,13 +69,15 @@ def clean_observations(cells: DataFrame, value: str, value_type: str) -> DataFra
     ``out_of_range``: losing it silently is for a gate to prevent.
     """
     text = numeric_text(F.col("raw_val"))
-    number = parse_number(text)
-    measured = parse_number(text, value_type)
-    return cells.filter(number.isNotNull()).select(
-        "*",
-        measured.alias(value),
-        measured.isNull().alias("out_of_range"),
-        observation_flag(F.col("raw_val")).alias("eurostat_flag"),
+    return (
+        cells.filter(parse_number(text).isNotNull())
+        .select(
+            "*",
+            parse_number(text, value_type).alias(value),
+            observation_flag(F.col("raw_val")).alias("eurostat_flag"),
+        )
+        # A projection of its own: the parse is then one step of generated code.
+        .withColumn("out_of_range", F.col(value).isNull())
     )
 
 
