@@ -72,19 +72,23 @@ def sample(violations: DataFrame, columns: list[str], size: int = 10) -> DataFra
     return violations.select(*columns).distinct().limit(size)
 
 
-def enforce(checks: DataFrame, offenders: DataFrame | None = None) -> None:
-    """Raise if any check found an issue, listing at most ten offenders."""
+def enforce(
+    checks: DataFrame, offenders: DataFrame | None = None, must_occur: tuple[str, ...] = (),
+    informative: tuple[str, ...] = (),
+) -> dict[str, int]:
+    """Evaluate all checks in one job; raise if any failed, listing at most ten offenders.
+
+    Checks named in ``must_occur`` fail at zero instead; ``informative`` ones never
+    fail. Returns all counts.
+    """
     # One row per check: bounded by the number of checks.
-    issues = {r.check_name: r.issue_count for r in checks.filter("issue_count > 0").collect()}
-    if not issues:
-        return
-    detail = ""
-    if offenders is not None:
-        rows = [row.asDict() for row in offenders.limit(10).collect()]
-        detail = f"; sample: {rows}"
-    raise GateFailure(issues, detail)
-
-
-def require_rows(name: str, rows: DataFrame) -> None:
-    if rows.isEmpty():
-        raise GateFailure({name: 1}, "; nothing left to load")
+    counts = {r.check_name: r.issue_count for r in checks.collect()}
+    issues = {
+        name: count for name, count in counts.items()
+        if count > 0 and name not in must_occur and name not in informative
+    }
+    issues.update({f"no {name}": 1 for name in must_occur if not counts.get(name)})
+    if issues:
+        rows = [row.asDict() for row in offenders.limit(10).collect()] if offenders is not None else []
+        raise GateFailure(issues, f"; sample: {rows}" if rows else "")
+    return counts

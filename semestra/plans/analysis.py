@@ -279,7 +279,7 @@ def dependency_ranking(wh, year: int = 2024, product: str = "TOTAL") -> DataFram
         "country",
         half_up(F.col("dep_rate_val"), 2).alias(f"import_dependency_rate_{year}_pct"),
         "dependency_rank", "dependency_percentile",
-    ).orderBy("dependency_rank")
+    ).orderBy("dependency_rank", "country")
 
 
 def annual_stock_levels(

@@ -10,8 +10,10 @@ only a re-read.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from semestra import reference_data as fixed
 from semestra.functions.text import period_year
@@ -150,10 +152,9 @@ def missing_codelists(codelists: DataFrame, required: DataFrame) -> DataFrame:
     return required.join(codelists.select("codelist").distinct(), "codelist", "left_anti")
 
 
-def require_codelists(codelists: DataFrame, required: list[str], source: str) -> None:
+def codelist_check(codelists: DataFrame, required: list[str], source: str) -> DataFrame:
     wanted = fixed.literal_frame(codelists.sparkSession, [(name,) for name in required], "codelist string")
-    missing = missing_codelists(codelists, wanted)
-    gates.enforce(gates.report(f"missing_codelists in {source}", missing), missing)
+    return gates.report(f"missing code lists of {source}", missing_codelists(codelists, wanted))
 
 
 def wrong_arity(name: str, wide: DataFrame, parts: int) -> DataFrame:
@@ -161,15 +162,31 @@ def wrong_arity(name: str, wide: DataFrame, parts: int) -> DataFrame:
     return gates.count_violations(wide, {name: F.col("key_parts") != parts})
 
 
-def refuse(staged: DataFrame, rules: dict, grain: list[str], codes: list[str]) -> None:
-    """All row rules in one pass plus the grain check, before anything is written."""
-    checks = gates.combine([
-        gates.count_violations(staged, rules), gates.duplicate_rows("duplicate_grain", staged, grain)
-    ])
-    at_fault = rules[next(iter(rules))]
-    for rule in list(rules.values())[1:]:
-        at_fault = at_fault | rule
-    gates.enforce(checks, gates.sample(staged.filter(at_fault), codes))
+def conflicts(name: str, members: DataFrame, key: list[str]) -> DataFrame:
+    """Members given under one key with different attributes."""
+    return gates.duplicate_groups(f"conflicting members of {name}", members, key)
+
+
+def refuse(
+    staged: DataFrame, rules: dict[str, Column], grain: list[str], sampled: list[str],
+    others: list[DataFrame] = (), must_occur: dict[str, Column] | None = None,
+    informative: dict[str, Column] | None = None, scope: Column | None = None,
+) -> dict[str, int]:
+    """Run all gates of a load in one job: the row rules and counters in one pass,
+    the grain check, and ``others``. ``scope`` narrows the grain check; a rule of
+    None is counted by one of ``others``."""
+    counted = {**rules, **(must_occur or {}), **(informative or {})}
+    counted = {name: rule for name, rule in counted.items() if rule is not None}
+    checks = [
+        gates.count_violations(staged, counted),
+        gates.duplicate_rows("duplicate grain", staged.filter(scope) if scope is not None else staged, grain),
+        *others,
+    ]
+    at_fault = reduce(or_, rules.values())
+    return gates.enforce(
+        gates.combine(checks), gates.sample(staged.filter(at_fault), sampled),
+        tuple(must_occur or ()), tuple(informative or ()),
+    )
 
 
 # energy prices ----------------------------------------------------------------
@@ -208,67 +225,69 @@ def conform_prices(observations: DataFrame, codelists: DataFrame) -> DataFrame:
 
 def price_rules() -> dict:
     return {
-        "unexpected_frequency": ~F.col("freq").eqNullSafe("S"),
-        "unexpected_siec": ~F.col("siec_code").eqNullSafe(F.col("expected_siec")),
-        "siec_without_label": F.col("siec_label").isNull(),
-        "band_without_label": F.col("band_label").isNull(),
-        "tax_without_label": F.col("tax_label").isNull(),
-        "tax_without_order": F.col("tax_inclusion_order").isNull(),
-        "unit_without_label": F.col("energy_unit_label").isNull(),
-        "currency_without_label": F.col("currency_label").isNull(),
-        "value_out_of_range": F.col("out_of_range"),
-        "unknown_geography": F.col("geo_sk").isNull(),
-        "unknown_semester": ~F.col("known_period"),
+        "unexpected frequency": ~F.col("freq").eqNullSafe("S"),
+        "unexpected siec": ~F.col("siec_code").eqNullSafe(F.col("expected_siec")),
+        "siec without label": F.col("siec_label").isNull(),
+        "band without label": F.col("band_label").isNull(),
+        "tax without label": F.col("tax_label").isNull(),
+        "tax without order": F.col("tax_inclusion_order").isNull(),
+        "unit without label": F.col("energy_unit_label").isNull(),
+        "currency without label": F.col("currency_label").isNull(),
+        "value out of range": F.col("out_of_range"),
+        "unknown geography": F.col("geo_sk").isNull(),
+        "unknown semester": ~F.col("known_period"),
     }
 
 
+PRICE_DIMENSIONS = [
+    ("dt_consumption_band", BAND_COLUMNS, BAND_KEY, "consumption_band_sk"),
+    ("dt_tax_level", TAX_COLUMNS, ["tax_code"], "tax_level_sk"),
+    ("dt_price_unit", UNIT_COLUMNS, UNIT_KEY, "price_unit_sk"),
+]
+
+
 def load_prices(wh: Warehouse, sources: list[PriceSource]) -> dict[str, int]:
-    """Full refresh from all price files; returns the observations per dataset."""
-    parts, labels, arity = [], [], []
+    """Full refresh from all price files; returns the counts of all checks, among
+    them the observations per dataset."""
+    parts, labels, checks = [], [], []
     for source in sources:
         wide, width = price_cells(wh.spark, source)
-        arity.append(wrong_arity(f"key_arity in {source.dataset}", wide, width))
+        checks.append(wrong_arity(f"key arity in {source.dataset}", wide, width))
         parts.append((price_observations(wide), {
             "dataset": source.dataset, "commodity_type": source.commodity,
             "consumer_type": source.consumer, "expected_siec": source.siec,
         }))
         labels.append((read_codelists(wh.spark, source.codelists), {"dataset": source.dataset}))
     codelists = stage(wh, "price_codelists", union_sources(labels))
-    for source in sources:
-        own = codelists.filter(F.col("dataset") == source.dataset)
-        require_codelists(own, PRICE_CODELISTS, source.dataset)
-    gates.enforce(gates.combine(arity))
-
+    checks += [
+        codelist_check(codelists.filter(F.col("dataset") == s.dataset), PRICE_CODELISTS, s.dataset)
+        for s in sources
+    ]
     rows = conform_prices(union_sources(parts), codelists)
-    rows = add_period(add_geo(rows, wh), wh.table("dt_semester"), "semester_sk")
-    staged = stage(wh, "prices", rows)
-    # One row per price file.
-    loaded = {r.dataset: r["count"] for r in staged.groupBy("dataset").count().collect()}
-    empty = {f"no_observation in {s.dataset}": 1 for s in sources if s.dataset not in loaded}
-    if empty:
-        raise gates.GateFailure(empty)
-    refuse(staged, price_rules(), PRICE_GRAIN, ["dataset", "geo_code", "band_code", "tax_code", "semester_sk"])
+    staged = stage(wh, "prices", add_period(add_geo(rows, wh), wh.table("dt_semester"), "semester_sk"))
+    checks += [
+        conflicts(name, extract_members(staged, columns), key)
+        for name, columns, key, _ in PRICE_DIMENSIONS
+    ]
+    counts = refuse(
+        staged, price_rules(), PRICE_GRAIN, ["dataset", "geo_code", "band_code", "tax_code", "semester_sk"],
+        checks, must_occur={f"observations in {s.dataset}": F.col("dataset") == s.dataset for s in sources},
+    )
 
     paths, facts = {}, staged
-    for name, columns, key, surrogate in [
-        ("dt_consumption_band", BAND_COLUMNS, BAND_KEY, "consumption_band_sk"),
-        ("dt_tax_level", TAX_COLUMNS, ["tax_code"], "tax_level_sk"),
-        ("dt_price_unit", UNIT_COLUMNS, UNIT_KEY, "price_unit_sk"),
-    ]:
+    for name, columns, key, surrogate in PRICE_DIMENSIONS:
         members = write_members(wh, name, extract_members(staged, columns), key, surrogate, paths)
         facts = resolve(facts, members, key, surrogate)
     facts = facts.withColumn("period_year", period_year(F.col("semester_sk")))
     paths["fact_energy_price"] = wh.write("fact_energy_price", facts)
     wh.publish(paths)
-    return loaded
+    return counts
 
 
 def write_members(
     wh: Warehouse, name: str, members: DataFrame, key: list[str], surrogate: str, paths: dict[str, str]
 ) -> DataFrame:
     """Write the upserted dimension as a candidate and read it back for key resolution."""
-    conflicts = gates.duplicates(members, key)
-    gates.enforce(gates.report(f"conflicting_members in {name}", conflicts), conflicts)
     paths[name] = wh.write(name, upsert(wh.table(name), members, key, surrogate))
     return wh.candidate(name, paths[name])
 
@@ -287,36 +306,38 @@ def dependency_observations(wide: DataFrame) -> DataFrame:
 
 def dependency_rules() -> dict:
     return {
-        "unexpected_frequency": ~F.col("freq").eqNullSafe("A"),
-        "unexpected_unit": ~F.col("unit").eqNullSafe("PC"),
-        "siec_without_label": F.col("siec_label").isNull(),
-        "value_out_of_range": F.col("out_of_range"),
-        "unknown_geography": F.col("geo_sk").isNull(),
-        "unknown_year": ~F.col("known_period"),
+        "unexpected frequency": ~F.col("freq").eqNullSafe("A"),
+        "unexpected unit": ~F.col("unit").eqNullSafe("PC"),
+        "siec without label": F.col("siec_label").isNull(),
+        "value out of range": F.col("out_of_range"),
+        "unknown geography": F.col("geo_sk").isNull(),
+        "unknown year": ~F.col("known_period"),
     }
 
 
-def load_dependency(wh: Warehouse, path: str, codelists_path: str) -> int:
+def load_dependency(wh: Warehouse, path: str, codelists_path: str) -> dict[str, int]:
     wide = split_key(read_wide(wh.spark, path), set(DEPENDENCY_KEYS))
     codelists = stage(wh, "dependency_codelists", read_codelists(wh.spark, codelists_path))
-    require_codelists(codelists, DEPENDENCY_CODELISTS, "import dependency")
-    gates.enforce(wrong_arity("key_arity", wide, wide.columns.index("key_parts")))
-
     rows = add_labels(dependency_observations(wide), codelists, {"SIEC": ("siec_code", "siec_label")})
     rows = add_positions(rows, codelists, "SIEC", "siec_code", "product_order", 1)
     rows = rows.withColumn("is_total", F.col("siec_code") == "TOTAL")
     staged = stage(wh, "dependency", add_period(add_geo(rows, wh), wh.table("dt_year"), "year_sk"))
-    gates.require_rows("no_observation", staged)
-    refuse(staged, dependency_rules(), DEPENDENCY_GRAIN, ["siec_code", "geo_code", "year_sk"])
-
-    paths: dict[str, str] = {}
-    products = write_members(
-        wh, "dt_energy_product", extract_members(staged, PRODUCT_COLUMNS), ["siec_code"], "product_sk", paths
+    products = extract_members(staged, PRODUCT_COLUMNS)
+    counts = refuse(
+        staged, dependency_rules(), DEPENDENCY_GRAIN, ["siec_code", "geo_code", "year_sk"],
+        [
+            wrong_arity("key arity", wide, wide.columns.index("key_parts")),
+            codelist_check(codelists, DEPENDENCY_CODELISTS, "import dependency"),
+            conflicts("dt_energy_product", products, ["siec_code"]),
+        ],
+        must_occur={"observations": F.lit(True)},
     )
-    facts = resolve(staged, products, ["siec_code"], "product_sk")
+    paths: dict[str, str] = {}
+    members = write_members(wh, "dt_energy_product", products, ["siec_code"], "product_sk", paths)
+    facts = resolve(staged, members, ["siec_code"], "product_sk")
     paths["fact_import_dependency"] = wh.write("fact_import_dependency", facts)
     wh.publish(paths)
-    return wh.table("fact_import_dependency").count()
+    return counts
 
 
 # oil stocks -----------------------------------------------------------------------
@@ -330,9 +351,9 @@ def stock_observations(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def without_methods(observations: DataFrame) -> DataFrame:
-    """Leave out the categorical method codes."""
-    return observations.filter(~F.col("indicator_code").isin(*fixed.METHOD_CODES))
+def is_method() -> Column:
+    """True for the categorical method codes, which are no quantities."""
+    return F.col("indicator_code").isin(*fixed.METHOD_CODES)
 
 
 def mark_supported(observations: DataFrame, geo: DataFrame, months: DataFrame) -> DataFrame:
@@ -346,71 +367,78 @@ def mark_supported(observations: DataFrame, geo: DataFrame, months: DataFrame) -
 
 
 def load_stocks(wh: Warehouse, path: str) -> dict[str, int]:
-    observations = stage(wh, "stock_observations", stock_observations(wh.spark, path))
-    quantities = without_methods(observations)
-    staged = stage(wh, "stocks", mark_supported(quantities, wh.table("dim_geo_entity"), wh.table("dt_month")))
-    rules = {
-        "unsupported_combination": ~F.col("supported"),
-        "key_arity": F.col("key_parts") != len(STOCK_KEYS),
-        "value_out_of_range": F.col("out_of_range"),
-    }
-    gates.require_rows("no_observation", staged)
-    refuse(staged, rules, STOCK_GRAIN, ["indicator_code", "unit_code", "geo_code", "month_sk"])
-
-    paths: dict[str, str] = {}
-    indicators = write_members(
-        wh, "dt_stock_indicator", fixed.stock_indicators(wh.spark), ["indicator_code"], "indicator_sk", paths
+    marked = mark_supported(
+        stock_observations(wh.spark, path), wh.table("dim_geo_entity"), wh.table("dt_month")
     )
-    units = write_members(
-        wh, "dt_measure_unit", fixed.measure_units(wh.spark), ["unit_code"], "measure_unit_sk", paths
+    staged = stage(wh, "stocks", marked)
+    quantity = ~is_method()
+    counts = refuse(
+        staged,
+        {
+            "unsupported combination": quantity & ~F.col("supported"),
+            "key arity": quantity & (F.col("key_parts") != len(STOCK_KEYS)),
+            "value out of range": quantity & F.col("out_of_range"),
+        },
+        STOCK_GRAIN, ["indicator_code", "unit_code", "geo_code", "month_sk"], scope=quantity,
+        must_occur={"observations": quantity}, informative={"excluded methods": is_method()},
     )
-    facts = resolve(staged, indicators, ["indicator_code"], "indicator_sk")
-    facts = resolve(facts, units, ["unit_code"], "measure_unit_sk")
+    paths: dict[str, str] = {}
+    facts = staged.filter(quantity)
+    for name, members, key, surrogate in [
+        ("dt_stock_indicator", fixed.stock_indicators(wh.spark), ["indicator_code"], "indicator_sk"),
+        ("dt_measure_unit", fixed.measure_units(wh.spark), ["unit_code"], "measure_unit_sk"),
+    ]:
+        facts = resolve(facts, write_members(wh, name, members, key, surrogate, paths), key, surrogate)
     facts = facts.withColumn("period_year", period_year(F.col("month_sk")))
     paths["fact_oil_stocks"] = wh.write("fact_oil_stocks", facts)
     wh.publish(paths)
-    kept = staged.count()
-    return {"loaded": kept, "excluded_methods": observations.count() - kept}
+    return counts
 
 
 # risk index -----------------------------------------------------------------------
 
 
+def index_rules(scope_start: str = fixed.INDEX_SCOPE_START) -> tuple[dict[str, Column], Column]:
+    """Rules for the rows of the sheet, and which rows are in scope. Dates and
+    completeness are judged before the scope filter."""
+    populated = index_sheet.has_measure()
+    rules = {
+        "invalid date": populated & index_sheet.invalid_date(),
+        "partial measures": populated & index_sheet.partly_populated(),
+    }
+    return rules, populated & F.coalesce(F.col("month_sk") >= scope_start, F.lit(False))
+
+
 def index_checks(rows: DataFrame, scope_start: str = fixed.INDEX_SCOPE_START) -> DataFrame:
-    """Gates on the populated rows of the sheet. Dates and completeness are judged
-    before the scope filter, repeated months after it."""
-    scoped = index_sheet.in_scope(rows, scope_start)
+    """The gates of the sheet as a report, with the rows left out."""
+    rules, in_scope = index_rules(scope_start)
     return gates.combine([
-        gates.count_violations(rows, {
-            "invalid_date": index_sheet.invalid_date(),
-            "partial_measures": index_sheet.partly_populated(),
-        }),
-        gates.duplicate_rows("duplicate_months", scoped, ["month_sk"]),
+        gates.count_violations(rows, {**rules, "excluded empty": ~index_sheet.has_measure()}),
+        gates.duplicate_rows("duplicate grain", rows.filter(in_scope), ["month_sk"]),
     ])
 
 
-def load_index(wh: Warehouse, path: str, scope_start: str = fixed.INDEX_SCOPE_START) -> int:
+def load_index(wh: Warehouse, path: str, scope_start: str = fixed.INDEX_SCOPE_START) -> dict[str, int]:
     """Replace the global series only; other members' series stay."""
-    staged = stage(wh, "index", index_sheet.normalise(index_sheet.read_sheet(wh.spark, path)))
-    rows = index_sheet.populated(staged)
-    gates.enforce(index_checks(rows, scope_start))
-    scoped = index_sheet.in_scope(rows, scope_start)
-    gates.require_rows("no_index_in_scope", scoped)
-    missing = gates.missing_members(scoped, wh.table("dt_month"), ["month_sk"])
-    gates.enforce(gates.report("unknown_month", missing), missing)
-    member = wh.table("dim_geo_entity").filter(F.col("eurostat_code") == fixed.GLOBAL_CODE)
-    gates.require_rows("no_global_member", member)
-
-    facts = scoped.select(
-        "month_sk",
-        *[F.col(m).try_cast("decimal(10,4)").alias(f"{m}_val") for m in index_sheet.MEASURES],
-        member.select("geo_sk").scalar().alias("geo_sk"),
+    rows = index_sheet.normalise(index_sheet.read_sheet(wh.spark, path))
+    stored = {f"{m}_val": F.col(m).try_cast("decimal(10,4)") for m in index_sheet.MEASURES}
+    staged = stage(wh, "index", add_period(rows.withColumns(stored), wh.table("dt_month"), "month_sk"))
+    rules, in_scope = index_rules(scope_start)
+    rules["unknown month"] = in_scope & ~F.col("known_period")
+    for m in index_sheet.MEASURES:
+        rules[f"{m} out of range"] = in_scope & F.col(m).isNotNull() & F.col(f"{m}_val").isNull()
+    is_global = F.col("eurostat_code") == fixed.GLOBAL_CODE
+    geo = wh.table("dim_geo_entity")
+    counts = refuse(
+        staged, rules, ["month_sk"], ["month_sk", *index_sheet.MEASURES],
+        [gates.count_violations(geo, {"global member": is_global})], scope=in_scope,
+        must_occur={"rows in scope": in_scope, "global member": None},
+        informative={"excluded empty": ~index_sheet.has_measure()},
     )
-    gates.enforce(gates.count_violations(
-        facts, {f"{m}_out_of_range": F.col(f"{m}_val").isNull() for m in index_sheet.MEASURES}
-    ))
+    member = geo.filter(is_global).select("geo_sk").scalar()
+    facts = staged.filter(in_scope).select("month_sk", *stored, member.alias("geo_sk"))
     wh.replace_slice("fact_gpr", facts)
-    return wh.table("fact_gpr").count()
+    return counts
 
 
 # whole warehouse --------------------------------------------------------------------

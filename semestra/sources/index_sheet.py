@@ -38,8 +38,8 @@ def normalise(sheet: DataFrame) -> DataFrame:
     )
 
 
-def populated(rows: DataFrame) -> DataFrame:
-    return rows.dropna(how="all", subset=MEASURES)
+def has_measure() -> Column:
+    return F.coalesce(*MEASURES).isNotNull()
 
 
 def invalid_date() -> Column:
@@ -50,5 +50,7 @@ def partly_populated() -> Column:
     return reduce(or_, [F.col(name).isNull() for name in MEASURES])
 
 
-def in_scope(rows: DataFrame, start: str = INDEX_SCOPE_START) -> DataFrame:
-    return rows.filter(F.col("month_sk") >= start)
+def usable_rows(rows: DataFrame, scope_start: str = INDEX_SCOPE_START) -> DataFrame:
+    """Rows with a date and all measures, from the start of the scope on."""
+    complete = rows.filter(has_measure()).filter(~invalid_date() & ~partly_populated())
+    return complete.filter(F.col("month_sk") >= scope_start)

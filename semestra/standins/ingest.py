@@ -8,6 +8,7 @@ from semestra.functions.text import period_year
 from semestra.operators.dimensions import assign_keys, extract_members, resolve
 from semestra.plans import loading
 from semestra.reference_data import METHOD_CODES, TAX_ORDER
+from semestra.session import new_folder
 from semestra.sources import index_sheet
 from semestra.sources.codelists import read_codelists
 from semestra.sources.wide_tsv import missing_marker, read_wide, union_sources
@@ -112,7 +113,9 @@ def codelist_labels(spark, sf_dir):
 
 def fact_key_resolution(spark, sf_dir):
     """Facts of all price files with every natural key resolved."""
-    staged = conformed(spark, sf_dir)
+    path = new_folder(spark, "conformed")
+    conformed(spark, sf_dir).write.parquet(path)
+    staged = spark.read.parquet(path)
     geo = raw(spark, sf_dir, "supplier").select(
         F.concat(F.lit("S"), "s_suppkey").alias("geo_code"), (F.col("s_suppkey") + 1).cast("int").alias("geo_sk")
     )
@@ -134,7 +137,7 @@ def fact_key_resolution(spark, sf_dir):
 def exclude_codes(spark, sf_dir):
     observations = loading.stock_observations(spark, landed(spark, sf_dir, "stocks"))
     return doubles(
-        loading.without_methods(observations).groupBy("indicator_code")
+        observations.filter(~loading.is_method()).groupBy("indicator_code")
         .agg(F.count("*").alias("n"), F.max("indicator_value").alias("highest"))
     )
 
@@ -146,16 +149,15 @@ def admissibility_split(spark, sf_dir):
         F.concat(F.lit("S"), "s_suppkey").alias("eurostat_code"), F.col("s_suppkey").alias("geo_sk")
     )
     months = spark.createDataFrame([(m,) for m in MONTHS if m >= "1996-01"], "month_sk string")
-    marked = loading.mark_supported(loading.without_methods(observations), geo, months)
+    marked = loading.mark_supported(observations.filter(~loading.is_method()), geo, months)
     return marked.groupBy("indicator_code", "unit_code", "supported").agg(F.count("*").alias("n"))
 
 
 def gpr_prepare(spark, sf_dir):
     """Usable rows of the sheet per month within scope."""
     rows = index_sheet.normalise(index_sheet.read_sheet(spark, landed(spark, sf_dir, "index_dirty")))
-    usable = index_sheet.populated(rows).filter(~index_sheet.invalid_date() & ~index_sheet.partly_populated())
     return doubles(
-        index_sheet.in_scope(usable, "1996-01").groupBy("month_sk")
+        index_sheet.usable_rows(rows, "1996-01").groupBy("month_sk")
         .agg(F.count("*").alias("n"), F.max("gpr").alias("highest"), F.min("gprt").alias("lowest"))
     )
 

@@ -41,7 +41,7 @@ def gate_schema(spark, sf_dir):
 
 
 def gate_arity(spark, sf_dir):
-    return loading.wrong_arity("key_arity", dirty_wide(spark, sf_dir), len(loading.PRICE_KEYS))
+    return loading.wrong_arity("key arity", dirty_wide(spark, sf_dir), len(loading.PRICE_KEYS))
 
 
 def gate_nonempty(spark, sf_dir):
@@ -105,11 +105,7 @@ def gate_missing_members(spark, sf_dir):
 
 def gpr_gates(spark, sf_dir):
     rows = index_sheet.normalise(index_sheet.read_sheet(spark, landed(spark, sf_dir, "index_dirty")))
-    blank = F.coalesce(*index_sheet.MEASURES).isNull()
-    return gates.combine([
-        gates.count_violations(rows, {"excluded_empty": blank}),
-        loading.index_checks(index_sheet.populated(rows), "1996-01"),
-    ])
+    return loading.index_checks(rows, "1996-01")
 
 
 def load_metrics(spark, sf_dir):
@@ -125,7 +121,7 @@ def load_metrics(spark, sf_dir):
     )
     quantities = loading.stock_observations(spark, stocks).select(
         F.lit("stocks").alias("dataset"), F.col("month_sk").alias("period"),
-        F.col("indicator_code").isin(*loading.fixed.METHOD_CODES).alias("excluded"),
+        loading.is_method().alias("excluded"),
     )
     kept = F.when(~F.col("excluded"), F.col("period"))
     counters = prices.unionByName(quantities).groupBy("dataset").agg(
@@ -273,7 +269,7 @@ ORACLES = {
         SELECT dataset, 'stk_flow' AS missing_columns, 14 AS n_periods, count(DISTINCT (band, tax, l_suppkey)) AS n_rows
         FROM prices GROUP BY dataset""",
     "gate_arity": f"""WITH {DIRTY}
-        SELECT 'key_arity' AS check_name, count(DISTINCT (freq, siec, tax, band, l_suppkey)) AS issue_count
+        SELECT 'key arity' AS check_name, count(DISTINCT (freq, siec, tax, band, l_suppkey)) AS issue_count
         FROM dirty WHERE NOT whole""",
     "gate_nonempty": f"""WITH {CELLS}, f AS (SELECT dataset, count(*) AS n FROM prices GROUP BY dataset)
         SELECT dataset, coalesce(n, 0) AS observations, CASE WHEN n > 0 THEN 0 ELSE 1 END AS issue_count
@@ -296,10 +292,10 @@ ORACLES = {
     "gpr_gates": f"""WITH {DIRTY_INDEX}, p AS (SELECT * FROM sheet WHERE NOT blank),
         d AS (SELECT month_sk, count(*) AS copies FROM p WHERE NOT undated AND month_sk >= '1996-01'
               GROUP BY month_sk HAVING count(*) > 1)
-        SELECT 'excluded_empty' AS check_name, count(*) AS issue_count FROM sheet WHERE blank
-        UNION ALL SELECT 'invalid_date', count(*) FROM p WHERE undated
-        UNION ALL SELECT 'partial_measures', count(*) FROM p WHERE partial
-        UNION ALL SELECT 'duplicate_months', CAST(coalesce(sum(copies), 0) AS BIGINT) FROM d""",
+        SELECT 'excluded empty' AS check_name, count(*) AS issue_count FROM sheet WHERE blank
+        UNION ALL SELECT 'invalid date', count(*) FROM p WHERE undated
+        UNION ALL SELECT 'partial measures', count(*) FROM p WHERE partial
+        UNION ALL SELECT 'duplicate grain', CAST(coalesce(sum(copies), 0) AS BIGINT) FROM d""",
     "load_metrics": f"""WITH {CELLS}, {STOCK_CELLS},
         m AS (SELECT *, indicator_code LIKE '%MTH' AS method FROM stock)
         SELECT dataset, count(DISTINCT (band, tax, l_suppkey)) AS source_rows, count(*) AS observations,

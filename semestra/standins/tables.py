@@ -229,7 +229,7 @@ class StandInWarehouse:
                 "semester_sk", "geo_sk",
                 band_key_of(commodity, consumer, F.col("band_index")).cast("int").alias("consumption_band_sk"),
                 tax_key(F.col("l_linenumber")).alias("tax_level_sk"),
-                F.lit(1).alias("price_unit_sk"),
+                constant(1, "l_linenumber").alias("price_unit_sk"),
                 F.col("l_extendedprice"),
             )
         )
@@ -255,7 +255,7 @@ class StandInWarehouse:
         by_brand = self._shipped.join(parts, "l_partkey").select(
             "year_sk", "geo_sk", brand_key(F.col("p_brand")).alias("product_sk"), "l_extendedprice"
         )
-        total = self._shipped.select("year_sk", "geo_sk", F.lit(0).alias("product_sk"), "l_extendedprice")
+        total = self._shipped.select("year_sk", "geo_sk", constant(0, "l_linenumber").alias("product_sk"), "l_extendedprice")
 
         def rates(rows):
             rate = F.max(money("l_extendedprice", "decimal(12,4)")) - F.lit(60000).cast("decimal(12,4)")
@@ -276,7 +276,7 @@ class StandInWarehouse:
         return (
             self._dated(self.raw("orders"), "o_orderdate").groupBy(month_key(F.col("o_orderdate")).alias("month_sk"))
             .agg(high, low, spread.alias("gpra_val"))
-            .withColumn("geo_sk", F.lit(GLOBAL_SK))
+            .withColumn("geo_sk", constant(GLOBAL_SK, "gpr_val"))
         )
 
     def stocks(self) -> DataFrame:
@@ -285,7 +285,7 @@ class StandInWarehouse:
             self._shipped
             .groupBy(
                 month_key(F.col("l_shipdate")).alias("month_sk"), "geo_sk",
-                indicator.alias("indicator_sk"), F.lit(1).alias("measure_unit_sk"),
+                indicator.alias("indicator_sk"), constant(1, "l_linenumber").alias("measure_unit_sk"),
             )
             .agg(F.sum("l_quantity").cast("decimal(14,4)").alias("indicator_value"))
             .withColumn("eurostat_flag", F.lit(None).cast("string"))
@@ -293,6 +293,12 @@ class StandInWarehouse:
         )
 
 
+def constant(value: int, column: str) -> Column:
+    """A key that is the same everywhere, as a stored column would hold it. A plain
+    literal would be folded out of join conditions and leave a nested-loop join."""
+    return F.when(F.col(column).isNotNull(), value)
+
+
 def brand_key(brand: Column) -> Column:
     return F.regexp_extract(brand, r"(\d+)$", 1).try_cast("int")
 
