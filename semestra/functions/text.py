@@ -21,15 +21,33 @@ def observation_flag(cell: Column) -> Column:
     return F.nullif(letters, F.lit(""))
 
 
-def month_key(date: Column) -> Column:
-    """``YYYY-MM`` of a date or date text; NULL when it is not a date."""
-    return F.substring(date.cast("string").try_cast("date").cast("string"), 1, 7)
+def month_key(text: Column) -> Column:
+    """``YYYY-MM`` of date text; NULL when it is not a date."""
+    return F.substring(text.try_cast("date").cast("string"), 1, 7)
 
 
-def semester_key(date: Column) -> Column:
-    """``YYYY-S1`` or ``YYYY-S2`` of a date column."""
-    half = F.when(F.month(date) <= 6, F.lit("-S1")).otherwise(F.lit("-S2"))
-    return F.concat(F.year(date).cast("string"), half)
+# Periods of date columns. Grouping on the number and spelling it out afterwards
+# keeps strings out of the aggregation.
+
+
+def month_number(date: Column) -> Column:
+    return F.year(date) * 100 + F.month(date)
+
+
+def month_text(number: Column) -> Column:
+    """``YYYY-MM`` of a month number."""
+    digits = number.cast("string")
+    return F.concat(F.substring(digits, 1, 4), F.lit("-"), F.substring(digits, 5, 2))
+
+
+def semester_number(date: Column) -> Column:
+    return F.year(date) * 10 + F.when(F.month(date) <= 6, 1).otherwise(2)
+
+
+def semester_text(number: Column) -> Column:
+    """``YYYY-S1`` or ``YYYY-S2`` of a semester number."""
+    digits = number.cast("string")
+    return F.concat(F.substring(digits, 1, 4), F.lit("-S"), F.substring(digits, 5, 1))
 
 
 def period_year(period: Column) -> Column:

@@ -29,7 +29,7 @@ def assign_keys(incoming: DataFrame, existing: DataFrame, key: list[str], surrog
     )
     highest = existing.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("highest")).scalar()
     numbered = (
-        fresh.withColumn("place", place).join(offsets, "bucket")
+        fresh.withColumn("place", place).join(F.broadcast(offsets), "bucket")  # 256 rows at most
         .withColumn(surrogate, (highest + F.col("offset") + F.col("place")).cast("int"))
         .drop("bucket", "place", "offset")
     )

@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from semestra.functions.numeric import exact_mean, half_up, percent_change
 
 
+# Every distinct value is compared with each cut, so ranges stay this few.
+MAX_RANGES = 256
+
+
 def moving_mean(
     rows: DataFrame, series: list[str], order: str, measure: str, length: int, digits: int, alias: str
 ) -> DataFrame:
@@ -41,16 +45,17 @@ def global_rank(
     the ranges below are added. The result is exact wherever the cuts fall.
     """
     spark = rows.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
     counted = rows.filter(F.col(measure).isNotNull()).groupBy(measure).agg(F.count("*").alias("copies"))
     cuts = [i / buckets for i in range(1, buckets)] or [0.5]
-    bounds = counted.agg(F.percentile_approx(measure, cuts).alias("bounds")).scalar()
+    # Looking at the copies keeps this the same aggregation as below, so it runs once.
+    bounds = counted.filter("copies > 0").agg(F.percentile_approx(measure, cuts)).scalar()
     ranged = (
         counted.withColumn("bounds", bounds)
         .withColumn("bucket", F.size(F.filter("bounds", lambda cut: cut < F.col(measure))))
         .drop("bounds")
     )
-    # One row per range from here to `below`.
+    # One row per range from here to `below`, so a broadcast of it is bounded.
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.orderBy("bucket").rowsBetween(1, Window.unboundedFollowing)
     every = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -71,7 +76,7 @@ def global_rank(
     )
     others = (F.col("total_rows") - 1).cast("decimal(20,0)")
     share = F.when(others > 0, smaller.cast("decimal(20,0)") * 100 / others).otherwise(F.lit(0))
-    places = ranged.join(below, "bucket").select(
+    places = ranged.join(F.broadcast(below), "bucket").select(
         measure,
         (F.row_number().over(descending) + F.col("values_above")).cast("bigint").alias(rank),
         half_up(share.cast("decimal(38,18)"), digits).alias(percentile),

@@ -111,7 +111,7 @@ def load_membership(wh: Warehouse, history: DataFrame | None = None) -> None:
 def stage(wh: Warehouse, name: str, rows: DataFrame) -> DataFrame:
     path = f"{wh.root}/_staging/{name}"
     rows.write.mode("overwrite").parquet(path)
-    return wh.spark.read.parquet(path)
+    return wh.spark.read.schema(rows.schema).parquet(path)
 
 
 def add_labels(rows: DataFrame, codelists: DataFrame, lookups: dict[str, tuple[str, str]]) -> DataFrame:

@@ -33,7 +33,7 @@ def normalise(sheet: DataFrame) -> DataFrame:
     if missing:
         raise LayoutError("Missing index columns: " + ", ".join(missing))
     return sheet.select(
-        month_key(F.col(date_column(sheet.columns))).alias("month_sk"),
+        month_key(F.col(date_column(sheet.columns)).cast("string")).alias("month_sk"),
         *[parse_number(F.col(name).cast("string"), "decimal(20,8)").alias(name) for name in MEASURES],
     )
 

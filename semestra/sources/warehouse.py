@@ -68,7 +68,7 @@ class Warehouse:
         version = self._version + 1
         rows = [(version, name, path) for name, path in paths.items()]
         (
-            self.spark.createDataFrame(rows, _VERSIONS).coalesce(1)
+            literal_frame(self.spark, rows, _VERSIONS).coalesce(1)
             .write.mode("append").json(f"{self.root}/_versions")
         )
         self._paths.update(paths)

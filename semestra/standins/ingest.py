@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from semestra.functions.text import period_year
 from semestra.operators.dimensions import assign_keys, extract_members, resolve
 from semestra.plans import loading
-from semestra.reference_data import METHOD_CODES, TAX_ORDER
+from semestra.reference_data import METHOD_CODES, TAX_ORDER, literal_frame
 from semestra.session import new_folder
 from semestra.sources import index_sheet
 from semestra.sources.codelists import read_codelists
@@ -113,9 +113,9 @@ def codelist_labels(spark, sf_dir):
 
 def fact_key_resolution(spark, sf_dir):
     """Facts of all price files with every natural key resolved."""
-    path = new_folder(spark, "conformed")
-    conformed(spark, sf_dir).write.parquet(path)
-    staged = spark.read.parquet(path)
+    rows, path = conformed(spark, sf_dir), new_folder(spark, "conformed")
+    rows.write.parquet(path)
+    staged = spark.read.schema(rows.schema).parquet(path)
     geo = raw(spark, sf_dir, "supplier").select(
         F.concat(F.lit("S"), "s_suppkey").alias("geo_code"), (F.col("s_suppkey") + 1).cast("int").alias("geo_sk")
     )
@@ -148,7 +148,7 @@ def admissibility_split(spark, sf_dir):
     geo = raw(spark, sf_dir, "supplier").select(
         F.concat(F.lit("S"), "s_suppkey").alias("eurostat_code"), F.col("s_suppkey").alias("geo_sk")
     )
-    months = spark.createDataFrame([(m,) for m in MONTHS if m >= "1996-01"], "month_sk string")
+    months = literal_frame(spark, [(m,) for m in MONTHS if m >= "1996-01"], "month_sk string")
     marked = loading.mark_supported(observations.filter(~loading.is_method()), geo, months)
     return marked.groupBy("indicator_code", "unit_code", "supported").agg(F.count("*").alias("n"))
 

@@ -11,9 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from semestra.functions.text import month_key, semester_key
+from semestra.functions.text import month_number, month_text, semester_number, semester_text
 from semestra.plans.loading import Inputs, PriceSource
-from semestra.reference_data import GLOBAL_CODE, PRICE_DATASETS, parse_rows
+from semestra.reference_data import GLOBAL_CODE, PRICE_DATASETS, literal_frame, parse_rows
 from semestra.session import new_folder
 from semestra.standins.tables import YEARS, band_code, money, raw
 
@@ -60,7 +60,7 @@ def _spread(cells: DataFrame, keys: list[str], period: str, periods: list[str],
 
 def _line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = raw(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), semester_key(F.col("o_orderdate")).alias("semester")
+        F.col("o_orderkey").alias("l_orderkey"), semester_text(semester_number(F.col("o_orderdate"))).alias("semester")
     )
     parts = raw(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), band_code(F.col("p_size")).alias("band")
@@ -148,7 +148,7 @@ def _stock_cells(spark: SparkSession, sf_dir: str, flow: str, unit: str, geo: st
     cells = (
         raw(spark, sf_dir, "lineitem").join(suppliers, "l_suppkey")
         .withColumns({"flow": F.expr(flow), "unit": F.expr(unit), "geo": F.expr(geo)})
-        .groupBy(*keys, month_key(F.col("l_shipdate")).alias("month"))
+        .groupBy(*keys, month_text(month_number(F.col("l_shipdate"))).alias("month"))
         .agg(F.sum("l_quantity").cast("decimal(14,4)").cast("string").alias("cell"))
     )
     key = F.concat_ws(",", F.lit("M"), "flow", "unit", "geo")
@@ -179,7 +179,7 @@ def _write_index(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Monthly sheet: highest, lowest and their distance."""
     high, low = F.max(money("o_totalprice")), F.min(money("o_totalprice"))
     rows = (
-        raw(spark, sf_dir, "orders").groupBy(month_key(F.col("o_orderdate")).alias("m"))
+        raw(spark, sf_dir, "orders").groupBy(month_text(month_number(F.col("o_orderdate"))).alias("m"))
         .agg(high.alias("GPR"), low.alias("GPRT"), (high - low).cast("decimal(14,4)").alias("GPRA"))
         .select(F.concat("m", F.lit("-01")).alias("month"), "GPR", "GPRT", "GPRA")
     )
@@ -238,7 +238,7 @@ def _write_price_codelists(spark: SparkSession, sf_dir: str, path: str) -> None:
     names = F.array(
         _name("de", F.concat(F.lit("Kode "), code)), _name("en", F.concat(F.lit("Code "), code))
     )
-    frame = spark.createDataFrame(rows, "codelist string, place int, code string")
+    frame = literal_frame(spark, rows, "codelist string, place int, code string")
     _write_codelists(frame.withColumn("names", names), path)
 
 
@@ -247,7 +247,9 @@ def _write_dependency_codelists(spark: SparkSession, sf_dir: str, path: str) ->
         F.lit("SIEC").alias("codelist"), F.expr("CAST(substring(p_brand, 7) AS INT)").alias("place"),
         F.col("p_brand").alias("code"),
     ).distinct()
-    others = spark.createDataFrame([("SIEC", 0, "TOTAL"), ("UNIT", 0, "PC")], "codelist string, place int, code string")
+    others = literal_frame(
+        spark, [("SIEC", 0, "TOTAL"), ("UNIT", 0, "PC")], "codelist string, place int, code string"
+    )
     names = F.array(_name("en", F.concat(F.lit("Product "), "code")))
     _write_codelists(brands.unionByName(others).withColumn("names", names), path)
 

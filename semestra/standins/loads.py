@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from semestra.functions.text import month_key, semester_key
+from semestra.functions.text import month_number, month_text, semester_number, semester_text
 from semestra.operators import calendar
 from semestra.operators.dimensions import assign_keys, insert_absent, upsert
 from semestra.operators.membership import expand_membership
@@ -36,12 +36,12 @@ def calendar_year(spark, sf_dir):
 
 def calendar_semester(spark, sf_dir):
     semesters = calendar.semesters(spark, 1990, 2005)
-    return _orders_per(spark, sf_dir, semesters, "semester_sk", semester_key(F.col("o_orderdate")))
+    return _orders_per(spark, sf_dir, semesters, "semester_sk", semester_text(semester_number(F.col("o_orderdate"))))
 
 
 def calendar_month(spark, sf_dir):
     months = calendar.months(spark, 1990, 2005)
-    return _orders_per(spark, sf_dir, months, "month_sk", month_key(F.col("o_orderdate")))
+    return _orders_per(spark, sf_dir, months, "month_sk", month_text(month_number(F.col("o_orderdate"))))
 
 
 def eu_membership_bridge(spark, sf_dir):
@@ -82,7 +82,7 @@ def _seen(spark: SparkSession, sf_dir: str, condition) -> DataFrame:
     return (
         raw(spark, sf_dir, "orders").filter(condition)
         .groupBy(F.concat(F.lit("C"), "o_custkey").alias("code"))
-        .agg(F.max(month_key(F.col("o_orderdate"))).alias("last_seen"))
+        .agg(F.max(month_text(month_number(F.col("o_orderdate")))).alias("last_seen"))
     )
 
 
@@ -146,7 +146,7 @@ def _index_of(spark: SparkSession, sf_dir: str, condition, geo_sk) -> DataFrame:
     value = money("o_totalprice")
     return (
         raw(spark, sf_dir, "orders").filter(condition)
-        .groupBy(month_key(F.col("o_orderdate")).alias("month_sk"), geo_sk.cast("int").alias("geo_sk"))
+        .groupBy(month_text(month_number(F.col("o_orderdate"))).alias("month_sk"), geo_sk.cast("int").alias("geo_sk"))
         .agg(F.max(value).alias("gpr_val"), F.min(value).alias("gprt_val"), F.max(value).alias("gpra_val"))
     )
 

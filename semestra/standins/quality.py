@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from semestra.functions.periods import period_columns
-from semestra.functions.text import month_key
+from semestra.functions.text import month_number, month_text
 from semestra.operators import gates, profile
 from semestra.plans import loading, verification
 from semestra.reference_data import literal_frame
@@ -153,10 +153,10 @@ def verify_duplicates(spark, sf_dir):
     """Index and stock facts taken at the grain of orders and line items, which repeats keys."""
     wh = StandInWarehouse(spark, sf_dir)
     index = wh.raw("orders").select(
-        month_key(F.col("o_orderdate")).alias("month_sk"), F.lit(GLOBAL_SK).alias("geo_sk")
+        month_text(month_number(F.col("o_orderdate"))).alias("month_sk"), F.lit(GLOBAL_SK).alias("geo_sk")
     )
     stocks = wh.raw("lineitem").select(
-        month_key(F.col("l_shipdate")).alias("month_sk"), F.col("l_suppkey").alias("geo_sk"),
+        month_text(month_number(F.col("l_shipdate"))).alias("month_sk"), F.col("l_suppkey").alias("geo_sk"),
         F.col("l_returnflag").alias("indicator_sk"), F.lit(1).alias("measure_unit_sk"),
     )
     return verification.verify_duplicates(Overridden(wh, {"fact_gpr": index, "fact_oil_stocks": stocks}))

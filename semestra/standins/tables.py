@@ -12,7 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from semestra.functions.text import month_key, period_year, semester_key
+from semestra.functions.text import month_number, month_text, semester_number, semester_text
 from semestra.operators import calendar
 from semestra.operators.membership import expand_membership
 from semestra.operators.olap import PriceContext
@@ -29,8 +29,23 @@ INDICATORS = ["A", "N", "R"]
 GLOBAL_SK = 999
 
 
+# Declared, so that opening a table costs no look into its files
+RAW_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def money(column: str, data_type: str = "decimal(14,4)") -> Column:
@@ -216,7 +231,7 @@ class StandInWarehouse:
             .join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .select(
                 F.col("o_orderkey").alias("l_orderkey"),
-                semester_key(F.col("o_orderdate")).alias("semester_sk"),
+                semester_number(F.col("o_orderdate")).alias("semester"),
                 F.col("c_nationkey").alias("geo_sk"),
             )
         )
@@ -226,7 +241,7 @@ class StandInWarehouse:
             self.raw("lineitem").filter(lines)
             .join(sized, "l_partkey").join(placed, "l_orderkey")
             .select(
-                "semester_sk", "geo_sk",
+                "semester", "geo_sk",
                 band_key_of(commodity, consumer, F.col("band_index")).cast("int").alias("consumption_band_sk"),
                 tax_key(F.col("l_linenumber")).alias("tax_level_sk"),
                 constant(1, "l_linenumber").alias("price_unit_sk"),
@@ -235,10 +250,13 @@ class StandInWarehouse:
         )
         lowest = F.min(money("l_extendedprice")) + F.lit(self.offset).cast("decimal(10,4)")
         return (
-            keyed.groupBy("semester_sk", "geo_sk", "consumption_band_sk", "tax_level_sk", "price_unit_sk")
+            keyed.groupBy("semester", "geo_sk", "consumption_band_sk", "tax_level_sk", "price_unit_sk")
             .agg(lowest.cast("decimal(14,4)").alias("price_val"))
-            .withColumn("eurostat_flag", F.lit(None).cast("string"))
-            .withColumn("period_year", period_year(F.col("semester_sk")))
+            .select(
+                semester_text(F.col("semester")).alias("semester_sk"), "geo_sk", "consumption_band_sk",
+                "tax_level_sk", "price_unit_sk", F.lit(None).cast("string").alias("eurostat_flag"),
+                "price_val", F.expr("semester div 10").cast("int").alias("period_year"),
+            )
         )
 
     @cached_property
@@ -274,9 +292,12 @@ class StandInWarehouse:
         low = F.min(money("o_totalprice")).alias("gprt_val")
         spread = (F.max(money("o_totalprice")) - F.min(money("o_totalprice"))).cast("decimal(14,4)")
         return (
-            self._dated(self.raw("orders"), "o_orderdate").groupBy(month_key(F.col("o_orderdate")).alias("month_sk"))
+            self._dated(self.raw("orders"), "o_orderdate").groupBy(month_number(F.col("o_orderdate")).alias("month"))
             .agg(high, low, spread.alias("gpra_val"))
-            .withColumn("geo_sk", constant(GLOBAL_SK, "gpr_val"))
+            .select(
+                month_text(F.col("month")).alias("month_sk"), constant(GLOBAL_SK, "gpr_val").alias("geo_sk"),
+                "gpr_val", "gprt_val", "gpra_val",
+            )
         )
 
     def stocks(self) -> DataFrame:
@@ -284,12 +305,15 @@ class StandInWarehouse:
         return (
             self._shipped
             .groupBy(
-                month_key(F.col("l_shipdate")).alias("month_sk"), "geo_sk",
+                month_number(F.col("l_shipdate")).alias("month"), "geo_sk",
                 indicator.alias("indicator_sk"), constant(1, "l_linenumber").alias("measure_unit_sk"),
             )
             .agg(F.sum("l_quantity").cast("decimal(14,4)").alias("indicator_value"))
-            .withColumn("eurostat_flag", F.lit(None).cast("string"))
-            .withColumn("period_year", period_year(F.col("month_sk")))
+            .select(
+                month_text(F.col("month")).alias("month_sk"), "geo_sk", "indicator_sk", "measure_unit_sk",
+                F.lit(None).cast("string").alias("eurostat_flag"), "indicator_value",
+                F.expr("month div 100").cast("int").alias("period_year"),
+            )
         )
 
 
