@@ -312,9 +312,10 @@ def supplier_members(spark: SparkSession, sf_dir: str) -> DataFrame:
         none.alias("iso_alpha3"), F.col("s_name").alias("country_name"),
         F.lit("Country").alias("entity_type"), F.lit(False).alias("is_eu"),
     )
-    world = spark.range(1).select(
-        F.lit(GLOBAL_CODE).alias("eurostat_code"), none.alias("iso_alpha2"), none.alias("iso_alpha3"),
-        F.lit("World").alias("country_name"), F.lit("Global").alias("entity_type"), F.lit(False).alias("is_eu"),
+    world = literal_frame(
+        spark, [(GLOBAL_CODE, None, None, "World", "Global", False)],
+        "eurostat_code string, iso_alpha2 string, iso_alpha3 string, country_name string, "
+        "entity_type string, is_eu boolean",
     )
     return suppliers.unionByName(world)
 

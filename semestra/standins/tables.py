@@ -27,6 +27,10 @@ BANDS = {"B1": (1, 10), "B2": (11, 20), "B3": (21, 30), "B4": (31, 40), "TOT_B":
 TAXES = {"X_TAX": 0, "X_VAT": 1, "I_TAX": 2}
 INDICATORS = ["A", "N", "R"]
 GLOBAL_SK = 999
+GEO_SCHEMA = (
+    "geo_sk int, eurostat_code string, iso_alpha2 string, iso_alpha3 string, "
+    "country_name string, entity_type string, is_eu boolean"
+)
 
 
 # Declared, so that opening a table costs no look into its files
@@ -123,9 +127,9 @@ class StandInWarehouse:
                 members(region + 100, F.concat(F.lit("R"), region), F.col("r_name"), "Aggregate",
                         self.raw("region"))
             )
-            .unionByName(
-                members(F.lit(GLOBAL_SK), F.lit("GLOBAL"), F.lit("GLOBAL"), "Global", self.spark.range(1))
-            )
+            .unionByName(literal_frame(
+                self.spark, [(GLOBAL_SK, "GLOBAL", None, None, "GLOBAL", "Global", False)], GEO_SCHEMA
+            ))
         )
         return geo.filter(F.col("country_name") != self.without) if self.without else geo
 
@@ -143,7 +147,7 @@ class StandInWarehouse:
         brands = self.raw("part").select("p_brand").distinct().select(
             brand_key(F.col("p_brand")).alias("product_sk"), F.col("p_brand").alias("siec_code")
         )
-        total = self.spark.range(1).select(F.lit(0).alias("product_sk"), F.lit("TOTAL").alias("siec_code"))
+        total = literal_frame(self.spark, [(0, "TOTAL")], "product_sk int, siec_code string")
         return brands.unionByName(total).select(
             "product_sk", "siec_code", F.col("siec_code").alias("siec_label"),
             F.col("product_sk").cast("smallint").alias("product_order"),

@@ -18,7 +18,7 @@ def spark():
         "tests", "local[4]",
         {
             "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g",
-            "spark.ui.showConsoleProgress": "false",
+            "spark.ui.showConsoleProgress": "false", "spark.sql.maxMetadataStringLength": "2000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
