@@ -50,35 +50,33 @@ def global_rank(
     cuts = [i / buckets for i in range(1, buckets)] or [0.5]
     # Looking at the copies keeps this the same aggregation as below, so it runs once.
     bounds = counted.filter("copies > 0").agg(F.percentile_approx(measure, cuts)).scalar()
-    ranged = (
-        counted.withColumn("bounds", bounds)
-        .withColumn("bucket", F.size(F.filter("bounds", lambda cut: cut < F.col(measure))))
-        .drop("bounds")
-    )
-    # One row per range from here to `below`, so a broadcast of it is bounded.
+    # The coalesce tells the optimizer the range is never NULL; it would otherwise
+    # test that on every row before the counting.
+    place = F.coalesce(F.size(F.filter("bounds", lambda cut: cut < F.col(measure))), F.lit(0))
+    ranged = counted.withColumn("bounds", bounds).withColumn("bucket", place).drop("bounds")
+    # One row per range from here to `totals`, so a broadcast of it is bounded.
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.orderBy("bucket").rowsBetween(1, Window.unboundedFollowing)
+    after = Window.orderBy("bucket").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     every = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    below = (
+    totals = (
         ranged.groupBy("bucket").agg(F.count("*").alias("n_values"), F.sum("copies").alias("n_rows"))
         .select(
             "bucket",
             F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("rows_below"),
-            F.coalesce(F.sum("n_values").over(after), F.lit(0)).alias("values_above"),
+            F.sum("n_values").over(after).alias("values_from_here"),
             F.sum("n_rows").over(every).alias("total_rows"),
         )
     )
-    ascending = Window.partitionBy("bucket").orderBy(F.col(measure).asc())
-    descending = Window.partitionBy("bucket").orderBy(F.col(measure).desc())
+    within = Window.partitionBy("bucket").orderBy(F.col(measure).asc())
     smaller = (
-        F.coalesce(F.sum("copies").over(ascending.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        + F.col("rows_below")
+        F.sum("copies").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        - F.col("copies") + F.col("rows_below")
     )
     others = (F.col("total_rows") - 1).cast("decimal(20,0)")
     share = F.when(others > 0, smaller.cast("decimal(20,0)") * 100 / others).otherwise(F.lit(0))
-    places = ranged.join(F.broadcast(below), "bucket").select(
+    places = ranged.join(F.broadcast(totals), "bucket").select(
         measure,
-        (F.row_number().over(descending) + F.col("values_above")).cast("bigint").alias(rank),
+        (F.col("values_from_here") - F.row_number().over(within) + 1).cast("bigint").alias(rank),
         half_up(share.cast("decimal(38,18)"), digits).alias(percentile),
     )
     return rows.join(places, measure)

@@ -265,8 +265,10 @@ def load_prices(wh: Warehouse, sources: list[PriceSource]) -> dict[str, int]:
     ]
     rows = conform_prices(union_sources(parts), codelists)
     staged = stage(wh, "prices", add_period(add_geo(rows, wh), wh.table("dt_semester"), "semester_sk"))
+    # All dimension members in one pass; there are only as many as code combinations.
+    members = stage(wh, "price_members", extract_members(staged, [*BAND_COLUMNS, *TAX_COLUMNS, *UNIT_COLUMNS]))
     checks += [
-        conflicts(name, extract_members(staged, columns), key)
+        conflicts(name, extract_members(members, columns), key)
         for name, columns, key, _ in PRICE_DIMENSIONS
     ]
     counts = refuse(
@@ -276,8 +278,8 @@ def load_prices(wh: Warehouse, sources: list[PriceSource]) -> dict[str, int]:
 
     paths, facts = {}, staged
     for name, columns, key, surrogate in PRICE_DIMENSIONS:
-        members = write_members(wh, name, extract_members(staged, columns), key, surrogate, paths)
-        facts = resolve(facts, members, key, surrogate)
+        written = write_members(wh, name, extract_members(members, columns), key, surrogate, paths)
+        facts = resolve(facts, written, key, surrogate)
     facts = facts.withColumn("period_year", period_year(F.col("semester_sk")))
     paths["fact_energy_price"] = wh.write("fact_energy_price", facts)
     wh.publish(paths)
@@ -322,7 +324,7 @@ def load_dependency(wh: Warehouse, path: str, codelists_path: str) -> dict[str,
     rows = add_positions(rows, codelists, "SIEC", "siec_code", "product_order", 1)
     rows = rows.withColumn("is_total", F.col("siec_code") == "TOTAL")
     staged = stage(wh, "dependency", add_period(add_geo(rows, wh), wh.table("dt_year"), "year_sk"))
-    products = extract_members(staged, PRODUCT_COLUMNS)
+    products = stage(wh, "products", extract_members(staged, PRODUCT_COLUMNS))
     counts = refuse(
         staged, dependency_rules(), DEPENDENCY_GRAIN, ["siec_code", "geo_code", "year_sk"],
         [

@@ -116,16 +116,15 @@ def fact_key_resolution(spark, sf_dir):
     rows, path = conformed(spark, sf_dir), new_folder(spark, "conformed")
     rows.write.parquet(path)
     staged = spark.read.schema(rows.schema).parquet(path)
+    combinations = extract_members(
+        staged, [*loading.BAND_COLUMNS, *loading.TAX_COLUMNS, *loading.UNIT_COLUMNS]
+    )
     geo = raw(spark, sf_dir, "supplier").select(
         F.concat(F.lit("S"), "s_suppkey").alias("geo_code"), (F.col("s_suppkey") + 1).cast("int").alias("geo_sk")
     )
     facts = resolve(staged, geo, ["geo_code"], "geo_sk")
-    for key, columns, surrogate in [
-        (loading.BAND_KEY, loading.BAND_COLUMNS, "consumption_band_sk"),
-        (["tax_code"], loading.TAX_COLUMNS, "tax_level_sk"),
-        (loading.UNIT_KEY, loading.UNIT_COLUMNS, "price_unit_sk"),
-    ]:
-        members = extract_members(staged, columns)
+    for _, columns, key, surrogate in loading.PRICE_DIMENSIONS:
+        members = extract_members(combinations, columns)
         none_yet = members.limit(0).withColumn(surrogate, F.lit(0))
         facts = resolve(facts, assign_keys(members, none_yet, key, surrogate), key, surrogate)
     return doubles(facts.select(
