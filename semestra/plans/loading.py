@@ -157,9 +157,9 @@ def codelist_check(codelists: DataFrame, required: list[str], source: str) -> Da
     return gates.report(f"missing code lists of {source}", missing_codelists(codelists, wanted))
 
 
-def wrong_arity(name: str, wide: DataFrame, parts: int) -> DataFrame:
-    """Rows of the extract whose key does not have the expected number of parts."""
-    return gates.count_violations(wide, {name: F.col("key_parts") != parts})
+def wrong_arity(parts: int) -> Column:
+    """True where a key does not have the expected number of parts."""
+    return F.col("key_parts") != parts
 
 
 def conflicts(name: str, members: DataFrame, key: list[str]) -> DataFrame:
@@ -199,9 +199,13 @@ def price_cells(spark: SparkSession, source: PriceSource) -> tuple[DataFrame, in
     return wide, wide.columns.index("key_parts")
 
 
-def price_observations(wide: DataFrame) -> DataFrame:
-    cells = unpivot_periods(wide, PRICE_KEYS, "semester", "semester_sk")
-    return clean_observations(cells, "price_val", "decimal(10,4)").withColumnsRenamed({
+def price_observations(wide: DataFrame, parts: int | None = None) -> DataFrame:
+    """Long observations. Given the expected key parts, series with another number of
+    parts are kept and marked for the gates, whether observed or not."""
+    cells = unpivot_periods(wide, [*PRICE_KEYS, "key_parts"], "semester", "semester_sk")
+    malformed = wrong_arity(parts) if parts else F.lit(False)
+    rows = clean_observations(cells, "price_val", "decimal(10,4)", keep=malformed)
+    return rows.withColumn("malformed_key", malformed).drop("key_parts").withColumnsRenamed({
         "geo": "geo_code", "siec": "siec_code", "nrg_cons": "band_code", "tax": "tax_code",
         "unit": "energy_unit_code", "currency": "currency_code",
     })
@@ -225,6 +229,7 @@ def conform_prices(observations: DataFrame, codelists: DataFrame) -> DataFrame:
 
 def price_rules() -> dict:
     return {
+        "key arity": F.col("malformed_key"),
         "unexpected frequency": ~F.col("freq").eqNullSafe("S"),
         "unexpected siec": ~F.col("siec_code").eqNullSafe(F.col("expected_siec")),
         "siec without label": F.col("siec_label").isNull(),
@@ -251,9 +256,7 @@ def load_prices(wh: Warehouse, sources: list[PriceSource]) -> dict[str, int]:
     them the observations per dataset."""
     parts, labels, checks = [], [], []
     for source in sources:
-        wide, width = price_cells(wh.spark, source)
-        checks.append(wrong_arity(f"key arity in {source.dataset}", wide, width))
-        parts.append((price_observations(wide), {
+        parts.append((price_observations(*price_cells(wh.spark, source)), {
             "dataset": source.dataset, "commodity_type": source.commodity,
             "consumer_type": source.consumer, "expected_siec": source.siec,
         }))
@@ -297,10 +300,11 @@ def write_members(
 # import dependency --------------------------------------------------------------
 
 
-def dependency_observations(wide: DataFrame) -> DataFrame:
-    cells = unpivot_periods(wide, DEPENDENCY_KEYS, "year", "year_sk")
+def dependency_observations(wide: DataFrame, parts: int) -> DataFrame:
+    cells = unpivot_periods(wide, [*DEPENDENCY_KEYS, "key_parts"], "year", "year_sk")
     return (
-        clean_observations(cells, "dep_rate_val", "decimal(12,4)")
+        clean_observations(cells, "dep_rate_val", "decimal(12,4)", keep=wrong_arity(parts))
+        .withColumn("malformed_key", wrong_arity(parts)).drop("key_parts")
         .withColumnsRenamed({"geo": "geo_code", "siec": "siec_code"})
         .withColumn("year_sk", F.col("year_sk").cast("int"))
     )
@@ -308,6 +312,7 @@ def dependency_observations(wide: DataFrame) -> DataFrame:
 
 def dependency_rules() -> dict:
     return {
+        "key arity": F.col("malformed_key"),
         "unexpected frequency": ~F.col("freq").eqNullSafe("A"),
         "unexpected unit": ~F.col("unit").eqNullSafe("PC"),
         "siec without label": F.col("siec_label").isNull(),
@@ -320,7 +325,8 @@ def dependency_rules() -> dict:
 def load_dependency(wh: Warehouse, path: str, codelists_path: str) -> dict[str, int]:
     wide = split_key(read_wide(wh.spark, path), set(DEPENDENCY_KEYS))
     codelists = stage(wh, "dependency_codelists", read_codelists(wh.spark, codelists_path))
-    rows = add_labels(dependency_observations(wide), codelists, {"SIEC": ("siec_code", "siec_label")})
+    observations = dependency_observations(wide, wide.columns.index("key_parts"))
+    rows = add_labels(observations, codelists, {"SIEC": ("siec_code", "siec_label")})
     rows = add_positions(rows, codelists, "SIEC", "siec_code", "product_order", 1)
     rows = rows.withColumn("is_total", F.col("siec_code") == "TOTAL")
     staged = stage(wh, "dependency", add_period(add_geo(rows, wh), wh.table("dt_year"), "year_sk"))
@@ -328,7 +334,6 @@ def load_dependency(wh: Warehouse, path: str, codelists_path: str) -> dict[str,
     counts = refuse(
         staged, dependency_rules(), DEPENDENCY_GRAIN, ["siec_code", "geo_code", "year_sk"],
         [
-            wrong_arity("key arity", wide, wide.columns.index("key_parts")),
             codelist_check(codelists, DEPENDENCY_CODELISTS, "import dependency"),
             conflicts("dt_energy_product", products, ["siec_code"]),
         ],
@@ -348,7 +353,9 @@ def load_dependency(wh: Warehouse, path: str, codelists_path: str) -> dict[str,
 def stock_observations(spark: SparkSession, path: str) -> DataFrame:
     wide = split_key(read_wide(spark, path), names=STOCK_KEYS)
     cells = unpivot_periods(wide, [*STOCK_KEYS, "key_parts"], "month", "month_sk")
-    return clean_observations(cells, "indicator_value", "decimal(14,4)").withColumnsRenamed(
+    malformed = wrong_arity(len(STOCK_KEYS))
+    rows = clean_observations(cells, "indicator_value", "decimal(14,4)", keep=malformed)
+    return rows.withColumn("malformed_key", malformed).drop("key_parts").withColumnsRenamed(
         {"stk_flow": "indicator_code", "unit": "unit_code", "geo": "geo_code"}
     )
 
@@ -378,7 +385,7 @@ def load_stocks(wh: Warehouse, path: str) -> dict[str, int]:
         staged,
         {
             "unsupported combination": quantity & ~F.col("supported"),
-            "key arity": quantity & (F.col("key_parts") != len(STOCK_KEYS)),
+            "key arity": F.col("malformed_key"),
             "value out of range": quantity & F.col("out_of_range"),
         },
         STOCK_GRAIN, ["indicator_code", "unit_code", "geo_code", "month_sk"], scope=quantity,

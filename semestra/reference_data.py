@@ -56,19 +56,37 @@ UA | UA | UKR | Ukraine | Country | no
 XK | XK | XKX | Kosovo | Country | no
 """
 
-# Year of entry: codes of the countries that joined then
-EU_ENTRIES = {
-    1957: "BE DE FR IT LU NL",
-    1973: "DK IE UK",
-    1981: "EL",
-    1986: "ES PT",
-    1995: "AT FI SE",
-    2004: "CY CZ EE HU LT LV MT PL SI SK",
-    2007: "BG RO",
-    2013: "HR",
-}
-# First year out of the union
-EU_EXITS = {"UK": 2020}
+# Statistical code | first year in the union | first year out of it
+EU_HISTORY = """
+BE | 1957 | -
+DE | 1957 | -
+FR | 1957 | -
+IT | 1957 | -
+LU | 1957 | -
+NL | 1957 | -
+DK | 1973 | -
+IE | 1973 | -
+UK | 1973 | 2020
+EL | 1981 | -
+ES | 1986 | -
+PT | 1986 | -
+AT | 1995 | -
+FI | 1995 | -
+SE | 1995 | -
+CY | 2004 | -
+CZ | 2004 | -
+EE | 2004 | -
+HU | 2004 | -
+LT | 2004 | -
+LV | 2004 | -
+MT | 2004 | -
+PL | 2004 | -
+SI | 2004 | -
+SK | 2004 | -
+BG | 2007 | -
+RO | 2007 | -
+HR | 2013 | -
+"""
 
 # Indicator code | label | class | obligation basis | unit it is published in
 STOCK_INDICATORS = """
@@ -139,11 +157,7 @@ def geo_entities(spark: SparkSession) -> DataFrame:
 
 
 def eu_history(spark: SparkSession) -> DataFrame:
-    rows = [
-        (code, entry, EU_EXITS.get(code))
-        for entry, codes in EU_ENTRIES.items()
-        for code in codes.split()
-    ]
+    rows = [(code, int(entry), leave and int(leave)) for code, entry, leave in parse_rows(EU_HISTORY)]
     return literal_frame(spark, rows, "code string, entry_year int, exit_year int")
 
 

@@ -14,8 +14,9 @@ from semestra.sources.wide_tsv import LayoutError
 MEASURES = ["gpr", "gprt", "gpra"]
 
 
-def read_sheet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).csv(path)
+def read_sheet(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:
+    """The exported sheet; ``header`` only matters to CSV."""
+    return spark.read.format(file_format).option("header", True).load(path)
 
 
 def date_column(columns: list[str]) -> str:

@@ -62,15 +62,19 @@ def unpivot_periods(wide: DataFrame, keys: list[str], granularity: str, period:
     )
 
 
-def clean_observations(cells: DataFrame, value: str, value_type: str) -> DataFrame:
+def clean_observations(
+    cells: DataFrame, value: str, value_type: str, keep: Column | None = None
+) -> DataFrame:
     """Parse the cells, keep those holding a number, add the flag.
 
     A number too large for ``value_type`` is kept with a NULL value and marked in
-    ``out_of_range``: losing it silently is for a gate to prevent.
+    ``out_of_range``: losing it silently is for a gate to prevent. Rows meeting
+    ``keep`` stay even without a number, so that a gate sees them in the same pass.
     """
     text = numeric_text(F.col("raw_val"))
+    wanted = parse_number(text).isNotNull()
     return (
-        cells.filter(parse_number(text).isNotNull())
+        cells.filter(wanted if keep is None else wanted | keep)
         .select(
             "*",
             parse_number(text, value_type).alias(value),

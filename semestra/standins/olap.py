@@ -37,18 +37,19 @@ def olap_drilldown(spark, sf_dir):
 
 
 def olap_slice(spark, sf_dir):
-    return doubles(analysis.price_slice(StandInWarehouse(spark, sf_dir, ALL_BANDS), ALL_BANDS, SLICED))
+    wh = StandInWarehouse(spark, sf_dir, ALL_BANDS, countries=(SLICED,))
+    return doubles(analysis.price_slice(wh, ALL_BANDS, SLICED))
 
 
 def olap_dice(spark, sf_dir):
     years = (1996, 1998)
-    wh = StandInWarehouse(spark, sf_dir, HOUSEHOLD, years)
+    wh = StandInWarehouse(spark, sf_dir, HOUSEHOLD, years, countries=DICED)
     return doubles(analysis.price_dice(wh, HOUSEHOLD, DICED, years))
 
 
 def drill_across(spark, sf_dir):
     years = (1996, 2000)
-    wh = StandInWarehouse(spark, sf_dir, HOUSEHOLD, years, "TOTAL")
+    wh = StandInWarehouse(spark, sf_dir, HOUSEHOLD, years, "TOTAL", CROSSED)
     return doubles(analysis.price_and_dependency(wh, HOUSEHOLD, CROSSED, years))
 
 
@@ -62,7 +63,8 @@ def global_index_by_year(spark, sf_dir):
 
 
 def moving_average(spark, sf_dir):
-    return doubles(analysis.stock_moving_average(StandInWarehouse(spark, sf_dir), SERIES, "N"))
+    wh = StandInWarehouse(spark, sf_dir, countries=tuple(f"NATION_{code[1:]}" for code in SERIES))
+    return doubles(analysis.stock_moving_average(wh, SERIES, "N"))
 
 
 def dependency_vs_price(spark, sf_dir):

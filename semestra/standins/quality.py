@@ -41,7 +41,8 @@ def gate_schema(spark, sf_dir):
 
 
 def gate_arity(spark, sf_dir):
-    return loading.wrong_arity("key arity", dirty_wide(spark, sf_dir), len(loading.PRICE_KEYS))
+    rule = loading.wrong_arity(len(loading.PRICE_KEYS))
+    return gates.count_violations(dirty_wide(spark, sf_dir), {"key arity": rule})
 
 
 def gate_nonempty(spark, sf_dir):

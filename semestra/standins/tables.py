@@ -64,18 +64,25 @@ def band_code(size: Column) -> Column:
 
 
 class StandInWarehouse:
-    """``context``, ``years`` and ``product`` narrow the facts where the raw tables
-    are scanned, as stored partitions would be pruned. ``offset`` shifts prices so
+    """``context``, ``years``, ``product`` and ``countries`` narrow the facts where the
+    raw tables are scanned, as stored partitions would be pruned. ``offset`` shifts prices so
     that checks find something; ``without`` leaves out a geography by name."""
 
     def __init__(
         self, spark: SparkSession, sf_dir: str, context: PriceContext | None = None,
         years: tuple[int, int] | None = None, product: str | None = None,
-        offset: int = 0, without: str | None = None,
+        countries: tuple[str, ...] | None = None, offset: int = 0, without: str | None = None,
     ):
         self.spark, self.sf_dir = spark, sf_dir
         self.context, self.years, self.product = context, years, product
-        self.offset, self.without = offset, without
+        self.countries, self.offset, self.without = countries, offset, without
+
+    def _located(self, rows: DataFrame, nation: str) -> DataFrame:
+        """Keep customers or suppliers of the selected countries."""
+        if not self.countries:
+            return rows
+        selected = self.raw("nation").filter(F.col("n_name").isin(*self.countries))
+        return rows.join(selected, F.col(nation) == F.col("n_nationkey"), "left_semi")
 
     def _dated(self, rows: DataFrame, date: str) -> DataFrame:
         """Keep the selected years, as a range the parquet scan can use."""
@@ -232,7 +239,7 @@ class StandInWarehouse:
         )
         placed = (
             self._dated(self.raw("orders"), "o_orderdate")
-            .join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"))
+            .join(self._located(self.raw("customer"), "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
             .select(
                 F.col("o_orderkey").alias("l_orderkey"),
                 semester_number(F.col("o_orderdate")).alias("semester"),
@@ -266,7 +273,8 @@ class StandInWarehouse:
     @cached_property
     def _shipped(self) -> DataFrame:
         lines = self._dated(self.raw("lineitem"), "l_shipdate").join(
-            self.raw("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("geo_sk")),
+            self._located(self.raw("supplier"), "s_nationkey")
+            .select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("geo_sk")),
             "l_suppkey",
         )
         return lines.withColumn("year_sk", F.year("l_shipdate"))

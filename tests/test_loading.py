@@ -105,7 +105,8 @@ def bad(line: int, text: str) -> list[list[str]]:
     ({"lines": bad(0, "S,E7000,KWH2500-4999,KWH,X_VAT,NAC,IT")}, "currency without label"),
     ({"lines": bad(0, "S,E7000,KWH2500-4999,KWH,X_VAT,EUR,XX")}, "unknown geography"),
     ({"lines": bad(0, PRICE_LINES[1][0])}, "duplicate grain"),
-    ({"lines": bad(0, "S,E7000,KWH2500-4999,KWH,X_VAT,IT")}, "key arity in nrg_pc_204"),
+    ({"lines": bad(0, "S,E7000,KWH2500-4999,KWH,X_VAT,IT")}, "key arity"),
+    ({"lines": [*PRICE_LINES, ["S,E7000,TOT_KWH,KWH,X_VAT,EUR,IT,more", ": ", ": ", ": "]]}, "key arity"),
     ({"lines": [["S,E7000,KWH2500-4999,KWH,X_VAT,EUR,IT", "1234567 ", "1 ", "1 "]]}, "value out of range"),
     ({"lines": [["S,E7000,KWH2500-4999,KWH,X_VAT,EUR,IT", ": ", ": ", ": c"]]}, "no observations in nrg_pc_204"),
     ({"periods": ("2007-S1 ", "2007-S2 ", "2099-S1 ")}, "unknown semester"),

@@ -22,7 +22,7 @@ def test_scan_keeps_text(spark, tmp_path):
 def test_observations(spark, tmp_path, rows):
     wide, parts = loading.price_cells(spark, price_source(tmp_path))
     assert parts == 7
-    got = rows(loading.price_observations(wide).select(
+    got = rows(loading.price_observations(wide, parts).select(
         "geo_code", "band_code", "semester_sk", F.col("price_val").cast("string"), "eurostat_flag", "out_of_range"
     ))
     assert got == sorted([
