@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 
 def numeric_text(cell: Column) -> Column:
     """The cell without anything but digits, dots and minus signs."""
-    return F.regexp_replace(cell, r"[^\d.-]", "")
+    return F.regexp_replace(cell, r"[^\d.-]+", "")
 
 
 def parse_number(text: Column, data_type: str = "double") -> Column:
@@ -17,8 +17,7 @@ def parse_number(text: Column, data_type: str = "double") -> Column:
 
 def observation_flag(cell: Column) -> Column:
     """All letters of the cell joined together, NULL when there are none."""
-    letters = F.regexp_replace(cell, r"[^A-Za-z]", "")
-    return F.nullif(letters, F.lit(""))
+    return F.when(cell.rlike("[A-Za-z]"), F.regexp_replace(cell, r"[^A-Za-z]+", ""))
 
 
 def month_key(text: Column) -> Column:

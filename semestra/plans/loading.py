@@ -46,6 +46,11 @@ PRICE_GRAIN = [
 DEPENDENCY_GRAIN = ["year_sk", "geo_code", "siec_code"]
 STOCK_GRAIN = ["month_sk", "geo_code", "indicator_code", "unit_code"]
 
+# What a price series is made of besides its geography
+PRICE_CODES = [
+    "dataset", "commodity_type", "consumer_type", "expected_siec", "siec_code", "band_code",
+    "tax_code", "energy_unit_code", "currency_code",
+]
 BAND_KEY = ["commodity_type", "consumer_type", "band_code"]
 BAND_COLUMNS = [*BAND_KEY, "siec_code", "siec_label", "band_label", "band_order", "is_total_band"]
 TAX_COLUMNS = ["tax_code", "tax_label", "tax_inclusion_order"]
@@ -169,12 +174,16 @@ def conflicts(name: str, members: DataFrame, key: list[str]) -> DataFrame:
 
 def refuse(
     staged: DataFrame, rules: dict[str, Column], grain: list[str], sampled: list[str],
+    members: DataFrame | None = None, member_rules: dict[str, Column] | None = None,
     others: list[DataFrame] = (), must_occur: dict[str, Column] | None = None,
     informative: dict[str, Column] | None = None, scope: Column | None = None,
 ) -> dict[str, int]:
-    """Run all gates of a load in one job: the row rules and counters in one pass,
-    the grain check, and ``others``. ``scope`` narrows the grain check; a rule of
-    None is counted by one of ``others``."""
+    """Run all gates of a load in one job.
+
+    Row rules and counters take one pass over ``staged``. Rules on codes look at
+    ``members``, the few combinations of codes that occur. ``scope`` narrows the
+    grain check. ``others`` are further reports; a counter of None is in one of them.
+    """
     counted = {**rules, **(must_occur or {}), **(informative or {})}
     counted = {name: rule for name, rule in counted.items() if rule is not None}
     checks = [
@@ -182,11 +191,13 @@ def refuse(
         gates.duplicate_rows("duplicate grain", staged.filter(scope) if scope is not None else staged, grain),
         *others,
     ]
-    at_fault = reduce(or_, rules.values())
-    return gates.enforce(
-        gates.combine(checks), gates.sample(staged.filter(at_fault), sampled),
-        tuple(must_occur or ()), tuple(informative or ()),
-    )
+    offenders = gates.sample(staged.filter(reduce(or_, rules.values())), sampled)
+    if members is not None:
+        checks.append(gates.count_violations(members, member_rules))
+        at_fault = members.filter(reduce(or_, member_rules.values()))
+        codes = [column for column in sampled if column in members.columns]
+        offenders = gates.sample(at_fault, codes).unionByName(offenders, allowMissingColumns=True)
+    return gates.enforce(gates.combine(checks), offenders, tuple(must_occur or ()), tuple(informative or ()))
 
 
 # energy prices ----------------------------------------------------------------
@@ -211,9 +222,31 @@ def price_observations(wide: DataFrame, parts: int | None = None) -> DataFrame:
     })
 
 
-def conform_prices(observations: DataFrame, codelists: DataFrame) -> DataFrame:
-    """Labels, orders and derived attributes for observations of all price files."""
-    rows = add_labels(observations, codelists, {
+def all_price_observations(spark: SparkSession, sources: list[PriceSource]) -> DataFrame:
+    """Observations of all price files, each under the constants of its file."""
+    return union_sources([
+        (
+            price_observations(*price_cells(spark, source)),
+            {
+                "dataset": source.dataset, "commodity_type": source.commodity,
+                "consumer_type": source.consumer, "expected_siec": source.siec,
+            },
+        )
+        for source in sources
+    ])
+
+
+def price_codelists(spark: SparkSession, sources: list[PriceSource]) -> DataFrame:
+    return union_sources([(read_codelists(spark, s.codelists), {"dataset": s.dataset}) for s in sources])
+
+
+def conform_prices(codes: DataFrame, codelists: DataFrame) -> DataFrame:
+    """Labels, orders and derived attributes of price codes.
+
+    Meant for the distinct code combinations: labels belong to dimension members,
+    so observations never carry them.
+    """
+    rows = add_labels(codes, codelists, {
         "SIEC": ("siec_code", "siec_label"),
         "NRG_CONS": ("band_code", "band_label"),
         "TAX": ("tax_code", "tax_label"),
@@ -227,10 +260,17 @@ def conform_prices(observations: DataFrame, codelists: DataFrame) -> DataFrame:
     })
 
 
-def price_rules() -> dict:
+def price_rules() -> dict[str, Column]:
     return {
         "key arity": F.col("malformed_key"),
         "unexpected frequency": ~F.col("freq").eqNullSafe("S"),
+        "value out of range": F.col("out_of_range"),
+        "unknown geography": F.col("geo_sk").isNull(),
+    }
+
+
+def price_member_rules() -> dict[str, Column]:
+    return {
         "unexpected siec": ~F.col("siec_code").eqNullSafe(F.col("expected_siec")),
         "siec without label": F.col("siec_label").isNull(),
         "band without label": F.col("band_label").isNull(),
@@ -238,8 +278,6 @@ def price_rules() -> dict:
         "tax without order": F.col("tax_inclusion_order").isNull(),
         "unit without label": F.col("energy_unit_label").isNull(),
         "currency without label": F.col("currency_label").isNull(),
-        "value out of range": F.col("out_of_range"),
-        "unknown geography": F.col("geo_sk").isNull(),
         "unknown semester": ~F.col("known_period"),
     }
 
@@ -254,29 +292,21 @@ PRICE_DIMENSIONS = [
 def load_prices(wh: Warehouse, sources: list[PriceSource]) -> dict[str, int]:
     """Full refresh from all price files; returns the counts of all checks, among
     them the observations per dataset."""
-    parts, labels, checks = [], [], []
-    for source in sources:
-        parts.append((price_observations(*price_cells(wh.spark, source)), {
-            "dataset": source.dataset, "commodity_type": source.commodity,
-            "consumer_type": source.consumer, "expected_siec": source.siec,
-        }))
-        labels.append((read_codelists(wh.spark, source.codelists), {"dataset": source.dataset}))
-    codelists = stage(wh, "price_codelists", union_sources(labels))
-    checks += [
-        codelist_check(codelists.filter(F.col("dataset") == s.dataset), PRICE_CODELISTS, s.dataset)
-        for s in sources
-    ]
-    rows = conform_prices(union_sources(parts), codelists)
-    staged = stage(wh, "prices", add_period(add_geo(rows, wh), wh.table("dt_semester"), "semester_sk"))
-    # All dimension members in one pass; there are only as many as code combinations.
-    members = stage(wh, "price_members", extract_members(staged, [*BAND_COLUMNS, *TAX_COLUMNS, *UNIT_COLUMNS]))
-    checks += [
-        conflicts(name, extract_members(members, columns), key)
-        for name, columns, key, _ in PRICE_DIMENSIONS
-    ]
+    codelists = stage(wh, "price_codelists", price_codelists(wh.spark, sources))
+    staged = stage(wh, "prices", add_geo(all_price_observations(wh.spark, sources), wh))
+    codes = conform_prices(extract_members(staged, [*PRICE_CODES, "semester_sk"]), codelists)
+    members = stage(wh, "price_members", add_period(codes, wh.table("dt_semester"), "semester_sk"))
     counts = refuse(
-        staged, price_rules(), PRICE_GRAIN, ["dataset", "geo_code", "band_code", "tax_code", "semester_sk"],
-        checks, must_occur={f"observations in {s.dataset}": F.col("dataset") == s.dataset for s in sources},
+        staged, price_rules(), PRICE_GRAIN, ["dataset", "band_code", "tax_code", "semester_sk", "geo_code"],
+        members, price_member_rules(),
+        [
+            *(conflicts(name, extract_members(members, columns), key) for name, columns, key, _ in PRICE_DIMENSIONS),
+            *(
+                codelist_check(codelists.filter(F.col("dataset") == s.dataset), PRICE_CODELISTS, s.dataset)
+                for s in sources
+            ),
+        ],
+        must_occur={f"observations in {s.dataset}": F.col("dataset") == s.dataset for s in sources},
     )
 
     paths, facts = {}, staged
@@ -310,29 +340,32 @@ def dependency_observations(wide: DataFrame, parts: int) -> DataFrame:
     )
 
 
-def dependency_rules() -> dict:
-    return {
-        "key arity": F.col("malformed_key"),
-        "unexpected frequency": ~F.col("freq").eqNullSafe("A"),
-        "unexpected unit": ~F.col("unit").eqNullSafe("PC"),
-        "siec without label": F.col("siec_label").isNull(),
-        "value out of range": F.col("out_of_range"),
-        "unknown geography": F.col("geo_sk").isNull(),
-        "unknown year": ~F.col("known_period"),
-    }
+def conform_products(codes: DataFrame, codelists: DataFrame) -> DataFrame:
+    rows = add_labels(codes, codelists, {"SIEC": ("siec_code", "siec_label")})
+    rows = add_positions(rows, codelists, "SIEC", "siec_code", "product_order", 1)
+    return rows.withColumn("is_total", F.col("siec_code") == "TOTAL")
 
 
 def load_dependency(wh: Warehouse, path: str, codelists_path: str) -> dict[str, int]:
     wide = split_key(read_wide(wh.spark, path), set(DEPENDENCY_KEYS))
     codelists = stage(wh, "dependency_codelists", read_codelists(wh.spark, codelists_path))
     observations = dependency_observations(wide, wide.columns.index("key_parts"))
-    rows = add_labels(observations, codelists, {"SIEC": ("siec_code", "siec_label")})
-    rows = add_positions(rows, codelists, "SIEC", "siec_code", "product_order", 1)
-    rows = rows.withColumn("is_total", F.col("siec_code") == "TOTAL")
-    staged = stage(wh, "dependency", add_period(add_geo(rows, wh), wh.table("dt_year"), "year_sk"))
-    products = stage(wh, "products", extract_members(staged, PRODUCT_COLUMNS))
+    staged = stage(wh, "dependency", add_geo(observations, wh))
+    codes = conform_products(extract_members(staged, ["siec_code", "year_sk"]), codelists)
+    members = stage(wh, "dependency_members", add_period(codes, wh.table("dt_year"), "year_sk"))
+    products = extract_members(members, PRODUCT_COLUMNS)
     counts = refuse(
-        staged, dependency_rules(), DEPENDENCY_GRAIN, ["siec_code", "geo_code", "year_sk"],
+        staged,
+        {
+            "key arity": F.col("malformed_key"),
+            "unexpected frequency": ~F.col("freq").eqNullSafe("A"),
+            "unexpected unit": ~F.col("unit").eqNullSafe("PC"),
+            "value out of range": F.col("out_of_range"),
+            "unknown geography": F.col("geo_sk").isNull(),
+        },
+        DEPENDENCY_GRAIN, ["siec_code", "year_sk", "geo_code"],
+        members,
+        {"siec without label": F.col("siec_label").isNull(), "unknown year": ~F.col("known_period")},
         [
             codelist_check(codelists, DEPENDENCY_CODELISTS, "import dependency"),
             conflicts("dt_energy_product", products, ["siec_code"]),
@@ -340,8 +373,8 @@ def load_dependency(wh: Warehouse, path: str, codelists_path: str) -> dict[str,
         must_occur={"observations": F.lit(True)},
     )
     paths: dict[str, str] = {}
-    members = write_members(wh, "dt_energy_product", products, ["siec_code"], "product_sk", paths)
-    facts = resolve(staged, members, ["siec_code"], "product_sk")
+    written = write_members(wh, "dt_energy_product", products, ["siec_code"], "product_sk", paths)
+    facts = resolve(staged, written, ["siec_code"], "product_sk")
     paths["fact_import_dependency"] = wh.write("fact_import_dependency", facts)
     wh.publish(paths)
     return counts
@@ -440,7 +473,7 @@ def load_index(wh: Warehouse, path: str, scope_start: str = fixed.INDEX_SCOPE_ST
     geo = wh.table("dim_geo_entity")
     counts = refuse(
         staged, rules, ["month_sk"], ["month_sk", *index_sheet.MEASURES],
-        [gates.count_violations(geo, {"global member": is_global})], scope=in_scope,
+        others=[gates.count_violations(geo, {"global member": is_global})], scope=in_scope,
         must_occur={"rows in scope": in_scope, "global member": None},
         informative={"excluded empty": ~index_sheet.has_measure()},
     )

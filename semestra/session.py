@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE decides join strategies from measured sizes and splits skewed join
 # partitions; both matter more here than any fixed partition count.
@@ -50,3 +50,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/semestra/{label}-{uuid.uuid4().hex}"
+
+
+def materialise(frame: DataFrame, label: str) -> DataFrame:
+    """Write a frame that is used several times to the shared folder and read it back."""
+    path = new_folder(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

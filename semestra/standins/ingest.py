@@ -8,10 +8,10 @@ from semestra.functions.text import period_year
 from semestra.operators.dimensions import assign_keys, extract_members, resolve
 from semestra.plans import loading
 from semestra.reference_data import METHOD_CODES, TAX_ORDER, literal_frame
-from semestra.session import new_folder
+from semestra.session import materialise
 from semestra.sources import index_sheet
 from semestra.sources.codelists import read_codelists
-from semestra.sources.wide_tsv import missing_marker, read_wide, union_sources
+from semestra.sources.wide_tsv import missing_marker, read_wide
 from semestra.standins.common import doubles
 from semestra.standins.landing import (
     CLEAN_FLOW, DIRTY_FLOW, DIRTY_GEO, DIRTY_UNIT, MONTHS, SEMESTERS, landed, price_sources,
@@ -26,22 +26,14 @@ def source(spark: SparkSession, sf_dir: str, dataset: str):
 
 
 def all_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observations of the four price files under their constants."""
-    return union_sources([
-        (
-            loading.price_observations(loading.price_cells(spark, s)[0]),
-            {"dataset": s.dataset, "commodity_type": s.commodity, "consumer_type": s.consumer,
-             "expected_siec": s.siec},
-        )
-        for s in price_sources(spark, sf_dir)
-    ])
+    return loading.all_price_observations(spark, price_sources(spark, sf_dir))
 
 
-def conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codelists = union_sources([
-        (read_codelists(spark, s.codelists), {"dataset": s.dataset}) for s in price_sources(spark, sf_dir)
-    ])
-    return loading.conform_prices(all_prices(spark, sf_dir), codelists)
+def priced_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code combinations of the price files with their attributes, and ``n``
+    observations each; counting comes before the label joins."""
+    counted = all_prices(spark, sf_dir).groupBy(*loading.PRICE_CODES).agg(F.count("*").alias("n"))
+    return loading.conform_prices(counted, loading.price_codelists(spark, price_sources(spark, sf_dir)))
 
 
 def _column(period: str) -> str:
@@ -88,16 +80,16 @@ def multi_source_union(spark, sf_dir):
 
 def tax_order(spark, sf_dir):
     return doubles(
-        conformed(spark, sf_dir).groupBy("tax_code", "tax_label", "tax_inclusion_order").agg(F.count("*").alias("n"))
+        priced_codes(spark, sf_dir).groupBy("tax_code", "tax_label", "tax_inclusion_order").agg(F.sum("n").alias("n"))
     )
 
 
 def derived_flags(spark, sf_dir):
-    return conformed(spark, sf_dir).groupBy("band_code", "is_total_band", "price_basis").agg(F.count("*").alias("n"))
+    return priced_codes(spark, sf_dir).groupBy("band_code", "is_total_band", "price_basis").agg(F.sum("n").alias("n"))
 
 
 def dim_extraction(spark, sf_dir):
-    return doubles(extract_members(conformed(spark, sf_dir), loading.BAND_COLUMNS))
+    return doubles(extract_members(priced_codes(spark, sf_dir), loading.BAND_COLUMNS))
 
 
 def codelist_labels(spark, sf_dir):
@@ -113,11 +105,11 @@ def codelist_labels(spark, sf_dir):
 
 def fact_key_resolution(spark, sf_dir):
     """Facts of all price files with every natural key resolved."""
-    rows, path = conformed(spark, sf_dir), new_folder(spark, "conformed")
-    rows.write.parquet(path)
-    staged = spark.read.schema(rows.schema).parquet(path)
-    combinations = extract_members(
-        staged, [*loading.BAND_COLUMNS, *loading.TAX_COLUMNS, *loading.UNIT_COLUMNS]
+    sources = price_sources(spark, sf_dir)
+    staged = materialise(loading.all_price_observations(spark, sources), "observations")
+    codes = extract_members(staged, loading.PRICE_CODES)
+    combinations = materialise(
+        loading.conform_prices(codes, loading.price_codelists(spark, sources)), "members"
     )
     geo = raw(spark, sf_dir, "supplier").select(
         F.concat(F.lit("S"), "s_suppkey").alias("geo_code"), (F.col("s_suppkey") + 1).cast("int").alias("geo_sk")
