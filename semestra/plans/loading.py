@@ -216,7 +216,7 @@ def price_observations(wide: DataFrame, parts: int | None = None) -> DataFrame:
     cells = unpivot_periods(wide, [*PRICE_KEYS, "key_parts"], "semester", "semester_sk")
     malformed = wrong_arity(parts) if parts else F.lit(False)
     rows = clean_observations(cells, "price_val", "decimal(10,4)", keep=malformed)
-    return rows.withColumn("malformed_key", malformed).drop("key_parts").withColumnsRenamed({
+    return rows.withColumn("malformed_key", malformed).drop("key_parts", "raw_val").withColumnsRenamed({
         "geo": "geo_code", "siec": "siec_code", "nrg_cons": "band_code", "tax": "tax_code",
         "unit": "energy_unit_code", "currency": "currency_code",
     })
@@ -334,7 +334,7 @@ def dependency_observations(wide: DataFrame, parts: int) -> DataFrame:
     cells = unpivot_periods(wide, [*DEPENDENCY_KEYS, "key_parts"], "year", "year_sk")
     return (
         clean_observations(cells, "dep_rate_val", "decimal(12,4)", keep=wrong_arity(parts))
-        .withColumn("malformed_key", wrong_arity(parts)).drop("key_parts")
+        .withColumn("malformed_key", wrong_arity(parts)).drop("key_parts", "raw_val")
         .withColumnsRenamed({"geo": "geo_code", "siec": "siec_code"})
         .withColumn("year_sk", F.col("year_sk").cast("int"))
     )
@@ -388,7 +388,7 @@ def stock_observations(spark: SparkSession, path: str) -> DataFrame:
     cells = unpivot_periods(wide, [*STOCK_KEYS, "key_parts"], "month", "month_sk")
     malformed = wrong_arity(len(STOCK_KEYS))
     rows = clean_observations(cells, "indicator_value", "decimal(14,4)", keep=malformed)
-    return rows.withColumn("malformed_key", malformed).drop("key_parts").withColumnsRenamed(
+    return rows.withColumn("malformed_key", malformed).drop("key_parts", "raw_val").withColumnsRenamed(
         {"stk_flow": "indicator_code", "unit": "unit_code", "geo": "geo_code"}
     )
 
