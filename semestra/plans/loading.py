@@ -183,12 +183,14 @@ def refuse(
     Row rules and counters take one pass over ``staged``. Rules on codes look at
     ``members``, the few combinations of codes that occur. ``scope`` narrows the
     grain check. ``others`` are further reports; a counter of None is in one of them.
+    Exact duplicates are looked for only where hashes of the grain collide.
     """
+    scoped = staged.filter(scope) if scope is not None else staged
     counted = {**rules, **(must_occur or {}), **(informative or {})}
     counted = {name: rule for name, rule in counted.items() if rule is not None}
     checks = [
         gates.count_violations(staged, counted),
-        gates.duplicate_rows("duplicate grain", staged.filter(scope) if scope is not None else staged, grain),
+        gates.suspected_duplicates("suspected duplicates", scoped, grain),
         *others,
     ]
     offenders = gates.sample(staged.filter(reduce(or_, rules.values())), sampled)
@@ -197,7 +199,14 @@ def refuse(
         at_fault = members.filter(reduce(or_, member_rules.values()))
         codes = [column for column in sampled if column in members.columns]
         offenders = gates.sample(at_fault, codes).unionByName(offenders, allowMissingColumns=True)
-    return gates.enforce(gates.combine(checks), offenders, tuple(must_occur or ()), tuple(informative or ()))
+    counts = gates.enforce(
+        gates.combine(checks), offenders, tuple(must_occur or ()),
+        (*(informative or ()), "suspected duplicates"),
+    )
+    if counts.pop("suspected duplicates"):
+        exact = gates.duplicate_rows("duplicate grain", scoped, grain)
+        gates.enforce(exact, gates.duplicates(scoped, grain))
+    return counts
 
 
 # energy prices ----------------------------------------------------------------

@@ -73,6 +73,8 @@ def test_gates(spark, rows):
     assert rows(checks) == [("big", 1), ("no v", 1)]
     assert gates.duplicate_rows("d", frame, ["k"]).first().issue_count == 2
     assert gates.duplicate_groups("d", frame, ["k"]).first().issue_count == 1
+    assert gates.suspected_duplicates("d", frame, ["k"]).first().issue_count == 2
+    assert gates.suspected_duplicates("d", frame.filter("k > 1"), ["k", "v"]).first().issue_count == 0
     members = literal_frame(spark, [(1,), (2,)], "k int")
     assert rows(gates.missing_members(frame, members, ["k"])) == [(3,)]
     with pytest.raises(gates.GateFailure, match="big: 1"):
