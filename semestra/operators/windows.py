@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from semestra.functions.numeric import exact_mean, half_up, percent_change
+from semestra.functions.numeric import half_up, percent_change
 
 
 # Every distinct value is compared with each cut, so ranges stay this few.

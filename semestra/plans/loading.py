@@ -24,7 +24,6 @@ from semestra.sources import index_sheet
 from semestra.sources.codelists import labels_of, read_codelists
 from semestra.sources.warehouse import Warehouse
 from semestra.sources.wide_tsv import (
-    LayoutError,
     clean_observations,
     read_wide,
     split_key,

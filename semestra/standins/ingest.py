@@ -199,6 +199,8 @@ def sql_numbered(key: str, order: str) -> str:
     return f"row_number() OVER (ORDER BY substr(md5({key}), 1, 2), {order})"
 
 
+_BAND_TEXT = "commodity_type || chr(31) || consumer_type || chr(31) || band"
+
 STOCK_CELLS = f"""
 stock AS (
   SELECT {CLEAN_FLOW} AS indicator_code, l_suppkey, strftime(l_shipdate, '%Y-%m') AS month_sk,
@@ -259,7 +261,7 @@ ORACLES = {
         FROM p LEFT JOIN l USING (codelist, p_size)""",
     "fact_key_resolution": f"""WITH {CELLS},
         b AS (SELECT commodity_type, consumer_type, band,
-                     {sql_numbered("commodity_type || chr(31) || consumer_type || chr(31) || band", "commodity_type, consumer_type, band")} AS bsk
+                     {sql_numbered(_BAND_TEXT, "commodity_type, consumer_type, band")} AS bsk
               FROM (SELECT DISTINCT commodity_type, consumer_type, band FROM prices)),
         t AS (SELECT tax, {sql_numbered("tax", "tax")} AS tsk FROM (SELECT DISTINCT tax FROM prices))
         SELECT semester AS semester_sk, CAST(l_suppkey + 1 AS INT) AS geo_sk, CAST(bsk AS INT) AS consumption_band_sk,

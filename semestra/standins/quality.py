@@ -327,7 +327,8 @@ ORACLES = {
         UNION ALL SELECT 'Oil stocks orphan dimensions', count(*) FROM px_stock WHERE geo_sk IN {_BAD}
         UNION ALL SELECT 'EU membership bridge orphan dimensions', 0""",
     "verify_sanity": f"""WITH {PRICE}, n AS (SELECT * FROM px_price WHERE price_val < 20000)
-        SELECT 'Unexpected negative energy prices' AS check_name, count(*) AS issue_count FROM n WHERE band_code NOT IN ('B1', 'B2')
+        SELECT 'Unexpected negative energy prices' AS check_name, count(*) AS issue_count
+        FROM n WHERE band_code NOT IN ('B1', 'B2')
         UNION ALL SELECT 'Negative gas prices', count(*) FROM n WHERE commodity_type = 'GAS'
         UNION ALL SELECT 'Negative oil stock values', 0
         UNION ALL SELECT 'Negative GPR values', 0""",

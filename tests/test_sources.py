@@ -1,6 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
-from sources import CODELISTS, PRICE_HEADER, PRICE_LINES, index_file, price_source, write_codelists, write_tsv
+from sources import PRICE_HEADER, index_file, price_source, write_tsv
 
 from semestra.plans import loading
 from semestra.session import new_folder
