@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from semestra.llm import lines, merges, mixing, ordinal, simhash
+from semestra.llm import likelihood, lines, merges, mixing, ordinal, rans, secrets, simhash, syncmers
+from semestra.llm.storage import new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -35,6 +37,29 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good documents by their labels are trusted, those of low quality are not."""
+    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.min("quality").alias("quality"), F.max("toxic").alias("toxic")
+    )
+    docs = _table(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id", "left").select(
+        "doc_id", "text", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("trusted"),
+        (F.col("quality") == 0).alias("untrusted"),
+    )
+    return likelihood.judged(docs)
+
+
+def op4_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids written in coded blocks and read back."""
+    path = new_path(spark, "rans")
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    rans.write(_table(spark, sf_dir).select("doc_id", "text"), path, definition, end=2)
+    return rans.read(
+        spark, path, "n_tokens bigint, ids_crc32 bigint", lambda ids: (len(ids), rans.checksum(ids))
+    )
+
+
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir).select("doc_id", "text")
     kept = lines.deduplicated(docs, min_docs=corpus_pipeline.COMMON_LINE, min_chars=1)
@@ -44,6 +69,13 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scanned(_table(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
 def op7_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir).select("doc_id", "text")
     model = ordinal.train(docs, ordinal.ratings(_table(spark, sf_dir, "labels")))
@@ -86,12 +118,26 @@ def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = syncmers.edited(_table(spark, sf_dir).select("doc_id", "text"))
+    return out.select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
+        syncmers.fingerprint(F.col("sketch")).alias("fingerprint"),
+        syncmers.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
+        "near_edited", "near_next",
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
+    "op3_likelihood": op3_likelihood,
+    "op4_rans": op4_rans,
     "op5_lines": op5_lines,
+    "op6_secrets": op6_secrets,
     "op7_ordinal": op7_ordinal,
     "op8_merge_dropout": op8_merge_dropout,
+    "op9_syncmers": op9_syncmers,
     "pipeline": corpus_pipeline.run,
 }
 _SPACES = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
