@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from semestra.llm import likelihood, lines, merges, mixing, ordinal, rans, secrets, simhash, syncmers
+from semestra.llm import likelihood, lines, merges, mixing, ordinal, rans, secrets, simhash, suffixes, syncmers
 from semestra.llm.storage import new_path
 
 
@@ -128,6 +128,14 @@ def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.without_repeats(_table(spark, sf_dir).select("doc_id", "text"))
+    return out.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
@@ -138,6 +146,7 @@ QUERIES = {
     "op7_ordinal": op7_ordinal,
     "op8_merge_dropout": op8_merge_dropout,
     "op9_syncmers": op9_syncmers,
+    "op10_suffixes": op10_suffixes,
     "pipeline": corpus_pipeline.run,
 }
 _SPACES = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -34,6 +35,16 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps now.
+
+    Spark deletes them when the driver's garbage is collected; a driver with little to do
+    may keep them for the whole of a long job.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def dropped(frame: DataFrame) -> None:
     """Delete the files behind a frame from ``stored`` that nothing reads any more."""
     spark = frame.sparkSession
