@@ -62,8 +62,8 @@ def fit(sample: ft.Sample, domains: int, penalty: float = 1e-4, least_z: float =
     return DomainModel(buckets, x[: k * domains].reshape(domains, k).T.copy(), x[k * domains :])
 
 
-def posteriors(docs: DataFrame, model: DomainModel, text: str = "text") -> DataFrame:
-    """All columns of ``docs``, ``__tokens`` (words) and ``__shares``, the domains' posteriors.
+def posteriors(docs: DataFrame, model: DomainModel, keep: list[str], text: str = "text") -> DataFrame:
+    """The columns ``keep`` of ``docs``, ``__tokens`` (words) and ``__shares``, the domains' posteriors.
 
     Shares are whole steps of 1/``STEPS`` that add up to one. Texts without words, null
     ones among them, have the shares of the offsets alone and no tokens.
@@ -71,22 +71,22 @@ def posteriors(docs: DataFrame, model: DomainModel, text: str = "text") -> DataF
     places = ft.bucket_places(model.buckets)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            scores, words = ft.row_scores(*text_bytes(batch.column("text")), places, model.weights)
+        for batch in pieces(batches, "__text"):
+            scores, words = ft.row_scores(*text_bytes(batch.column("__text")), places, model.weights)
             chance = softmax(scores + model.offsets) * STEPS
             whole = np.floor(chance)
             # The steps that are left go to the largest remainders
             order = np.argsort(np.argsort(whole - chance, axis=1, kind="stable"), axis=1)
             whole += order < (STEPS - whole.sum(1, keepdims=True))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(words.astype(np.int64)), pa.array(list(whole / STEPS), pa.list_(pa.float64()))],
-                [*batch.schema.names, "new0", "new1"],
+                [*batch.columns[:-1], pa.array(words.astype(np.int64)), pa.array(list(whole / STEPS), pa.list_(pa.float64()))],
+                [*batch.schema.names[:-1], "new0", "new1"],
             )
 
-    names = [f"c{i}" if n != text else "text" for i, n in enumerate(docs.columns)]
-    schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema))
-    out = docs.toDF(*names).mapInArrow(run, f"{schema}, new0 bigint, new1 array<double>")
-    return out.toDF(*docs.columns, "__tokens", "__shares")
+    names = [f"c{i}" for i in range(len(keep))]
+    rows = docs.select(*[F.col(f"`{n}`").alias(c) for n, c in zip(keep, names)], F.col(f"`{text}`").alias("__text"))
+    schema = "".join(f"{c} {docs.schema[n].dataType.simpleString()}, " for n, c in zip(keep, names))
+    return rows.mapInArrow(run, f"{schema}new0 bigint, new1 array<double>").toDF(*keep, "__tokens", "__shares")
 
 
 class Rates(NamedTuple):
@@ -177,11 +177,8 @@ def mixed(
         np.zeros(0, np.int64), np.zeros((0, len(names))), np.zeros(len(names))
     )
     chance = F.pmod(F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`"), F.lit("copies")), F.lit(1 << 31))
-    kept = [F.col(f"`{n}`") for n in (docs.columns if keep is None else keep)]
-    shared = stored(
-        posteriors(docs, model, text).select(*kept, "__tokens", "__shares", (chance / float(1 << 31)).alias("__chance")),
-        "posteriors",
-    )
+    kept = [*(docs.columns if keep is None else keep), "__chance"]
+    shared = stored(posteriors(docs.withColumn("__chance", chance / float(1 << 31)), model, kept, text), "posteriors")
     whole = sum(targets.values())
     rates = fitted_rates(shared, [t / whole for t in targets.values()])
     rate = F.col("__rate")
