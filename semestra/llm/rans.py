@@ -8,7 +8,7 @@ alone, and from each of its checkpoints on; checksums cover its ids.
 File format: a folder of Parquet files, uncompressed, one row for each block.
 
 =============  ==============================================================
-``part``       rank of the block's range of documents
+``part``       rank of the block's range of keys
 ``block``      place of the block in its range; (part, block) is the order
 ``start``      ids of all documents in earlier blocks
 ``n_ids``      ids in the block, end marks included
@@ -37,8 +37,9 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
+from semestra.llm.ordering import key_blocks
 from semestra.llm.storage import dropped, stored
-from semestra.llm.text import pieces
+from semestra.llm.text import pieces, raw_texts
 
 #: The frequencies of all ids add up to this power of two.
 TABLE_BITS = 20
@@ -208,22 +209,21 @@ def tokens_of(definition: str) -> WordTokens:
     return WordTokens(definition)
 
 
-def token_ids(docs: DataFrame, definition: str, end: int, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key`` and ``ids`` (binary) of every row: the ids of the whole text and the end id.
-
-    ``definition`` is the content of a tokenizer file; it travels with the tasks.
+def token_ids(rows: DataFrame, definition: str, end: int) -> DataFrame:
+    """``part, key, ids`` (binary) of rows ``part, key, text``: the ids of the whole text and
+    the end id. ``definition`` is the content of a tokenizer file; it travels with the tasks.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(definition)
+    shared = rows.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokens_of(shared.value)
         for batch in pieces(batches):
-            texts = batch.column("text").fill_null("").cast(pa.binary()).to_pylist()
-            ids = coder.encode(texts, end)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(ids, pa.binary())], ["key", "ids"])
+            ids = coder.encode(raw_texts(batch.column("text")), end)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("part"), batch.column("key"), pa.array(ids, pa.binary())], ["part", "key", "ids"]
+            )
 
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, "key bigint, ids binary")
+    return rows.mapInArrow(run, "part int, key bigint, ids binary")
 
 
 # --- Blocks -------------------------------------------------------------------------------
@@ -240,7 +240,7 @@ def _raw_blocks(size: int, width: int):
     """Whole documents in order, in blocks that are closed at ``size`` ids."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, block, before = 0, 0, 0
+        part, block, before = None, 0, 0
         keys: list = []
         ids: list[bytes] = []
         held = 0
@@ -252,7 +252,12 @@ def _raw_blocks(size: int, width: int):
             return pa.RecordBatch.from_arrays(list(map(pa.array, row, kinds)), _names(_RAW))
 
         for batch in batches:
-            for part, key, data in zip(*(batch.column(c).to_pylist() for c in ("part", "key", "ids"))):
+            for here, key, data in zip(*(batch.column(c).to_pylist() for c in ("part", "key", "ids"))):
+                if here != part:
+                    if keys:
+                        yield closed()
+                    part, block, before = here, 0, 0
+                    keys, ids, held = [], [], 0
                 keys.append(key)
                 ids.append(data)
                 held += len(data) // width
@@ -314,15 +319,17 @@ def write(
 
     Every row counts, repeated ones too; equal keys stand in the order of their ids; a
     null key comes first; null and empty texts have the end id alone. An empty table
-    writes an empty file. ``key`` is an integer. Other columns are not looked at. Ranges of
-    keys are sorted and packed side by side; only the number of ids of each range and of
+    writes an empty file. ``key`` is an integer. Other columns are not looked at. Blocks of
+    keys are sorted and packed side by side; only the number of ids of each block and of
     each token come to the driver. A text that is longer than a block gets one of its own.
     """
-    ids, width = token_ids(docs, definition, end, text, key), id_bytes(definition)
-    ordered = (
-        ids.repartitionByRange("key", "ids").sortWithinPartitions("key", "ids")
-        .withColumn("part", F.spark_partition_id())
+    width = id_bytes(definition)
+    number = F.col(f"`{key}`").cast("long")
+    block_of = key_blocks(docs, F.coalesce(number, F.lit(-(1 << 63))))
+    ids = token_ids(
+        docs.select(block_of.cast("int").alias("part"), number.alias("key"), F.col(f"`{text}`").alias("text")), definition, end
     )
+    ordered = ids.repartition("part").sortWithinPartitions("part", "key", "ids")
     raw = stored(ordered.mapInArrow(_raw_blocks(block, width), _RAW), "blocks")
     sums = dict(map(tuple, raw.groupBy("part").agg(F.sum("n_ids")).collect()))
     starts, total = {}, 0

@@ -11,6 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from semestra.llm.ordering import key_blocks
+
 #: Words of an anchor, and of the inner substrings its minimum is taken over.
 WORDS, INNER = 5, 2
 #: Anchors of least hash that make up a fingerprint.
@@ -117,14 +119,7 @@ def with_next(
     """
     spark = rows.sparkSession
     order = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
-    blocks = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shares = [n / blocks for n in range(1, blocks)]
-    cuts = rows.agg(F.percentile_approx(order, shares, 20 * blocks)).first()[0] or []
-    block = F.lit(0)
-    if cuts:
-        bounds = F.array(*map(F.lit, sorted(set(cuts))))
-        block = F.size(F.filter(bounds, lambda c: c <= F.col("__order")))
-    dealt = rows.withColumn("__order", order).withColumn("__block", block)
+    dealt = rows.withColumn("__order", order).withColumn("__block", key_blocks(rows, order))
     firsts = sorted(map(tuple, dealt.groupBy("__block").agg(F.min("__order")).collect()))
     if not firsts:
         return prepare(rows).select("*", *[F.col(c).alias(f"next_{c}") for c in carried])
