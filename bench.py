@@ -13,6 +13,7 @@ import time
 import __spark_entry__ as contract
 from semestra.session import build_session
 from semestra.standins import landing
+from semestra.standins.stored import stored_warehouse
 
 HEADLINE = [
     "olap_base", "olap_rollup", "olap_drilldown", "olap_slice", "olap_dice", "drill_across",
@@ -41,6 +42,7 @@ def main() -> None:
 
     start = time.perf_counter()
     landing.inputs(spark, sf_dir)
+    stored_warehouse(spark, sf_dir)
     for name in ("stocks_dirty", "index_dirty", "part_codelists"):
         landing.landed(spark, sf_dir, name)
     setup = time.perf_counter() - start

@@ -150,9 +150,9 @@ def price_dice(
 def price_and_dependency(
     wh, ctx: PriceContext = HOUSEHOLD_ELECTRICITY,
     countries: tuple[str, ...] = ("Italy", "Germany", "France"),
-    years: tuple[int, int] = (2019, 2024), product: str = "TOTAL",
+    years: tuple[int, int] = (2019, 2024), product: str = "TOTAL", how: str = "inner",
 ) -> DataFrame:
-    """Drill-across by country name and year."""
+    """Drill-across by country name and year; ``how="left"`` keeps prices without a rate."""
     geo = _geo(wh, countries=countries)
     keys = ["country", "year"]
     prices = summarise(
@@ -163,7 +163,7 @@ def price_and_dependency(
         _dependency(wh, geo, product, years), keys,
         import_dependency_pct=half_up(exact_mean(F.col("dep_rate_val")), 2),
     )
-    return drill_across(prices, rates, keys).rows.orderBy(*keys)
+    return drill_across(prices, rates, keys, how).rows.orderBy(*keys)
 
 
 def index_price_correlation(

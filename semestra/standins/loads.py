@@ -17,6 +17,7 @@ from semestra.standins import landing
 from semestra.standins.common import doubles
 from semestra.standins.ingest import CELLS, STOCK_CELLS, sql_numbered
 from semestra.standins.olap import GAS_TAXED, ORACLES as OLAP_ORACLES
+from semestra.standins.stored import stored_warehouse
 from semestra.standins.tables import GLOBAL_SK, StandInWarehouse, money, raw
 
 
@@ -124,7 +125,7 @@ def insert_if_absent(spark, sf_dir):
 def csv_sink_roundtrip(spark, sf_dir):
     """A query result written as CSV with NULL spelled out, and read back."""
     years = (1997, 2000)
-    wh = StandInWarehouse(spark, sf_dir, GAS_TAXED, years)
+    wh = stored_warehouse(spark, sf_dir)
     result = doubles(analysis.gas_price_change(wh, GAS_TAXED, years))
     path = new_folder(spark, "csv")
     write_csv(result, path, null_text="NULL")
@@ -134,7 +135,7 @@ def csv_sink_roundtrip(spark, sf_dir):
 def fact_full_refresh(spark, sf_dir):
     """A stock fact loaded from part of its source, then refreshed from all of it."""
     wh = Warehouse(spark, new_folder(spark, "refresh"))
-    wh.replace({"fact_oil_stocks": StandInWarehouse(spark, sf_dir, years=(1995, 1997)).stocks()})
+    wh.replace({"fact_oil_stocks": StandInWarehouse(spark, sf_dir).stocks().filter("period_year <= 1997")})
     wh.replace({"fact_oil_stocks": StandInWarehouse(spark, sf_dir).stocks()})
     stored = Warehouse(spark, wh.root).table("fact_oil_stocks")
     return doubles(stored.select(
@@ -156,7 +157,7 @@ def fact_slice_refresh(spark, sf_dir):
     wh = Warehouse(spark, new_folder(spark, "slice"))
     states = F.expr(f"CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE {GLOBAL_SK} END")
     wh.replace({"fact_gpr": _index_of(spark, sf_dir, F.lit(True), states)})
-    wh.replace_slice("fact_gpr", _index_of(spark, sf_dir, F.lit(True), F.lit(GLOBAL_SK)))
+    wh.replace_slice("fact_gpr", _index_of(spark, sf_dir, F.lit(True), F.lit(GLOBAL_SK)), [GLOBAL_SK])
     stored = Warehouse(spark, wh.root).table("fact_gpr")
     return doubles(stored.select("month_sk", "geo_sk", "gpr_val", "gprt_val"))
 

@@ -10,7 +10,8 @@ from semestra.operators.selection import extremes, sign_class, zeros_and_highest
 from semestra.operators.windows import global_rank
 from semestra.plans import analysis
 from semestra.standins.common import doubles, sql_mean, sql_rounded, sql_total
-from semestra.standins.tables import StandInWarehouse, money, raw
+from semestra.standins.stored import LATECOMER, LATECOMER_SK, LATECOMER_YEARS, stored_warehouse
+from semestra.standins.tables import money, raw
 
 BASE = PriceContext("ELECTRICITY", band="B2")
 ALL_BANDS = PriceContext("ELECTRICITY")
@@ -25,66 +26,62 @@ SERIES = ("N3", "N7", "N12", "N20")
 
 
 def olap_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return doubles(analysis.price_by_semester(StandInWarehouse(spark, sf_dir, BASE), BASE))
+    return doubles(analysis.price_by_semester(stored_warehouse(spark, sf_dir), BASE))
 
 
 def olap_rollup(spark, sf_dir):
-    return doubles(analysis.price_by_year(StandInWarehouse(spark, sf_dir, BASE), BASE))
+    return doubles(analysis.price_by_year(stored_warehouse(spark, sf_dir), BASE))
 
 
 def olap_drilldown(spark, sf_dir):
-    return doubles(analysis.price_by_consumer(StandInWarehouse(spark, sf_dir, ALL_BANDS), ALL_BANDS))
+    return doubles(analysis.price_by_consumer(stored_warehouse(spark, sf_dir), ALL_BANDS))
 
 
 def olap_slice(spark, sf_dir):
-    wh = StandInWarehouse(spark, sf_dir, ALL_BANDS, countries=(SLICED,))
-    return doubles(analysis.price_slice(wh, ALL_BANDS, SLICED))
+    return doubles(analysis.price_slice(stored_warehouse(spark, sf_dir), ALL_BANDS, SLICED))
 
 
 def olap_dice(spark, sf_dir):
-    years = (1996, 1998)
-    wh = StandInWarehouse(spark, sf_dir, HOUSEHOLD, years, countries=DICED)
-    return doubles(analysis.price_dice(wh, HOUSEHOLD, DICED, years))
+    return doubles(analysis.price_dice(stored_warehouse(spark, sf_dir), HOUSEHOLD, DICED, (1996, 1998)))
 
 
 def drill_across(spark, sf_dir):
-    years = (1996, 2000)
-    wh = StandInWarehouse(spark, sf_dir, HOUSEHOLD, years, "TOTAL", CROSSED)
-    return doubles(analysis.price_and_dependency(wh, HOUSEHOLD, CROSSED, years))
+    wh = stored_warehouse(spark, sf_dir)
+    return doubles(analysis.price_and_dependency(wh, HOUSEHOLD, CROSSED, (1996, 2000)))
+
+
+def drill_across_left(spark, sf_dir):
+    """Prices of every country and year, with the rate where there is one."""
+    wh = stored_warehouse(spark, sf_dir)
+    return doubles(analysis.price_and_dependency(wh, HOUSEHOLD, (*CROSSED, LATECOMER), (1996, 2000), how="left"))
 
 
 def index_price_correlation(spark, sf_dir):
-    wh = StandInWarehouse(spark, sf_dir, BUSINESS)
-    return doubles(analysis.index_price_correlation(wh, BUSINESS, min_years=7))
+    return doubles(analysis.index_price_correlation(stored_warehouse(spark, sf_dir), BUSINESS, min_years=7))
 
 
 def global_index_by_year(spark, sf_dir):
-    return doubles(analysis.global_index_by_year(StandInWarehouse(spark, sf_dir)))
+    return doubles(analysis.global_index_by_year(stored_warehouse(spark, sf_dir)))
 
 
 def moving_average(spark, sf_dir):
-    wh = StandInWarehouse(spark, sf_dir, countries=tuple(f"NATION_{code[1:]}" for code in SERIES))
-    return doubles(analysis.stock_moving_average(wh, SERIES, "N"))
+    return doubles(analysis.stock_moving_average(stored_warehouse(spark, sf_dir), SERIES, "N"))
 
 
 def dependency_vs_price(spark, sf_dir):
-    wh = StandInWarehouse(spark, sf_dir, GAS, product="TOTAL")
-    return doubles(analysis.dependency_and_gas_prices(wh, GAS))
+    return doubles(analysis.dependency_and_gas_prices(stored_warehouse(spark, sf_dir), GAS))
 
 
 def membership_averages(spark, sf_dir):
-    wh = StandInWarehouse(spark, sf_dir, BUSINESS, product="TOTAL")
-    return doubles(analysis.membership_averages(wh, BUSINESS))
+    return doubles(analysis.membership_averages(stored_warehouse(spark, sf_dir), BUSINESS))
 
 
 def yoy_change(spark, sf_dir):
-    years = (1997, 2000)
-    return doubles(analysis.gas_price_change(StandInWarehouse(spark, sf_dir, GAS_TAXED, years), GAS_TAXED, years))
+    return doubles(analysis.gas_price_change(stored_warehouse(spark, sf_dir), GAS_TAXED, (1997, 2000)))
 
 
 def dependency_ranking(spark, sf_dir):
-    wh = StandInWarehouse(spark, sf_dir, years=(2000, 2000), product="TOTAL")
-    return doubles(analysis.dependency_ranking(wh, 2000))
+    return doubles(analysis.dependency_ranking(stored_warehouse(spark, sf_dir), 2000))
 
 
 def order_value_ranking(spark, sf_dir):
@@ -94,8 +91,7 @@ def order_value_ranking(spark, sf_dir):
 
 
 def annual_level_stats(spark, sf_dir):
-    wh = StandInWarehouse(spark, sf_dir, years=(1996, 2000))
-    return doubles(analysis.annual_stock_levels(wh, (1996, 2000), "N"))
+    return doubles(analysis.annual_stock_levels(stored_warehouse(spark, sf_dir), (1996, 2000), "N"))
 
 
 def _year_2000(column: str):
@@ -132,7 +128,7 @@ def zero_plus_topk(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in [
-        olap_base, olap_rollup, olap_drilldown, olap_slice, olap_dice, drill_across,
+        olap_base, olap_rollup, olap_drilldown, olap_slice, olap_dice, drill_across, drill_across_left,
         index_price_correlation, global_index_by_year, moving_average, dependency_vs_price,
         membership_averages, yoy_change, dependency_ranking, order_value_ranking,
         annual_level_stats, topk_bottomk, zero_plus_topk,
@@ -141,8 +137,8 @@ QUERIES = {
 
 # Reference SQL ---------------------------------------------------------------
 
-PRICE = """
-px_price AS (
+PRICE = f"""
+px_all AS (
   SELECT CAST(year(o_orderdate) AS VARCHAR) || CASE WHEN month(o_orderdate) <= 6 THEN '-S1' ELSE '-S2' END AS semester,
          CAST(year(o_orderdate) AS INT) AS year, c_nationkey AS geo_sk, n_name AS country,
          CASE WHEN l_linestatus = 'O' THEN 'ELECTRICITY' ELSE 'GAS' END AS commodity_type,
@@ -153,7 +149,11 @@ px_price AS (
          min(CAST(l_extendedprice AS DECIMAL(14,4))) AS price_val
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN part ON l_partkey = p_partkey JOIN nation ON c_nationkey = n_nationkey
-  GROUP BY ALL)"""
+  GROUP BY ALL),
+px_price AS (
+  SELECT * FROM px_all UNION ALL
+  SELECT * REPLACE ({LATECOMER_SK} AS geo_sk, '{LATECOMER}' AS country) FROM px_all
+  WHERE geo_sk = 1 AND year < (SELECT min(year) FROM px_all) + {LATECOMER_YEARS})"""
 
 TOTAL_RATE = """
 px_dep AS (
@@ -209,6 +209,13 @@ ORACLES = {
               FROM px_dep GROUP BY country, year)
         SELECT country, year, avg_price_eur_kwh, import_dependency_pct FROM p JOIN d USING (country, year)
         WHERE country IN {_in(CROSSED)} AND year BETWEEN 1996 AND 2000""",
+    "drill_across_left": f"""WITH {PRICE}, {TOTAL_RATE},
+        p AS (SELECT country, year, {MEAN_PRICE} FROM px_price
+              WHERE {ELECTRICITY} AND consumer_type = 'HOUSEHOLD' GROUP BY country, year),
+        d AS (SELECT country, year, {sql_mean('dep_rate_val', 2)} AS import_dependency_pct
+              FROM px_dep GROUP BY country, year)
+        SELECT country, year, avg_price_eur_kwh, import_dependency_pct FROM p LEFT JOIN d USING (country, year)
+        WHERE country IN {_in((*CROSSED, LATECOMER))} AND year BETWEEN 1996 AND 2000""",
     "index_price_correlation": f"""WITH {PRICE}, {INDEX},
         i AS (SELECT year, CAST({sql_total('gpr_val')} AS DOUBLE) / count(*) / 10000 AS x FROM px_index GROUP BY year),
         p AS (SELECT country, year, CAST({sql_total('price_val')} AS DOUBLE) / count(*) / 10000 AS y FROM px_price

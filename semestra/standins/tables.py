@@ -1,8 +1,8 @@
 """A warehouse derived on the fly from the driver's tables.
 
 The real sources are not at hand, so the facts are stood in for by order and
-line-item measures at the same grains. Everything stays lazy: a query over this
-warehouse is one plan from the raw parquet files to its result.
+line-item measures at the same grains, always from the whole raw tables. ``stored``
+keeps them as a real warehouse for the analytical queries.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from semestra.functions.text import month_number, month_text, semester_number, semester_text
 from semestra.operators import calendar
 from semestra.operators.membership import expand_membership
-from semestra.operators.olap import PriceContext
 from semestra.reference_data import literal_frame, tax_order
 
 YEARS = (1995, 2001)
@@ -64,32 +63,12 @@ def band_code(size: Column) -> Column:
 
 
 class StandInWarehouse:
-    """``context``, ``years``, ``product`` and ``countries`` narrow the facts where the
-    raw tables are scanned, as stored partitions would be pruned. ``offset`` shifts prices so
-    that checks find something; ``without`` leaves out a geography by name."""
-
-    def __init__(
-        self, spark: SparkSession, sf_dir: str, context: PriceContext | None = None,
-        years: tuple[int, int] | None = None, product: str | None = None,
-        countries: tuple[str, ...] | None = None, offset: int = 0, without: str | None = None,
-    ):
+    """``offset`` shifts prices so that checks find something; ``without`` leaves out a
+    geography by name."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, offset: int = 0, without: str | None = None):
         self.spark, self.sf_dir = spark, sf_dir
-        self.context, self.years, self.product = context, years, product
-        self.countries, self.offset, self.without = countries, offset, without
-
-    def _located(self, rows: DataFrame, nation: str) -> DataFrame:
-        """Keep customers or suppliers of the selected countries."""
-        if not self.countries:
-            return rows
-        selected = self.raw("nation").filter(F.col("n_name").isin(*self.countries))
-        return rows.join(selected, F.col(nation) == F.col("n_nationkey"), "left_semi")
-
-    def _dated(self, rows: DataFrame, date: str) -> DataFrame:
-        """Keep the selected years, as a range the parquet scan can use."""
-        if not self.years:
-            return rows
-        first, last = (F.lit(f"{year}-01-01").cast("timestamp_ntz") for year in (self.years[0], self.years[1] + 1))
-        return rows.filter((F.col(date) >= first) & (F.col(date) < last))
+        self.offset, self.without = offset, without
 
     def raw(self, name: str) -> DataFrame:
         return raw(self.spark, self.sf_dir, name)
@@ -207,39 +186,17 @@ class StandInWarehouse:
 
     # facts ------------------------------------------------------------------
 
-    def _raw_context(self) -> tuple[Column, Column]:
-        """The context as conditions on line items and parts."""
-        lines, sizes = F.lit(True), F.lit(True)
-        ctx = self.context
-        if ctx:
-            status = F.col("l_linestatus")
-            lines &= (status == "O") if ctx.commodity == "ELECTRICITY" else (status != "O")
-            lines &= F.col("l_linenumber") % 3 == TAXES[ctx.tax]
-            if ctx.consumer:
-                flag = F.col("l_returnflag")
-                lines &= (flag == "R") if ctx.consumer == "HOUSEHOLD" else (flag != "R")
-            if ctx.band:
-                sizes &= F.col("p_size").between(*BANDS[ctx.band])
-            if ctx.bands:
-                either = F.lit(False)
-                for band in ctx.bands.values():
-                    either |= F.col("p_size").between(*BANDS[band])
-                sizes &= either
-        return lines, sizes
-
     def prices(self) -> DataFrame:
         """Lowest price per semester, nation, band and tax level.
 
         Orders meet customers before they meet line items, so the largest table is
         shuffled for two joins only and customers never meet it.
         """
-        lines, sizes = self._raw_context()
-        sized = self.raw("part").filter(sizes).select(
+        sized = self.raw("part").select(
             F.col("p_partkey").alias("l_partkey"), band_index(F.col("p_size")).alias("band_index")
         )
         placed = (
-            self._dated(self.raw("orders"), "o_orderdate")
-            .join(self._located(self.raw("customer"), "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+            self.raw("orders").join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .select(
                 F.col("o_orderkey").alias("l_orderkey"),
                 semester_number(F.col("o_orderdate")).alias("semester"),
@@ -249,7 +206,7 @@ class StandInWarehouse:
         commodity = F.when(F.col("l_linestatus") == "O", 0).otherwise(1)
         consumer = F.when(F.col("l_returnflag") == "R", 0).otherwise(1)
         keyed = (
-            self.raw("lineitem").filter(lines)
+            self.raw("lineitem")
             .join(sized, "l_partkey").join(placed, "l_orderkey")
             .select(
                 "semester", "geo_sk",
@@ -272,8 +229,8 @@ class StandInWarehouse:
 
     @cached_property
     def _shipped(self) -> DataFrame:
-        lines = self._dated(self.raw("lineitem"), "l_shipdate").join(
-            self._located(self.raw("supplier"), "s_nationkey")
+        lines = self.raw("lineitem").join(
+            self.raw("supplier")
             .select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("geo_sk")),
             "l_suppkey",
         )
@@ -293,18 +250,14 @@ class StandInWarehouse:
                 rate.cast("decimal(12,4)").alias("dep_rate_val")
             )
 
-        if self.product == "TOTAL":
-            dependency = rates(total)
-        else:
-            dependency = rates(by_brand).unionByName(rates(total))
-        return dependency.withColumn("eurostat_flag", F.lit(None).cast("string"))
+        return rates(by_brand).unionByName(rates(total)).withColumn("eurostat_flag", F.lit(None).cast("string"))
 
     def index(self) -> DataFrame:
         high = F.max(money("o_totalprice")).alias("gpr_val")
         low = F.min(money("o_totalprice")).alias("gprt_val")
         spread = (F.max(money("o_totalprice")) - F.min(money("o_totalprice"))).cast("decimal(14,4)")
         return (
-            self._dated(self.raw("orders"), "o_orderdate").groupBy(month_number(F.col("o_orderdate")).alias("month"))
+            self.raw("orders").groupBy(month_number(F.col("o_orderdate")).alias("month"))
             .agg(high, low, spread.alias("gpra_val"))
             .select(
                 month_text(F.col("month")).alias("month_sk"), constant(GLOBAL_SK, "gpr_val").alias("geo_sk"),

@@ -47,7 +47,7 @@ def test_entry(spark):
 
 def test_filters_and_columns_reach_the_scan(spark):
     plan = QUERIES["olap_dice"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    scan = next(line for line in plan.splitlines() if "FileScan" in line and "l_orderkey" in line)
-    assert "l_tax" not in scan and "EqualTo(l_linestatus,O)" in scan and "EqualTo(l_returnflag,R)" in scan
-    dates = next(line for line in plan.splitlines() if "FileScan" in line and "o_orderdate" in line)
-    assert "GreaterThanOrEqual(o_orderdate" in dates
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "price_val" in line)
+    assert "eurostat_flag" not in scan and "period_year#" in scan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    bands = next(line for line in plan.splitlines() if "FileScan" in line and "band_label" not in line and "consumption_band_sk" in line and "commodity_type" in line)
+    assert "EqualTo(commodity_type,ELECTRICITY)" in bands and "EqualTo(consumer_type,HOUSEHOLD)" in bands
