@@ -9,8 +9,9 @@ only a re-read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import reduce, wraps
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -27,6 +28,7 @@ from semestra.sources.wide_tsv import (
     clean_observations,
     read_wide,
     split_key,
+    surplus_cells,
     union_sources,
     unpivot_periods,
 )
@@ -112,10 +114,16 @@ def load_membership(wh: Warehouse, history: DataFrame | None = None) -> None:
 # shared steps -----------------------------------------------------------------
 
 
-def stage(wh: Warehouse, name: str, rows: DataFrame) -> DataFrame:
-    path = f"{wh.root}/_staging/{name}"
-    rows.write.mode("overwrite").parquet(path)
-    return wh.spark.read.schema(rows.schema).parquet(path)
+def staged_load(load: Callable) -> Callable:
+    """A load whose staging tables are deleted when it is done, published or refused."""
+    @wraps(load)
+    def run(wh: Warehouse, *args, **kwargs):
+        try:
+            return load(wh, *args, **kwargs)
+        finally:
+            wh.drop_staged()
+
+    return run
 
 
 def add_labels(rows: DataFrame, codelists: DataFrame, lookups: dict[str, tuple[str, str]]) -> DataFrame:
@@ -161,6 +169,10 @@ def codelist_check(codelists: DataFrame, required: list[str], source: str) -> Da
     return gates.report(f"missing code lists of {source}", missing_codelists(codelists, wanted))
 
 
+def width_check(spark: SparkSession, path: str, source: str) -> DataFrame:
+    return gates.report(f"surplus cells in {source}", surplus_cells(spark, path))
+
+
 def wrong_arity(parts: int) -> Column:
     """True where a key does not have the expected number of parts."""
     return F.col("key_parts") != parts
@@ -297,13 +309,14 @@ PRICE_DIMENSIONS = [
 ]
 
 
+@staged_load
 def load_prices(wh: Warehouse, sources: list[PriceSource]) -> dict[str, int]:
     """Full refresh from all price files; returns the counts of all checks, among
     them the observations per dataset."""
-    codelists = stage(wh, "price_codelists", price_codelists(wh.spark, sources))
-    staged = stage(wh, "prices", add_geo(all_price_observations(wh.spark, sources), wh))
+    codelists = wh.stage("price_codelists", price_codelists(wh.spark, sources))
+    staged = wh.stage("prices", add_geo(all_price_observations(wh.spark, sources), wh))
     codes = conform_prices(extract_members(staged, [*PRICE_CODES, "semester_sk"]), codelists)
-    members = stage(wh, "price_members", add_period(codes, wh.table("dt_semester"), "semester_sk"))
+    members = wh.stage("price_members", add_period(codes, wh.table("dt_semester"), "semester_sk"))
     counts = refuse(
         staged, price_rules(), PRICE_GRAIN, ["dataset", "band_code", "tax_code", "semester_sk", "geo_code"],
         members, price_member_rules(),
@@ -313,6 +326,7 @@ def load_prices(wh: Warehouse, sources: list[PriceSource]) -> dict[str, int]:
                 codelist_check(codelists.filter(F.col("dataset") == s.dataset), PRICE_CODELISTS, s.dataset)
                 for s in sources
             ),
+            *(width_check(wh.spark, s.path, s.dataset) for s in sources),
         ],
         must_occur={f"observations in {s.dataset}": F.col("dataset") == s.dataset for s in sources},
     )
@@ -354,13 +368,14 @@ def conform_products(codes: DataFrame, codelists: DataFrame) -> DataFrame:
     return rows.withColumn("is_total", F.col("siec_code") == "TOTAL")
 
 
+@staged_load
 def load_dependency(wh: Warehouse, path: str, codelists_path: str) -> dict[str, int]:
     wide = split_key(read_wide(wh.spark, path), set(DEPENDENCY_KEYS))
-    codelists = stage(wh, "dependency_codelists", read_codelists(wh.spark, codelists_path))
+    codelists = wh.stage("dependency_codelists", read_codelists(wh.spark, codelists_path))
     observations = dependency_observations(wide, wide.columns.index("key_parts"))
-    staged = stage(wh, "dependency", add_geo(observations, wh))
+    staged = wh.stage("dependency", add_geo(observations, wh))
     codes = conform_products(extract_members(staged, ["siec_code", "year_sk"]), codelists)
-    members = stage(wh, "dependency_members", add_period(codes, wh.table("dt_year"), "year_sk"))
+    members = wh.stage("dependency_members", add_period(codes, wh.table("dt_year"), "year_sk"))
     products = extract_members(members, PRODUCT_COLUMNS)
     counts = refuse(
         staged,
@@ -377,6 +392,7 @@ def load_dependency(wh: Warehouse, path: str, codelists_path: str) -> dict[str,
         [
             codelist_check(codelists, DEPENDENCY_CODELISTS, "import dependency"),
             conflicts("dt_energy_product", products, ["siec_code"]),
+            width_check(wh.spark, path, "import dependency"),
         ],
         must_occur={"observations": F.lit(True)},
     )
@@ -416,11 +432,12 @@ def mark_supported(observations: DataFrame, geo: DataFrame, months: DataFrame) -
     return rows.withColumn("supported", F.col("geo_sk").isNotNull() & matches & F.col("known_period"))
 
 
+@staged_load
 def load_stocks(wh: Warehouse, path: str) -> dict[str, int]:
     marked = mark_supported(
         stock_observations(wh.spark, path), wh.table("dim_geo_entity"), wh.table("dt_month")
     )
-    staged = stage(wh, "stocks", marked)
+    staged = wh.stage("stocks", marked)
     quantity = ~is_method()
     counts = refuse(
         staged,
@@ -430,6 +447,7 @@ def load_stocks(wh: Warehouse, path: str) -> dict[str, int]:
             "value out of range": quantity & F.col("out_of_range"),
         },
         STOCK_GRAIN, ["indicator_code", "unit_code", "geo_code", "month_sk"], scope=quantity,
+        others=[width_check(wh.spark, path, "stocks")],
         must_occur={"observations": quantity}, informative={"excluded methods": is_method()},
     )
     paths: dict[str, str] = {}
@@ -468,11 +486,12 @@ def index_checks(rows: DataFrame, scope_start: str = fixed.INDEX_SCOPE_START) ->
     ])
 
 
+@staged_load
 def load_index(wh: Warehouse, path: str, scope_start: str = fixed.INDEX_SCOPE_START) -> dict[str, int]:
     """Replace the global series only; other members' series stay."""
     rows = index_sheet.normalise(index_sheet.read_sheet(wh.spark, path))
-    stored = {f"{m}_val": F.col(m).try_cast("decimal(10,4)") for m in index_sheet.MEASURES}
-    staged = stage(wh, "index", add_period(rows.withColumns(stored), wh.table("dt_month"), "month_sk"))
+    stored = [f"{m}_val" for m in index_sheet.MEASURES]
+    staged = wh.stage("index", add_period(rows, wh.table("dt_month"), "month_sk"))
     rules, in_scope = index_rules(scope_start)
     rules["unknown month"] = in_scope & ~F.col("known_period")
     for m in index_sheet.MEASURES:
@@ -485,9 +504,10 @@ def load_index(wh: Warehouse, path: str, scope_start: str = fixed.INDEX_SCOPE_ST
         must_occur={"rows in scope": in_scope, "global member": None},
         informative={"excluded empty": ~index_sheet.has_measure()},
     )
-    member = geo.filter(is_global).select("geo_sk").scalar()
-    facts = staged.filter(in_scope).select("month_sk", *stored, member.alias("geo_sk"))
-    wh.replace_slice("fact_gpr", facts)
+    # The gate has made sure that there is one
+    member = geo.filter(is_global).select("geo_sk").first().geo_sk
+    facts = staged.filter(in_scope).select("month_sk", *stored, F.lit(member).alias("geo_sk"))
+    wh.replace_slice("fact_gpr", facts, [member])
     return counts
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 _SCHEMA = "_id string, Code array<struct<_id: string, Name: array<struct<_lang: string, _VALUE: string>>>>"
 
@@ -37,6 +37,8 @@ def read_codelists(spark: SparkSession, path: str, language: str = "en") -> Data
             F.min("position").alias("position"),
             F.max_by("entry.label", "position").alias("label"),
         )
+        # Places close up over repeated codes; a list is bounded, it was one element
+        .withColumn("position", F.row_number().over(Window.partitionBy("codelist").orderBy("position")) - 1)
         .select("codelist", "position", "code", "label")
     )
 

@@ -12,6 +12,7 @@ from semestra.reference_data import INDEX_SCOPE_START
 from semestra.sources.wide_tsv import LayoutError
 
 MEASURES = ["gpr", "gprt", "gpra"]
+STORED = "decimal(10,4)"
 
 
 def read_sheet(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:
@@ -28,14 +29,19 @@ def date_column(columns: list[str]) -> str:
 
 
 def normalise(sheet: DataFrame) -> DataFrame:
-    """``month_sk`` and the three measures as numbers, whatever the header's case."""
+    """``month_sk`` and the three measures, whatever the header's case.
+
+    A measure is there as a number, which tells whether the cell holds one, and as
+    ``<measure>_val``, rounded once from the text to the stored digits.
+    """
     sheet = sheet.toDF(*[name.strip().lower() for name in sheet.columns])
     missing = [name for name in MEASURES if name not in sheet.columns]
     if missing:
         raise LayoutError("Missing index columns: " + ", ".join(missing))
     return sheet.select(
         month_key(F.col(date_column(sheet.columns)).cast("string")).alias("month_sk"),
-        *[parse_number(F.col(name).cast("string"), "decimal(20,8)").alias(name) for name in MEASURES],
+        *[parse_number(F.col(name).cast("string")).alias(name) for name in MEASURES],
+        *[parse_number(F.col(name).cast("string"), STORED).alias(f"{name}_val") for name in MEASURES],
     )
 
 

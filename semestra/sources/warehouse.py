@@ -1,43 +1,62 @@
-"""Warehouse tables as parquet, replaced whole and only after they passed their gates.
+"""Warehouse tables as parquet, replaced whole or by partition value, after they passed their gates.
 
-Each refresh writes a new folder per table; one small row per table in
-``_versions`` then makes all of them current together. Readers never see a
-half-written refresh, and a failed load leaves the previous state in place.
+Each refresh writes new folders; one small file in ``_versions`` then makes all of them
+current together. Nothing that was published is ever written to again, so readers never see
+a half-written refresh and keep the version they opened, and a failed load leaves the
+previous state in place.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from semestra.reference_data import literal_frame
 from semestra.schemas import TABLES
 
-_VERSIONS = "version long, table_name string, path string"
+_VERSIONS = "version long, table_name string, slice string, path string"
+
+
+class ConcurrentLoad(RuntimeError):
+    """Another writer published after this warehouse was opened."""
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._paths, self._version = self._current()
-
-    def _current(self) -> tuple[dict[str, str], int]:
+        self._staged: list[str] = []
+        self.refresh()
+
+    def refresh(self) -> None:
+        """Look up what is current: a folder for each table, and for the partition values
+        that were replaced after it a folder each."""
+        self._paths: dict[str, str] = {}
+        self._slices: dict[str, dict[str, str]] = {}
+        self._version = 0
         try:
             log = self.spark.read.schema(_VERSIONS).json(f"{self.root}/_versions")
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return {}, 0
-        # One row per table: bounded by the number of declared tables.
+            return
+        # The newest row of each table and partition value: bounded by these
         rows = (
-            log.groupBy("table_name")
+            log.groupBy("table_name", "slice")
             .agg(F.max_by("path", "version").alias("path"), F.max("version").alias("version"))
             .collect()
         )
-        return {r.table_name: r.path for r in rows}, max((r.version for r in rows), default=0)
+        whole = {r.table_name: r for r in rows if r.slice is None}
+        self._version = max((r.version for r in rows), default=0)
+        for r in rows:
+            if r.slice is None:
+                self._paths[r.table_name] = r.path
+            elif r.table_name not in whole or r.version > whole[r.table_name].version:
+                self._slices.setdefault(r.table_name, {})[r.slice] = r.path
 
     def has(self, name: str) -> bool:
         return name in self._paths
@@ -47,7 +66,17 @@ class Warehouse:
         schema = TABLES[name].schema
         if not self.has(name):
             return literal_frame(self.spark, [], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{self._paths[name]}")
+        rows = self.candidate(name, self._paths[name])
+        replaced = self._slices.get(name, {})
+        if not replaced:
+            return rows
+        # Conditions on the partition column alone: other folders aren't read
+        value = F.col(TABLES[name].partition_by[0]).cast("string")
+        rows = rows.filter(~value.isin(*replaced))
+        for path in sorted(set(replaced.values())):
+            values = [v for v, p in replaced.items() if p == path]
+            rows = rows.unionByName(self.candidate(name, path).filter(value.isin(*values)))
+        return rows
 
     def write(self, name: str, rows: DataFrame) -> str:
         """Write a candidate version, not visible until it is published."""
@@ -63,33 +92,65 @@ class Warehouse:
     def candidate(self, name: str, path: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name].schema).parquet(f"{self.root}/{path}")
 
-    def publish(self, paths: dict[str, str]) -> None:
-        """Make the given versions current in one step."""
+    def publish(self, paths: dict[str, str], slices: dict[str, dict[str, str]] | None = None) -> None:
+        """Make the given versions current in one step.
+
+        ``slices`` gives folders by table and partition value. The version's file must not
+        exist: of two writers that opened the same version only one can publish the next.
+        """
         version = self._version + 1
-        rows = [(version, name, path) for name, path in paths.items()]
-        (
-            literal_frame(self.spark, rows, _VERSIONS).coalesce(1)
-            .write.mode("append").json(f"{self.root}/_versions")
-        )
-        self._paths.update(paths)
-        self._version = version
+        rows = [(name, None, path) for name, path in paths.items()]
+        rows += [(name, value, path) for name, parts in (slices or {}).items() for value, path in parts.items()]
+        lines = [json.dumps({"version": version, "table_name": n, "slice": v, "path": p}) for n, v, p in rows]
+        file = self._path(f"_versions/{version:012d}.json")
+        try:
+            out = self._files(file).create(file, False)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in str(error.java_exception):
+                raise
+            raise ConcurrentLoad(f"version {version} was published by another writer") from error
+        try:
+            out.write(bytearray("\n".join(lines) + "\n", "utf-8"))
+        finally:
+            out.close()
+        self.refresh()
 
     def replace(self, tables: dict[str, DataFrame]) -> None:
         """Replace whole tables together."""
         self.publish({name: self.write(name, rows) for name, rows in tables.items()})
 
-    def replace_slice(self, name: str, rows: DataFrame) -> None:
-        """Replace only the partitions that occur in ``rows``."""
+    def replace_slice(self, name: str, rows: DataFrame, values: list) -> None:
+        """Replace the partitions of the given values, and only these, by ``rows``.
+
+        A value without rows ends up empty.
+        """
         if not self.has(name):
             self.replace({name: rows})
             return
-        table = TABLES[name]
-        rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in table.schema])
-        (
-            _by_partition(rows, table.partition_by)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*table.partition_by).parquet(f"{self.root}/{self._paths[name]}")
-        )
+        path = self.write(name, rows)
+        self.publish({}, {name: {str(value): path for value in values}})
+
+    # staging ----------------------------------------------------------------
+
+    def stage(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows written to a folder of this load alone, and read back."""
+        path = f"{self.root}/_staging/{name}-{uuid.uuid4().hex}"
+        self._staged.append(path)
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def drop_staged(self) -> None:
+        """Delete what was staged through this object."""
+        for staged in self._staged:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(staged)
+            self._files(path).delete(path, True)
+        self._staged = []
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+
+    def _files(self, path):
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
 
 def _by_partition(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:

@@ -14,13 +14,54 @@ class LayoutError(ValueError):
     """The header of a source does not have the expected layout."""
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.text(path)
+    return lines.select("value", F.col("_metadata.file_path").alias("file"))
+
+
+def _is_header() -> Column:
+    """Headers name the dimensions and, behind a backslash, the period; keys have none."""
+    return F.instr(F.split_part("value", F.lit("\t"), F.lit(1)), "\\") > 0
+
+
+def file_headers(spark: SparkSession, path: str) -> dict[str, str]:
+    """The header line of every file: one row for each of them."""
+    found = _lines(spark, path).filter(_is_header()).groupBy("file").agg(F.min("value").alias("header"))
+    return {r.file: r.header for r in found.collect()}
+
+
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
-    """Every cell as text, header and blanks untouched."""
-    return (
+    """Every cell as text, header and blanks untouched.
+
+    Files of a folder that order or choose their columns otherwise are aligned by name.
+    """
+    headers = file_headers(spark, path)
+    groups: dict[str, list[str]] = {}
+    for file, header in sorted(headers.items()):
+        groups.setdefault(header, []).append(file)
+    # Without differing headers the folder is read as it is
+    paths = list(groups.values()) if len(groups) > 1 else [path]
+    reader = (
         spark.read.option("sep", "\t").option("header", True)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
     )
+    parts = [reader.csv(files) for files in paths]
+    first, *others = parts
+    named = {name.strip(): name for name in first.columns}
+    for part in others:
+        part = part.withColumnsRenamed({n: named[n.strip()] for n in part.columns if n.strip() in named})
+        first = first.unionByName(part, allowMissingColumns=True)
+    return first
+
+
+def surplus_cells(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with more cells than the header of their file; a reader would drop the rest."""
+    lines = _lines(spark, path)
+    headers = lines.filter(_is_header()).groupBy("file").agg(
+        F.max(F.size(F.split("value", "\t"))).alias("width")
+    )
+    cells = F.size(F.split("value", "\t"))
+    return lines.join(headers, "file").filter(cells > F.col("width"))
 
 
 def key_names(composite_header: str) -> list[str]:

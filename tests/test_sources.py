@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 from sources import PRICE_HEADER, index_file, price_source, write_tsv
@@ -7,8 +9,8 @@ from semestra.session import new_folder
 from semestra.sources import index_sheet
 from semestra.sources.codelists import read_codelists
 from semestra.sources.csv_export import write_csv
-from semestra.sources.warehouse import Warehouse
-from semestra.sources.wide_tsv import LayoutError, read_wide, split_key
+from semestra.sources.warehouse import ConcurrentLoad, Warehouse
+from semestra.sources.wide_tsv import LayoutError, read_wide, split_key, surplus_cells
 from semestra.standins.tables import literal_frame
 
 
@@ -101,6 +103,62 @@ def test_slice_refresh_leaves_other_slices(spark, rows):
         spark, data, "month_sk string, geo_sk int, v int"
     ).selectExpr("month_sk", "geo_sk", "v AS gpr_val", "v AS gprt_val", "v AS gpra_val")
     wh.replace({"fact_gpr": fact([("2000-01", 1, 1), ("2000-02", 1, 2), ("2000-01", 2, 3)])})
-    wh.replace_slice("fact_gpr", fact([("2000-03", 1, 9)]))
-    got = rows(Warehouse(spark, wh.root).table("fact_gpr").selectExpr("geo_sk", "month_sk", "int(gpr_val)"))
-    assert got == [(1, "2000-03", 9), (2, "2000-01", 3)]
+    before = wh.table("fact_gpr")
+    wh.replace_slice("fact_gpr", fact([("2000-03", 1, 9)]), [1])
+    shown = lambda frame: rows(frame.selectExpr("geo_sk", "month_sk", "int(gpr_val)"))
+    assert shown(Warehouse(spark, wh.root).table("fact_gpr")) == [(1, "2000-03", 9), (2, "2000-01", 3)]
+    # A reader that came before keeps what it opened
+    assert shown(before) == [(1, "2000-01", 1), (1, "2000-02", 2), (2, "2000-01", 3)]
+    wh.replace_slice("fact_gpr", fact([]), [2])
+    assert shown(Warehouse(spark, wh.root).table("fact_gpr")) == [(1, "2000-03", 9)]
+    wh.replace_slice("fact_gpr", fact([("2001-01", 1, 4), ("2001-01", 3, 5)]), [1, 3])
+    assert shown(wh.table("fact_gpr")) == [(1, "2001-01", 4), (3, "2001-01", 5)]
+    wh.replace({"fact_gpr": fact([("2002-01", 2, 6)])})
+    assert shown(Warehouse(spark, wh.root).table("fact_gpr")) == [(2, "2002-01", 6)]
+
+
+def test_two_writers(spark):
+    root = new_folder(spark, "t")
+    one, two = Warehouse(spark, root), Warehouse(spark, root)
+    years = spark.createDataFrame([(2000, 2000)], "year_sk int, year_value int")
+    one.replace({"dt_year": years})
+    with pytest.raises(ConcurrentLoad):
+        two.replace({"dt_year": years.limit(0)})
+    assert Warehouse(spark, root).table("dt_year").count() == 1
+    two.refresh()
+    two.replace({"dt_year": years.limit(0)})
+    assert Warehouse(spark, root).table("dt_year").count() == 0
+
+
+def test_staging_is_apart_and_goes(spark):
+    wh = Warehouse(spark, new_folder(spark, "t"))
+    one, two = wh.stage("x", spark.range(3)), wh.stage("x", spark.range(5))
+    assert (one.count(), two.count()) == (3, 5)
+    files = one.inputFiles()
+    wh.drop_staged()
+    assert not Path(files[0].removeprefix("file://")).exists()
+
+
+def test_files_are_aligned_by_name(spark, tmp_path, rows):
+    write_tsv(tmp_path / "a.tsv", ["freq,geo\\TIME_PERIOD", "2007 ", "2008 "], [["A,IT", "1", "2"]])
+    write_tsv(tmp_path / "b.tsv", ["freq,geo\\TIME_PERIOD", "2008", "2007", "2009"], [["A,DE", "3", "4", "5"]])
+    wide = split_key(read_wide(spark, str(tmp_path)))
+    assert rows(wide.select("geo", "2007", "2008", "2009")) == [("DE", "4", "3", "5"), ("IT", "1", "2", None)]
+    assert surplus_cells(spark, str(tmp_path)).count() == 0
+
+
+def test_surplus_cells_are_seen(spark, tmp_path):
+    write_tsv(tmp_path / "a.tsv", ["freq,geo\\TIME_PERIOD", "2007", "2008"], [["A,IT", "3", "4", "5"], ["A,DE", "1"], ["A,FR", "1", "2"]])
+    assert [r.value for r in surplus_cells(spark, str(tmp_path)).collect()] == ["A,IT\t3\t4\t5"]
+
+
+def test_codes_listed_twice_close_up(spark, tmp_path, rows):
+    path = tmp_path / "c.xml"
+    entry = '<Code id="{}"><Name xml:lang="en">{}</Name></Code>'
+    path.write_text('<r><Codelist id="A">' + entry.format("a", "x") + entry.format("a", "y") + entry.format("b", "z") + "</Codelist></r>")
+    assert rows(read_codelists(spark, str(path))) == [("A", 0, "a", "y"), ("A", 1, "b", "z")]
+
+
+def test_index_values_are_rounded_once(spark):
+    sheet = spark.createDataFrame([("2000-01-01", "80.123449999999", "1", "1")], ["month", "GPR", "GPRT", "GPRA"])
+    assert str(index_sheet.normalise(sheet).first().gpr_val) == "80.1234"
