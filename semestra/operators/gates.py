@@ -70,7 +70,8 @@ def orphans(facts: DataFrame, references: list[tuple[DataFrame, str]]) -> DataFr
     flags = []
     for i, (members, key) in enumerate(references):
         flag = f"found_{i}"
-        facts = facts.join(members.select(key).withColumn(flag, F.lit(True)), key, "left")
+        # A key given twice must not count its facts twice
+        facts = facts.join(members.select(key).distinct().withColumn(flag, F.lit(True)), key, "left")
         flags.append(F.col(flag).isNull())
     return facts.filter(reduce(lambda a, b: a | b, flags))
 

@@ -88,7 +88,7 @@ def table_constraints(wh, table: Table) -> DataFrame:
         rules[f"{table.name} {check}"] = ~F.expr(condition)
     for key, parent in table.references:
         known = f"known_{key}"
-        rows = rows.join(wh.table(parent).select(key, F.lit(True).alias(known)), key, "left")
+        rows = rows.join(wh.table(parent).select(key).distinct().withColumn(known, F.lit(True)), key, "left")
         rules[f"{table.name}.{key} not in {parent}"] = F.col(key).isNotNull() & F.col(known).isNull()
     reports = [gates.count_violations(rows, rules)]
     for key in (table.key, *table.unique):

@@ -146,6 +146,23 @@ class Overridden:
         return self.tables[name] if name in self.tables else self.warehouse.table(name)
 
 
+def _incomplete(spark, sf_dir) -> Overridden:
+    """A member is missing from each dimension; the bridge still has the missing nation,
+    and the geography lists every other member twice."""
+    wh, whole = StandInWarehouse(spark, sf_dir, without="NATION_5"), StandInWarehouse(spark, sf_dir)
+    return Overridden(wh, {
+        "dim_geo_entity": wh.geo().unionByName(wh.geo()),
+        "br_geo_eu_membership": whole.bridge(),
+        "dt_energy_product": wh.products().filter("siec_code <> 'TOTAL'"),
+        "dt_consumption_band": wh.bands().filter("band_code <> 'B4'"),
+        "dt_tax_level": wh.taxes().filter("tax_code <> 'I_TAX'"),
+        "dt_stock_indicator": wh.indicators().filter("indicator_code <> 'A'"),
+        "dt_semester": wh.table("dt_semester").filter("semester_sk <> '1996-S2'"),
+        "dt_month": wh.table("dt_month").filter("month_sk <> '1997-03'"),
+        "dt_year": wh.table("dt_year").filter("year_sk <> 1998"),
+    })
+
+
 def verify_counts(spark, sf_dir):
     return verification.verify_counts(StandInWarehouse(spark, sf_dir))
 
@@ -164,8 +181,8 @@ def verify_duplicates(spark, sf_dir):
 
 
 def verify_orphans(spark, sf_dir):
-    """One nation is missing from the geography dimension."""
-    return verification.verify_orphans(StandInWarehouse(spark, sf_dir, without="NATION_5"))
+    """Every dimension lacks some member that the facts refer to."""
+    return verification.verify_orphans(_incomplete(spark, sf_dir))
 
 
 def verify_sanity(spark, sf_dir):
@@ -244,7 +261,7 @@ _BAD = "(SELECT n_nationkey FROM nation WHERE n_name = 'NATION_5')"
 # Constraints that one missing nation breaks; every other one holds.
 _BROKEN = {
     "fact_import_dependency.geo_sk not in dim_geo_entity": f"SELECT count(*) FROM px_rate WHERE geo_sk IN {_BAD}",
-    "fact_energy_price.geo_sk not in dim_geo_entity": f"SELECT count(*) FROM px_price WHERE geo_sk IN {_BAD}",
+    "fact_energy_price.geo_sk not in dim_geo_entity": f"SELECT count(*) FROM px_all WHERE geo_sk IN {_BAD}",
     "fact_oil_stocks.geo_sk not in dim_geo_entity": f"SELECT count(*) FROM px_stock WHERE geo_sk IN {_BAD}",
 }
 
@@ -309,7 +326,7 @@ ORACLES = {
     "verify_counts": f"""WITH {PRICE}, {DEPENDENCY}, {INDEX}, {STOCK}, {BRIDGE}
         SELECT 'FACT_GPR' AS table_name, count(*) AS row_count, min(month_sk) AS first_period, max(month_sk) AS last_period FROM px_index
         UNION ALL SELECT 'FACT_IMPORT_DEPENDENCY', count(*), CAST(min(year) AS VARCHAR), CAST(max(year) AS VARCHAR) FROM px_rate
-        UNION ALL SELECT 'FACT_ENERGY_PRICE', count(*), min(semester), max(semester) FROM px_price
+        UNION ALL SELECT 'FACT_ENERGY_PRICE', count(*), min(semester), max(semester) FROM px_all
         UNION ALL SELECT 'FACT_OIL_STOCKS', count(*), min(month_sk), max(month_sk) FROM px_stock
         UNION ALL SELECT 'BR_GEO_EU_MEMBERSHIP', count(*), CAST(min(year) AS VARCHAR), CAST(max(year) AS VARCHAR) FROM px_bridge""",
     "verify_duplicates": """
@@ -320,13 +337,17 @@ ORACLES = {
         UNION ALL SELECT 'Import dependency duplicates', 0
         UNION ALL SELECT 'Energy price duplicates', 0
         UNION ALL SELECT 'EU membership bridge duplicates', 0""",
-    "verify_orphans": f"""WITH {PRICE}, {DEPENDENCY}, {STOCK}
-        SELECT 'GPR orphan dimensions' AS check_name, CAST(0 AS BIGINT) AS issue_count
-        UNION ALL SELECT 'Import dependency orphan dimensions', count(*) FROM px_rate WHERE geo_sk IN {_BAD}
-        UNION ALL SELECT 'Energy price orphan dimensions', count(*) FROM px_price WHERE geo_sk IN {_BAD}
-        UNION ALL SELECT 'Oil stocks orphan dimensions', count(*) FROM px_stock WHERE geo_sk IN {_BAD}
-        UNION ALL SELECT 'EU membership bridge orphan dimensions', 0""",
-    "verify_sanity": f"""WITH {PRICE}, n AS (SELECT * FROM px_price WHERE price_val < 20000)
+    "verify_orphans": f"""WITH {PRICE}, {DEPENDENCY}, {STOCK}, {INDEX}, {BRIDGE}
+        SELECT 'GPR orphan dimensions' AS check_name, count(*) AS issue_count FROM px_index WHERE month_sk = '1997-03'
+        UNION ALL SELECT 'Import dependency orphan dimensions', count(*) FROM px_rate
+          WHERE geo_sk IN {_BAD} OR product = 'TOTAL' OR year = 1998
+        UNION ALL SELECT 'Energy price orphan dimensions', count(*) FROM px_all
+          WHERE geo_sk IN {_BAD} OR band_code = 'B4' OR tax_code = 'I_TAX' OR semester = '1996-S2'
+        UNION ALL SELECT 'Oil stocks orphan dimensions', count(*) FROM px_stock
+          WHERE geo_sk IN {_BAD} OR indicator = 'Stock A' OR month_sk = '1997-03'
+        UNION ALL SELECT 'EU membership bridge orphan dimensions', count(*) FROM px_bridge
+          WHERE geo_sk IN {_BAD} OR year = 1998""",
+    "verify_sanity": f"""WITH {PRICE}, n AS (SELECT * FROM px_all WHERE price_val < 20000)
         SELECT 'Unexpected negative energy prices' AS check_name, count(*) AS issue_count
         FROM n WHERE band_code NOT IN ('B1', 'B2')
         UNION ALL SELECT 'Negative gas prices', count(*) FROM n WHERE commodity_type = 'GAS'
