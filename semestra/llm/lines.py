@@ -7,7 +7,6 @@ only lines at its two ends can go on in another range, and their totals are adde
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -17,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from semestra.llm.storage import stored
+from semestra.llm.storage import dropped, stored
 from semestra.llm.text import SPACES, pieces, raw_texts
 
 _LINES = "high bigint, low bigint, doc bigint, copy bigint, positions array<int>, n_lines int"
@@ -185,9 +184,10 @@ def keep_bitmaps(
     rows = _identified(docs, text, key).select(
         F.col("__doc").alias("doc"), F.col("__copy").alias("copy"), F.col(f"`{text}`").alias("text")
     )
+    # Written first, as Spark makes the rows once to cut the ranges and once to deal them
+    hashed = stored(rows.mapInArrow(_hashed_lines(min_chars), _LINES), "lines")
     ordered = (
-        rows.mapInArrow(_hashed_lines(min_chars), _LINES)
-        .repartitionByRange("high", "low", "doc")
+        hashed.repartitionByRange("high", "low", "doc")
         .sortWithinPartitions("high", "low", "doc", "copy", "positions")
         .withColumn("part", F.spark_partition_id())
         .persist(StorageLevel.DISK_ONLY)
@@ -207,6 +207,7 @@ def keep_bitmaps(
         "bitmaps",
     )
     ordered.unpersist()
+    dropped(hashed)
     return bitmaps
 
 
@@ -252,5 +253,3 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", **rul
     )
 
 
-def sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
