@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from semestra.llm import text as texts
-from semestra.llm.storage import stored
+from semestra.llm.storage import released, stored
 
 #: Buckets of n-grams, as a power of two.
 BITS = 16
@@ -96,32 +96,29 @@ def ngram_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
 
 def _bucket_sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of all buckets, one row for each, for every partition."""
-    size = 1 << BITS
-    raw, trusted = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    counts = np.zeros(1 << BITS, np.int64)
     for batch in texts.pieces(batches):
-        buckets, firsts = ngram_buckets(*texts.text_bytes(batch.column("text")))
-        trust = np.repeat(batch.column("trusted").to_numpy(zero_copy_only=False).astype(bool), np.diff(firsts))
-        raw += np.bincount(buckets.ravel(), minlength=size)
-        trusted += np.bincount(buckets[trust].ravel(), minlength=size)
-    used = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(used.astype(np.int32)), pa.array(raw[used]), pa.array(trusted[used])],
-        ["bucket", "raw", "trusted"],
-    )
+        buckets, _ = ngram_buckets(*texts.text_bytes(batch.column("text")))
+        counts += np.bincount(buckets.ravel(), minlength=1 << BITS)
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["bucket", "n"])
+
 
+def bucket_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """Counts of all buckets over all rows: 2^``BITS`` numbers whatever the corpus."""
+    rows = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(_bucket_sums, "bucket int, n bigint")
+    table = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << BITS)
+    counts[table.column("bucket").to_numpy()] = table.column("n").to_numpy()
+    return counts
 
-def log_ratios(docs: DataFrame, text: str = "text", trusted: str = "trusted") -> np.ndarray:
-    """Log ratio of trusted to raw share of every bucket, from counts over all rows.
 
-    The result has 2^``BITS`` entries whatever the corpus; buckets without trusted text
-    are smoothed towards the corpus, so that a corpus without trust gives zeros.
+def log_ratios(raw: np.ndarray, good: np.ndarray) -> np.ndarray:
+    """Log ratio of trusted to raw share of every bucket.
+
+    Buckets without trusted text are smoothed towards the corpus; without any trusted or
+    raw text all ratios are zero.
     """
-    rows = docs.select(F.col(f"`{text}`").alias("text"), F.coalesce(F.col(f"`{trusted}`"), F.lit(False)).alias("trusted"))
-    counts = rows.mapInArrow(_bucket_sums, "bucket int, raw bigint, trusted bigint")
-    table = counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).toArrow()
-    raw, good = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    places = table.column("bucket").to_numpy()
-    raw[places], good[places] = table.column("raw").to_numpy(), table.column("trusted").to_numpy()
     if not raw.sum() or not good.sum():
         return np.zeros(1 << BITS)
     share = (raw + 1) / (raw + 1).sum()
@@ -139,35 +136,40 @@ def _scorer(ratios: np.ndarray):
             base = [base_counts(data) for data in texts.raw_texts(batch.column("text"))]
             fields = [pa.array(list(c), pa.int64()) for c in zip(*base)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("trusted"), *fields,
-                 pa.array([b.failed for b in base], pa.bool_()), pa.array(np.round(scores, 9))],
-                ["key", "trusted", *_BASE_FIELDS, "base_failed", "score"],
+                [batch.column("key"), *fields, pa.array([b.failed for b in base], pa.bool_()), pa.array(np.round(scores, 9))],
+                ["key", *_BASE_FIELDS, "base_failed", "score"],
             )
 
     return run
 
 
-def judged(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", trusted: str = "trusted", untrusted: str = "untrusted",
-) -> DataFrame:
+def judged(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, the base counts, ``base_failed``, ``score`` and ``kept`` of every row.
 
-    ``trusted`` and ``untrusted`` are booleans (null: unknown). Counts and scores cover
-    the whole of every text. The threshold is the score that best parts trusted from
-    untrusted rows that pass the base rules, the middle between equally good ones; without
-    untrusted rows it is the least trusted score, without trusted ones all pass. Null
-    texts have no words and fail the base rules; repeated rows are judged alike; other
-    columns are not looked at.
+    ``ratings`` has ``key`` and ``trusted``, true for documents of the target, false for
+    bad ones; rows with a null in either are left out, and a key rated both ways is not
+    trusted. All trusted documents make up the target, all documents the raw corpus, each
+    over the whole of its text. The threshold is the score that best parts trusted from
+    bad rows that pass the base rules, the middle between equally good ones; without bad
+    rows it is the least trusted score, without trusted ones all pass. Null texts have no
+    words and fail the base rules; repeated rows are judged alike; other columns are not
+    looked at.
     """
     kind = docs.schema[key].dataType.simpleString()
-    ratios = log_ratios(docs, text, trusted)
-    flag = F.when(F.col(f"`{trusted}`"), 1).when(F.col(f"`{untrusted}`"), 0)
-    rows = docs.select(F.col(f"`{key}`").alias("key"), flag.cast("int").alias("trusted"), F.col(f"`{text}`").alias("text"))
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    rated = (
+        ratings.where(F.col(key).isNotNull() & F.col("trusted").isNotNull())
+        .groupBy(F.col(key).alias("key")).agg(F.min(F.col("trusted").cast("int")).alias("trusted"))
+    )
+    # Texts move once, to the ratings; the passes over all documents stay where these are
+    good = bucket_counts(rows.join(rated.where("trusted = 1"), "key", "left_semi"))
+    released(docs.sparkSession)
     fields = ", ".join(f"{f} bigint" for f in _BASE_FIELDS)
     scored = stored(
-        rows.mapInArrow(_scorer(ratios), f"key {kind}, trusted int, {fields}, base_failed boolean, score double"), "scores"
+        rows.mapInArrow(_scorer(log_ratios(bucket_counts(rows), good)), f"key {kind}, {fields}, base_failed boolean, score double"),
+        "scores",
     )
-    cut = threshold(scored.where("NOT base_failed AND trusted IS NOT NULL"))
+    cut = threshold(scored.where("NOT base_failed").select("key", "score").join(rated, "key"))
     kept = ~F.col("base_failed") & (F.col("score") >= cut)
     return scored.select(F.col("key").alias(key), *_BASE_FIELDS, "base_failed", "score", kept.alias("kept"))
 

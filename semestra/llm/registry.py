@@ -38,15 +38,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Good documents by their labels are trusted, those of low quality are not."""
-    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(
-        F.min("quality").alias("quality"), F.max("toxic").alias("toxic")
+    """Good documents by their labels are trusted, those of low quality are bad."""
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    labels = _table(spark, sf_dir, "labels").select(
+        "doc_id", F.when(good, True).when(F.col("quality") == 0, False).alias("trusted")
     )
-    docs = _table(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id", "left").select(
-        "doc_id", "text", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("trusted"),
-        (F.col("quality") == 0).alias("untrusted"),
-    )
-    return likelihood.judged(docs)
+    return likelihood.judged(_table(spark, sf_dir).select("doc_id", "text"), labels)
 
 
 def op4_rans(spark: SparkSession, sf_dir: str) -> DataFrame:

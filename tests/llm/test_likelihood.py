@@ -45,7 +45,9 @@ SCHEMA = "doc_id bigint, text string, trusted boolean, untrusted boolean, good b
 
 def test_scores_and_verdicts(spark):
     rows = corpus(300)
-    got = {r.doc_id: r for r in lk.judged(spark.createDataFrame(rows, SCHEMA)).collect()}
+    frame = spark.createDataFrame(rows, SCHEMA)
+    ratings = frame.selectExpr("doc_id", "CASE WHEN trusted THEN true WHEN untrusted THEN false END AS trusted")
+    got = {r.doc_id: r for r in lk.judged(frame, ratings).collect()}
     # Brute force: counts over all texts, in one go
     raw, good, each = np.zeros(1 << lk.BITS), np.zeros(1 << lk.BITS), {}
     for i, text, trusted, _, _ in rows:
@@ -74,11 +76,14 @@ def test_threshold(spark):
     assert lk.threshold(same) >= 0.5
 
 
-def test_odd_rows(odd):
-    flagged = odd.selectExpr("*", "CAST(NULL AS boolean) AS trusted", "CAST(NULL AS boolean) AS untrusted", "1 AS score", "'k' AS key")
-    rows = lk.judged(flagged).collect()
+def test_odd_rows(spark, odd):
+    flagged = odd.selectExpr("*", "1 AS score", "'k' AS key", "true AS trusted")
+    ratings = spark.createDataFrame([(1, None), (None, True), (77, True)], "doc_id bigint, trusted boolean")
+    rows = lk.judged(flagged, ratings).collect()
     assert len(rows) == odd.count()
     assert sorted((str(r.doc_id), r.n_words) for r in rows) == sorted((str(r.doc_id), brute_base(r.text)[0]) for r in odd.collect())
     assert all(r.kept != r.base_failed for r in rows)
     assert all(r.base_failed for r in rows if r.doc_id in (2, 3))
-    assert lk.judged(flagged.limit(0)).count() == 0
+    assert lk.judged(flagged.limit(0), ratings).count() == 0
+    both = spark.createDataFrame([(5, True), (6, True), (6, False)], "doc_id bigint, trusted boolean")
+    assert len(lk.judged(odd, both).collect()) == odd.count()
