@@ -25,6 +25,7 @@ Beside it, ``table`` has the columns ``id`` and ``frequency``, which add up to 2
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
@@ -48,7 +49,7 @@ LOW_BITS = 31
 #: Interleaved states, steps between two checkpoints, and ids a block is closed at.
 LANES, STEPS, BLOCK = 1024, 128, 1 << 18
 #: Segments and words whose ids a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 _U32, _U64 = np.dtype("<u4"), np.dtype("<u8")
 
@@ -159,6 +160,7 @@ def checksum(ids: np.ndarray) -> int:
 
 #: A run of letters or digits and one of these marks, which the pre-tokenizer parts anyway.
 _MARKED = regex.compile(r"([\p{L}\p{N}]+)([.,!?;:*&%$#]+)")
+_PLAIN = regex.compile(r"[a-z]+|[.,!?;:*&%$#]+")
 
 
 @lru_cache(maxsize=2)
@@ -188,8 +190,15 @@ class WordTokens:
             match = _MARKED.fullmatch(text)
             wanted.append((word, match.groups() if match else (text,)))
         parts = self.parts
-        new = list({p for _, split in wanted for p in split}.difference(parts))
-        for part, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
+        merge = self.library.model.tokenize
+        others = []
+        for part in {p for _, split in wanted for p in split}.difference(parts):
+            # Nothing is normalised or parted in plain letters or marks, so merges are all
+            if _PLAIN.fullmatch(part):
+                parts[part] = array(self.code, [token.id for token in merge(part)]).tobytes()
+            else:
+                others.append(part)
+        for part, found in zip(others, self.library.encode_batch_fast(others, add_special_tokens=False)):
             parts[part] = array(self.code, found.ids).tobytes()
         for word, split in wanted:
             self.words[word] = b"".join([parts[p] for p in split])
@@ -206,6 +215,8 @@ class WordTokens:
 
 @lru_cache(maxsize=2)
 def tokens_of(definition: str) -> WordTokens:
+    # Tasks are as many as there are cores; threads of the library would only get in their way
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return WordTokens(definition)
 
 
