@@ -23,7 +23,7 @@ from semestra.llm.text import pieces as text_pieces
 
 SPACE = "▁"
 #: Segmentations that a worker remembers, and the longest word it remembers.
-REMEMBERED, LONGEST = 400_000, 40
+REMEMBERED, LONGEST = 250_000, 40
 #: Nothing merges across the start of a run of spaces or a line feed.
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
 

@@ -7,17 +7,17 @@ expected tokens of every domain, over all documents, match the targets.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.functions import arrow_udf
 
 from semestra.llm import features as ft
 from semestra.llm.optimise import minimum
 from semestra.llm.storage import stored
-from semestra.llm.text import pieces, text_bytes
+from semestra.llm.text import column_pieces, text_bytes
 
 #: Labelled rows the classifier is fitted on.
 TRAIN_ROWS = 4000
@@ -62,31 +62,35 @@ def fit(sample: ft.Sample, domains: int, penalty: float = 1e-4, least_z: float =
     return DomainModel(buckets, x[: k * domains].reshape(domains, k).T.copy(), x[k * domains :])
 
 
-def posteriors(docs: DataFrame, model: DomainModel, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` of ``docs``, ``__tokens`` (words) and ``__shares``, the domains' posteriors.
+def posteriors(docs: DataFrame, model: DomainModel, text: str = "text") -> DataFrame:
+    """All columns of ``docs``, ``__tokens`` (words) and ``__shares``, the domains' posteriors.
 
     Shares are whole steps of 1/``STEPS`` that add up to one. Texts without words, null
     ones among them, have the shares of the offsets alone and no tokens.
     """
-    places = ft.bucket_places(model.buckets)
+    places, domains = ft.bucket_places(model.buckets), len(model.offsets)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "__text"):
-            scores, words = ft.row_scores(*text_bytes(batch.column("__text")), places, model.weights)
+    @arrow_udf("struct<tokens bigint, shares array<double>>")
+    def shares(column: pa.Array) -> pa.Array:
+        tokens, rows = [np.zeros(0, np.int64)], [np.zeros((0, domains))]
+        for piece in column_pieces(column):
+            scores, words = ft.row_scores(*text_bytes(piece), places, model.weights)
             chance = softmax(scores + model.offsets) * STEPS
             whole = np.floor(chance)
             # The steps that are left go to the largest remainders
             order = np.argsort(np.argsort(whole - chance, axis=1, kind="stable"), axis=1)
-            whole += order < (STEPS - whole.sum(1, keepdims=True))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(words.astype(np.int64)), pa.array(list(whole / STEPS), pa.list_(pa.float64()))],
-                [*batch.schema.names[:-1], "new0", "new1"],
-            )
-
-    names = [f"c{i}" for i in range(len(keep))]
-    rows = docs.select(*[F.col(f"`{n}`").alias(c) for n, c in zip(keep, names)], F.col(f"`{text}`").alias("__text"))
-    schema = "".join(f"{c} {docs.schema[n].dataType.simpleString()}, " for n, c in zip(keep, names))
-    return rows.mapInArrow(run, f"{schema}new0 bigint, new1 array<double>").toDF(*keep, "__tokens", "__shares")
+            tokens.append(words.astype(np.int64))
+            rows.append(whole + (order < (STEPS - whole.sum(1, keepdims=True))))
+        flat = np.concatenate(rows) / STEPS
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * domains, pa.int32()), pa.array(flat.ravel()))
+        return pa.StructArray.from_arrays([pa.array(np.concatenate(tokens)), lists], ["tokens", "shares"])
+
+    # Only texts go to Python; kept from being evaluated once for each of the two
+    out = docs.withColumn("__posterior", shares.asNondeterministic()(F.col(f"`{text}`")))
+    return out.select(
+        *[F.col(f"`{n}`") for n in docs.columns], F.col("__posterior.tokens").alias("__tokens"),
+        F.col("__posterior.shares").alias("__shares"),
+    )
 
 
 class Rates(NamedTuple):
@@ -177,8 +181,11 @@ def mixed(
         np.zeros(0, np.int64), np.zeros((0, len(names))), np.zeros(len(names))
     )
     chance = F.pmod(F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`"), F.lit("copies")), F.lit(1 << 31))
-    kept = [*(docs.columns if keep is None else keep), "__chance"]
-    shared = stored(posteriors(docs.withColumn("__chance", chance / float(1 << 31)), model, kept, text), "posteriors")
+    kept = [F.col(f"`{n}`") for n in (docs.columns if keep is None else keep)]
+    shared = stored(
+        posteriors(docs, model, text).select(*kept, "__tokens", "__shares", (chance / float(1 << 31)).alias("__chance")),
+        "posteriors",
+    )
     whole = sum(targets.values())
     rates = fitted_rates(shared, [t / whole for t in targets.values()])
     rate = F.col("__rate")

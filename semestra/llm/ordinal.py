@@ -7,16 +7,16 @@ probability of the upper tail by which documents are selected.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.functions import arrow_udf
 
 from semestra.llm import features as ft
 from semestra.llm.optimise import minimum
-from semestra.llm.text import pieces, text_bytes
+from semestra.llm.text import column_pieces, text_bytes
 
 #: Labelled rows the model is fitted on, and those the cut is chosen on.
 TRAIN_ROWS, HELD_ROWS = 4000, 2000
@@ -121,20 +121,26 @@ def graded(docs: DataFrame, model: OrdinalModel | None, text: str = "text") -> D
         })
     places, weights = ft.bucket_places(model.buckets), model.weights[:, None]
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            scores, words = ft.row_scores(*text_bytes(batch.column("text")), places, weights)
+    @arrow_udf("struct<words bigint, grade double, tail double, kept boolean>")
+    def verdict(column: pa.Array) -> pa.Array:
+        parts: list[list[np.ndarray]] = [[], [], [], []]
+        for piece in column_pieces(column):
+            scores, words = ft.row_scores(*text_bytes(piece), places, weights)
             below = model.at_most(scores[:, 0])
             tail = 1 - below[:, -1]
-            new = [words.astype(np.int64), (1 - below).sum(1), tail, tail >= model.cut]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *map(pa.array, new)], [*batch.schema.names, *(f"new{i}" for i in range(4))]
-            )
-
-    names = [f"c{i}" if n != text else "text" for i, n in enumerate(docs.columns)]
-    schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema))
-    out = docs.toDF(*names).mapInArrow(run, f"{schema}, new0 bigint, new1 double, new2 double, new3 boolean")
-    return out.toDF(*docs.columns, "__words", "__grade", "__tail", "__kept")
+            for part, value in zip(parts, (words.astype(np.int64), (1 - below).sum(1), tail, tail >= model.cut)):
+                part.append(value)
+        kinds = (pa.int64(), pa.float64(), pa.float64(), pa.bool_())
+        arrays = [pa.array(np.concatenate(p) if p else [], k) for p, k in zip(parts, kinds)]
+        return pa.StructArray.from_arrays(arrays, ["words", "grade", "tail", "kept"])
+
+    # Only texts go to Python; kept from being evaluated once more below a filter
+    out = docs.withColumn("__verdict", verdict.asNondeterministic()(F.col(f"`{text}`")))
+    return out.select(
+        *[F.col(f"`{n}`") for n in docs.columns], F.col("__verdict.words").alias("__words"),
+        F.col("__verdict.grade").alias("__grade"), F.col("__verdict.tail").alias("__tail"),
+        F.col("__verdict.kept").alias("__kept"),
+    )
 
 
 def ratings(labels: DataFrame) -> DataFrame:

@@ -10,7 +10,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer single text is handled alone.
-PIECE = 1 << 20
+PIECE = 1 << 19
+#: Powers kept at hand; longer pieces, as of one long text, have theirs made anew.
+PIECE_POWERS = 1 << 20
 
 #: The white space of all word rules here: space, and tab to carriage return.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -35,6 +37,14 @@ def pieces(
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+    # A worker lives on after its task; what it no longer needs goes back
+    pa.default_memory_pool().release_unused()
+
+
+def column_pieces(column: pa.Array) -> Iterator[pa.Array]:
+    """A text column in slices as of ``pieces``."""
+    for batch in pieces([pa.RecordBatch.from_arrays([column], ["text"])]):
+        yield batch.column(0)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +80,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     one = np.ones(1, np.uint64)
     up = np.cumprod(np.concatenate((one, np.full(size, _BASE, np.uint64))))
@@ -80,7 +90,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums from which the hash of any span of the bytes follows in constant time."""
-    up, down = _powers(1 << max(20, int(len(data)).bit_length()))
+    up, down = _powers(max(PIECE_POWERS, 1 << int(len(data)).bit_length()))
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
