@@ -22,12 +22,22 @@ from pyspark.sql import DataFrame, functions as F
 from semestra.llm.text import pieces as text_pieces
 
 SPACE = "▁"
+_MASK = (1 << 64) - 1
+
 #: Segmentations that a worker remembers, and the longest word it remembers.
 REMEMBERED, LONGEST = 250_000, 40
 #: Nothing merges across the start of a run of spaces or a line feed.
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
 
 
+def draw(base: int, left: int, right: int, size: int) -> int:
+    """A 64-bit hash of a candidate's place and size, keyed by the hash of its word."""
+    x = base ^ (left * 0x9E3779B97F4A7C15 + right * 0xC2B2AE3D27D4EB4F + size * 0x165667B19E3779F9) & _MASK
+    x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _MASK
+    x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & _MASK
+    return x ^ x >> 32
+
+
 class Memory:
     """Segmentations of words; of two generations the older goes when the younger is full."""
 
@@ -84,6 +94,7 @@ class MergeModel:
         before, after = list(range(-1, size - 1)), list(range(1, size + 1))
         ids, ranks = self.ids, self.ranks
         limit = int(dropout * (1 << 64))
+        base = xxhash.xxh64_intdigest(word, key) if limit else 0
         agenda = [
             (ranks[joined], place, place + 1, joined)
             for place in range(size - 1)
@@ -95,7 +106,7 @@ class MergeModel:
             one, two = symbols[left], symbols[right]
             if one is None or two is None or after[left] != right or one + two != joined:
                 continue
-            if limit and xxhash.xxh64_intdigest(f"{left},{right},{joined},{word}", key) < limit:
+            if limit and draw(base, left, right, len(joined)) < limit:
                 continue
             symbols[left], symbols[right] = joined, None
             follower, leader = after[right], before[left]
@@ -153,7 +164,7 @@ class MergeModel:
     def _segmented(self, word: str, dropout: float, seed: int, variant: int) -> list[int]:
         if word[0] == "\x00" and SPACE in word:
             return [self.bytes[b] for b in word[1:].encode()]
-        return self.merged(word, dropout, (seed * 0x9E3779B97F4A7C15 + variant) & 0xFFFFFFFFFFFFFFFF)
+        return self.merged(word, dropout, (seed * 0x9E3779B97F4A7C15 + variant) & _MASK)
 
     def _guarded(self, text: str) -> list[str]:
         """Words of a text that holds literal U+2581; those stand alone behind a zero."""

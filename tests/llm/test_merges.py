@@ -44,7 +44,7 @@ def plain_merges(model, word, dropout, key):
             break
         best = min(pairs)
         _, left, right, joined = best
-        if dropout and xxhash.xxh64_intdigest(f"{left},{right},{joined},{word}", key) < int(dropout * 2**64):
+        if dropout and merges.draw(xxhash.xxh64_intdigest(word, key), left, right, len(joined)) < int(dropout * 2**64):
             skipped.add(best)
             continue
         n = next(i for i, p in enumerate(parts) if p[0] == left)
@@ -91,3 +91,9 @@ def test_rows(proto, odd):
     again = merges.encoded(odd.repartition(5), proto, 0.2, 9)
     assert sorted(map(str, coded.collect())) == sorted(map(str, again.collect()))
     assert merges.encoded(odd.limit(0), proto).count() == 0
+
+
+def test_draws_are_even():
+    draws = [merges.draw(b * 0x9E3779B97F4A7C15 % 2**64, i, i + 1, n) / 2**64 for b in range(20) for i in range(30) for n in range(2, 8)]
+    assert len(set(draws)) == len(draws)
+    assert all(abs(sum(x < t for x in draws) / len(draws) - t) < 0.03 for t in (0.1, 0.5, 0.9))
