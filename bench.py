@@ -1,7 +1,7 @@
-"""Time the headline queries and print one JSON line.
+"""Time every registered query of the reference's operators and print one JSON line.
 
-Reads ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``. The stand-in source files are
-written beforehand and their time is given apart, as ``setup``.
+Reads ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``. The stand-in source files and the stored
+facts are written first; that counts into the total and is also given apart, as ``setup``.
 """
 
 from __future__ import annotations
@@ -10,23 +10,10 @@ import json
 import os
 import time
 
-import __spark_entry__ as contract
 from semestra.session import build_session
-from semestra.standins import landing
+from semestra.standins import landing, registry
 from semestra.standins.stored import stored_warehouse
 
-HEADLINE = [
-    "olap_base", "olap_rollup", "olap_drilldown", "olap_slice", "olap_dice", "drill_across",
-    "index_price_correlation", "moving_average", "dependency_vs_price", "membership_averages",
-    "yoy_change", "dependency_ranking", "order_value_ranking", "annual_level_stats",
-    "topk_bottomk", "zero_plus_topk", "clean_observations", "multi_source_union",
-    "codelist_labels", "fact_key_resolution", "admissibility_split", "gpr_prepare",
-    "gate_duplicates", "gate_missing_members", "verify_counts", "verify_duplicates",
-    "verify_orphans", "verify_sanity", "constraint_report", "profile_missing",
-    "eu_membership_bridge", "dim_upsert", "fact_full_refresh", "warehouse_row_counts",
-]
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -38,7 +25,6 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    queries = contract.queries()
 
     start = time.perf_counter()
     landing.inputs(spark, sf_dir)
@@ -48,13 +34,13 @@ def main() -> None:
     setup = time.perf_counter() - start
 
     times = {}
-    for name in HEADLINE:
+    for name in registry.QUERIES:
         start = time.perf_counter()
-        queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
     print(json.dumps({
-        "metric": "total time of headline queries",
-        "value": round(sum(times.values()), 3),
+        "metric": "total time of all queries and their set-up",
+        "value": round(setup + sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),

@@ -7,100 +7,100 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 # Statistical code | ISO alpha-2 | ISO alpha-3 | name | entity type | EU member today
-GEO_ENTITIES = """
-AL | AL | ALB | Albania | Country | no
-AT | AT | AUT | Austria | Country | yes
-BE | BE | BEL | Belgium | Country | yes
-BG | BG | BGR | Bulgaria | Country | yes
-CY | CY | CYP | Cyprus | Country | yes
-CZ | CZ | CZE | Czechia | Country | yes
-DE | DE | DEU | Germany | Country | yes
-DK | DK | DNK | Denmark | Country | yes
-EE | EE | EST | Estonia | Country | yes
-EL | GR | GRC | Greece | Country | yes
-ES | ES | ESP | Spain | Country | yes
-FI | FI | FIN | Finland | Country | yes
-FR | FR | FRA | France | Country | yes
-GE | GE | GEO | Georgia | Country | no
-HR | HR | HRV | Croatia | Country | yes
-HU | HU | HUN | Hungary | Country | yes
-IE | IE | IRL | Ireland | Country | yes
-IT | IT | ITA | Italy | Country | yes
-LT | LT | LTU | Lithuania | Country | yes
-LU | LU | LUX | Luxembourg | Country | yes
-LV | LV | LVA | Latvia | Country | yes
-MD | MD | MDA | Moldova | Country | no
-ME | ME | MNE | Montenegro | Country | no
-MK | MK | MKD | North Macedonia | Country | no
-MT | MT | MLT | Malta | Country | yes
-NL | NL | NLD | Netherlands | Country | yes
-NO | NO | NOR | Norway | Country | no
-PL | PL | POL | Poland | Country | yes
-PT | PT | PRT | Portugal | Country | yes
-RO | RO | ROU | Romania | Country | yes
-RS | RS | SRB | Serbia | Country | no
-SE | SE | SWE | Sweden | Country | yes
-SI | SI | SVN | Slovenia | Country | yes
-SK | SK | SVK | Slovakia | Country | yes
-TR | TR | TUR | Türkiye | Country | no
-UK | GB | GBR | United Kingdom | Country | no
-BA | BA | BIH | Bosnia and Herzegovina | Country | no
-EA | - | - | Euro area (variable composition) | Aggregate | yes
-EA19 | - | - | Euro area - 19 countries (2015-2022) | Aggregate | yes
-EA20 | - | - | Euro area - 20 countries (from 2023) | Aggregate | yes
-EU27_2020 | - | - | European Union - 27 countries (from 2020) | Aggregate | yes
-GLOBAL | WO | WLD | Global / World | Global | no
-IS | IS | ISL | Iceland | Country | no
-LI | LI | LIE | Liechtenstein | Country | no
-UA | UA | UKR | Ukraine | Country | no
-XK | XK | XKX | Kosovo | Country | no
-"""
+GEO_ENTITIES = [
+    ("AL", "AL", "ALB", "Albania", "Country", False),
+    ("AT", "AT", "AUT", "Austria", "Country", True),
+    ("BE", "BE", "BEL", "Belgium", "Country", True),
+    ("BG", "BG", "BGR", "Bulgaria", "Country", True),
+    ("CY", "CY", "CYP", "Cyprus", "Country", True),
+    ("CZ", "CZ", "CZE", "Czechia", "Country", True),
+    ("DE", "DE", "DEU", "Germany", "Country", True),
+    ("DK", "DK", "DNK", "Denmark", "Country", True),
+    ("EE", "EE", "EST", "Estonia", "Country", True),
+    ("EL", "GR", "GRC", "Greece", "Country", True),
+    ("ES", "ES", "ESP", "Spain", "Country", True),
+    ("FI", "FI", "FIN", "Finland", "Country", True),
+    ("FR", "FR", "FRA", "France", "Country", True),
+    ("GE", "GE", "GEO", "Georgia", "Country", False),
+    ("HR", "HR", "HRV", "Croatia", "Country", True),
+    ("HU", "HU", "HUN", "Hungary", "Country", True),
+    ("IE", "IE", "IRL", "Ireland", "Country", True),
+    ("IT", "IT", "ITA", "Italy", "Country", True),
+    ("LT", "LT", "LTU", "Lithuania", "Country", True),
+    ("LU", "LU", "LUX", "Luxembourg", "Country", True),
+    ("LV", "LV", "LVA", "Latvia", "Country", True),
+    ("MD", "MD", "MDA", "Moldova", "Country", False),
+    ("ME", "ME", "MNE", "Montenegro", "Country", False),
+    ("MK", "MK", "MKD", "North Macedonia", "Country", False),
+    ("MT", "MT", "MLT", "Malta", "Country", True),
+    ("NL", "NL", "NLD", "Netherlands", "Country", True),
+    ("NO", "NO", "NOR", "Norway", "Country", False),
+    ("PL", "PL", "POL", "Poland", "Country", True),
+    ("PT", "PT", "PRT", "Portugal", "Country", True),
+    ("RO", "RO", "ROU", "Romania", "Country", True),
+    ("RS", "RS", "SRB", "Serbia", "Country", False),
+    ("SE", "SE", "SWE", "Sweden", "Country", True),
+    ("SI", "SI", "SVN", "Slovenia", "Country", True),
+    ("SK", "SK", "SVK", "Slovakia", "Country", True),
+    ("TR", "TR", "TUR", "Türkiye", "Country", False),
+    ("UK", "GB", "GBR", "United Kingdom", "Country", False),
+    ("BA", "BA", "BIH", "Bosnia and Herzegovina", "Country", False),
+    ("EA", None, None, "Euro area (variable composition)", "Aggregate", True),
+    ("EA19", None, None, "Euro area - 19 countries (2015-2022)", "Aggregate", True),
+    ("EA20", None, None, "Euro area - 20 countries (from 2023)", "Aggregate", True),
+    ("EU27_2020", None, None, "European Union - 27 countries (from 2020)", "Aggregate", True),
+    ("GLOBAL", "WO", "WLD", "Global / World", "Global", False),
+    ("IS", "IS", "ISL", "Iceland", "Country", False),
+    ("LI", "LI", "LIE", "Liechtenstein", "Country", False),
+    ("UA", "UA", "UKR", "Ukraine", "Country", False),
+    ("XK", "XK", "XKX", "Kosovo", "Country", False),
+]
 
 # Statistical code | first year in the union | first year out of it
-EU_HISTORY = """
-BE | 1957 | -
-DE | 1957 | -
-FR | 1957 | -
-IT | 1957 | -
-LU | 1957 | -
-NL | 1957 | -
-DK | 1973 | -
-IE | 1973 | -
-UK | 1973 | 2020
-EL | 1981 | -
-ES | 1986 | -
-PT | 1986 | -
-AT | 1995 | -
-FI | 1995 | -
-SE | 1995 | -
-CY | 2004 | -
-CZ | 2004 | -
-EE | 2004 | -
-HU | 2004 | -
-LT | 2004 | -
-LV | 2004 | -
-MT | 2004 | -
-PL | 2004 | -
-SI | 2004 | -
-SK | 2004 | -
-BG | 2007 | -
-RO | 2007 | -
-HR | 2013 | -
-"""
+EU_HISTORY = [
+    ("BE", 1957, None),
+    ("DE", 1957, None),
+    ("FR", 1957, None),
+    ("IT", 1957, None),
+    ("LU", 1957, None),
+    ("NL", 1957, None),
+    ("DK", 1973, None),
+    ("IE", 1973, None),
+    ("UK", 1973, 2020),
+    ("EL", 1981, None),
+    ("ES", 1986, None),
+    ("PT", 1986, None),
+    ("AT", 1995, None),
+    ("FI", 1995, None),
+    ("SE", 1995, None),
+    ("CY", 2004, None),
+    ("CZ", 2004, None),
+    ("EE", 2004, None),
+    ("HU", 2004, None),
+    ("LT", 2004, None),
+    ("LV", 2004, None),
+    ("MT", 2004, None),
+    ("PL", 2004, None),
+    ("SI", 2004, None),
+    ("SK", 2004, None),
+    ("BG", 2007, None),
+    ("RO", 2007, None),
+    ("HR", 2013, None),
+]
 
 # Indicator code | label | class | obligation basis | unit it is published in
-STOCK_INDICATORS = """
-IC_DC | Daily inland consumption for compliance | Compliance consumption | Compliance | THS_T
-IMP_DNC | Daily net imports for compliance | Compliance import flow | Compliance | THS_T
-STK_EUE_DIR | Emergency stocks held under EU Directive (days equivalent) | Emergency stock | EU Directive | NR
-STK_MIN_CAL | Minimum stock level for compliance - calculated | Minimum stock requirement | Compliance | THS_T
-"""
+STOCK_INDICATORS = [
+    ("IC_DC", "Daily inland consumption for compliance", "Compliance consumption", "Compliance", "THS_T"),
+    ("IMP_DNC", "Daily net imports for compliance", "Compliance import flow", "Compliance", "THS_T"),
+    ("STK_EUE_DIR", "Emergency stocks held under EU Directive (days equivalent)", "Emergency stock", "EU Directive", "NR"),
+    ("STK_MIN_CAL", "Minimum stock level for compliance - calculated", "Minimum stock requirement", "Compliance", "THS_T"),
+]
 
 # Unit code | label
-MEASURE_UNITS = """
-THS_T | Thousand tonnes
-NR | Number
-"""
+MEASURE_UNITS = [
+    ("THS_T", "Thousand tonnes"),
+    ("NR", "Number"),
+]
 
 # Stock codes that name a calculation method, not a quantity
 METHOD_CODES = ("STK_EUE_DNY_MTH", "STK_EUE_MIN_MTH", "STK_EUE_MTH")
@@ -109,12 +109,12 @@ METHOD_CODES = ("STK_EUE_DNY_MTH", "STK_EUE_MIN_MTH", "STK_EUE_MTH")
 TAX_ORDER = {"X_TAX": 1, "X_VAT": 2, "I_TAX": 3}
 
 # Dataset | commodity | consumer | product code its series must carry
-PRICE_DATASETS = """
-nrg_pc_202 | GAS | HOUSEHOLD | G3000
-nrg_pc_203 | GAS | NON_HOUSEHOLD | G3000
-nrg_pc_204 | ELECTRICITY | HOUSEHOLD | E7000
-nrg_pc_205 | ELECTRICITY | NON_HOUSEHOLD | E7000
-"""
+PRICE_DATASETS = [
+    ("nrg_pc_202", "GAS", "HOUSEHOLD", "G3000"),
+    ("nrg_pc_203", "GAS", "NON_HOUSEHOLD", "G3000"),
+    ("nrg_pc_204", "ELECTRICITY", "HOUSEHOLD", "E7000"),
+    ("nrg_pc_205", "ELECTRICITY", "NON_HOUSEHOLD", "E7000"),
+]
 
 # Calendar spans, both ends included
 YEAR_SPAN = (1900, 2030)
@@ -125,14 +125,6 @@ GLOBAL_CODE = "GLOBAL"
 INDEX_SCOPE_START = "1985-01"
 
 
-def parse_rows(text: str) -> list[tuple[str | None, ...]]:
-    """Rows of a ``|``-separated block; ``-`` stands for a missing value."""
-    return [
-        tuple(None if cell.strip() == "-" else cell.strip() for cell in line.split("|"))
-        for line in text.strip().splitlines()
-    ]
-
-
 def literal_frame(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
     """A frame of literal rows whose exact size the optimizer can see.
 
@@ -148,22 +140,20 @@ def literal_frame(spark: SparkSession, rows: list[tuple], schema: str | T.Struct
 
 
 def geo_entities(spark: SparkSession) -> DataFrame:
-    rows = [(*row[:5], row[5] == "yes") for row in parse_rows(GEO_ENTITIES)]
     return literal_frame(
-        spark, rows,
+        spark, GEO_ENTITIES,
         "eurostat_code string, iso_alpha2 string, iso_alpha3 string, "
         "country_name string, entity_type string, is_eu boolean",
     )
 
 
 def eu_history(spark: SparkSession) -> DataFrame:
-    rows = [(code, int(entry), leave and int(leave)) for code, entry, leave in parse_rows(EU_HISTORY)]
-    return literal_frame(spark, rows, "code string, entry_year int, exit_year int")
+    return literal_frame(spark, EU_HISTORY, "code string, entry_year int, exit_year int")
 
 
 def stock_indicators(spark: SparkSession) -> DataFrame:
     return literal_frame(
-        spark, [row[:4] for row in parse_rows(STOCK_INDICATORS)],
+        spark, [row[:4] for row in STOCK_INDICATORS],
         "indicator_code string, indicator_label string, indicator_class string, "
         "obligation_basis string",
     )
@@ -171,13 +161,13 @@ def stock_indicators(spark: SparkSession) -> DataFrame:
 
 def expected_units(spark: SparkSession) -> DataFrame:
     return literal_frame(
-        spark, [(row[0], row[4]) for row in parse_rows(STOCK_INDICATORS)],
+        spark, [(row[0], row[4]) for row in STOCK_INDICATORS],
         "indicator_code string, expected_unit string",
     )
 
 
 def measure_units(spark: SparkSession) -> DataFrame:
-    return literal_frame(spark, parse_rows(MEASURE_UNITS), "unit_code string, unit_label string")
+    return literal_frame(spark, MEASURE_UNITS, "unit_code string, unit_label string")
 
 
 def tax_order(spark: SparkSession) -> DataFrame:

@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from semestra.functions.text import month_number, month_text, semester_number, semester_text
 from semestra.plans.loading import Inputs, PriceSource
-from semestra.reference_data import GLOBAL_CODE, PRICE_DATASETS, literal_frame, parse_rows
+from semestra.reference_data import GLOBAL_CODE, PRICE_DATASETS, literal_frame
 from semestra.session import new_folder
 from semestra.standins.tables import YEARS, band_code, money, raw
 
 SEMESTERS = [f"{y}-S{s}" for y in range(YEARS[0], YEARS[1] + 1) for s in (1, 2)]
 MONTHS = [f"{y}-{m:02d}" for y in range(YEARS[0], YEARS[1] + 1) for m in range(1, 13)]
-DATASETS = {dataset: (commodity, consumer, siec) for dataset, commodity, consumer, siec in parse_rows(PRICE_DATASETS)}
+DATASETS = {dataset: (commodity, consumer, siec) for dataset, commodity, consumer, siec in PRICE_DATASETS}
 CALENDARS = {"years": (1990, 2005), "semesters": YEARS, "months": YEARS}
 
 _written: dict[tuple[str, str, str], str] = {}

@@ -9,7 +9,7 @@ from semestra.operators import calendar
 from semestra.operators.dimensions import assign_keys, insert_absent, upsert
 from semestra.operators.membership import expand_membership
 from semestra.plans import analysis, loading, verification
-from semestra.reference_data import GEO_ENTITIES, geo_entities, parse_rows
+from semestra.reference_data import GEO_ENTITIES, geo_entities
 from semestra.session import new_folder
 from semestra.sources.csv_export import write_csv
 from semestra.sources.warehouse import Warehouse
@@ -190,8 +190,8 @@ def _text(value: str | None) -> str:
 
 
 _FIXED_GEO = ", ".join(
-    "(" + ", ".join([*(_text(cell) for cell in row[:5]), "true" if row[5] == "yes" else "false"]) + ")"
-    for row in parse_rows(GEO_ENTITIES)
+    "(" + ", ".join([*(_text(cell) for cell in row[:5]), "true" if row[5] else "false"]) + ")"
+    for row in GEO_ENTITIES
 )
 
 ORACLES = {
