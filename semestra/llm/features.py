@@ -97,13 +97,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, size: int, key: str, tex
     found = rows.join(F.broadcast(chosen), "id").select("place", "label", "text")
     table = found.mapInArrow(_features, "place bigint, label int, buckets binary, weights binary").toArrow()
     table = table.sort_by([("place", "ascending"), ("label", "ascending"), ("buckets", "ascending")])
-    buckets = [np.frombuffer(x, "<u4") for x in table.column("buckets").to_pylist()]
+    labels = np.array(table.column("label").to_pylist(), np.int64)
+    # Narrow numbers, as this is the largest thing that the driver holds
+    buckets = [np.frombuffer(x, "<i4") for x in table.column("buckets").to_pylist()]
     weights = [np.frombuffer(x, "<f4") for x in table.column("weights").to_pylist()]
-    number = np.repeat(np.arange(len(buckets)), [len(x) for x in buckets]).astype(np.int64)
+    del table
+    number = np.repeat(np.arange(len(buckets), dtype=np.int32), [len(x) for x in buckets])
     return Sample(
-        number, np.concatenate([np.zeros(0, "<u4"), *buckets]).astype(np.int64),
-        np.concatenate([np.zeros(0, "<f4"), *weights]).astype(np.float64),
-        np.array(table.column("label").to_pylist(), np.int64),
+        number, np.concatenate([np.zeros(0, "<i4"), *buckets]), np.concatenate([np.zeros(0, "<f4"), *weights]), labels
     )
 
 
