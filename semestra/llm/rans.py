@@ -26,15 +26,16 @@ Beside it, ``table`` has the columns ``id`` and ``frequency``, which add up to 2
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
@@ -48,8 +49,8 @@ TABLE_BITS = 20
 LOW_BITS = 31
 #: Interleaved states, steps between two checkpoints, and ids a block is closed at.
 LANES, STEPS, BLOCK = 1024, 128, 1 << 18
-#: Segments and words whose ids a worker remembers.
-REMEMBERED = 300_000
+#: Words, and letters or marks in them, whose ids a worker remembers.
+REMEMBERED = 200_000
 
 _U32, _U64 = np.dtype("<u4"), np.dtype("<u8")
 
@@ -158,9 +159,19 @@ def checksum(ids: np.ndarray) -> int:
 
 # --- Token ids of texts -------------------------------------------------------------------
 
-#: A run of letters or digits and one of these marks, which the pre-tokenizer parts anyway.
-_MARKED = regex.compile(r"([\p{L}\p{N}]+)([.,!?;:*&%$#]+)")
-_PLAIN = regex.compile(r"[a-z]+|[.,!?;:*&%$#]+")
+#: Marks that the pre-tokenizer parts from a word before them, as one run.
+_MARKS = b".,!?;:*&%$#"
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level merges: bytes that print as
+    Latin-1 stand for themselves, the others for the letters from 256 on, in turn."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in own)
+    return {b: 256 + n for n, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
 
 
 @lru_cache(maxsize=2)
@@ -172,41 +183,56 @@ def id_bytes(definition: str) -> int:
 class WordTokens:
     """Token ids of texts by the library, which is asked once for each different word.
 
-    Only for a tokenizer that drops white space and merges within words, where the ids of
-    a text are those of its words in turn. Marks after a word are looked up apart, and
-    ASCII in lower case, as the tokenizer does both itself; that spares most questions.
+    Only for a tokenizer that lower-cases, drops white space and has byte-level merges
+    within words, where the ids of a text are those of its words in turn. A word of letters,
+    with or without marks behind it, goes to the library's merges at once, as nothing else
+    would be done to it; any other is asked for as a text.
     """
 
     def __init__(self, definition: str) -> None:
         self.library = Tokenizer.from_str(definition)
         self.code = "H" if id_bytes(definition) == 2 else "I"
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+
+    def _merged(self, part: bytes) -> bytes:
+        """Ids of a run of letters, or of marks, that is already in lower case."""
+        # Letters and marks of ASCII print, so they stand for themselves
+        letters = part.decode() if part.isascii() else part.decode("latin-1").translate(_LETTERS)
+        merged = self.library.model.tokenize(letters)
+        found = self.parts[part] = array(self.code, [token.id for token in merged]).tobytes()
+        return found
 
     def _learn(self, words: set[bytes]) -> None:
-        wanted = []
-        for word in words:
-            text = word.lower().decode() if word.isascii() else word.decode()
-            match = _MARKED.fullmatch(text)
-            wanted.append((word, match.groups() if match else (text,)))
-        parts = self.parts
-        merge = self.library.model.tokenize
+        parts, known = self.parts, self.words
         others = []
-        for part in {p for _, split in wanted for p in split}.difference(parts):
-            # Nothing is normalised or parted in plain letters or marks, so merges are all
-            if _PLAIN.fullmatch(part):
-                parts[part] = array(self.code, [token.id for token in merge(part)]).tobytes()
+        for word in words:
+            stem = word.rstrip(_MARKS)
+            if stem.isascii():
+                lower = stem.lower()
+                plain = lower.isalpha()
             else:
-                others.append(part)
-        for part, found in zip(others, self.library.encode_batch_fast(others, add_special_tokens=False)):
-            parts[part] = array(self.code, found.ids).tobytes()
-        for word, split in wanted:
-            self.words[word] = b"".join([parts[p] for p in split])
+                # Letter by letter, as the library does; only what stays a word of letters
+                text = "".join(map(str.lower, unicodedata.normalize("NFC", stem.decode())))
+                lower, plain = text.encode(), text.isalpha()
+            if not plain:
+                others.append(word)
+                continue
+            ids = parts.get(lower) or self._merged(lower)
+            if len(stem) != len(word):
+                marks = word[len(stem) :]
+                ids += parts.get(marks) or self._merged(marks)
+            known[word] = ids
+        texts = [word.decode() for word in others]
+        for word, found in zip(others, self.library.encode_batch_fast(texts, add_special_tokens=False)):
+            known[word] = array(self.code, found.ids).tobytes()
 
     def encode(self, texts: list[bytes], end: int) -> list[bytes]:
         """Ids of every text and the end id, as unsigned integers of ``id_bytes``."""
         if len(self.words) > REMEMBERED:
-            self.words, self.parts = {}, {}
+            self.words = {}
+        if len(self.parts) > REMEMBERED:
+            self.parts = {}
         split = [text.split() for text in texts]
         self._learn(set().union(*split).difference(self.words))
         mark = array(self.code, [end]).tobytes()
@@ -347,17 +373,34 @@ def write(
     for part in sorted(sums):
         starts[part] = total
         total += sums[part]
-    counts = raw.select("ids").mapInArrow(_id_counts(width), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    with few_rows_at_once(docs.sparkSession):
+        counts = (
+            raw.select("ids").mapInArrow(_id_counts(width), "id bigint, n bigint")
+            .groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+        )
     sizes = np.zeros(1 + max(counts.column("id").to_pylist(), default=0), np.int64)
     sizes[counts.column("id").to_numpy()] = counts.column("n").to_numpy()
     frequencies = quantised(sizes)
-    raw.mapInArrow(_coder(starts, frequencies, width), _FILE).write.option("compression", "none").parquet(f"{path}/blocks")
     spark = docs.sparkSession
+    with few_rows_at_once(spark):
+        raw.mapInArrow(_coder(starts, frequencies, width), _FILE).write.option("compression", "none").parquet(f"{path}/blocks")
     rows = [(int(i), int(frequencies[i])) for i in np.flatnonzero(frequencies)]
     spark.createDataFrame(rows, "id int, frequency int").coalesce(1).write.parquet(f"{path}/table")
     dropped(raw)
 
 
+@contextmanager
+def few_rows_at_once(spark: SparkSession, rows: int = 8) -> Iterator[None]:
+    """Send blocks, which are large rows, to Python a few at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def read_table(spark: SparkSession, path: str) -> np.ndarray:
     """Frequencies by id, as large as the vocabulary."""
     table = spark.read.parquet(f"{path}/table").toArrow()

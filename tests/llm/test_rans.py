@@ -46,7 +46,7 @@ def definition():
 
 TRICKY = [
     "", " ", "Hello, World!!", "it's we'll 'tis", "ab%%% cd*** &&& x.y,z", "İstanbul ΣΑΣ ς", "é à,", "\x1c\x1d a\x1eb",
-    "<|startoftext|> a<|endoftext|>b", "non breaking space", "123abc 4.5 x1!", "日本語。テスト", "ﬁ ½ ①", "A.\nB\tC\x0bD",
+    "<|startoftext|> a<|endoftext|>b", "non breaking space", "123abc 4.5 x1!", "Ünïté, ÉCOLE!! straße… ǅ ŉ ﬀ ª ñandú; Ǆungla *** %%%", "日本語。テスト", "ﬁ ½ ①", "A.\nB\tC\x0bD",
 ]
 
 
