@@ -161,8 +161,9 @@ def judged(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str =
         ratings.where(F.col(key).isNotNull() & F.col("trusted").isNotNull())
         .groupBy(F.col(key).alias("key")).agg(F.min(F.col("trusted").cast("int")).alias("trusted"))
     )
-    # Texts move once, to the ratings; the passes over all documents stay where these are
-    good = bucket_counts(rows.join(rated.where("trusted = 1"), "key", "left_semi"))
+    # Texts move once, to the ratings, in the same way at every size; the passes over all
+    # documents stay where these are
+    good = bucket_counts(rows.join(rated.where("trusted = 1").hint("merge"), "key", "left_semi"))
     released(docs.sparkSession)
     fields = ", ".join(f"{f} bigint" for f in _BASE_FIELDS)
     scored = stored(
