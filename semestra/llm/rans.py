@@ -50,7 +50,7 @@ LOW_BITS = 31
 #: Interleaved states, steps between two checkpoints, and ids a block is closed at.
 LANES, STEPS, BLOCK = 1024, 128, 1 << 18
 #: Words, and letters or marks in them, whose ids a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED, REMEMBERED_PARTS = 400_000, 200_000
 
 _U32, _U64 = np.dtype("<u4"), np.dtype("<u8")
 
@@ -231,7 +231,7 @@ class WordTokens:
         """Ids of every text and the end id, as unsigned integers of ``id_bytes``."""
         if len(self.words) > REMEMBERED:
             self.words = {}
-        if len(self.parts) > REMEMBERED:
+        if len(self.parts) > REMEMBERED_PARTS:
             self.parts = {}
         split = [text.split() for text in texts]
         self._learn(set().union(*split).difference(self.words))
@@ -367,7 +367,8 @@ def write(
         docs.select(block_of.cast("int").alias("part"), number.alias("key"), F.col(f"`{text}`").alias("text")), definition, end
     )
     ordered = ids.repartition("part").sortWithinPartitions("part", "key", "ids")
-    raw = stored(ordered.mapInArrow(_raw_blocks(block, width), _RAW), "blocks")
+    with few_rows_at_once(docs.sparkSession, 1000):
+        raw = stored(ordered.mapInArrow(_raw_blocks(block, width), _RAW), "blocks")
     sums = dict(map(tuple, raw.groupBy("part").agg(F.sum("n_ids")).collect()))
     starts, total = {}, 0
     for part in sorted(sums):
@@ -391,7 +392,7 @@ def write(
 
 @contextmanager
 def few_rows_at_once(spark: SparkSession, rows: int = 8) -> Iterator[None]:
-    """Send blocks, which are large rows, to Python a few at a time."""
+    """Send texts or blocks, which are large rows, to Python a few at a time."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
     spark.conf.set(name, str(rows))
