@@ -48,9 +48,9 @@ TABLE_BITS = 20
 #: States stay in [2^31, 2^63), by 32 bits at a time.
 LOW_BITS = 31
 #: Interleaved states, steps between two checkpoints, and ids a block is closed at.
-LANES, STEPS, BLOCK = 1024, 128, 1 << 18
+LANES, STEPS, BLOCK = 1024, 128, 1 << 17
 #: Words, and letters or marks in them, whose ids a worker remembers.
-REMEMBERED, REMEMBERED_PARTS = 400_000, 200_000
+REMEMBERED, REMEMBERED_PARTS = 150_000, 100_000
 
 _U32, _U64 = np.dtype("<u4"), np.dtype("<u8")
 
@@ -259,6 +259,8 @@ def token_ids(rows: DataFrame, definition: str, end: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("part"), batch.column("key"), pa.array(ids, pa.binary())], ["part", "key", "ids"]
             )
+        # The worker goes on to other stages, which need the room
+        coder.words, coder.parts = {}, {}
 
     return rows.mapInArrow(run, "part int, key bigint, ids binary")
 
