@@ -50,7 +50,7 @@ LOW_BITS = 31
 #: Interleaved states, steps between two checkpoints, and ids a block is closed at.
 LANES, STEPS, BLOCK = 1024, 128, 1 << 17
 #: Words, and letters or marks in them, whose ids a worker remembers.
-REMEMBERED, REMEMBERED_PARTS = 150_000, 100_000
+REMEMBERED, REMEMBERED_PARTS = 300_000, 200_000
 
 _U32, _U64 = np.dtype("<u4"), np.dtype("<u8")
 
@@ -180,8 +180,8 @@ def id_bytes(definition: str) -> int:
     return 2 if Tokenizer.from_str(definition).get_vocab_size() <= 1 << 16 else 4
 
 
-class WordTokens:
-    """Token ids of texts by the library, which is asked once for each different word.
+class WordTokens(dict):
+    """Token ids of words, which are worked out when they are first looked up.
 
     Only for a tokenizer that lower-cases, drops white space and has byte-level merges
     within words, where the ids of a text are those of its words in turn. A word of letters,
@@ -190,9 +190,9 @@ class WordTokens:
     """
 
     def __init__(self, definition: str) -> None:
+        super().__init__()
         self.library = Tokenizer.from_str(definition)
         self.code = "H" if id_bytes(definition) == 2 else "I"
-        self.words: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
 
     def _merged(self, part: bytes) -> bytes:
@@ -203,40 +203,34 @@ class WordTokens:
         found = self.parts[part] = array(self.code, [token.id for token in merged]).tobytes()
         return found
 
-    def _learn(self, words: set[bytes]) -> None:
-        parts, known = self.parts, self.words
-        others = []
-        for word in words:
-            stem = word.rstrip(_MARKS)
-            if stem.isascii():
-                lower = stem.lower()
-                plain = lower.isalpha()
-            else:
-                # Letter by letter, as the library does; only what stays a word of letters
-                text = "".join(map(str.lower, unicodedata.normalize("NFC", stem.decode())))
-                lower, plain = text.encode(), text.isalpha()
-            if not plain:
-                others.append(word)
-                continue
-            ids = parts.get(lower) or self._merged(lower)
+    def __missing__(self, word: bytes) -> bytes:
+        stem = word.rstrip(_MARKS)
+        if stem.isascii():
+            lower = stem.lower()
+            plain = lower.isalpha()
+        else:
+            # Letter by letter, as the library does; only what stays a word of letters
+            text = "".join(map(str.lower, unicodedata.normalize("NFC", stem.decode())))
+            lower, plain = text.encode(), text.isalpha()
+        if not plain:
+            ids = self.library.encode(word.decode(), add_special_tokens=False).ids
+            found = array(self.code, ids).tobytes()
+        else:
+            found = self.parts.get(lower) or self._merged(lower)
             if len(stem) != len(word):
                 marks = word[len(stem) :]
-                ids += parts.get(marks) or self._merged(marks)
-            known[word] = ids
-        texts = [word.decode() for word in others]
-        for word, found in zip(others, self.library.encode_batch_fast(texts, add_special_tokens=False)):
-            known[word] = array(self.code, found.ids).tobytes()
+                found += self.parts.get(marks) or self._merged(marks)
+        self[word] = found
+        return found
 
     def encode(self, texts: list[bytes], end: int) -> list[bytes]:
         """Ids of every text and the end id, as unsigned integers of ``id_bytes``."""
-        if len(self.words) > REMEMBERED:
-            self.words = {}
+        if len(self) > REMEMBERED:
+            self.clear()
         if len(self.parts) > REMEMBERED_PARTS:
-            self.parts = {}
-        split = [text.split() for text in texts]
-        self._learn(set().union(*split).difference(self.words))
+            self.parts.clear()
         mark = array(self.code, [end]).tobytes()
-        return [b"".join([*map(self.words.__getitem__, words), mark]) for words in split]
+        return [b"".join([*map(self.__getitem__, text.split()), mark]) for text in texts]
 
 
 @lru_cache(maxsize=2)
@@ -260,7 +254,8 @@ def token_ids(rows: DataFrame, definition: str, end: int) -> DataFrame:
                 [batch.column("part"), batch.column("key"), pa.array(ids, pa.binary())], ["part", "key", "ids"]
             )
         # The worker goes on to other stages, which need the room
-        coder.words, coder.parts = {}, {}
+        coder.clear()
+        coder.parts.clear()
 
     return rows.mapInArrow(run, "part int, key bigint, ids binary")
 
