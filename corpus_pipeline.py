@@ -50,8 +50,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id and ids: the piece ids of every text, with seeded merge-dropout."""
-    return merges.encoded(docs, model_bytes(), DROPOUT, SEED)
+    """doc_id and ids: the piece ids of every text, with seeded merge-dropout of its own for each copy."""
+    numbered = mixing.numbered(docs.select("doc_id", "text"), "copy")
+    return merges.encoded(numbered, model_bytes(), DROPOUT, SEED, copy="copy")
 
 
 STAGES = [

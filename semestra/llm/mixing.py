@@ -11,7 +11,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from semestra.llm import features as ft
@@ -201,3 +201,9 @@ def realised(docs: DataFrame, labels: DataFrame, targets: dict, **rules) -> Data
     return rated.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(
         *[F.col(f"`{n}`") for n in docs.columns]
     )
+
+
+def numbered(docs: DataFrame, out: str, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``out``: the number, from 0, of every row among those of its key and text, as of copies."""
+    same = Window.partitionBy(F.col(f"`{key}`"), F.xxhash64(F.col(f"`{text}`"))).orderBy(F.lit(0))
+    return docs.withColumn(out, F.row_number().over(same) - 1)

@@ -1,8 +1,10 @@
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
 
-from semestra.llm import merges
+import corpus_pipeline
+from semestra.llm import merges, mixing
 
 TEXTS = [
     "", " ", "  two  spaces ", "The river and the house.\nAnother\n\n line\t", "naïve Ünïcode 日本語 😀", "▁", "a▁b ▁ c", "\x00▁",
@@ -97,3 +99,38 @@ def test_draws_are_even():
     draws = [merges.draw(b * 0x9E3779B97F4A7C15 % 2**64, i, i + 1, n) / 2**64 for b in range(20) for i in range(30) for n in range(2, 8)]
     assert len(set(draws)) == len(draws)
     assert all(abs(sum(x < t for x in draws) / len(draws) - t) < 0.03 for t in (0.1, 0.5, 0.9))
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5, 1.0])
+def test_many_words_as_one_by_one(model, dropout):
+    words = ["▁internationalisation", "▁thndere", "▁▁▁x", "\n", "▁日本語é", "▁aaaaaaaaaaaa", "▁😀x", "a", "▁the", "▁river"] * 30
+    bases = np.random.default_rng(1).integers(0, 2**64, len(words), np.uint64)
+    limit = int(dropout * 2**64)
+    got = model.merged_together(words, limit, bases)
+    found = [got.ids[a : a + n].tolist() for a, n in zip(got.first_id, got.sizes)]
+    assert found == [model.agenda(w, limit, int(b)) for w, b in zip(words, bases)]
+
+
+def test_every_occurrence_has_draws_of_its_own(model):
+    """One word at 400 places: it varies as often, and in as many ways, as its agenda does."""
+    word, size = "▁international", 400
+    text = " ".join(["international"] * size)
+    plain = model.agenda(word, 0, 0)
+    seen = {}
+    for key in "abcdef":
+        ids = model.encode(text, 0.1, 3, key).tolist()
+        ends = [n for n, i in enumerate(ids) if model.pieces[i].startswith("▁")] + [len(ids)]
+        for a, b in zip(ends, ends[1:]):
+            seen[tuple(ids[a:b])] = seen.get(tuple(ids[a:b]), 0) + 1
+    rng = np.random.default_rng(4)
+    free = [model.agenda(word, int(0.1 * 2**64), int(b)) for b in rng.integers(0, 2**64, 4000, np.uint64)]
+    assert len(seen) > 5 and sum(seen.values()) == 6 * size
+    assert abs(seen[tuple(plain)] / (6 * size) - sum(x == plain for x in free) / 4000) < 0.05
+
+
+def test_copies_differ(spark, proto, documents):
+    docs = documents([(1, "thnting ndere onhaes thingre " * 20)] * 3)
+    ids = [tuple(r.ids) for r in merges.encoded(mixing.numbered(docs, "n"), proto, 0.1, 20, copy="n").collect()]
+    assert len(set(ids)) == 3
+    assert len({tuple(r.ids) for r in corpus_pipeline.encode(spark, docs, "").collect()}) == 3
+    assert len({tuple(r.ids) for r in merges.encoded(docs, proto, 0.1, 20).collect()}) == 1
