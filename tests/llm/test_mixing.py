@@ -81,3 +81,19 @@ def test_odd_rows(spark, odd):
     clash = odd.withColumnRenamed("source", "tokens").withColumnRenamed("n_chars", "shares")
     assert mixing.realised(clash, labels, {"en": 1.0}).columns == clash.columns
     assert mixing.mixed(odd.limit(0), labels, {"en": 1.0}).count() == 0
+
+
+def test_rare_domains_meet_their_targets(spark):
+    words, targets = [8500, 800, 690, 10], [0.60, 0.15, 0.15, 0.10]
+    frame = spark.createDataFrame([(w, s.tolist()) for w, s in zip(words, np.eye(4))], "__tokens bigint, __shares array<double>")
+    rates = mixing.fitted_rates(frame, targets)
+    found = [r.rate for r in frame.select(rates.column(frame["__shares"]).alias("rate")).collect()]
+    assert min(found) >= 0 and np.array(found) * words / sum(words) == pytest.approx(targets, abs=1.01e-4)
+
+
+def test_targets_out_of_reach_are_told(spark):
+    """Shares of a half each: the best rates give both domains a half of what is least wrong."""
+    frame = spark.createDataFrame([(10, [0.5, 0.5]), (30, [0.5, 0.5])], "__tokens bigint, __shares array<double>")
+    with pytest.warns(UserWarning, match="miss a target by 0.25"):
+        rates = mixing.fitted_rates(frame, [0.75, 0.25], rounds=45)
+    assert np.array(rates.totals) / 40 == pytest.approx([0.5, 0.5], abs=1e-6)
