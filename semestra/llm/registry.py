@@ -121,7 +121,7 @@ def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
         syncmers.fingerprint(F.col("sketch")).alias("fingerprint"),
         syncmers.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
-        "near_edited", "near_next",
+        F.col("all_edited").alias("near_edited"), F.col("all_next").alias("near_next"),
     )
 
 

@@ -82,6 +82,13 @@ def fingerprint(sketch: Column) -> Column:
     return F.lower(F.array_join(F.transform(sketch, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
 
 
+def likeness_of_all(one: Column, other: Column) -> Column:
+    """Share of common anchors among all of two texts, from their whole lists of anchors."""
+    a = F.transform(one, lambda x: F.shiftright(x, PLACE_BITS))
+    b = F.transform(other, lambda x: F.shiftright(x, PLACE_BITS))
+    return F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
+
+
 def likeness(one: Column, other: Column) -> Column:
     """Estimated share of common anchors among all of two texts, from their sketches."""
     a = F.transform(one, lambda x: F.shiftright(x, PLACE_BITS))
@@ -147,23 +154,27 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     In the edited text the last floor(n/2) code points give way to as many from the start
     of the next document, or all of that. Null texts count as empty. Gives ``key, n_chars,
-    edited_text, sketch, edited_sketch, near_edited, near_next`` for every row; repeated
-    rows are each other's next document. Other columns are not looked at.
+    edited_text, sketch, edited_sketch, near_edited, near_next, all_edited, all_next`` for
+    every row: ``all_`` is the likeness over all anchors, ``near_`` its estimate from the
+    sketches. Repeated rows are each other's next document. Other columns are not looked at.
     """
     rows = docs.select(F.col(f"`{key}`").alias(key), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    following = with_next(
-        rows, key, ["text", "sketch"], "text", lambda r: with_sketch(r, "text", "sketch")
-    )
+    following = with_next(rows, key, ["text"], "text", lambda r: r)
     size = F.char_length("text")
     half = F.floor(size / 2).cast("int")
     changed = following.select(
         key, size.cast("long").alias("n_chars"),
         F.concat(F.substring("text", F.lit(1), size - half), F.substring("next_text", F.lit(1), half)).alias("edited_text"),
-        "sketch", "next_sketch",
+        "text", "next_text",
     )
-    out = with_sketch(changed, "edited_text", "edited_sketch")
+    # Anchors are made after the exchange, as they take more room than the texts
+    out = changed
+    for name, prefix in (("text", ""), ("next_text", "next_"), ("edited_text", "edited_")):
+        out = sketched(with_anchors(out, name, f"{prefix}anchors"), f"{prefix}anchors", f"{prefix}sketch")
+    found = [F.col(f"{prefix}anchors") for prefix in ("", "edited_", "next_")]
     return out.select(
         key, "n_chars", "edited_text", "sketch", "edited_sketch",
         likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        likeness_of_all(found[0], found[1]).alias("all_edited"), likeness_of_all(found[0], found[2]).alias("all_next"),
     )

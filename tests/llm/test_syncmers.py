@@ -5,7 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from semestra.llm import syncmers
+from semestra.llm import registry, syncmers
 
 MASK = 2**64 - 1
 
@@ -117,3 +117,15 @@ def test_fingerprint_text(spark):
     assert row.f == "f" * 16 + "000000000000000a"
     assert brute_likeness("a b c", "a b c") == 1 and brute_likeness("a", "b") == 0
     assert pytest.approx(0.33, abs=0.2) == brute_likeness(" ".join(map(str, range(60))), " ".join(map(str, range(30, 90))))
+
+
+def test_likeness_is_over_all_anchors(spark, documents, tmp_path):
+    """Two texts of 5,000 words share 60: the registered likeness is their exact share of anchors."""
+    passage = [f"p{n}" for n in range(60)]
+    one, other = ([f"{c}{n}" for n in range(5000)] for c in "ab")
+    texts = [" ".join(one[:100] + passage + one[100:]), " ".join(other[:3000] + passage + other[3000:])]
+    documents(list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    sets = [{a >> syncmers.PLACE_BITS for a in brute_anchors(t)} for t in texts]
+    share = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+    rows = registry.op9_syncmers(spark, str(tmp_path)).collect()
+    assert share > 0 and [r.near_next for r in rows] == pytest.approx([share, share])
