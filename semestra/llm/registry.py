@@ -10,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from semestra.llm import likelihood, lines, merges, mixing, ordinal, rans, secrets, simhash, suffixes, syncmers
+from semestra.llm import (
+    conversations, likelihood, lines, merges, mixing, ordinal, ranking, rans, secrets, simhash, suffixes, syncmers, toxicity,
+)
 from semestra.llm.storage import new_path
 
 
@@ -133,6 +135,25 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model learns from four fifths of the rated documents; the others are held out."""
+    docs, held = _table(spark, sf_dir).select("doc_id", "text", "lang"), toxicity.held_out(F.col("doc_id"))
+    model = toxicity.train(docs, toxicity.rated(_table(spark, sf_dir, "labels")).where(~held))
+    return toxicity.scored(docs, model).select(
+        "doc_id", held.alias("held_out"), F.col("__score").alias("score"),
+        (F.col("__score") >= 0.5).cast("int").alias("predicted"), F.col("__flagged").alias("flagged"),
+    )
+
+
+def op12_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents for every benchmark item."""
+    return ranking.ranked(_table(spark, sf_dir), _table(spark, sf_dir, "benchmark"), top=50)
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repairs(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
@@ -144,6 +165,9 @@ QUERIES = {
     "op8_merge_dropout": op8_merge_dropout,
     "op9_syncmers": op9_syncmers,
     "op10_suffixes": op10_suffixes,
+    "op11_toxicity": op11_toxicity,
+    "op12_ranking": op12_ranking,
+    "op13_conversations": op13_conversations,
     "pipeline": corpus_pipeline.run,
 }
 _SPACES = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
@@ -166,6 +190,29 @@ kept AS (
 SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM texts JOIN kept USING (row)
 """
 
-ORACLES = {"op5_lines": _OP5}
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_OP12 = f"""
+WITH words AS (SELECT row, doc_id, unnest({_TERMS}) AS term FROM (SELECT *, row_number() OVER () AS row FROM documents)),
+counts AS (SELECT row, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+sizes AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY row),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM sizes),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counts, total GROUP BY term
+),
+wanted AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)),
+scores AS (
+    SELECT item_id, row, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length)))) AS BIGINT) AS score
+    FROM wanted JOIN counts USING (term) JOIN weights USING (term) JOIN sizes USING (row), total GROUP BY ALL
+),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+    FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+ORACLES = {"op5_lines": _OP5, "op12_ranking": _OP12}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

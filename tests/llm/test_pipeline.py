@@ -25,6 +25,7 @@ COLUMNS = {
     "op8_merge_dropout": ["doc_id", "n_pieces", "ids_sha256", "decoded_sha256"],
     "op9_syncmers": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op10_suffixes": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    "op11_toxicity": ["doc_id", "held_out", "score", "predicted", "flagged"],
 }
 
 
