@@ -29,7 +29,10 @@ def main() -> None:
     start = time.perf_counter()
     landing.inputs(spark, sf_dir)
     stored_warehouse(spark, sf_dir)
-    for name in ("stocks_dirty", "index_dirty", "part_codelists"):
+    for name in (
+        "stocks_dirty", "index_dirty", "part_codelists", "prices_dirty", "prices_faulty", "prices_empty", "dependency_dirty",
+        "faulty_codelists", "faulty_products",
+    ):
         landing.landed(spark, sf_dir, name)
     setup = time.perf_counter() - start
 

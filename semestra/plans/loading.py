@@ -1,22 +1,23 @@
-"""Loading the warehouse: stage, gate, then publish.
+"""Loading the warehouse: stage, gate, then write.
 
-Each fact load conforms its source into a staging table, runs every gate on that
-table, writes dimensions and fact as new versions and publishes them together.
-Nothing becomes visible before all gates have passed. The staging table is read
-by gates and writers alike, so sources are parsed once and a lost executor costs
-only a re-read.
+Each fact load reads its source once, into a staging table; counters of the lines and of
+the observations are taken on the way. The gates of the load are one report on that table
+and on the few combinations of codes in it (``price_gates`` and its like), which anybody
+may look at and which the load refuses to go on from. Only then are dimensions and fact
+written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce, wraps
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from semestra import reference_data as fixed
+from semestra.functions.periods import period_columns
 from semestra.functions.text import period_year
 from semestra.operators import calendar, gates
 from semestra.operators.dimensions import extract_members, insert_absent, resolve, upsert
@@ -26,9 +27,9 @@ from semestra.sources.codelists import labels_of, read_codelists
 from semestra.sources.warehouse import Warehouse
 from semestra.sources.wide_tsv import (
     clean_observations,
+    missing_keys,
     read_wide,
     split_key,
-    surplus_cells,
     union_sources,
     unpivot_periods,
 )
@@ -49,7 +50,7 @@ STOCK_GRAIN = ["month_sk", "geo_code", "indicator_code", "unit_code"]
 
 # What a price series is made of besides its geography
 PRICE_CODES = [
-    "dataset", "commodity_type", "consumer_type", "expected_siec", "siec_code", "band_code",
+    "freq", "dataset", "commodity_type", "consumer_type", "expected_siec", "siec_code", "band_code",
     "tax_code", "energy_unit_code", "currency_code",
 ]
 BAND_KEY = ["commodity_type", "consumer_type", "band_code"]
@@ -160,64 +161,133 @@ def add_period(rows: DataFrame, members: DataFrame, period: str) -> DataFrame:
     )
 
 
-def missing_codelists(codelists: DataFrame, required: DataFrame) -> DataFrame:
-    return required.join(codelists.select("codelist").distinct(), "codelist", "left_anti")
+def wrong_arity(parts: int) -> Column:
+    """True where a key does not have the expected number of parts."""
+    return F.col("key_parts") != parts
+
+
+def line_rules(parts: int) -> dict[str, Column]:
+    """Rules for the lines of an extract whose keys must have so many parts."""
+    return {"key arity": wrong_arity(parts), "surplus cells": F.col("surplus_cells")}
+
+
+def layout_issues(source: str, columns: list[str], required: list[str], granularity: str) -> list[tuple[str, int, str | None]]:
+    """What the header of an extract lacks, as rows of a gate report."""
+    missing = missing_keys(columns, set(required))
+    no_period = not period_columns(columns, granularity)
+    return [
+        (f"missing key columns of {source}", len(missing), ", ".join(missing) or None),
+        (f"missing {granularity} columns of {source}", int(no_period), None),
+    ]
+
+
+def empty_issue(name: str, counters: dict[str, int | str | None]) -> tuple[str, int, None]:
+    """A row of a gate report: a source must have observations."""
+    return name, int(not counters["observations"]), None
 
 
-def codelist_check(codelists: DataFrame, required: list[str], source: str) -> DataFrame:
+def codelist_offenders(codelists: DataFrame, required: list[str], source: str) -> DataFrame:
+    """Code lists that a source has to bring, by name."""
     wanted = fixed.literal_frame(codelists.sparkSession, [(name,) for name in required], "codelist string")
-    return gates.report(f"missing code lists of {source}", missing_codelists(codelists, wanted))
+    return gates.missing_codes(f"missing code lists of {source}", wanted, codelists, ["codelist"])
 
 
-def width_check(spark: SparkSession, path: str, source: str) -> DataFrame:
-    return gates.report(f"surplus cells in {source}", surplus_cells(spark, path))
+def counted_codes(staged: DataFrame, columns: list[str]) -> DataFrame:
+    """The combinations of codes that occur, with the ``n`` observations of each."""
+    return staged.groupBy(*columns).agg(F.count("*").alias("n"))
 
 
-def wrong_arity(parts: int) -> Column:
-    """True where a key does not have the expected number of parts."""
-    return F.col("key_parts") != parts
+def conflicts(name: str, members: DataFrame, columns: list[str], key: list[str]) -> DataFrame:
+    """Members given under one key with different attributes, by name."""
+    return gates.repeated_codes(f"conflicting members of {name}", extract_members(members, columns), key)
+
+
+class Counters:
+    """Counts that a frame gathers while it is written, instead of in a pass of their own."""
+
+    def __init__(self, **counts: Column):
+        self.observation, self.counts = Observation(), counts
+
+    def on(self, rows: DataFrame) -> DataFrame:
+        return rows.observe(self.observation, *[value.alias(name) for name, value in self.counts.items()])
+
+    def get(self) -> dict[str, int | str | None]:
+        return self.observation.get
+
 
+def lines_counted(wide: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Counters]:
+    """A split extract that counts its lines, and those at fault."""
+    counters = Counters(source_rows=F.count("*"), **{name: F.count(F.when(rule, 1)) for name, rule in rules.items()})
+    return counters.on(wide), counters
 
-def conflicts(name: str, members: DataFrame, key: list[str]) -> DataFrame:
-    """Members given under one key with different attributes."""
-    return gates.duplicate_groups(f"conflicting members of {name}", members, key)
+
+def period_counters(period: str, kept: Column, prefix: str = "") -> dict[str, Column]:
+    """Counters of the observations kept, and of their first and last period."""
+    value = F.when(kept, F.col(period).cast("string"))
+    return {
+        f"{prefix}observations": F.count(value), f"{prefix}first_period": F.min(value), f"{prefix}last_period": F.max(value),
+    }
 
 
-def refuse(
-    staged: DataFrame, rules: dict[str, Column], grain: list[str], sampled: list[str],
-    members: DataFrame | None = None, member_rules: dict[str, Column] | None = None,
-    others: list[DataFrame] = (), must_occur: dict[str, Column] | None = None,
-    informative: dict[str, Column] | None = None, scope: Column | None = None,
-) -> dict[str, int]:
-    """Run all gates of a load in one job.
+@dataclass
+class Gated:
+    """A staged source and what its gates say.
 
-    Row rules and counters take one pass over ``staged``. Rules on codes look at
-    ``members``, the few combinations of codes that occur. ``scope`` narrows the
-    grain check. ``others`` are further reports; a counter of None is in one of them.
-    Exact duplicates are looked for only where hashes of the grain collide.
+    ``report`` has ``check_name, issue_count, codes``; nothing may be at fault. ``named``
+    has all codes at fault, with the ``n`` observations of each. ``counters``
+    were taken when the source was staged: source_rows, observations, excluded,
+    first_period and last_period, for each extract.
     """
-    scoped = staged.filter(scope) if scope is not None else staged
-    counted = {**rules, **(must_occur or {}), **(informative or {})}
-    counted = {name: rule for name, rule in counted.items() if rule is not None}
-    checks = [
-        gates.count_violations(staged, counted),
-        gates.suspected_duplicates("suspected duplicates", scoped, grain),
-        *others,
-    ]
-    offenders = gates.sample(staged.filter(reduce(or_, rules.values())), sampled)
+
+    report: DataFrame
+    counters: dict[str, dict[str, int | str | None]]
+    rows: DataFrame | None = None
+    members: DataFrame | None = None
+    grain: list[str] = field(default_factory=list)
+    scope: Column | None = None
+    offenders: DataFrame | None = None
+    named: DataFrame | None = None
+
+    def in_scope(self) -> DataFrame:
+        return self.rows.filter(self.scope) if self.scope is not None else self.rows
+
+    def enforce(self) -> dict[str, int]:
+        """Refuse what is at fault. Exact duplicates are looked for only where hashes of
+        the grain collide."""
+        counts = gates.enforce(self.report, self.offenders, informative=("duplicate grain",))
+        if counts.get("duplicate grain"):
+            exact = gates.duplicate_rows("duplicate grain", self.in_scope(), self.grain)
+            counts |= gates.enforce(exact, gates.duplicates(self.in_scope(), self.grain))
+        return counts
+
+
+def gated(
+    spark: SparkSession, literal: list[tuple[str, int, str | None]], counters: dict, staged: DataFrame | None = None,
+    row_rules: dict[str, Column] | None = None, grain: list[str] = (), sampled: list[str] = (),
+    members: DataFrame | None = None, code_rules: dict[str, tuple[str, Column]] | None = None,
+    named: list[DataFrame] = (), names: list[str] = (), scope: Column | None = None, others: list[DataFrame] = (),
+) -> Gated:
+    """One report of all gates of a load.
+
+    Row rules take one pass over ``staged``, code rules one over ``members``, the few
+    combinations of codes that occur. ``literal`` are rows known from headers and counters,
+    ``named`` further offenders by name, ``others`` further counts. ``scope`` narrows the
+    grain check.
+    """
+    checks = [fixed.literal_frame(spark, literal, "check_name string, issue_count long, codes string"), *others]
+    offenders = list(named)
+    result = Gated(checks[0], counters, staged, members, list(grain), scope)
+    if staged is not None:
+        checks.append(gates.count_violations(staged, row_rules))
+        checks.append(gates.suspected_duplicates("duplicate grain", result.in_scope(), result.grain))
+        at_fault = reduce(or_, row_rules.values()) if row_rules else F.lit(False)
+        result.offenders = gates.sample(staged.filter(at_fault), list(sampled))
     if members is not None:
-        checks.append(gates.count_violations(members, member_rules))
-        at_fault = members.filter(reduce(or_, member_rules.values()))
-        codes = [column for column in sampled if column in members.columns]
-        offenders = gates.sample(at_fault, codes).unionByName(offenders, allowMissingColumns=True)
-    counts = gates.enforce(
-        gates.combine(checks), offenders, tuple(must_occur or ()),
-        (*(informative or ()), "suspected duplicates"),
-    )
-    if counts.pop("suspected duplicates"):
-        exact = gates.duplicate_rows("duplicate grain", scoped, grain)
-        gates.enforce(exact, gates.duplicates(scoped, grain))
-    return counts
+        offenders.append(gates.offending_codes(members, code_rules))
+    result.report = gates.gate_report(spark, checks, offenders, [*(code_rules or ()), *names])
+    if offenders:
+        result.named = reduce(DataFrame.unionByName, offenders)
+    return result
 
 
 # energy prices ----------------------------------------------------------------
@@ -242,17 +312,17 @@ def price_observations(wide: DataFrame, parts: int | None = None) -> DataFrame:
     })
 
 
+def price_constants(source: PriceSource) -> dict[str, str]:
+    return {
+        "dataset": source.dataset, "commodity_type": source.commodity,
+        "consumer_type": source.consumer, "expected_siec": source.siec,
+    }
+
+
 def all_price_observations(spark: SparkSession, sources: list[PriceSource]) -> DataFrame:
     """Observations of all price files, each under the constants of its file."""
     return union_sources([
-        (
-            price_observations(*price_cells(spark, source)),
-            {
-                "dataset": source.dataset, "commodity_type": source.commodity,
-                "consumer_type": source.consumer, "expected_siec": source.siec,
-            },
-        )
-        for source in sources
+        (price_observations(*price_cells(spark, source)), price_constants(source)) for source in sources
     ])
 
 
@@ -281,27 +351,31 @@ def conform_prices(codes: DataFrame, codelists: DataFrame) -> DataFrame:
 
 
 def price_rules() -> dict[str, Column]:
-    return {
-        "key arity": F.col("malformed_key"),
-        "unexpected frequency": ~F.col("freq").eqNullSafe("S"),
-        "value out of range": F.col("out_of_range"),
-        "unknown geography": F.col("geo_sk").isNull(),
-    }
+    """Rules for single observations; true where one is at fault."""
+    return {"value out of range": F.col("out_of_range")}
 
 
-def price_member_rules() -> dict[str, Column]:
+def price_member_rules() -> dict[str, tuple[str, Column]]:
+    """Rules for combinations of codes: the code they are about, and where it is at fault."""
     return {
-        "unexpected siec": ~F.col("siec_code").eqNullSafe(F.col("expected_siec")),
-        "siec without label": F.col("siec_label").isNull(),
-        "band without label": F.col("band_label").isNull(),
-        "tax without label": F.col("tax_label").isNull(),
-        "tax without order": F.col("tax_inclusion_order").isNull(),
-        "unit without label": F.col("energy_unit_label").isNull(),
-        "currency without label": F.col("currency_label").isNull(),
-        "unknown semester": ~F.col("known_period"),
+        "unexpected frequency": ("freq", ~F.col("freq").eqNullSafe("S")),
+        "unexpected siec": ("siec_code", ~F.col("siec_code").eqNullSafe(F.col("expected_siec"))),
+        "siec without label": ("siec_code", F.col("siec_label").isNull()),
+        "band without label": ("band_code", F.col("band_label").isNull()),
+        "tax without label": ("tax_code", F.col("tax_label").isNull()),
+        "tax without order": ("tax_code", F.col("tax_inclusion_order").isNull()),
+        "unit without label": ("energy_unit_code", F.col("energy_unit_label").isNull()),
+        "currency without label": ("currency_code", F.col("currency_label").isNull()),
+        "unknown semester": ("semester_sk", ~F.col("known_period")),
     }
 
 
+def unknown_geographies(staged: DataFrame, wh: Warehouse) -> DataFrame:
+    """Geographies that the warehouse lacks, by name."""
+    members = wh.table("dim_geo_entity").withColumnRenamed("eurostat_code", "geo_code")
+    return gates.missing_codes("unknown geography", staged, members, ["geo_code"])
+
+
 PRICE_DIMENSIONS = [
     ("dt_consumption_band", BAND_COLUMNS, BAND_KEY, "consumption_band_sk"),
     ("dt_tax_level", TAX_COLUMNS, ["tax_code"], "tax_level_sk"),
@@ -309,36 +383,64 @@ PRICE_DIMENSIONS = [
 ]
 
 
-@staged_load
-def load_prices(wh: Warehouse, sources: list[PriceSource]) -> dict[str, int]:
-    """Full refresh from all price files; returns the counts of all checks, among
-    them the observations per dataset."""
+def price_gates(wh: Warehouse, sources: list[PriceSource]) -> Gated:
+    """Stage all price files and report on them.
+
+    Files whose header lacks a column are not read further; they are in the report.
+    """
+    literal, parts, counters = [], [], {}
+    for source in sources:
+        wide = read_wide(wh.spark, source.path, surplus="surplus_cells")
+        found = layout_issues(source.dataset, wide.columns, PRICE_KEYS, "semester")
+        literal += found
+        if any(count for _, count, _ in found):
+            continue
+        cells = split_key(wide, set(PRICE_KEYS))
+        cells, counters[source.dataset] = lines_counted(cells, line_rules(cells.columns.index("key_parts")))
+        parts.append((price_observations(cells).drop("malformed_key"), price_constants(source)))
+    if not parts:
+        return gated(wh.spark, literal, {})
+    kept = Counters(**{
+        name: value for dataset in counters
+        for name, value in period_counters("semester_sk", F.col("dataset") == dataset, f"{dataset} ").items()
+    })
     codelists = wh.stage("price_codelists", price_codelists(wh.spark, sources))
-    staged = wh.stage("prices", add_geo(all_price_observations(wh.spark, sources), wh))
-    codes = conform_prices(extract_members(staged, [*PRICE_CODES, "semester_sk"]), codelists)
+    staged = wh.stage("prices", kept.on(union_sources(parts)))
+    codes = conform_prices(counted_codes(staged, [*PRICE_CODES, "semester_sk"]), codelists)
     members = wh.stage("price_members", add_period(codes, wh.table("dt_semester"), "semester_sk"))
-    counts = refuse(
-        staged, price_rules(), PRICE_GRAIN, ["dataset", "band_code", "tax_code", "semester_sk", "geo_code"],
-        members, price_member_rules(),
+    result = {}
+    for dataset, lines in counters.items():
+        found = lines.get()
+        own = {name: kept.get()[f"{dataset} {name}"] for name in ("observations", "first_period", "last_period")}
+        result[dataset] = {"source_rows": found.pop("source_rows"), "excluded": 0, **own}
+        literal += [(name, count, dataset if count else None) for name, count in found.items()]
+        literal.append(empty_issue(f"no observations in {dataset}", own))
+    return gated(
+        wh.spark, literal, result, staged, price_rules(), PRICE_GRAIN,
+        ["dataset", "band_code", "tax_code", "semester_sk", "geo_code"], members, price_member_rules(),
         [
-            *(conflicts(name, extract_members(members, columns), key) for name, columns, key, _ in PRICE_DIMENSIONS),
-            *(
-                codelist_check(codelists.filter(F.col("dataset") == s.dataset), PRICE_CODELISTS, s.dataset)
-                for s in sources
-            ),
-            *(width_check(wh.spark, s.path, s.dataset) for s in sources),
+            unknown_geographies(staged, wh),
+            *(conflicts(name, members, columns, key) for name, columns, key, _ in PRICE_DIMENSIONS),
+            *(codelist_offenders(codelists.filter(F.col("dataset") == d), PRICE_CODELISTS, d) for d in counters),
         ],
-        must_occur={f"observations in {s.dataset}": F.col("dataset") == s.dataset for s in sources},
+        ["unknown geography", *(f"conflicting members of {name}" for name, *_ in PRICE_DIMENSIONS),
+         *(f"missing code lists of {d}" for d in counters)],
     )
 
-    paths, facts = {}, staged
+
+@staged_load
+def load_prices(wh: Warehouse, sources: list[PriceSource]) -> dict[str, dict]:
+    """Full refresh from all price files; returns the counters of each dataset."""
+    source = price_gates(wh, sources)
+    source.enforce()
+    paths, facts = {}, add_geo(source.rows, wh)
     for name, columns, key, surrogate in PRICE_DIMENSIONS:
-        written = write_members(wh, name, extract_members(members, columns), key, surrogate, paths)
+        written = write_members(wh, name, extract_members(source.members, columns), key, surrogate, paths)
         facts = resolve(facts, written, key, surrogate)
     facts = facts.withColumn("period_year", period_year(F.col("semester_sk")))
     paths["fact_energy_price"] = wh.write("fact_energy_price", facts)
     wh.publish(paths)
-    return counts
+    return source.counters
 
 
 def write_members(
@@ -352,11 +454,10 @@ def write_members(
 # import dependency --------------------------------------------------------------
 
 
-def dependency_observations(wide: DataFrame, parts: int) -> DataFrame:
-    cells = unpivot_periods(wide, [*DEPENDENCY_KEYS, "key_parts"], "year", "year_sk")
+def dependency_observations(wide: DataFrame) -> DataFrame:
+    cells = unpivot_periods(wide, DEPENDENCY_KEYS, "year", "year_sk")
     return (
-        clean_observations(cells, "dep_rate_val", "decimal(12,4)", keep=wrong_arity(parts))
-        .withColumn("malformed_key", wrong_arity(parts)).drop("key_parts", "raw_val")
+        clean_observations(cells, "dep_rate_val", "decimal(12,4)").drop("raw_val")
         .withColumnsRenamed({"geo": "geo_code", "siec": "siec_code"})
         .withColumn("year_sk", F.col("year_sk").cast("int"))
     )
@@ -368,51 +469,74 @@ def conform_products(codes: DataFrame, codelists: DataFrame) -> DataFrame:
     return rows.withColumn("is_total", F.col("siec_code") == "TOTAL")
 
 
-@staged_load
-def load_dependency(wh: Warehouse, path: str, codelists_path: str) -> dict[str, int]:
-    wide = split_key(read_wide(wh.spark, path), set(DEPENDENCY_KEYS))
+def dependency_rules() -> dict[str, Column]:
+    return {"value out of range": F.col("out_of_range")}
+
+
+def dependency_member_rules() -> dict[str, tuple[str, Column]]:
+    return {
+        "unexpected frequency": ("freq", ~F.col("freq").eqNullSafe("A")),
+        "unexpected unit": ("unit", ~F.col("unit").eqNullSafe("PC")),
+        "siec without label": ("siec_code", F.col("siec_label").isNull()),
+        "unknown year": ("year_sk", ~F.col("known_period")),
+    }
+
+
+def dependency_gates(wh: Warehouse, path: str, codelists_path: str) -> Gated:
+    """Stage the extract and report on it."""
+    source = "import dependency"
+    wide = read_wide(wh.spark, path, surplus="surplus_cells")
+    literal = layout_issues(source, wide.columns, DEPENDENCY_KEYS, "year")
+    if any(count for _, count, _ in literal):
+        return gated(wh.spark, literal, {})
+    cells = split_key(wide, set(DEPENDENCY_KEYS))
+    parts = cells.columns.index("key_parts")
+    cells, lines = lines_counted(cells, line_rules(parts))
+    kept = Counters(**period_counters("year_sk", F.lit(True)))
     codelists = wh.stage("dependency_codelists", read_codelists(wh.spark, codelists_path))
-    observations = dependency_observations(wide, wide.columns.index("key_parts"))
-    staged = wh.stage("dependency", add_geo(observations, wh))
-    codes = conform_products(extract_members(staged, ["siec_code", "year_sk"]), codelists)
+    staged = wh.stage("dependency", kept.on(dependency_observations(cells)))
+    codes = conform_products(counted_codes(staged, ["freq", "unit", "siec_code", "year_sk"]), codelists)
     members = wh.stage("dependency_members", add_period(codes, wh.table("dt_year"), "year_sk"))
-    products = extract_members(members, PRODUCT_COLUMNS)
-    counts = refuse(
-        staged,
-        {
-            "key arity": F.col("malformed_key"),
-            "unexpected frequency": ~F.col("freq").eqNullSafe("A"),
-            "unexpected unit": ~F.col("unit").eqNullSafe("PC"),
-            "value out of range": F.col("out_of_range"),
-            "unknown geography": F.col("geo_sk").isNull(),
-        },
-        DEPENDENCY_GRAIN, ["siec_code", "year_sk", "geo_code"],
-        members,
-        {"siec without label": F.col("siec_label").isNull(), "unknown year": ~F.col("known_period")},
+    found = lines.get()
+    counters = {"source_rows": found.pop("source_rows"), "excluded": 0, **kept.get()}
+    literal += [(name, count, None) for name, count in found.items()]
+    literal.append(empty_issue("no observations", counters))
+    return gated(
+        wh.spark, literal, {source: counters}, staged, dependency_rules(), DEPENDENCY_GRAIN,
+        ["siec_code", "year_sk", "geo_code"], members, dependency_member_rules(),
         [
-            codelist_check(codelists, DEPENDENCY_CODELISTS, "import dependency"),
-            conflicts("dt_energy_product", products, ["siec_code"]),
-            width_check(wh.spark, path, "import dependency"),
+            unknown_geographies(staged, wh), conflicts("dt_energy_product", members, PRODUCT_COLUMNS, ["siec_code"]),
+            codelist_offenders(codelists, DEPENDENCY_CODELISTS, source),
         ],
-        must_occur={"observations": F.lit(True)},
+        ["unknown geography", "conflicting members of dt_energy_product", f"missing code lists of {source}"],
     )
+
+
+@staged_load
+def load_dependency(wh: Warehouse, path: str, codelists_path: str) -> dict[str, int | str]:
+    """Full refresh; returns the counters of the extract."""
+    source = dependency_gates(wh, path, codelists_path)
+    source.enforce()
     paths: dict[str, str] = {}
+    products = extract_members(source.members, PRODUCT_COLUMNS)
     written = write_members(wh, "dt_energy_product", products, ["siec_code"], "product_sk", paths)
-    facts = resolve(staged, written, ["siec_code"], "product_sk")
+    facts = resolve(add_geo(source.rows, wh), written, ["siec_code"], "product_sk")
     paths["fact_import_dependency"] = wh.write("fact_import_dependency", facts)
     wh.publish(paths)
-    return counts
+    return source.counters["import dependency"]
 
 
 # oil stocks -----------------------------------------------------------------------
 
 
-def stock_observations(spark: SparkSession, path: str) -> DataFrame:
-    wide = split_key(read_wide(spark, path), names=STOCK_KEYS)
-    cells = unpivot_periods(wide, [*STOCK_KEYS, "key_parts"], "month", "month_sk")
-    malformed = wrong_arity(len(STOCK_KEYS))
-    rows = clean_observations(cells, "indicator_value", "decimal(14,4)", keep=malformed)
-    return rows.withColumn("malformed_key", malformed).drop("key_parts", "raw_val").withColumnsRenamed(
+def stock_cells(spark: SparkSession, path: str) -> DataFrame:
+    return split_key(read_wide(spark, path, surplus="surplus_cells"), names=STOCK_KEYS)
+
+
+def stock_observations(spark: SparkSession, path: str, wide: DataFrame | None = None) -> DataFrame:
+    wide = stock_cells(spark, path) if wide is None else wide
+    cells = unpivot_periods(wide, STOCK_KEYS, "month", "month_sk")
+    return clean_observations(cells, "indicator_value", "decimal(14,4)").drop("raw_val").withColumnsRenamed(
         {"stk_flow": "indicator_code", "unit": "unit_code", "geo": "geo_code"}
     )
 
@@ -432,26 +556,41 @@ def mark_supported(observations: DataFrame, geo: DataFrame, months: DataFrame) -
     return rows.withColumn("supported", F.col("geo_sk").isNotNull() & matches & F.col("known_period"))
 
 
-@staged_load
-def load_stocks(wh: Warehouse, path: str) -> dict[str, int]:
+def stock_rules() -> dict[str, Column]:
+    quantity = ~is_method()
+    return {"unsupported combination": quantity & ~F.col("supported"), "value out of range": quantity & F.col("out_of_range")}
+
+
+def stock_gates(wh: Warehouse, path: str) -> Gated:
+    """Stage the extract and report on it; method codes are counted and left out."""
+    wide = read_wide(wh.spark, path, surplus="surplus_cells")
+    literal = [issue for issue in layout_issues("stocks", wide.columns, [], "month") if "month" in issue[0]]
+    if any(count for _, count, _ in literal):
+        return gated(wh.spark, literal, {})
+    cells, lines = lines_counted(split_key(wide, names=STOCK_KEYS), line_rules(len(STOCK_KEYS)))
+    quantity = ~is_method()
+    kept = Counters(excluded=F.count(F.when(is_method(), 1)), **period_counters("month_sk", quantity))
     marked = mark_supported(
-        stock_observations(wh.spark, path), wh.table("dim_geo_entity"), wh.table("dt_month")
+        stock_observations(wh.spark, path, cells), wh.table("dim_geo_entity"), wh.table("dt_month")
     )
-    staged = wh.stage("stocks", marked)
-    quantity = ~is_method()
-    counts = refuse(
-        staged,
-        {
-            "unsupported combination": quantity & ~F.col("supported"),
-            "key arity": F.col("malformed_key"),
-            "value out of range": quantity & F.col("out_of_range"),
-        },
-        STOCK_GRAIN, ["indicator_code", "unit_code", "geo_code", "month_sk"], scope=quantity,
-        others=[width_check(wh.spark, path, "stocks")],
-        must_occur={"observations": quantity}, informative={"excluded methods": is_method()},
+    staged = wh.stage("stocks", kept.on(marked))
+    found = lines.get()
+    counters = {"source_rows": found.pop("source_rows"), **kept.get()}
+    literal += [(name, count, None) for name, count in found.items()]
+    literal.append(empty_issue("no observations", counters))
+    return gated(
+        wh.spark, literal, {"stocks": counters}, staged, stock_rules(), STOCK_GRAIN,
+        ["indicator_code", "unit_code", "geo_code", "month_sk"], scope=quantity,
     )
+
+
+@staged_load
+def load_stocks(wh: Warehouse, path: str) -> dict[str, int | str]:
+    """Full refresh of the quantities; returns the counters of the extract."""
+    source = stock_gates(wh, path)
+    source.enforce()
     paths: dict[str, str] = {}
-    facts = staged.filter(quantity)
+    facts = source.in_scope()
     for name, members, key, surrogate in [
         ("dt_stock_indicator", fixed.stock_indicators(wh.spark), ["indicator_code"], "indicator_sk"),
         ("dt_measure_unit", fixed.measure_units(wh.spark), ["unit_code"], "measure_unit_sk"),
@@ -460,7 +599,7 @@ def load_stocks(wh: Warehouse, path: str) -> dict[str, int]:
     facts = facts.withColumn("period_year", period_year(F.col("month_sk")))
     paths["fact_oil_stocks"] = wh.write("fact_oil_stocks", facts)
     wh.publish(paths)
-    return counts
+    return source.counters["stocks"]
 
 
 # risk index -----------------------------------------------------------------------
@@ -477,38 +616,45 @@ def index_rules(scope_start: str = fixed.INDEX_SCOPE_START) -> tuple[dict[str, C
     return rules, populated & F.coalesce(F.col("month_sk") >= scope_start, F.lit(False))
 
 
-def index_checks(rows: DataFrame, scope_start: str = fixed.INDEX_SCOPE_START) -> DataFrame:
-    """The gates of the sheet as a report, with the rows left out."""
-    rules, in_scope = index_rules(scope_start)
-    return gates.combine([
-        gates.count_violations(rows, {**rules, "excluded empty": ~index_sheet.has_measure()}),
-        gates.duplicate_rows("duplicate grain", rows.filter(in_scope), ["month_sk"]),
-    ])
-
-
-@staged_load
-def load_index(wh: Warehouse, path: str, scope_start: str = fixed.INDEX_SCOPE_START) -> dict[str, int]:
-    """Replace the global series only; other members' series stay."""
+def index_gates(wh: Warehouse, path: str, scope_start: str = fixed.INDEX_SCOPE_START) -> Gated:
+    """Stage the sheet and report on it; empty rows and those before the scope are counted
+    and left out."""
     rows = index_sheet.normalise(index_sheet.read_sheet(wh.spark, path))
-    stored = [f"{m}_val" for m in index_sheet.MEASURES]
-    staged = wh.stage("index", add_period(rows, wh.table("dt_month"), "month_sk"))
     rules, in_scope = index_rules(scope_start)
+    populated = index_sheet.has_measure()
+    kept = Counters(
+        source_rows=F.count("*"), excluded_empty=F.count(F.when(~populated, 1)),
+        out_of_scope=F.count(F.when(populated & (F.col("month_sk") < scope_start), 1)), **period_counters("month_sk", in_scope),
+    )
+    staged = wh.stage("index", kept.on(add_period(rows, wh.table("dt_month"), "month_sk")))
     rules["unknown month"] = in_scope & ~F.col("known_period")
     for m in index_sheet.MEASURES:
         rules[f"{m} out of range"] = in_scope & F.col(m).isNotNull() & F.col(f"{m}_val").isNull()
     is_global = F.col("eurostat_code") == fixed.GLOBAL_CODE
-    geo = wh.table("dim_geo_entity")
-    counts = refuse(
-        staged, rules, ["month_sk"], ["month_sk", *index_sheet.MEASURES],
-        others=[gates.count_violations(geo, {"global member": is_global})], scope=in_scope,
-        must_occur={"rows in scope": in_scope, "global member": None},
-        informative={"excluded empty": ~index_sheet.has_measure()},
+    members = wh.table("dim_geo_entity").agg((F.count(F.when(is_global, 1)) == 0).cast("long").alias("issue_count"))
+    counters = kept.get()
+    counters["excluded"] = counters["excluded_empty"] + counters["out_of_scope"]
+    literal = [empty_issue("no rows in scope", counters)]
+    return gated(
+        wh.spark, literal, {"index": counters}, staged, rules, ["month_sk"], ["month_sk", *index_sheet.MEASURES],
+        scope=in_scope, others=[members.withColumn("check_name", F.lit("no global member"))],
     )
+
+
+@staged_load
+def load_index(wh: Warehouse, path: str, scope_start: str = fixed.INDEX_SCOPE_START) -> dict[str, int | str]:
+    """Replace the global series only; other members' series stay. Returns the counters of
+    the sheet."""
+    source = index_gates(wh, path, scope_start)
+    source.enforce()
     # The gate has made sure that there is one
-    member = geo.filter(is_global).select("geo_sk").first().geo_sk
-    facts = staged.filter(in_scope).select("month_sk", *stored, F.lit(member).alias("geo_sk"))
+    is_global = F.col("eurostat_code") == fixed.GLOBAL_CODE
+    member = wh.table("dim_geo_entity").filter(is_global).select("geo_sk").first().geo_sk
+    stored = [f"{m}_val" for m in index_sheet.MEASURES]
+    facts = source.in_scope().select("month_sk", *stored, F.lit(member).alias("geo_sk"))
     wh.replace_slice("fact_gpr", facts, [member])
-    return counts
+    counters = source.counters["index"]
+    return {**counters, "rows in scope": counters["observations"], "excluded empty": counters["excluded_empty"]}
 
 
 # whole warehouse --------------------------------------------------------------------

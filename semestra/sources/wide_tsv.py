@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -14,54 +16,58 @@ class LayoutError(ValueError):
     """The header of a source does not have the expected layout."""
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    lines = spark.read.text(path)
-    return lines.select("value", F.col("_metadata.file_path").alias("file"))
-
-
-def _is_header() -> Column:
-    """Headers name the dimensions and, behind a backslash, the period; keys have none."""
-    return F.instr(F.split_part("value", F.lit("\t"), F.lit(1)), "\\") > 0
+def file_headers(spark: SparkSession, path: str) -> dict[str, str]:
+    """The first line of every file. Only the start of its first block is read."""
+    files = [unquote(file) for file in spark.read.text(path).inputFiles()]
+    if not files:
+        return {}
+    with ThreadPool(min(16, len(files))) as pool:
+        firsts = pool.map(lambda file: spark.read.text(file).head(), files)
+    return {file: first.value for file, first in zip(files, firsts) if first}
 
 
-def file_headers(spark: SparkSession, path: str) -> dict[str, str]:
-    """The header line of every file: one row for each of them."""
-    found = _lines(spark, path).filter(_is_header()).groupBy("file").agg(F.min("value").alias("header"))
-    return {r.file: r.header for r in found.collect()}
+def _split_lines(spark: SparkSession, path: str) -> list[tuple[list[str], DataFrame]]:
+    """Column names and ``value, cells`` of the lines, for every different header."""
+    groups: dict[str, list[str]] = {}
+    for file, header in sorted(file_headers(spark, path).items()):
+        groups.setdefault(header, []).append(file)
+    if not groups:
+        raise LayoutError(f"No header found in {path}")
+    parts = []
+    for header, files in groups.items():
+        # Without differing headers the folder is read as it is
+        lines = spark.read.text(files if len(groups) > 1 else path)
+        lines = lines.filter((F.col("value") != "") & (F.col("value") != header))
+        parts.append((header.split("\t"), lines.withColumn("cells", F.split("value", "\t"))))
+    return parts
 
 
-def read_wide(spark: SparkSession, path: str) -> DataFrame:
-    """Every cell as text, header and blanks untouched.
+def read_wide(spark: SparkSession, path: str, surplus: str | None = None) -> DataFrame:
+    """Every cell as text, header and blanks untouched; empty cells are null.
 
     Files of a folder that order or choose their columns otherwise are aligned by name.
+    ``surplus`` names a further column that is true for lines with more cells than their
+    header, whose last cells have no column. The source is read once.
     """
-    headers = file_headers(spark, path)
-    groups: dict[str, list[str]] = {}
-    for file, header in sorted(headers.items()):
-        groups.setdefault(header, []).append(file)
-    # Without differing headers the folder is read as it is
-    paths = list(groups.values()) if len(groups) > 1 else [path]
-    reader = (
-        spark.read.option("sep", "\t").option("header", True)
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    )
-    parts = [reader.csv(files) for files in paths]
-    first, *others = parts
-    named = {name.strip(): name for name in first.columns}
-    for part in others:
-        part = part.withColumnsRenamed({n: named[n.strip()] for n in part.columns if n.strip() in named})
-        first = first.unionByName(part, allowMissingColumns=True)
-    return first
+    first: DataFrame | None = None
+    named: dict[str, str] = {}
+    for names, lines in _split_lines(spark, path):
+        marked = [(F.size("cells") > len(names)).alias(surplus)] if surplus else []
+        if first is not None:
+            names = [named.get(name.strip(), name) for name in names]
+        cells = [F.nullif(F.get("cells", F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(names)]
+        part = lines.select(*marked, *cells)
+        if first is None:
+            first, named = part, {name.strip(): name for name in names}
+        else:
+            first = first.unionByName(part, allowMissingColumns=True)
+    return first.select(*[f"`{c}`" for c in first.columns if c != surplus], *([surplus] if surplus else []))
 
 
 def surplus_cells(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with more cells than the header of their file; a reader would drop the rest."""
-    lines = _lines(spark, path)
-    headers = lines.filter(_is_header()).groupBy("file").agg(
-        F.max(F.size(F.split("value", "\t"))).alias("width")
-    )
-    cells = F.size(F.split("value", "\t"))
-    return lines.join(headers, "file").filter(cells > F.col("width"))
+    """Lines with more cells than the header of their file."""
+    parts = [lines.filter(F.size("cells") > len(names)).select("value") for names, lines in _split_lines(spark, path)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def key_names(composite_header: str) -> list[str]:
@@ -69,6 +75,11 @@ def key_names(composite_header: str) -> list[str]:
     return [name.strip() for name in composite_header.split("\\")[0].split(",")]
 
 
+def missing_keys(columns: list[str], required: set[str]) -> list[str]:
+    """Required dimensions that the composite column, the first one, does not name."""
+    return sorted(required - set(key_names(columns[0])))
+
+
 def split_key(
     wide: DataFrame, required: set[str] = frozenset(), names: list[str] | None = None
 ) -> DataFrame:
@@ -78,10 +89,10 @@ def split_key(
     number of parts each row really had, for the arity gate.
     """
     composite, *others = wide.columns
-    names = names or key_names(composite)
-    missing = sorted(required - set(names))
+    missing = missing_keys(wide.columns, required)
     if missing:
         raise LayoutError("Missing key columns: " + ", ".join(missing))
+    names = names or key_names(composite)
     wide = wide.toDF("series_key", *[name.strip() for name in others])
     parts = F.split("series_key", ",")
     return wide.select(

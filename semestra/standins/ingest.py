@@ -219,6 +219,13 @@ sheet AS (
          strftime(o_orderdate, '%Y-%m') AS month_sk, CAST(o_totalprice AS DECIMAL(14,4)) AS v
   FROM orders)"""
 
+
+def sql_supported(first_month: str) -> str:
+    """Whether a stock record's codes go together and are known."""
+    return f"""(geo LIKE 'S%' AND month_sk >= '{first_month}' AND indicator_code <> 'STK_OTHER'
+        AND unit_code = CASE indicator_code WHEN 'STK_EUE_DIR' THEN 'NR' ELSE 'THS_T' END)"""
+
+
 ORACLES = {
     "wide_tsv_scan": f"""WITH {CELLS}
         SELECT 'S,E7000,' || band || ',KWH,' || tax || ',EUR,S' || l_suppkey AS series_key, {_PERIODS}

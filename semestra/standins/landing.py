@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from semestra.functions.text import month_number, month_text, semester_number, semester_text
@@ -123,6 +124,75 @@ def _write_dirty_prices(spark: SparkSession, sf_dir: str, path: str) -> None:
     _write_wide(_spread(cells, keys, "semester", SEMESTERS, header, key, F.lit(": ")), path)
 
 
+def _written_lines(lines: DataFrame, header: str, path: str) -> None:
+    """Lines as they stand, below a header in every file."""
+
+    def below_header(batches):
+        for n, batch in enumerate(batches):
+            if n == 0:
+                yield pa.RecordBatch.from_arrays([pa.array([header], batch.schema.field(0).type)], schema=batch.schema)
+            yield batch
+
+    lines.select("value").mapInArrow(below_header, "value string").write.text(path)
+
+
+PRICE_HEADER = "freq,siec,nrg_cons,unit,tax,currency,geo\\TIME_PERIOD"
+
+
+def _write_faulty_prices(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """An extract whose keys are right but for repeated series (nation 7); with numbers too
+    large (nation 9) and lines with a cell too many (nation 11)."""
+    suppliers = raw(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    keys = ["band", "l_suppkey", "s_nationkey"]
+    cells = (
+        _line_items(spark, sf_dir).join(suppliers, "l_suppkey")
+        .groupBy(*keys, "semester").agg(F.min(money("l_extendedprice")).cast("string").alias("price"))
+        .withColumn("cell", F.when(F.col("s_nationkey") == 9, F.concat(F.lit("9999999"), "price")).otherwise(F.col("price")))
+    )
+    wide = cells.groupBy(*keys).pivot("semester", SEMESTERS).agg(F.first("cell"))
+    key = F.concat_ws(
+        ",", F.lit("S"), F.lit("E7000"), "band", F.lit("KWH"), F.lit("X_VAT"), F.lit("EUR"), F.concat(F.lit("S"), "l_suppkey")
+    )
+    more = [F.when(F.col("s_nationkey") == 11, "1")]
+    line = F.concat_ws("\t", key, *[F.coalesce(F.col(f"`{p}`"), F.lit(": ")) for p in SEMESTERS], *more)
+    times = F.when(F.col("s_nationkey") == 7, 2).otherwise(1)
+    lines = wide.select(F.explode(F.array_repeat(line, times)).alias("value"))
+    _written_lines(lines, "\t".join([PRICE_HEADER, *[f"{p} " for p in SEMESTERS]]), path)
+
+
+def _write_empty_prices(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A series for each supplier, without a single number."""
+    key = F.concat(F.lit("S,G3000,B1,KWH,X_VAT,EUR,S"), "s_suppkey")
+    wide = raw(spark, sf_dir, "supplier").select(key.alias(PRICE_HEADER), *[F.lit(": ").alias(f"{p} ") for p in SEMESTERS])
+    _write_wide(wide, path)
+
+
+def _write_dirty_dependency(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """An extract breaking the rules: quarterly series, another unit, keys lacking the unit,
+    unknown products, repeated series (nation 7), numbers too large (nation 9)."""
+    suppliers = raw(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), "s_nationkey",
+        F.when(F.col("s_acctbal") > 9000, "Q").otherwise("A").alias("freq"),
+        F.when(F.col("s_acctbal") >= 0, F.when(F.col("s_nationkey") == 3, "THS").otherwise("PC")).alias("unit"),
+    )
+    parts = raw(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    keys = ["freq", "siec", "unit", "l_suppkey", "s_nationkey"]
+    brand = F.when(F.col("l_linenumber") == 7, F.concat(F.lit("X"), "p_brand")).otherwise(F.col("p_brand"))
+    price = F.min(money("l_extendedprice")).cast("string")
+    cells = (
+        raw(spark, sf_dir, "lineitem").join(suppliers, "l_suppkey").join(parts, "l_partkey").withColumn("siec", brand)
+        .groupBy(*keys, F.year("l_shipdate").cast("string").alias("year"))
+        .agg(F.when(F.col("s_nationkey") == 9, F.concat(F.lit("9999999"), price)).otherwise(price).alias("cell"))
+    )
+    key = F.concat_ws(",", "freq", "siec", "unit", F.concat(F.lit("S"), "l_suppkey"))
+    years = [str(y) for y in range(YEARS[0], YEARS[1] + 1)]
+    wide = cells.groupBy(*keys).pivot("year", years).agg(F.first("cell"))
+    line = F.concat_ws("\t", key, *[F.coalesce(F.col(f"`{y}`"), F.lit(": ")) for y in years])
+    times = F.when(F.col("s_nationkey") == 7, 2).otherwise(1)
+    lines = wide.select(F.explode(F.array_repeat(line, times)).alias("value"))
+    _written_lines(lines, "\t".join(["freq,siec,unit,geo\\TIME_PERIOD", *[f"{y} " for y in years]]), path)
+
+
 def _write_dependency(spark: SparkSession, sf_dir: str, path: str) -> None:
     parts = raw(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("siec"))
     lines = raw(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate").cast("string"))
@@ -228,10 +298,31 @@ _PRICE_CODES = {
 }
 
 
-def _write_price_codelists(spark: SparkSession, sf_dir: str, path: str) -> None:
+# Fixed values of the faulty lists: codes and a whole list are lacking, an unranked tax code is there
+_FAULTY_CODES = {
+    "SIEC": ["E7000"],
+    "NRG_CONS": ["TOT_B", "B1", "B2", "B3"],
+    "TAX": ["X_TAX", "X_VAT", "Z_TAX"],
+    "UNIT": ["GJ_GCV"],
+}
+
+
+def _write_faulty_codelists(spark: SparkSession, sf_dir: str, path: str) -> None:
+    _write_price_codelists(spark, sf_dir, path, _FAULTY_CODES)
+
+
+def _write_faulty_products(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Products without the list of units."""
+    brands = raw(spark, sf_dir, "part").select(
+        F.lit("SIEC").alias("codelist"), F.expr("CAST(substring(p_brand, 7) AS INT)").alias("place"), F.col("p_brand").alias("code"),
+    ).distinct()
+    _write_codelists(brands.withColumn("names", F.array(_name("en", F.concat(F.lit("Product "), "code")))), path)
+
+
+def _write_price_codelists(spark: SparkSession, sf_dir: str, path: str, lists: dict[str, list[str]] = _PRICE_CODES) -> None:
     rows = [
         (codelist, place, code)
-        for codelist, codes in _PRICE_CODES.items()
+        for codelist, codes in lists.items()
         for place, code in enumerate(codes)
     ]
     code = F.col("code")
@@ -275,6 +366,11 @@ def _write_part_codelists(spark: SparkSession, sf_dir: str, path: str) -> None:
 _WRITERS: dict[str, Callable[[SparkSession, str, str], None]] = {
     "prices": _write_prices,
     "prices_dirty": _write_dirty_prices,
+    "prices_faulty": _write_faulty_prices,
+    "prices_empty": _write_empty_prices,
+    "dependency_dirty": _write_dirty_dependency,
+    "faulty_codelists": _write_faulty_codelists,
+    "faulty_products": _write_faulty_products,
     "dependency": _write_dependency,
     "stocks": _write_stocks,
     "stocks_dirty": _write_dirty_stocks,

@@ -8,76 +8,140 @@ from semestra.functions.periods import period_columns
 from semestra.functions.text import month_number, month_text
 from semestra.operators import gates, profile
 from semestra.plans import loading, verification
+from semestra.plans.loading import PriceSource
 from semestra.reference_data import literal_frame
 from semestra.schemas import FACTS, TABLES
 from semestra.sources import index_sheet
 from semestra.sources.codelists import read_codelists
-from semestra.sources.wide_tsv import read_wide, split_key, union_sources
+from semestra.session import new_folder
+from semestra.sources.warehouse import Warehouse
+from semestra.sources.wide_tsv import read_wide, union_sources
 from semestra.standins.common import doubles
-from semestra.standins.ingest import BAND_SQL, CELLS, DIRTY_INDEX, SEMESTER_SQL, STOCK_CELLS, all_prices
-from semestra.standins.landing import DATASETS, landed, price_sources
+from semestra.standins import landing
+from semestra.standins.ingest import BAND_SQL, CELLS, DIRTY_INDEX, SEMESTER_SQL, STOCK_CELLS, sql_supported
+from semestra.standins.landing import DATASETS, DIRTY_FLOW, DIRTY_GEO, DIRTY_UNIT, landed, price_sources, supplier_members
 from semestra.standins.olap import BRIDGE, INDEX, PRICE, STOCK
-from semestra.standins.tables import GLOBAL_SK, StandInWarehouse, raw
+from semestra.standins.tables import GLOBAL_SK, YEARS, StandInWarehouse, raw
 
 HEADER = "freq,siec,nrg_cons,unit,tax,currency,geo\\TIME_PERIOD"
 
 
-def dirty_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_key(read_wide(spark, landed(spark, sf_dir, "prices_dirty")))
+#: Nation whose suppliers are not in the geography of the gates.
+UNKNOWN_NATION = 5
+#: Calendars of the gates: the last year, and the first year of months, are lacking.
+GATE_CALENDARS = {"years": (1990, YEARS[1] - 1), "semesters": (YEARS[0], YEARS[1] - 1), "months": (1996, YEARS[1])}
+
+_gated: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make):
+    """Made on first use in a session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _gated:
+        _gated[key] = make()
+    return _gated[key]
+
+
+def gate_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Calendars and geographies, some lacking, that the faulty sources are held against."""
+
+    def make():
+        wh = Warehouse(spark, new_folder(spark, "gates"))
+        unknown = raw(spark, sf_dir, "supplier").filter(F.col("s_nationkey") == UNKNOWN_NATION).select(
+            F.concat(F.lit("S"), "s_suppkey").alias("eurostat_code")
+        )
+        loading.load_calendars(wh, **GATE_CALENDARS)
+        loading.load_geography(wh, supplier_members(spark, sf_dir).join(unknown, "eurostat_code", "left_anti"))
+        return wh
+
+    return _once(spark, sf_dir, "warehouse", make)
+
+
+def faulty_sources(spark: SparkSession, sf_dir: str) -> list[PriceSource]:
+    """Extracts breaking rules of keys, codes and cells; one without a number; and one with
+    the header of another subject."""
+    at = lambda name: landed(spark, sf_dir, name)
+    lists = at("faulty_codelists")
+    return [
+        PriceSource("nrg_pc_204", at("prices_dirty"), lists, "ELECTRICITY", "HOUSEHOLD", "E7000"),
+        PriceSource("nrg_pc_205", at("prices_faulty"), lists, "ELECTRICITY", "NON_HOUSEHOLD", "E7000"),
+        PriceSource("nrg_pc_206", at("prices_empty"), lists, "GAS", "HOUSEHOLD", "G3000"),
+        PriceSource("nrg_pc_299", at("dependency"), lists, "GAS", "NON_HOUSEHOLD", "G3000"),
+    ]
+
+
+def gated_prices(spark: SparkSession, sf_dir: str) -> loading.Gated:
+    wh = gate_warehouse(spark, sf_dir)
+    return _once(spark, sf_dir, "prices", lambda: loading.price_gates(wh, faulty_sources(spark, sf_dir)))
+
+
+def price_gate_report(spark, sf_dir):
+    """What the gates of the price load say about faulty extracts."""
+    return gated_prices(spark, sf_dir).report
+
+
+def dependency_gate_report(spark, sf_dir):
+    """What the gates of the dependency load say about a faulty extract."""
+    return loading.dependency_gates(
+        gate_warehouse(spark, sf_dir), landed(spark, sf_dir, "dependency_dirty"), landed(spark, sf_dir, "faulty_products")
+    ).report
+
+
+def stock_gate_report(spark, sf_dir):
+    """What the gates of the stock load say about a faulty extract."""
+    return loading.stock_gates(gate_warehouse(spark, sf_dir), landed(spark, sf_dir, "stocks_dirty")).report
 
 
 def gate_schema(spark, sf_dir):
     """Per extract: key columns a dependency file would need but this lacks, period columns, rows."""
-    required = {*loading.PRICE_KEYS, "stk_flow"}
     reports = []
     for source in price_sources(spark, sf_dir):
-        wide, _ = loading.price_cells(spark, source)
-        missing = ", ".join(sorted(required - set(wide.columns)))
+        wide = read_wide(spark, source.path)
+        (_, _, missing), _ = loading.layout_issues(source.dataset, wide.columns, [*loading.PRICE_KEYS, "stk_flow"], "semester")
         reports.append(wide.agg(F.count("*").alias("n_rows")).select(
             F.lit(source.dataset).alias("dataset"), F.lit(missing).alias("missing_columns"),
-            F.lit(len(period_columns(wide.columns, "semester"))).alias("n_periods"), "n_rows",
+            F.lit(len(period_columns([c.strip() for c in wide.columns], "semester"))).alias("n_periods"), "n_rows",
         ))
     return gates.combine(reports)
 
 
 def gate_arity(spark, sf_dir):
-    rule = loading.wrong_arity(len(loading.PRICE_KEYS))
-    return gates.count_violations(dirty_wide(spark, sf_dir), {"key arity": rule})
+    report = price_gate_report(spark, sf_dir)
+    return report.filter("check_name = 'key arity'").select("check_name", "issue_count")
 
 
 def gate_nonempty(spark, sf_dir):
     """Datasets expected against datasets holding observations."""
-    expected = literal_frame(spark, [(name,) for name in [*DATASETS, "nrg_pc_206"]], "dataset string")
-    found = all_prices(spark, sf_dir).groupBy("dataset").agg(F.count("*").alias("n"))
-    return expected.join(found, "dataset", "left").select(
-        "dataset", F.coalesce("n", F.lit(0)).alias("observations"),
-        F.when(F.col("n") > 0, 0).otherwise(1).alias("issue_count"),
+    sources = [*price_sources(spark, sf_dir), faulty_sources(spark, sf_dir)[2]]
+    found = loading.price_gates(gate_warehouse(spark, sf_dir), sources)
+    counted = literal_frame(
+        spark, [(f"no observations in {name}", name, counters["observations"]) for name, counters in found.counters.items()],
+        "check_name string, dataset string, observations long",
+    )
+    return counted.join(found.report, "check_name").select(
+        "dataset", "observations", F.col("issue_count").cast("int").alias("issue_count")
     )
 
 
 def gate_domain(spark, sf_dir):
     """Unexpected frequencies and products among the observations."""
-    rows = loading.price_observations(dirty_wide(spark, sf_dir))
-    unexpected = {"freq": ~F.col("freq").isin("S"), "siec_code": ~F.col("siec_code").isin("E7000")}
-    return gates.combine([
-        rows.filter(rule).groupBy(F.col(column).alias("code")).agg(F.count("*").alias("n"))
-        .select(F.lit(column).alias("dimension"), "code", "n")
-        for column, rule in unexpected.items()
-    ])
+    about = literal_frame(
+        spark, [("unexpected frequency", "freq"), ("unexpected siec", "siec_code")], "check_name string, dimension string"
+    )
+    return gated_prices(spark, sf_dir).named.join(about, "check_name").select("dimension", "code", "n")
 
 
 def gate_tax_order(spark, sf_dir):
     """Tax codes without a rank."""
-    rows = loading.price_observations(dirty_wide(spark, sf_dir))
-    ranked = loading.fixed.tax_order(spark)
-    return rows.groupBy("tax_code").agg(F.count("*").alias("n")).join(ranked, "tax_code", "left_anti")
+    named = gated_prices(spark, sf_dir).named
+    return named.filter("check_name = 'tax without order'").select(F.col("code").alias("tax_code"), "n")
 
 
 def gate_codelists(spark, sf_dir):
     """Brands whose code list is missing."""
     codelists = read_codelists(spark, landed(spark, sf_dir, "part_codelists"))
     required = raw(spark, sf_dir, "part").select(F.col("p_brand").alias("codelist")).distinct()
-    return loading.missing_codelists(codelists, required)
+    return gates.missing_codes("missing code lists", required, codelists, ["codelist"]).select(F.col("code").alias("codelist"))
 
 
 def gate_unlabelled(spark, sf_dir):
@@ -105,32 +169,29 @@ def gate_missing_members(spark, sf_dir):
 
 
 def gpr_gates(spark, sf_dir):
-    rows = index_sheet.normalise(index_sheet.read_sheet(spark, landed(spark, sf_dir, "index_dirty")))
-    return loading.index_checks(rows, "1996-01")
+    """What the gates of the index load say about a faulty sheet, and its empty rows."""
+    sheet = landed(spark, sf_dir, "index_dirty")
+    found = loading.index_gates(gate_warehouse(spark, sf_dir), sheet, "1996-01")
+    empty = literal_frame(
+        spark, [("excluded empty", found.counters["index"]["excluded_empty"])], "check_name string, issue_count long"
+    )
+    checks = found.report.filter(F.col("check_name").isin("invalid date", "partial measures", "duplicate grain"))
+    return checks.select("check_name", "issue_count").unionByName(empty)
 
 
 def load_metrics(spark, sf_dir):
-    """Rows read, observations kept, method records excluded, period range."""
-    reads = [
-        read_wide(spark, s.path).agg(F.count("*").alias("source_rows")).withColumn("dataset", F.lit(s.dataset))
-        for s in price_sources(spark, sf_dir)
-    ]
-    stocks = landed(spark, sf_dir, "stocks")
-    reads.append(read_wide(spark, stocks).agg(F.count("*").alias("source_rows")).withColumn("dataset", F.lit("stocks")))
-    prices = all_prices(spark, sf_dir).select(
-        "dataset", F.col("semester_sk").alias("period"), F.lit(False).alias("excluded")
-    )
-    quantities = loading.stock_observations(spark, stocks).select(
-        F.lit("stocks").alias("dataset"), F.col("month_sk").alias("period"),
-        loading.is_method().alias("excluded"),
+    """The counters of all loads: rows read, observations kept, records excluded, periods."""
+    wh, inputs = gate_warehouse(spark, sf_dir), landing.inputs(spark, sf_dir)
+    counters = {
+        **loading.price_gates(wh, inputs.prices).counters, **loading.stock_gates(wh, inputs.stocks).counters,
+        **loading.dependency_gates(wh, inputs.dependency, inputs.dependency_codelists).counters,
+        **loading.index_gates(wh, inputs.index, "1997-01").counters,
+    }
+    names = ["source_rows", "observations", "excluded", "first_period", "last_period"]
+    return literal_frame(
+        spark, [(dataset, *(found[name] for name in names)) for dataset, found in counters.items()],
+        "dataset string, source_rows long, observations long, excluded long, first_period string, last_period string",
     )
-    kept = F.when(~F.col("excluded"), F.col("period"))
-    counters = prices.unionByName(quantities).groupBy("dataset").agg(
-        F.count(kept).alias("observations"),
-        F.count(F.when(F.col("excluded"), 1)).alias("excluded"),
-        F.min(kept).alias("first_period"), F.max(kept).alias("last_period"),
-    )
-    return gates.combine(reads).join(counters, "dataset")
 
 
 # verification ---------------------------------------------------------------------
@@ -229,7 +290,7 @@ def profile_nulls(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in [
-        gate_schema, gate_arity, gate_nonempty, gate_domain, gate_tax_order, gate_codelists,
+        price_gate_report, dependency_gate_report, stock_gate_report, gate_schema, gate_arity, gate_nonempty, gate_domain, gate_tax_order, gate_codelists,
         gate_unlabelled, gate_duplicates, gate_missing_members, gpr_gates, load_metrics,
         verify_counts, verify_duplicates, verify_orphans, verify_sanity, constraint_report,
         profile_shape, profile_missing, profile_coverage, profile_nulls,
@@ -282,7 +343,105 @@ _CONSTRAINTS = " UNION ALL ".join(
 )
 _DATASETS = "(VALUES " + ", ".join(f"('{name}')" for name in [*DATASETS, "nrg_pc_206"]) + ") AS t(dataset)"
 
+
+def _none(*names: str) -> str:
+    """Checks without a finding."""
+    return " UNION ALL ".join(f"SELECT '{name}' AS check_name, CAST(0 AS BIGINT) AS issue_count, CAST(NULL AS VARCHAR) AS codes" for name in names)
+
+
+def _counted(name: str, source: str, codes: str | None = None) -> str:
+    """A check with a count; ``codes`` names it where there is one."""
+    told = f"CASE WHEN count(*) > 0 THEN '{codes}' END" if codes else "CAST(NULL AS VARCHAR)"
+    return f"SELECT '{name}', count(*), {told} FROM {source}"
+
+
+def _codes(name: str, code: str, source: str) -> str:
+    """A check that names its first ten codes and counts the rows that have any."""
+    return f"""SELECT '{name}', count(*), CASE WHEN count(*) > 0 THEN
+        array_to_string(list_slice(list_sort(list(DISTINCT coalesce({code}, '(none)'))), 1, 10), ', ') END FROM {source}"""
+
+
+_REPEATED = "(SELECT unnest(range(copies)) FROM (SELECT count(*) AS copies FROM {0} GROUP BY {1} HAVING count(*) > 1))"
+
+_PRICE_REPORT = f"""WITH {DIRTY},
+  faulty_cells AS (
+    SELECT DISTINCT {BAND_SQL} AS band, l_suppkey, s_nationkey, {SEMESTER_SQL} AS semester
+    FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+    JOIN supplier ON l_suppkey = s_suppkey),
+  faulty AS (SELECT * FROM faulty_cells UNION ALL SELECT * FROM faulty_cells WHERE s_nationkey = 7),
+  obs AS (
+    SELECT freq, siec, band, tax, semester, CASE WHEN whole THEN 'EUR' ELSE 'S' || l_suppkey END AS currency,
+           CASE WHEN whole THEN 'S' || l_suppkey END AS geo, s_nationkey, 'HOUSEHOLD' AS consumer
+    FROM dirty JOIN supplier ON l_suppkey = s_suppkey
+    UNION ALL
+    SELECT 'S', 'E7000', band, 'X_VAT', semester, 'EUR', 'S' || l_suppkey, s_nationkey, 'NON_HOUSEHOLD' FROM faulty),
+  conflict AS (
+    SELECT 'ELECTRICITY ' || consumer || ' ' || band AS code, count(DISTINCT siec) AS n FROM obs GROUP BY consumer, band
+    HAVING count(DISTINCT siec) > 1),
+  conflicts AS (SELECT code, unnest(range(n)) FROM conflict)
+{_none(
+    *(f"missing {what} columns of nrg_pc_{n}" for what in ("key", "semester") for n in (204, 205, 206)),
+    "no observations in nrg_pc_204", "no observations in nrg_pc_205",
+    "conflicting members of dt_tax_level", "conflicting members of dt_price_unit",
+)}
+UNION ALL SELECT 'missing key columns of nrg_pc_299', 3, 'currency, nrg_cons, tax'
+UNION ALL SELECT 'missing semester columns of nrg_pc_299', 1, NULL
+UNION ALL SELECT 'no observations in nrg_pc_206', 1, NULL
+UNION ALL SELECT 'missing code lists of nrg_pc_' || n, 1, 'CURRENCY' FROM range(204, 207) t(n)
+UNION ALL {_counted("key arity", "(SELECT DISTINCT freq, siec, tax, band, l_suppkey FROM dirty WHERE NOT whole)", "nrg_pc_204")}
+UNION ALL {_counted("surplus cells", "(SELECT DISTINCT band, l_suppkey FROM faulty WHERE s_nationkey = 11)", "nrg_pc_205")}
+UNION ALL {_counted("value out of range", "faulty WHERE s_nationkey = 9")}
+UNION ALL {_counted("duplicate grain", _REPEATED.format("obs", "consumer, band, tax, semester, currency, geo"))}
+UNION ALL {_codes("unexpected frequency", "freq", "obs WHERE freq <> 'S'")}
+UNION ALL {_codes("unexpected siec", "siec", "obs WHERE siec <> 'E7000'")}
+UNION ALL {_codes("siec without label", "siec", "obs WHERE siec <> 'E7000'")}
+UNION ALL {_codes("band without label", "band", "obs WHERE band = 'B4'")}
+UNION ALL {_codes("tax without label", "tax", "obs WHERE tax = 'I_TAX'")}
+UNION ALL {_codes("tax without order", "tax", "obs WHERE tax = 'Z_TAX'")}
+UNION ALL {_codes("unit without label", "'KWH'", "obs")}
+UNION ALL {_codes("currency without label", "currency", "obs")}
+UNION ALL {_codes("unknown semester", "semester", f"obs WHERE semester >= '{YEARS[1]}'")}
+UNION ALL {_codes("unknown geography", "geo", f"obs WHERE geo IS NULL OR s_nationkey = {UNKNOWN_NATION}")}
+UNION ALL {_codes("conflicting members of dt_consumption_band", "code", "conflicts")}"""
+
+_DEPENDENCY_REPORT = f"""WITH cells AS (
+    SELECT DISTINCT CASE WHEN s_acctbal > 9000 THEN 'Q' ELSE 'A' END AS freq,
+           CASE WHEN l_linenumber = 7 THEN 'X' ELSE '' END || p_brand AS siec, s_nationkey, l_suppkey, s_acctbal >= 0 AS whole,
+           CASE WHEN s_acctbal < 0 THEN 'S' || l_suppkey WHEN s_nationkey = 3 THEN 'THS' ELSE 'PC' END AS unit,
+           CASE WHEN s_acctbal >= 0 THEN 'S' || l_suppkey END AS geo, year(l_shipdate) AS year
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey),
+  obs AS (SELECT * FROM cells UNION ALL SELECT * FROM cells WHERE s_nationkey = 7),
+  series AS (
+    SELECT DISTINCT siec, l_suppkey, s_nationkey FROM cells WHERE NOT whole
+    UNION ALL SELECT DISTINCT siec, l_suppkey, s_nationkey FROM cells WHERE NOT whole AND s_nationkey = 7)
+{_none(
+    "missing key columns of import dependency", "missing year columns of import dependency", "surplus cells", "no observations",
+    "conflicting members of dt_energy_product",
+)}
+UNION ALL SELECT 'missing code lists of import dependency', 1, 'UNIT'
+UNION ALL {_counted("key arity", "series")}
+UNION ALL {_counted("value out of range", "obs WHERE s_nationkey = 9")}
+UNION ALL {_counted("duplicate grain", _REPEATED.format("obs", "year, geo, siec"))}
+UNION ALL {_codes("unexpected frequency", "freq", "obs WHERE freq <> 'A'")}
+UNION ALL {_codes("unexpected unit", "unit", "obs WHERE unit <> 'PC'")}
+UNION ALL {_codes("siec without label", "siec", "obs WHERE siec LIKE 'X%'")}
+UNION ALL {_codes("unknown year", "CAST(year AS VARCHAR)", f"obs WHERE year >= {YEARS[1]}")}
+UNION ALL {_codes("unknown geography", "geo", f"obs WHERE geo IS NULL OR s_nationkey = {UNKNOWN_NATION}")}"""
+
+_METHOD_CODES = ", ".join(f"'{code}'" for code in loading.fixed.METHOD_CODES)
+
+_STOCK_REPORT = f"""WITH c AS (
+    SELECT {DIRTY_FLOW} AS indicator_code, {DIRTY_UNIT} AS unit_code, {DIRTY_GEO} AS geo,
+           strftime(l_shipdate, '%Y-%m') AS month_sk, any_value(s_nationkey) AS nation
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL)
+{_none("missing month columns of stocks", "key arity", "surplus cells", "no observations", "value out of range", "duplicate grain")}
+UNION ALL {_counted("unsupported combination", f"""c WHERE indicator_code NOT IN ({_METHOD_CODES})
+    AND NOT ({sql_supported("1996-01")} AND nation <> {UNKNOWN_NATION})""")}"""
+
 ORACLES = {
+    "price_gate_report": _PRICE_REPORT,
+    "dependency_gate_report": _DEPENDENCY_REPORT,
+    "stock_gate_report": _STOCK_REPORT,
     "gate_schema": f"""WITH {CELLS}
         SELECT dataset, 'stk_flow' AS missing_columns, 14 AS n_periods, count(DISTINCT (band, tax, l_suppkey)) AS n_rows
         FROM prices GROUP BY dataset""",
@@ -314,15 +473,25 @@ ORACLES = {
         UNION ALL SELECT 'invalid date', count(*) FROM p WHERE undated
         UNION ALL SELECT 'partial measures', count(*) FROM p WHERE partial
         UNION ALL SELECT 'duplicate grain', CAST(coalesce(sum(copies), 0) AS BIGINT) FROM d""",
-    "load_metrics": f"""WITH {CELLS}, {STOCK_CELLS},
-        m AS (SELECT *, indicator_code LIKE '%MTH' AS method FROM stock)
+    "load_metrics": f"""WITH {CELLS}, {STOCK_CELLS}, {DEPENDENCY},
+        m AS (SELECT *, indicator_code LIKE '%MTH' AS method FROM stock),
+        d AS (SELECT DISTINCT product, l_suppkey, year FROM (
+          SELECT p_brand AS product, l_suppkey, year(l_shipdate) AS year FROM lineitem JOIN part ON l_partkey = p_partkey
+          UNION ALL SELECT 'TOTAL', l_suppkey, year(l_shipdate) FROM lineitem)),
+        i AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS month_sk FROM orders)
         SELECT dataset, count(DISTINCT (band, tax, l_suppkey)) AS source_rows, count(*) AS observations,
                CAST(0 AS BIGINT) AS excluded, min(semester) AS first_period, max(semester) AS last_period
         FROM prices GROUP BY dataset
         UNION ALL
         SELECT 'stocks', count(DISTINCT (indicator_code, l_suppkey)), count(*) FILTER (WHERE NOT method),
                count(*) FILTER (WHERE method), min(month_sk) FILTER (WHERE NOT method),
-               max(month_sk) FILTER (WHERE NOT method) FROM m""",
+               max(month_sk) FILTER (WHERE NOT method) FROM m
+        UNION ALL
+        SELECT 'import dependency', count(DISTINCT (product, l_suppkey)), count(*), 0,
+               CAST(min(year) AS VARCHAR), CAST(max(year) AS VARCHAR) FROM d
+        UNION ALL
+        SELECT 'index', count(*), count(*) FILTER (WHERE month_sk >= '1997-01'), count(*) FILTER (WHERE month_sk < '1997-01'),
+               min(month_sk) FILTER (WHERE month_sk >= '1997-01'), max(month_sk) FILTER (WHERE month_sk >= '1997-01') FROM i""",
     "verify_counts": f"""WITH {PRICE}, {DEPENDENCY}, {INDEX}, {STOCK}, {BRIDGE}
         SELECT 'FACT_GPR' AS table_name, count(*) AS row_count, min(month_sk) AS first_period, max(month_sk) AS last_period FROM px_index
         UNION ALL SELECT 'FACT_IMPORT_DEPENDENCY', count(*), CAST(min(year) AS VARCHAR), CAST(max(year) AS VARCHAR) FROM px_rate
