@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from semestra.operators import gates
+from semestra.reference_data import literal_frame
 from semestra.schemas import TABLES, Table
 
 # Table -> subject the reports call it by
@@ -77,24 +80,54 @@ def verify_sanity(wh, exempt_bands: tuple[str, ...] = NEGATIVE_PRICE_BANDS) -> D
     ])
 
 
-def table_constraints(wh, table: Table) -> DataFrame:
-    """Declared constraints of one table as violations: missing values, references
-    and checks in one pass, then one grouping per key."""
-    rows = wh.table(table.name)
-    rules: dict[str, Column] = {
-        f"{table.name}.{column} is null": F.col(column).isNull() for column in table.required
-    }
+def row_constraints(table: Table) -> dict[str, Column]:
+    """Rules for single rows, by name; true where one is violated. References need the
+    flags of ``with_parents``."""
+    rules = {f"{table.name}.{column} is null": F.col(column).isNull() for column in table.required}
     for check, condition in table.checks.items():
         rules[f"{table.name} {check}"] = ~F.expr(condition)
     for key, parent in table.references:
-        known = f"known_{key}"
-        rows = rows.join(wh.table(parent).select(key).distinct().withColumn(known, F.lit(True)), key, "left")
-        rules[f"{table.name}.{key} not in {parent}"] = F.col(key).isNotNull() & F.col(known).isNull()
-    reports = [gates.count_violations(rows, rules)]
-    for key in (table.key, *table.unique):
-        name = f"{table.name} duplicate {', '.join(key)}"
-        reports.append(gates.duplicate_groups(name, wh.table(table.name), list(key)))
-    return gates.combine(reports)
+        rules[f"{table.name}.{key} not in {parent}"] = F.col(key).isNotNull() & F.col(f"known_{key}").isNull()
+    return rules
+
+
+def key_constraints(table: Table) -> dict[str, list[str]]:
+    """Keys that may occur once, by name."""
+    return {f"{table.name} duplicate {', '.join(key)}": list(key) for key in (table.key, *table.unique)}
+
+
+def with_parents(wh, table: Table) -> DataFrame:
+    rows = wh.table(table.name)
+    for key, parent in table.references:
+        members = wh.table(parent).select(key).distinct().withColumn(f"known_{key}", F.lit(True))
+        rows = rows.join(members, key, "left")
+    return rows
+
+
+def table_constraints(wh, table: Table) -> DataFrame:
+    """``check_name, issue_count`` of all declared constraints of one table, from one pass.
+
+    Every row gives an entry for each rule it violates, and one for each of its keys, told
+    by a hash of 96 bits. All are counted by one grouping, which combines before it
+    shuffles: violations of a rule come down to one row a task. A rule has as many issues
+    as entries; a key as many as it has hashes that occur more than once. Keys with a null
+    are not compared, as their columns are found by the rules.
+    """
+    rules, keys = row_constraints(table), key_constraints(table)
+    entry = lambda name, high, low: F.struct(F.lit(name).alias("check_name"), high.alias("high"), low.alias("low"))
+    entries = [F.when(rule, entry(name, F.lit(None).cast("long"), F.lit(None).cast("int"))) for name, rule in rules.items()]
+    for name, key in keys.items():
+        there = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+        entries.append(F.when(there, entry(name, F.xxhash64(*key), F.hash(*key))))
+    found = with_parents(wh, table).select(
+        F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("entry")
+    ).groupBy("entry.check_name", "entry.high", "entry.low").agg(F.count("*").alias("n"))
+    issues = F.when(F.col("high").isNull(), F.col("n")).otherwise((F.col("n") > 1).cast("long"))
+    counted = found.select("check_name", issues.alias("issue_count"))
+    # Constraints without a finding are rows too
+    spark = counted.sparkSession
+    none = literal_frame(spark, [(name, 0) for name in [*rules, *keys]], "check_name string, issue_count long")
+    return counted.unionByName(none).groupBy("check_name").agg(F.sum("issue_count").alias("issue_count"))
 
 
 def constraint_report(wh, names: list[str] | None = None) -> DataFrame:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from semestra.functions.periods import period_columns
-from semestra.functions.text import month_number, month_text
+from semestra.functions.text import month_number, month_text, semester_number, semester_text
 from semestra.operators import gates, profile
 from semestra.plans import loading, verification
 from semestra.plans.loading import PriceSource
 from semestra.reference_data import literal_frame
-from semestra.schemas import FACTS, TABLES
+from semestra.schemas import TABLES
 from semestra.sources import index_sheet
 from semestra.sources.codelists import read_codelists
 from semestra.session import new_folder
@@ -21,6 +21,7 @@ from semestra.standins import landing
 from semestra.standins.ingest import BAND_SQL, CELLS, DIRTY_INDEX, SEMESTER_SQL, STOCK_CELLS, sql_supported
 from semestra.standins.landing import DATASETS, DIRTY_FLOW, DIRTY_GEO, DIRTY_UNIT, landed, price_sources, supplier_members
 from semestra.standins.olap import BRIDGE, INDEX, PRICE, STOCK
+from semestra.standins.stored import LATECOMER_SK, stored_warehouse
 from semestra.standins.tables import GLOBAL_SK, YEARS, StandInWarehouse, raw
 
 HEADER = "freq,siec,nrg_cons,unit,tax,currency,geo\\TIME_PERIOD"
@@ -251,12 +252,64 @@ def verify_sanity(spark, sf_dir):
     return verification.verify_sanity(StandInWarehouse(spark, sf_dir, offset=-20000), ("B1", "B2"))
 
 
-CONSTRAINED = ["dim_geo_entity", "br_geo_eu_membership", *FACTS]
+#: Which rows of each table are planted again with faults: a condition, or the periods of
+#: a table.
+PLANTED = {
+    "dim_geo_entity": f"entity_type = 'Country' AND geo_sk <> {LATECOMER_SK}",
+    "dt_year": "orders",
+    "dt_semester": "orders",
+    "dt_month": "orders",
+    "br_geo_eu_membership": "year_sk = 1998",
+    "dt_energy_product": "siec_code <> 'TOTAL'",
+    "dt_price_unit": "energy_unit_code = 'KWH' AND currency_code = 'EUR'",
+    "dt_consumption_band": "commodity_type = 'GAS'",
+    "dt_tax_level": "tax_code <> 'I_TAX'",
+    "dt_stock_indicator": "indicator_code <> 'A'",
+    "dt_measure_unit": "unit_code = 'NR'",
+    "fact_gpr": f"month_sk LIKE '1997%' AND geo_sk = {GLOBAL_SK}",
+    "fact_import_dependency": "geo_sk = 3",
+    "fact_energy_price": "geo_sk = 3 AND price_unit_sk = 1",
+    "fact_oil_stocks": "geo_sk = 3",
+}
+
+
+class Planted:
+    """A warehouse in which some rows of every table stand again: as they are, with every
+    required column null, and with keys that no dimension has. The latter have months
+    before the scope."""
+
+    def __init__(self, warehouse: Warehouse, orders: DataFrame):
+        self.warehouse, self.orders = warehouse, orders
+        date = F.col("o_orderdate")
+        self.periods = {
+            "dt_year": F.year(date), "dt_semester": semester_text(semester_number(date)), "dt_month": month_text(month_number(date)),
+        }
+
+    def chosen(self, name: str, rows: DataFrame) -> DataFrame:
+        if name not in self.periods:
+            return rows.filter(PLANTED[name])
+        key = TABLES[name].key[0]
+        return rows.join(self.orders.select(self.periods[name].alias(key)).distinct(), key, "left_semi")
+
+    def table(self, name: str) -> DataFrame:
+        table, rows = TABLES[name], self.warehouse.table(name)
+        again = self.chosen(name, rows)
+        nulls = again.withColumns({c: F.lit(None).cast(again.schema[c].dataType) for c in table.required})
+        rows, parts = rows, [again, nulls]
+        if table.references:
+            unknown = {
+                key: F.concat(F.lit("0"), key) if again.schema[key].dataType.simpleString() == "string" else -1 - F.col(key)
+                for key, _ in table.references
+            }
+            parts.append(again.withColumns(unknown))
+        for part in parts:
+            rows = rows.unionByName(part.select(*rows.columns))
+        return rows
 
 
 def constraint_report(spark, sf_dir):
-    """Declared constraints of geography, bridge and facts, one nation missing."""
-    return verification.constraint_report(StandInWarehouse(spark, sf_dir, without="NATION_5"), CONSTRAINED)
+    """Declared constraints of all tables, each violated by some rows of the table."""
+    return verification.constraint_report(Planted(stored_warehouse(spark, sf_dir), raw(spark, sf_dir, "orders")))
 
 
 # profiles -------------------------------------------------------------------------
@@ -319,28 +372,39 @@ px_rate AS (
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL)"""
 
 _BAD = "(SELECT n_nationkey FROM nation WHERE n_name = 'NATION_5')"
-# Constraints that one missing nation breaks; every other one holds.
-_BROKEN = {
-    "fact_import_dependency.geo_sk not in dim_geo_entity": f"SELECT count(*) FROM px_rate WHERE geo_sk IN {_BAD}",
-    "fact_energy_price.geo_sk not in dim_geo_entity": f"SELECT count(*) FROM px_all WHERE geo_sk IN {_BAD}",
-    "fact_oil_stocks.geo_sk not in dim_geo_entity": f"SELECT count(*) FROM px_stock WHERE geo_sk IN {_BAD}",
+# How many rows of each table are planted
+_PLANTED = {
+    "dim_geo_entity": "SELECT count(*) FROM nation",
+    "dt_year": "SELECT count(DISTINCT year(o_orderdate)) FROM orders",
+    "dt_semester": "SELECT count(DISTINCT (year(o_orderdate), month(o_orderdate) <= 6)) FROM orders",
+    "dt_month": "SELECT count(DISTINCT strftime(o_orderdate, '%Y-%m')) FROM orders",
+    "br_geo_eu_membership": "SELECT count(*) FROM px_bridge WHERE year = 1998",
+    "dt_energy_product": "SELECT count(DISTINCT p_brand) FROM part",
+    "dt_price_unit": "SELECT count(DISTINCT 'KWH') FROM lineitem",
+    "dt_consumption_band": f"SELECT 2 * count(DISTINCT {BAND_SQL}) FROM part",
+    "dt_tax_level": "SELECT count(DISTINCT l_linenumber % 3) FROM lineitem WHERE l_linenumber % 3 <> 2",
+    "dt_stock_indicator": "SELECT count(DISTINCT l_returnflag) FROM lineitem WHERE l_returnflag <> 'A'",
+    "dt_measure_unit": "SELECT count(DISTINCT 'NR') FROM lineitem",
+    "fact_gpr": "SELECT count(*) FROM px_index WHERE month_sk LIKE '1997%'",
+    "fact_import_dependency": "SELECT count(*) FROM px_rate WHERE geo_sk = 3",
+    "fact_energy_price": "SELECT count(*) FROM px_all WHERE geo_sk = 3",
+    "fact_oil_stocks": "SELECT count(*) FROM px_stock WHERE geo_sk = 3",
 }
 
 
-def _constraint_names() -> list[str]:
-    names = []
-    for table in (TABLES[name] for name in CONSTRAINED):
-        names += [f"{table.name}.{column} is null" for column in table.required]
+def _constraint_counts() -> list[str]:
+    """Every constraint is broken by each row that is planted for it."""
+    out = []
+    for table in TABLES.values():
+        names = [f"{table.name}.{column} is null" for column in table.required]
         names += [f"{table.name} {check}" for check in table.checks]
         names += [f"{table.name}.{key} not in {parent}" for key, parent in table.references]
         names += [f"{table.name} duplicate {', '.join(key)}" for key in (table.key, *table.unique)]
-    return names
+        out += [f"SELECT '{name}' AS check_name, CAST(({_PLANTED[table.name]}) AS BIGINT) AS issue_count" for name in names]
+    return out
 
 
-_CONSTRAINTS = " UNION ALL ".join(
-    f"SELECT '{name}' AS check_name, CAST(({_BROKEN.get(name, 'SELECT 0')}) AS BIGINT) AS issue_count"
-    for name in _constraint_names()
-)
+_CONSTRAINTS = " UNION ALL ".join(_constraint_counts())
 _DATASETS = "(VALUES " + ", ".join(f"('{name}')" for name in [*DATASETS, "nrg_pc_206"]) + ") AS t(dataset)"
 
 
@@ -522,7 +586,7 @@ ORACLES = {
         UNION ALL SELECT 'Negative gas prices', count(*) FROM n WHERE commodity_type = 'GAS'
         UNION ALL SELECT 'Negative oil stock values', 0
         UNION ALL SELECT 'Negative GPR values', 0""",
-    "constraint_report": f"WITH {PRICE}, {DEPENDENCY}, {STOCK} {_CONSTRAINTS}",
+    "constraint_report": f"WITH {PRICE}, {DEPENDENCY}, {STOCK}, {INDEX}, {BRIDGE} {_CONSTRAINTS}",
     "profile_shape": f"""WITH {CELLS}
         SELECT dataset, count(DISTINCT (band, tax, l_suppkey)) AS n_rows, 15 AS n_columns,
                '{HEADER}' AS composite_column, 7 AS key_parts FROM prices GROUP BY dataset""",

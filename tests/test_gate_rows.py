@@ -9,7 +9,8 @@ from conftest import SF
 
 from check import _rows
 from semestra.operators import gates
-from semestra.plans import loading
+from semestra.plans import loading, verification
+from semestra.schemas import TABLES
 from semestra.standins import quality, registry
 
 REPORTS = ["price_gate_report", "dependency_gate_report", "stock_gate_report"]
@@ -116,3 +117,43 @@ def test_a_report_names_ten_codes_at_most(spark):
     named = gates.offending_codes(rows, {"even": ("code", rows.bad), "none": ("code", rows.code == "x")})
     found = {r.check_name: tuple(r)[1:] for r in gates.gate_report(spark, [], [named], ["even", "none"]).collect()}
     assert found == {"even": (40, "0, 10, 12, 14, 16, 18, 2, 20, 22, 24"), "none": (0, None)}
+
+
+KINDS = {
+    "null": lambda rules, keys: ({n: r for n, r in rules.items() if not n.endswith(" is null")}, keys),
+    "check": lambda rules, keys: ({n: r for n, r in rules.items() if n != "fact_gpr scope_start"}, keys),
+    "reference": lambda rules, keys: ({n: r for n, r in rules.items() if " not in " not in n}, keys),
+    "duplicate": lambda rules, keys: (rules, {}),
+}
+
+
+def test_every_constraint_of_every_table_is_violated(spark, expected):
+    columns, rows = expected("constraint_report")
+    frame = registry.QUERIES["constraint_report"](spark, SF)
+    found = [tuple(r) for r in frame.collect()]
+    assert _rows(frame.columns, found) == _rows(columns, rows)
+    assert len(found) == 101 and min(r.issue_count for r in frame.collect()) > 0
+    assert {name.split(".")[0].split(" ")[0] for name, _ in rows} == set(TABLES)
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_constraint_matters(spark, expected, monkeypatch, kind):
+    row, key = verification.row_constraints, verification.key_constraints
+    monkeypatch.setattr(verification, "row_constraints", lambda table: KINDS[kind](row(table), key(table))[0])
+    monkeypatch.setattr(verification, "key_constraints", lambda table: KINDS[kind](row(table), key(table))[1])
+    columns, rows = expected("constraint_report")
+    found = {r.check_name for r in registry.QUERIES["constraint_report"](spark, SF).collect()}
+    marks = {"null": " is null", "check": " scope_start", "reference": " not in ", "duplicate": " duplicate "}
+    lost = {name for name, _ in rows} - found
+    assert lost and lost == {name for name, _ in rows if marks[kind] in name}
+
+
+def test_keys_with_nulls_and_repeated_entries(spark):
+    class Faulty:
+        def table(self, name):
+            return spark.createDataFrame([(None, 1), (None, 1), (1, 1), (2, 2), (2, 2), (2, 3)], "year_sk int, year_value int")
+
+    got = {r.check_name: r.issue_count for r in verification.table_constraints(Faulty(), TABLES["dt_year"]).collect()}
+    assert got == {
+        "dt_year.year_sk is null": 2, "dt_year.year_value is null": 0, "dt_year duplicate year_sk": 1, "dt_year duplicate year_value": 2,
+    }
