@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from semestra.operators.numbering import PART, PLACE, placed
+from semestra.reference_data import literal_frame
 
 
 def extract_members(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -10,37 +13,50 @@ def extract_members(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(*columns).distinct()
 
 
-def assign_keys(incoming: DataFrame, existing: DataFrame, key: list[str], surrogate: str) -> DataFrame:
-    """Give every incoming member a surrogate key, keeping those already given.
+def _merged(existing: DataFrame, incoming: DataFrame, key: list[str], surrogate: str) -> DataFrame:
+    """All members with their surrogate keys, and whether they are ``incoming``.
 
-    New members are numbered after the highest existing key. Numbering works in
-    256 hash buckets whose offsets are added up, so no task sees all members; the
+    Old and new rows are tagged and put together by one grouping, which takes the newest
+    attributes and the key already given. Members without one are numbered after the
+    highest, in the order of a hash prefix and of their natural key: the members are cut
+    into ranges of that order, and one row for each range tells the numbers below it. The
     result depends only on the members, not on partitioning.
     """
-    known = existing.select(*key, surrogate)
-    fresh = incoming.join(known, key, "left_anti").withColumn(
-        "bucket", F.substring(F.md5(F.concat_ws("\u001f", *key)), 1, 2)
+    others = [name for name in incoming.columns if name not in key]
+    old = existing.select(*key, *others, F.col(surrogate).cast("bigint").alias(surrogate), F.lit(0).alias("age"))
+    new = incoming.select(*key, *others, F.lit(None).cast("bigint").alias(surrogate), F.lit(1).alias("age"))
+    together = old.unionByName(new).groupBy(*key).agg(
+        F.max_by(F.struct(F.lit(True), *others), "age").alias("newest"), F.max(surrogate).alias(surrogate),
+        (F.max("age") == 1).alias("incoming"),
     )
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy(*key))
-    preceding = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        fresh.groupBy("bucket").agg(F.count("*").alias("members"))
-        .select("bucket", F.coalesce(F.sum("members").over(preceding), F.lit(0)).alias("offset"))
+    fresh = F.col(surrogate).isNull()
+    order = [fresh, F.substring(F.md5(F.concat_ws("\u001f", *key)), 1, 2), *map(F.col, key)]
+    rows = placed(together, order)
+    totals = rows.groupBy(PART).agg(
+        F.count(surrogate).alias("n_old"), F.count(F.when(fresh, 1)).alias("n_fresh"), F.max(surrogate).alias("highest"),
+    ).collect()
+    number = max((t.highest for t in totals if t.highest is not None), default=0) + 1
+    below = []
+    for t in sorted(totals, key=lambda t: t[PART]):
+        # In a range old members come first
+        below.append((t[PART], number - t.n_old))
+        number += t.n_fresh
+    offsets = literal_frame(rows.sparkSession, below, f"{PART} int, first long")
+    return rows.join(offsets, PART).select(
+        *key, *[F.col(f"newest.{name}").alias(name) for name in others],
+        F.coalesce(F.col(surrogate), F.col("first") + F.col(PLACE)).alias(surrogate), "incoming",
     )
-    highest = existing.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("highest")).scalar()
-    numbered = (
-        fresh.withColumn("place", place).join(F.broadcast(offsets), "bucket")  # 256 rows at most
-        .withColumn(surrogate, (highest + F.col("offset") + F.col("place")).cast("int"))
-        .drop("bucket", "place", "offset")
-    )
-    return incoming.join(known, key).unionByName(numbered)
+
+
+def assign_keys(incoming: DataFrame, existing: DataFrame, key: list[str], surrogate: str) -> DataFrame:
+    """Give every incoming member a surrogate key (bigint), keeping those already given."""
+    return _merged(existing, incoming, key, surrogate).filter("incoming").drop("incoming")
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: list[str], surrogate: str) -> DataFrame:
-    """Incoming members replace those with the same key; the others stay as they are."""
-    return existing.join(incoming, key, "left_anti").unionByName(
-        assign_keys(incoming, existing, key, surrogate)
-    )
+    """Incoming members replace those with the same key; the others stay as they are. Each
+    side is read once."""
+    return _merged(existing, incoming, key, surrogate).drop("incoming")
 
 
 def insert_absent(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:

@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from semestra.functions.numeric import half_up, percent_change
-
-
-# Every distinct value is compared with each cut, so ranges stay this few.
-MAX_RANGES = 256
+from semestra.operators.numbering import BELOW, NUMBER, PART, with_value_numbers
+from semestra.reference_data import literal_frame
 
 
 def moving_mean(
@@ -34,49 +32,45 @@ def change_from_previous(
     return rows.withColumn(alias, half_up(change, digits))
 
 
+def _ranges_below(totals: list) -> tuple[list[tuple], int, int]:
+    """For every range, what its numbers need to be numbers among all rows; and how many
+    values and rows there are. A value that goes on from the range before is the same one."""
+    out, rows, values, run, last = [], 0, 0, 0, None
+    for t in sorted(totals, key=lambda t: t[PART]):
+        joined = last is not None and t.least == last
+        before = values - joined
+        out.append((t[PART], rows, run if joined else rows, before))
+        values = before + t.n_values
+        if not (joined and t.n_values == 1):
+            # Where the rows of the range's last value begin
+            run = rows + t.last_below
+        rows, last = rows + t.n_rows, t.greatest
+    return out, values, rows
+
+
 def global_rank(
     rows: DataFrame, measure: str, rank: str, percentile: str, digits: int = 2, buckets: int | None = None
 ) -> DataFrame:
     """Dense rank from the highest value and percent rank from the lowest.
 
-    A window without partitions would sort everything in one task. Instead equal
-    values are counted first, the distinct values are cut into ranges at
-    approximate quantiles, each range is ordered on its own, and the totals of
-    the ranges below are added. The result is exact wherever the cuts fall.
+    A window without partitions would sort everything in one task. Instead the rows are
+    cut into ranges of the measure (``buckets`` of them, or as many as the session has
+    shuffle partitions), each is numbered as a stream, and the totals of the ranges below
+    are added. Rows move once. The result is exact wherever the ranges are cut.
     """
     spark = rows.sparkSession
-    buckets = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
-    counted = rows.filter(F.col(measure).isNotNull()).groupBy(measure).agg(F.count("*").alias("copies"))
-    cuts = [i / buckets for i in range(1, buckets)] or [0.5]
-    # Looking at the copies keeps this the same aggregation as below, so it runs once.
-    bounds = counted.filter("copies > 0").agg(F.percentile_approx(measure, cuts)).scalar()
-    # The coalesce tells the optimizer the range is never NULL; it would otherwise
-    # test that on every row before the counting.
-    place = F.coalesce(F.size(F.filter("bounds", lambda cut: cut < F.col(measure))), F.lit(0))
-    ranged = counted.withColumn("bounds", bounds).withColumn("bucket", place).drop("bounds")
-    # One row per range from here to `totals`, so a broadcast of it is bounded.
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.orderBy("bucket").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    every = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    totals = (
-        ranged.groupBy("bucket").agg(F.count("*").alias("n_values"), F.sum("copies").alias("n_rows"))
-        .select(
-            "bucket",
-            F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("rows_below"),
-            F.sum("n_values").over(after).alias("values_from_here"),
-            F.sum("n_rows").over(every).alias("total_rows"),
-        )
-    )
-    within = Window.partitionBy("bucket").orderBy(F.col(measure).asc())
-    smaller = (
-        F.sum("copies").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        - F.col("copies") + F.col("rows_below")
-    )
-    others = (F.col("total_rows") - 1).cast("decimal(20,0)")
-    share = F.when(others > 0, smaller.cast("decimal(20,0)") * 100 / others).otherwise(F.lit(0))
-    places = ranged.join(F.broadcast(totals), "bucket").select(
-        measure,
-        (F.col("values_from_here") - F.row_number().over(within) + 1).cast("bigint").alias(rank),
+    numbered = with_value_numbers(rows.filter(F.col(measure).isNotNull()), measure, buckets)
+    # One row for each range
+    totals = numbered.groupBy(PART).agg(
+        F.count("*").alias("n_rows"), F.max(NUMBER).alias("n_values"), F.max(BELOW).alias("last_below"),
+        F.min(measure).alias("least"), F.max(measure).alias("greatest"),
+    ).collect()
+    below, n_values, n_rows = _ranges_below(totals)
+    offsets = literal_frame(spark, below, f"{PART} int, rows_below long, first_below long, values_below long")
+    smaller = F.when(F.col(NUMBER) == 1, F.col("first_below")).otherwise(F.col("rows_below") + F.col(BELOW))
+    share = F.lit(0) if n_rows < 2 else smaller.cast("decimal(20,0)") * 100 / F.lit(n_rows - 1).cast("decimal(20,0)")
+    return numbered.join(offsets, PART).select(
+        *[F.col(f"`{name}`") for name in rows.columns],
+        (F.lit(n_values + 1) - F.col(NUMBER) - F.col("values_below")).cast("bigint").alias(rank),
         half_up(share.cast("decimal(38,18)"), digits).alias(percentile),
     )
-    return rows.join(places, measure)

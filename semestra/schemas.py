@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "int": T.IntegerType(),
+    "bigint": T.LongType(),
     "smallint": T.ShortType(),
     "string": T.StringType(),
     "boolean": T.BooleanType(),
@@ -53,7 +54,7 @@ class Table:
 
 
 def _columns(*specs: str) -> tuple[tuple[str, str, bool], ...]:
-    """``"geo_sk int!"`` is a required int column; without ``!`` it may be NULL."""
+    """``"geo_sk bigint!"`` is a required int column; without ``!`` it may be NULL."""
     parsed = []
     for spec in specs:
         name, type_name = spec.rstrip("!").split(" ")
@@ -67,7 +68,7 @@ _DECLARED = [
     Table(
         "dim_geo_entity",
         _columns(
-            "geo_sk int!", "eurostat_code string!", "iso_alpha2 string", "iso_alpha3 string",
+            "geo_sk bigint!", "eurostat_code string!", "iso_alpha2 string", "iso_alpha3 string",
             "country_name string!", "entity_type string!", "is_eu boolean",
         ),
         key=("geo_sk",),
@@ -96,7 +97,7 @@ _DECLARED = [
     ),
     Table(
         "br_geo_eu_membership",
-        _columns("geo_sk int!", "year_sk int!"),
+        _columns("geo_sk bigint!", "year_sk int!"),
         key=("geo_sk", "year_sk"),
         references=(("geo_sk", "dim_geo_entity"), ("year_sk", "dt_year")),
         comment="One row per member and year of membership",
@@ -104,7 +105,7 @@ _DECLARED = [
     Table(
         "dt_energy_product",
         _columns(
-            "product_sk int!", "siec_code string!", "siec_label string!",
+            "product_sk bigint!", "siec_code string!", "siec_label string!",
             "product_order smallint!", "is_total boolean!",
         ),
         key=("product_sk",),
@@ -115,7 +116,7 @@ _DECLARED = [
     Table(
         "dt_price_unit",
         _columns(
-            "price_unit_sk int!", "energy_unit_code string!", "currency_code string!",
+            "price_unit_sk bigint!", "energy_unit_code string!", "currency_code string!",
             "energy_unit_label string", "currency_label string", "price_basis string",
         ),
         key=("price_unit_sk",),
@@ -126,7 +127,7 @@ _DECLARED = [
     Table(
         "dt_consumption_band",
         _columns(
-            "consumption_band_sk int!", "commodity_type string!", "siec_code string!",
+            "consumption_band_sk bigint!", "commodity_type string!", "siec_code string!",
             "siec_label string!", "consumer_type string!", "band_code string!",
             "band_label string!", "band_order smallint!", "is_total_band boolean!",
         ),
@@ -138,7 +139,7 @@ _DECLARED = [
     Table(
         "dt_tax_level",
         _columns(
-            "tax_level_sk int!", "tax_code string!", "tax_label string!",
+            "tax_level_sk bigint!", "tax_code string!", "tax_label string!",
             "tax_inclusion_order smallint!",
         ),
         key=("tax_level_sk",),
@@ -149,7 +150,7 @@ _DECLARED = [
     Table(
         "dt_stock_indicator",
         _columns(
-            "indicator_sk int!", "indicator_code string!", "indicator_label string",
+            "indicator_sk bigint!", "indicator_code string!", "indicator_label string",
             "indicator_class string", "obligation_basis string",
         ),
         key=("indicator_sk",),
@@ -159,7 +160,7 @@ _DECLARED = [
     ),
     Table(
         "dt_measure_unit",
-        _columns("measure_unit_sk int!", "unit_code string!", "unit_label string"),
+        _columns("measure_unit_sk bigint!", "unit_code string!", "unit_label string"),
         key=("measure_unit_sk",),
         unique=(("unit_code",),),
         comment="Units of the stock indicators",
@@ -169,7 +170,7 @@ _DECLARED = [
         "fact_gpr",
         _columns(
             "month_sk string!", "gpr_val decimal(10,4)!", "gprt_val decimal(10,4)!",
-            "gpra_val decimal(10,4)!", "geo_sk int!",
+            "gpra_val decimal(10,4)!", "geo_sk bigint!",
         ),
         key=("month_sk", "geo_sk"),
         references=(("month_sk", "dt_month"), ("geo_sk", "dim_geo_entity")),
@@ -185,7 +186,7 @@ _DECLARED = [
     Table(
         "fact_import_dependency",
         _columns(
-            "geo_sk int!", "product_sk int!", "eurostat_flag string",
+            "geo_sk bigint!", "product_sk bigint!", "eurostat_flag string",
             "dep_rate_val decimal(12,4)!", "year_sk int!",
         ),
         key=("year_sk", "geo_sk", "product_sk"),
@@ -200,8 +201,8 @@ _DECLARED = [
     Table(
         "fact_energy_price",
         _columns(
-            "semester_sk string!", "geo_sk int!", "consumption_band_sk int!",
-            "tax_level_sk int!", "price_unit_sk int!", "eurostat_flag string",
+            "semester_sk string!", "geo_sk bigint!", "consumption_band_sk bigint!",
+            "tax_level_sk bigint!", "price_unit_sk bigint!", "eurostat_flag string",
             "price_val decimal(10,4)!", "period_year int!",
         ),
         key=("semester_sk", "geo_sk", "consumption_band_sk", "tax_level_sk", "price_unit_sk"),
@@ -216,7 +217,7 @@ _DECLARED = [
     Table(
         "fact_oil_stocks",
         _columns(
-            "month_sk string!", "geo_sk int!", "indicator_sk int!", "measure_unit_sk int!",
+            "month_sk string!", "geo_sk bigint!", "indicator_sk bigint!", "measure_unit_sk bigint!",
             "eurostat_flag string", "indicator_value decimal(14,4)!", "period_year int!",
         ),
         key=("month_sk", "geo_sk", "indicator_sk", "measure_unit_sk"),

@@ -271,8 +271,8 @@ ORACLES = {
                      {sql_numbered(_BAND_TEXT, "commodity_type, consumer_type, band")} AS bsk
               FROM (SELECT DISTINCT commodity_type, consumer_type, band FROM prices)),
         t AS (SELECT tax, {sql_numbered("tax", "tax")} AS tsk FROM (SELECT DISTINCT tax FROM prices))
-        SELECT semester AS semester_sk, CAST(l_suppkey + 1 AS INT) AS geo_sk, CAST(bsk AS INT) AS consumption_band_sk,
-               CAST(tsk AS INT) AS tax_level_sk, 1 AS price_unit_sk, eurostat_flag, CAST(price AS DOUBLE) AS price_val,
+        SELECT semester AS semester_sk, CAST(l_suppkey + 1 AS INT) AS geo_sk, CAST(bsk AS BIGINT) AS consumption_band_sk,
+               CAST(tsk AS BIGINT) AS tax_level_sk, CAST(1 AS BIGINT) AS price_unit_sk, eurostat_flag, CAST(price AS DOUBLE) AS price_val,
                CAST(substr(semester, 1, 4) AS INT) AS period_year
         FROM prices JOIN b USING (commodity_type, consumer_type, band) JOIN t USING (tax)""",
     "exclude_codes": f"""WITH {STOCK_CELLS}

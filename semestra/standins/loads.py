@@ -227,12 +227,12 @@ ORACLES = {
               FROM i JOIN e ON e.eurostat_code = i.eurostat_code
               UNION ALL SELECT eurostat_code, NULL, NULL, country_name, entity_type, false, sk FROM n),
         c AS (SELECT 'N' || c_nationkey AS eurostat_code, count(*) AS n FROM customer GROUP BY ALL)
-        SELECT eurostat_code, iso_alpha2, iso_alpha3, country_name, entity_type, is_eu, CAST(sk AS INT) AS geo_sk,
+        SELECT eurostat_code, iso_alpha2, iso_alpha3, country_name, entity_type, is_eu, CAST(sk AS BIGINT) AS geo_sk,
                coalesce(n, 0) AS n_customers FROM m LEFT JOIN c USING (eurostat_code)""",
     "dim_surrogate_key": f"""
         WITH s AS (SELECT 'C' || o_custkey AS code, max(strftime(o_orderdate, '%Y-%m')) AS last_seen
                    FROM orders GROUP BY ALL)
-        SELECT code, last_seen, CAST({sql_numbered('code', 'code')} AS INT) AS customer_sk FROM s""",
+        SELECT code, last_seen, CAST({sql_numbered('code', 'code')} AS BIGINT) AS customer_sk FROM s""",
     "dim_upsert": f"""
         WITH a AS (SELECT 'C' || o_custkey AS code, max(strftime(o_orderdate, '%Y-%m')) AS last_seen
                    FROM orders WHERE year(o_orderdate) < 1997 GROUP BY ALL),
@@ -241,9 +241,9 @@ ORACLES = {
               FROM orders WHERE year(o_orderdate) >= 1998 GROUP BY ALL),
         n AS (SELECT *, (SELECT count(*) FROM a) + {sql_numbered('code', 'code')} AS sk FROM b
               WHERE code NOT IN (SELECT code FROM a))
-        SELECT code, last_seen, CAST(sk AS INT) AS customer_sk FROM e WHERE code NOT IN (SELECT code FROM b)
-        UNION ALL SELECT code, b.last_seen, CAST(sk AS INT) FROM b JOIN e USING (code)
-        UNION ALL SELECT code, last_seen, CAST(sk AS INT) FROM n""",
+        SELECT code, last_seen, CAST(sk AS BIGINT) AS customer_sk FROM e WHERE code NOT IN (SELECT code FROM b)
+        UNION ALL SELECT code, b.last_seen, CAST(sk AS BIGINT) FROM b JOIN e USING (code)
+        UNION ALL SELECT code, last_seen, CAST(sk AS BIGINT) FROM n""",
     "insert_if_absent": """
         WITH a AS (SELECT DISTINCT o_custkey, CAST(year(o_orderdate) AS INT) AS year_sk FROM orders WHERE year(o_orderdate) < 1999),
         b AS (SELECT DISTINCT o_custkey, CAST(year(o_orderdate) AS INT) AS year_sk FROM orders WHERE year(o_orderdate) >= 1997)
@@ -251,12 +251,13 @@ ORACLES = {
         UNION ALL SELECT o_custkey, year_sk, 'second' FROM b ANTI JOIN a USING (o_custkey, year_sk)""",
     "csv_sink_roundtrip": OLAP_ORACLES["yoy_change"],
     "fact_full_refresh": """
-        SELECT strftime(l_shipdate, '%Y-%m') AS month_sk, s_nationkey AS geo_sk,
-               CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS indicator_sk, 1 AS measure_unit_sk,
+        SELECT strftime(l_shipdate, '%Y-%m') AS month_sk, CAST(s_nationkey AS BIGINT) AS geo_sk,
+               CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS BIGINT) AS indicator_sk,
+               CAST(1 AS BIGINT) AS measure_unit_sk,
                sum(l_quantity) AS indicator_value, CAST(year(l_shipdate) AS INT) AS period_year
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL""",
     "fact_slice_refresh": f"""
-        SELECT strftime(o_orderdate, '%Y-%m') AS month_sk, CASE o_orderstatus WHEN 'F' THEN 1 ELSE 2 END AS geo_sk,
+        SELECT strftime(o_orderdate, '%Y-%m') AS month_sk, CAST(CASE o_orderstatus WHEN 'F' THEN 1 ELSE 2 END AS BIGINT) AS geo_sk,
                max(o_totalprice) AS gpr_val, min(o_totalprice) AS gprt_val
         FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY ALL
         UNION ALL

@@ -1,3 +1,4 @@
+import hashlib
 from collections import Counter
 from decimal import ROUND_HALF_UP, Decimal
 from random import Random
@@ -61,6 +62,70 @@ def test_keys_are_stable(spark):
     assert sorted(sk for sk, _ in merged.values()) == list(range(1, 601))
 
 
+@pytest.fixture
+def many_ranges(spark):
+    """Ranges stay as many as the shuffle partitions, however small."""
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    yield
+    spark.conf.set(setting, before)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_keys_over_many_ranges(spark, many_ranges):
+    first = spark.range(1000).selectExpr("concat('c', id) AS code", "int(id % 7) AS part", "id AS v")
+    keyed = assign_keys(first, first.limit(0).withColumn("sk", F.lit(0)), ["code", "part"], "sk")
+    assert keyed.schema["sk"].dataType.simpleString() == "bigint"
+    keys = {r.code: r.sk for r in keyed.collect()}
+    assert sorted(keys.values()) == list(range(1, 1001))
+    second = spark.range(900, 1500).selectExpr("concat('c', id) AS code", "int(id % 7) AS part", "-id AS v")
+    merged = {r.code: (r.sk, r.v) for r in upsert(keyed, second, ["code", "part"], "sk").collect()}
+    assert len(merged) == 1500 and all(merged[c][0] == k for c, k in keys.items())
+    assert sorted(sk for sk, _ in merged.values()) == list(range(1, 1501))
+    assert merged["c950"][1] == -950 and merged["c10"][1] == 10
+    # New members follow the hash prefix and the natural key, as if one task numbered them
+    fresh = sorted((c for c in merged if c not in keys), key=lambda c: (hashlib.md5(f"{c}\x1f{int(c[1:]) % 7}".encode()).hexdigest()[:2], c))
+    assert [merged[c][0] for c in fresh] == list(range(1001, 1501))
+
+
+def test_each_side_of_an_upsert_is_read_once(spark, many_ranges):
+    def counting(seen):
+        def run(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+        return run
+
+    old_seen, new_seen = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    old = spark.range(50).selectExpr("concat('c', id) AS code", "id AS v", "id + 1 AS sk").mapInArrow(
+        counting(old_seen), "code string, v long, sk long")
+    new = spark.range(40, 90).selectExpr("concat('c', id) AS code", "-id AS v").mapInArrow(counting(new_seen), "code string, v long")
+    assert upsert(old, new, ["code"], "sk").count() == 90
+    assert (old_seen.value, new_seen.value) == (50, 50)
+
+
+def test_rank_over_many_ranges_with_nan_and_ties(spark, many_ranges):
+    random = Random(5)
+    values = [float("nan")] * 5 + [1.5] * 400 + [random.choice([0.5, 2.5, 3.5, 1e9]) for _ in range(300)]
+    frame = spark.createDataFrame(list(enumerate(values)), "id int, v double").repartition(7)
+    got = {r.id: (r.k, str(r.p)) for r in global_rank(frame, "v", "k", "p").collect()}
+    order = sorted({0.5, 1.5, 2.5, 3.5, 1e9}) + ["nan"]
+    counts = Counter("nan" if v != v else v for v in values)
+    for i, v in enumerate(values):
+        at = order.index("nan" if v != v else v)
+        smaller = sum(counts[w] for w in order[:at])
+        pct = (Decimal(smaller) * 100 / (len(values) - 1)).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert got[i] == (len(order) - at, str(pct))
+
+
+def test_rank_of_equal_values_and_of_none(spark, many_ranges):
+    same = spark.range(300).selectExpr("id", "CAST(7 AS decimal(10,2)) AS v")
+    assert {(r.k, str(r.p)) for r in global_rank(same, "v", "k", "p").collect()} == {(1, "0.00")}
+    assert global_rank(same.limit(0), "v", "k", "p").collect() == []
+
+
 def test_insert_absent(spark, rows):
     old = literal_frame(spark, [(1, "a")], "k int, v string")
     new = literal_frame(spark, [(1, "b"), (2, "c")], "k int, v string")
