@@ -24,7 +24,7 @@ from semestra.operators.dimensions import extract_members, insert_absent, resolv
 from semestra.operators.membership import expand_membership
 from semestra.sources import index_sheet
 from semestra.sources.codelists import labels_of, read_codelists
-from semestra.sources.warehouse import Warehouse
+from semestra.sources.warehouse import Warehouse, declared
 from semestra.sources.wide_tsv import (
     clean_observations,
     missing_keys,
@@ -84,9 +84,22 @@ class Inputs:
     index: str
 
 
+def staged_load(load: Callable) -> Callable:
+    """A load whose staging tables are deleted when it is done, written or refused."""
+    @wraps(load)
+    def run(wh: Warehouse, *args, **kwargs):
+        try:
+            return load(wh, *args, **kwargs)
+        finally:
+            wh.drop_staged()
+
+    return run
+
+
 # dimensions and calendars -----------------------------------------------------
 
 
+@staged_load
 def load_calendars(
     wh: Warehouse, years=fixed.YEAR_SPAN, semesters=fixed.SEMESTER_SPAN, months=fixed.MONTH_SPAN
 ) -> None:
@@ -99,11 +112,13 @@ def load_calendars(
     wh.replace({n: insert_absent(wh.table(n), rows, key) for n, (rows, key) in wanted.items()})
 
 
+@staged_load
 def load_geography(wh: Warehouse, members: DataFrame | None = None) -> None:
     members = members if members is not None else fixed.geo_entities(wh.spark)
     wh.replace({"dim_geo_entity": upsert(wh.table("dim_geo_entity"), members, ["eurostat_code"], "geo_sk")})
 
 
+@staged_load
 def load_membership(wh: Warehouse, history: DataFrame | None = None) -> None:
     """Add memberships; rows already there stay, even if the history was corrected."""
     history = history if history is not None else fixed.eu_history(wh.spark)
@@ -115,18 +130,6 @@ def load_membership(wh: Warehouse, history: DataFrame | None = None) -> None:
 # shared steps -----------------------------------------------------------------
 
 
-def staged_load(load: Callable) -> Callable:
-    """A load whose staging tables are deleted when it is done, published or refused."""
-    @wraps(load)
-    def run(wh: Warehouse, *args, **kwargs):
-        try:
-            return load(wh, *args, **kwargs)
-        finally:
-            wh.drop_staged()
-
-    return run
-
-
 def add_labels(rows: DataFrame, codelists: DataFrame, lookups: dict[str, tuple[str, str]]) -> DataFrame:
     """Add a label column per lookup ``code list -> (code column, label column)``.
 
@@ -433,22 +436,18 @@ def load_prices(wh: Warehouse, sources: list[PriceSource]) -> dict[str, dict]:
     """Full refresh from all price files; returns the counters of each dataset."""
     source = price_gates(wh, sources)
     source.enforce()
-    paths, facts = {}, add_geo(source.rows, wh)
+    facts = add_geo(source.rows, wh)
     for name, columns, key, surrogate in PRICE_DIMENSIONS:
-        written = write_members(wh, name, extract_members(source.members, columns), key, surrogate, paths)
-        facts = resolve(facts, written, key, surrogate)
-    facts = facts.withColumn("period_year", period_year(F.col("semester_sk")))
-    paths["fact_energy_price"] = wh.write("fact_energy_price", facts)
-    wh.publish(paths)
+        facts = resolve(facts, merge_members(wh, name, extract_members(source.members, columns), key, surrogate), key, surrogate)
+    wh.write("fact_energy_price", facts.withColumn("period_year", period_year(F.col("semester_sk"))))
     return source.counters
 
 
-def write_members(
-    wh: Warehouse, name: str, members: DataFrame, key: list[str], surrogate: str, paths: dict[str, str]
-) -> DataFrame:
-    """Write the upserted dimension as a candidate and read it back for key resolution."""
-    paths[name] = wh.write(name, upsert(wh.table(name), members, key, surrogate))
-    return wh.candidate(name, paths[name])
+def merge_members(wh: Warehouse, name: str, members: DataFrame, key: list[str], surrogate: str) -> DataFrame:
+    """Merge members into a dimension and give it for key resolution."""
+    merged = wh.stage(name, declared(name, upsert(wh.table(name), members, key, surrogate)))
+    wh.write(name, merged)
+    return merged
 
 
 # import dependency --------------------------------------------------------------
@@ -517,12 +516,9 @@ def load_dependency(wh: Warehouse, path: str, codelists_path: str) -> dict[str,
     """Full refresh; returns the counters of the extract."""
     source = dependency_gates(wh, path, codelists_path)
     source.enforce()
-    paths: dict[str, str] = {}
     products = extract_members(source.members, PRODUCT_COLUMNS)
-    written = write_members(wh, "dt_energy_product", products, ["siec_code"], "product_sk", paths)
-    facts = resolve(add_geo(source.rows, wh), written, ["siec_code"], "product_sk")
-    paths["fact_import_dependency"] = wh.write("fact_import_dependency", facts)
-    wh.publish(paths)
+    merged = merge_members(wh, "dt_energy_product", products, ["siec_code"], "product_sk")
+    wh.write("fact_import_dependency", resolve(add_geo(source.rows, wh), merged, ["siec_code"], "product_sk"))
     return source.counters["import dependency"]
 
 
@@ -589,16 +585,13 @@ def load_stocks(wh: Warehouse, path: str) -> dict[str, int | str]:
     """Full refresh of the quantities; returns the counters of the extract."""
     source = stock_gates(wh, path)
     source.enforce()
-    paths: dict[str, str] = {}
     facts = source.in_scope()
     for name, members, key, surrogate in [
         ("dt_stock_indicator", fixed.stock_indicators(wh.spark), ["indicator_code"], "indicator_sk"),
         ("dt_measure_unit", fixed.measure_units(wh.spark), ["unit_code"], "measure_unit_sk"),
     ]:
-        facts = resolve(facts, write_members(wh, name, members, key, surrogate, paths), key, surrogate)
-    facts = facts.withColumn("period_year", period_year(F.col("month_sk")))
-    paths["fact_oil_stocks"] = wh.write("fact_oil_stocks", facts)
-    wh.publish(paths)
+        facts = resolve(facts, merge_members(wh, name, members, key, surrogate), key, surrogate)
+    wh.write("fact_oil_stocks", facts.withColumn("period_year", period_year(F.col("month_sk"))))
     return source.counters["stocks"]
 
 

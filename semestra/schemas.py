@@ -31,6 +31,7 @@ class Table:
     checks: dict[str, str] = field(default_factory=dict)
     column_comments: dict[str, str] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
+    sort_by: tuple[str, ...] = ()
     surrogate: str | None = None
 
     @property
@@ -197,6 +198,7 @@ _DECLARED = [
         comment="Annual import dependency; averages only, never sums",
         column_comments={"dep_rate_val": "Percentage"},
         partition_by=("year_sk",),
+        sort_by=("product_sk",),
     ),
     Table(
         "fact_energy_price",
@@ -213,6 +215,7 @@ _DECLARED = [
         ),
         comment="Half-yearly prices; averages only, never sums",
         partition_by=("period_year",),
+        sort_by=("consumption_band_sk", "tax_level_sk", "price_unit_sk"),
     ),
     Table(
         "fact_oil_stocks",
@@ -228,6 +231,7 @@ _DECLARED = [
         comment="Monthly stock levels; averages only, never sums",
         column_comments={"indicator_value": "Compare only within one indicator and unit"},
         partition_by=("period_year",),
+        sort_by=("indicator_sk", "measure_unit_sk"),
     ),
 ]
 

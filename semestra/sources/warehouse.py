@@ -1,134 +1,73 @@
-"""Warehouse tables as parquet, replaced whole or by partition value, after they passed their gates.
+"""Warehouse tables as partitioned Parquet below one folder, written by Spark.
 
-Each refresh writes new folders; one small file in ``_versions`` then makes all of them
-current together. Nothing that was published is ever written to again, so readers never see
-a half-written refresh and keep the version they opened, and a failed load leaves the
-previous state in place.
+A full refresh overwrites a table, a slice refresh the partitions of some values. Both
+happen only after a load has passed its gates, and in an order that keeps keys resolvable:
+dimensions, which only gain members, come before the facts that refer to them.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from semestra.reference_data import literal_frame
 from semestra.schemas import TABLES
 
-_VERSIONS = "version long, table_name string, slice string, path string"
-
-
-class ConcurrentLoad(RuntimeError):
-    """Another writer published after this warehouse was opened."""
-
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         self._staged: list[str] = []
-        self.refresh()
-
-    def refresh(self) -> None:
-        """Look up what is current: a folder for each table, and for the partition values
-        that were replaced after it a folder each."""
-        self._paths: dict[str, str] = {}
-        self._slices: dict[str, dict[str, str]] = {}
-        self._version = 0
-        try:
-            log = self.spark.read.schema(_VERSIONS).json(f"{self.root}/_versions")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return
-        # The newest row of each table and partition value: bounded by these
-        rows = (
-            log.groupBy("table_name", "slice")
-            .agg(F.max_by("path", "version").alias("path"), F.max("version").alias("version"))
-            .collect()
-        )
-        whole = {r.table_name: r for r in rows if r.slice is None}
-        self._version = max((r.version for r in rows), default=0)
-        for r in rows:
-            if r.slice is None:
-                self._paths[r.table_name] = r.path
-            elif r.table_name not in whole or r.version > whole[r.table_name].version:
-                self._slices.setdefault(r.table_name, {})[r.slice] = r.path
-
-    def has(self, name: str) -> bool:
-        return name in self._paths
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
     def table(self, name: str) -> DataFrame:
         """The current content under its declared schema; empty before the first load."""
         schema = TABLES[name].schema
-        if not self.has(name):
-            return literal_frame(self.spark, [], schema)
-        rows = self.candidate(name, self._paths[name])
-        replaced = self._slices.get(name, {})
-        if not replaced:
-            return rows
-        # Conditions on the partition column alone: other folders aren't read
-        value = F.col(TABLES[name].partition_by[0]).cast("string")
-        rows = rows.filter(~value.isin(*replaced))
-        for path in sorted(set(replaced.values())):
-            values = [v for v, p in replaced.items() if p == path]
-            rows = rows.unionByName(self.candidate(name, path).filter(value.isin(*values)))
-        return rows
-
-    def write(self, name: str, rows: DataFrame) -> str:
-        """Write a candidate version, not visible until it is published."""
-        table = TABLES[name]
-        path = f"{name}/{uuid.uuid4().hex}"
-        rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in table.schema])
-        writer = rows.write
-        if table.partition_by:
-            writer = _by_partition(rows, table.partition_by).write.partitionBy(*table.partition_by)
-        writer.parquet(f"{self.root}/{path}")
-        return path
-
-    def candidate(self, name: str, path: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name].schema).parquet(f"{self.root}/{path}")
-
-    def publish(self, paths: dict[str, str], slices: dict[str, dict[str, str]] | None = None) -> None:
-        """Make the given versions current in one step.
-
-        ``slices`` gives folders by table and partition value. The version's file must not
-        exist: of two writers that opened the same version only one can publish the next.
-        """
-        version = self._version + 1
-        rows = [(name, None, path) for name, path in paths.items()]
-        rows += [(name, value, path) for name, parts in (slices or {}).items() for value, path in parts.items()]
-        lines = [json.dumps({"version": version, "table_name": n, "slice": v, "path": p}) for n, v, p in rows]
-        file = self._path(f"_versions/{version:012d}.json")
         try:
-            out = self._files(file).create(file, False)
-        except Py4JJavaError as error:
-            if "FileAlreadyExists" not in str(error.java_exception):
+            return self.spark.read.schema(schema).parquet(self.path(name))
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            raise ConcurrentLoad(f"version {version} was published by another writer") from error
-        try:
-            out.write(bytearray("\n".join(lines) + "\n", "utf-8"))
-        finally:
-            out.close()
-        self.refresh()
+            return literal_frame(self.spark, [], schema)
+
+    def write(self, name: str, rows: DataFrame) -> None:
+        """Replace a whole table by rows that do not come from it."""
+        self._writer(name, rows).mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(name))
 
     def replace(self, tables: dict[str, DataFrame]) -> None:
-        """Replace whole tables together."""
-        self.publish({name: self.write(name, rows) for name, rows in tables.items()})
+        """Replace whole tables, in the given order, by rows that may come from them."""
+        staged = {name: self.stage(name, declared(name, rows)) for name, rows in tables.items()}
+        for name, rows in staged.items():
+            self.write(name, rows)
 
     def replace_slice(self, name: str, rows: DataFrame, values: list) -> None:
         """Replace the partitions of the given values, and only these, by ``rows``.
 
-        A value without rows ends up empty.
+        A value without rows ends up empty; rows of other values are refused.
         """
-        if not self.has(name):
-            self.replace({name: rows})
-            return
-        path = self.write(name, rows)
-        self.publish({}, {name: {str(value): path for value in values}})
+        [column] = TABLES[name].partition_by
+        rows = self.stage(name, declared(name, rows))
+        there = {row[0] for row in rows.select(column).distinct().limit(len(values) + 1).collect()}
+        if not there <= set(values):
+            raise ValueError(f"Rows beside the slice of {name}: {sorted(map(str, there - set(values)))}")
+        self._writer(name, rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
+        for value in set(values) - there:
+            rows.limit(0).drop(column).write.mode("overwrite").parquet(f"{self.path(name)}/{column}={value}")
+
+    def _writer(self, name: str, rows: DataFrame) -> DataFrameWriter:
+        """Rows of one partition come together, so that it gets few files; a rebalance lets
+        AQE split a partition that holds too many over several tasks. In a file they are
+        sorted by what is filtered on, so that row groups can be passed over."""
+        table, rows = TABLES[name], declared(name, rows)
+        if not table.partition_by:
+            return rows.write
+        rows = rows.hint("rebalance", *[F.col(c) for c in table.partition_by])
+        return rows.sortWithinPartitions(*table.partition_by, *table.sort_by).write.partitionBy(*table.partition_by)
 
     # staging ----------------------------------------------------------------
 
@@ -143,20 +82,10 @@ class Warehouse:
         """Delete what was staged through this object."""
         for staged in self._staged:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(staged)
-            self._files(path).delete(path, True)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
         self._staged = []
 
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-
-    def _files(self, path):
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-
-def _by_partition(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Bring each partition's rows together so that it gets few files.
 
-    A rebalance rather than a repartition: AQE splits a partition value that
-    holds too many rows over several tasks.
-    """
-    return rows.hint("rebalance", *[F.col(name) for name in columns])
+def declared(name: str, rows: DataFrame) -> DataFrame:
+    """The declared columns of a table in their declared types."""
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name].schema])

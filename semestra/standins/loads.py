@@ -135,8 +135,8 @@ def csv_sink_roundtrip(spark, sf_dir):
 def fact_full_refresh(spark, sf_dir):
     """A stock fact loaded from part of its source, then refreshed from all of it."""
     wh = Warehouse(spark, new_folder(spark, "refresh"))
-    wh.replace({"fact_oil_stocks": StandInWarehouse(spark, sf_dir).stocks().filter("period_year <= 1997")})
-    wh.replace({"fact_oil_stocks": StandInWarehouse(spark, sf_dir).stocks()})
+    wh.write("fact_oil_stocks", StandInWarehouse(spark, sf_dir).stocks().filter("period_year <= 1997"))
+    wh.write("fact_oil_stocks", StandInWarehouse(spark, sf_dir).stocks())
     stored = Warehouse(spark, wh.root).table("fact_oil_stocks")
     return doubles(stored.select(
         "month_sk", "geo_sk", "indicator_sk", "measure_unit_sk", "indicator_value", "period_year"
@@ -156,7 +156,7 @@ def fact_slice_refresh(spark, sf_dir):
     """Index series of three order states; then the global one alone is replaced."""
     wh = Warehouse(spark, new_folder(spark, "slice"))
     states = F.expr(f"CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE {GLOBAL_SK} END")
-    wh.replace({"fact_gpr": _index_of(spark, sf_dir, F.lit(True), states)})
+    wh.write("fact_gpr", _index_of(spark, sf_dir, F.lit(True), states))
     wh.replace_slice("fact_gpr", _index_of(spark, sf_dir, F.lit(True), F.lit(GLOBAL_SK)), [GLOBAL_SK])
     stored = Warehouse(spark, wh.root).table("fact_gpr")
     return doubles(stored.select("month_sk", "geo_sk", "gpr_val", "gprt_val"))

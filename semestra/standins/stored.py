@@ -34,7 +34,8 @@ def stored_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     if key not in _written:
         wh = Warehouse(spark, new_folder(spark, "analysis"))
         standin = StandInWarehouse(spark, sf_dir)
-        wh.replace({name: _with_others(spark, name, standin.table(name)) for name in TABLES})
+        for name in TABLES:
+            wh.write(name, _with_others(spark, name, standin.table(name)))
         _written[key] = wh.root
     return Warehouse(spark, _written[key])
 

@@ -24,7 +24,6 @@ def built(spark, tmp_path_factory):
 @pytest.fixture
 def empty(spark, built):
     """Calendars and geographies only, shared by the failing loads."""
-    built[0].refresh()
     return built[0]
 
 

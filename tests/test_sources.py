@@ -9,7 +9,7 @@ from semestra.session import new_folder
 from semestra.sources import index_sheet
 from semestra.sources.codelists import read_codelists
 from semestra.sources.csv_export import write_csv
-from semestra.sources.warehouse import ConcurrentLoad, Warehouse
+from semestra.sources.warehouse import Warehouse
 from semestra.sources.wide_tsv import LayoutError, read_wide, split_key, surplus_cells
 from semestra.standins.tables import literal_frame
 
@@ -86,15 +86,26 @@ def test_csv_spells_out_null(spark, tmp_path):
     assert text.splitlines() == ["k,v", "a,NULL", "b,1.5"]
 
 
-def test_refresh_is_all_or_nothing(spark, rows):
+def test_refresh_replaces_the_table(spark, rows):
     wh = Warehouse(spark, new_folder(spark, "t"))
     years = lambda *ys: literal_frame(spark, [(y, y) for y in ys], "year_sk int, year_value int")
     assert wh.table("dt_year").count() == 0
-    wh.replace({"dt_year": years(2000, 2001)})
-    wh.write("dt_year", years(1))  # a candidate nobody published
+    wh.write("dt_year", years(2000, 2001))
     assert rows(Warehouse(spark, wh.root).table("dt_year").select("year_sk")) == [(2000,), (2001,)]
-    wh.replace({"dt_year": years(2002)})
-    assert rows(Warehouse(spark, wh.root).table("dt_year").select("year_sk")) == [(2002,)]
+    wh.replace({"dt_year": wh.table("dt_year").filter("year_sk > 2000").unionByName(years(2002))})
+    assert rows(Warehouse(spark, wh.root).table("dt_year").select("year_sk")) == [(2001,), (2002,)]
+    wh.write("dt_year", years())
+    assert wh.table("dt_year").collect() == []
+
+
+def test_full_refresh_drops_partitions(spark, rows):
+    wh = Warehouse(spark, new_folder(spark, "t"))
+    fact = lambda *keys: literal_frame(
+        spark, [(m, g) for m, g in keys], "month_sk string, geo_sk int"
+    ).selectExpr("month_sk", "geo_sk", "1 AS gpr_val", "2 AS gprt_val", "3 AS gpra_val")
+    wh.write("fact_gpr", fact(("2000-01", 1), ("2000-01", 2)))
+    wh.write("fact_gpr", fact(("2000-02", 2)))
+    assert rows(wh.table("fact_gpr").select("month_sk", "geo_sk")) == [("2000-02", 2)]
 
 
 def test_slice_refresh_leaves_other_slices(spark, rows):
@@ -102,34 +113,26 @@ def test_slice_refresh_leaves_other_slices(spark, rows):
     fact = lambda data: literal_frame(
         spark, data, "month_sk string, geo_sk int, v int"
     ).selectExpr("month_sk", "geo_sk", "v AS gpr_val", "v AS gprt_val", "v AS gpra_val")
-    wh.replace({"fact_gpr": fact([("2000-01", 1, 1), ("2000-02", 1, 2), ("2000-01", 2, 3)])})
-    before = wh.table("fact_gpr")
+    wh.replace_slice("fact_gpr", fact([]), [1])
+    assert wh.table("fact_gpr").collect() == []
+    wh.write("fact_gpr", fact([("2000-01", 1, 1), ("2000-02", 1, 2), ("2000-01", 2, 3)]))
     wh.replace_slice("fact_gpr", fact([("2000-03", 1, 9)]), [1])
     shown = lambda frame: rows(frame.selectExpr("geo_sk", "month_sk", "int(gpr_val)"))
     assert shown(Warehouse(spark, wh.root).table("fact_gpr")) == [(1, "2000-03", 9), (2, "2000-01", 3)]
-    # A reader that came before keeps what it opened
-    assert shown(before) == [(1, "2000-01", 1), (1, "2000-02", 2), (2, "2000-01", 3)]
+    # A value without rows ends up empty
     wh.replace_slice("fact_gpr", fact([]), [2])
     assert shown(Warehouse(spark, wh.root).table("fact_gpr")) == [(1, "2000-03", 9)]
     wh.replace_slice("fact_gpr", fact([("2001-01", 1, 4), ("2001-01", 3, 5)]), [1, 3])
     assert shown(wh.table("fact_gpr")) == [(1, "2001-01", 4), (3, "2001-01", 5)]
-    wh.replace({"fact_gpr": fact([("2002-01", 2, 6)])})
+    # Rows taken from the slice itself
+    wh.replace_slice("fact_gpr", wh.table("fact_gpr").filter("geo_sk = 3").withColumn("month_sk", F.lit("2001-02")), [3])
+    assert shown(wh.table("fact_gpr")) == [(1, "2001-01", 4), (3, "2001-02", 5)]
+    with pytest.raises(ValueError, match="beside the slice"):
+        wh.replace_slice("fact_gpr", fact([("2001-01", 2, 4)]), [1])
+    wh.write("fact_gpr", fact([("2002-01", 2, 6)]))
     assert shown(Warehouse(spark, wh.root).table("fact_gpr")) == [(2, "2002-01", 6)]
 
 
-def test_two_writers(spark):
-    root = new_folder(spark, "t")
-    one, two = Warehouse(spark, root), Warehouse(spark, root)
-    years = spark.createDataFrame([(2000, 2000)], "year_sk int, year_value int")
-    one.replace({"dt_year": years})
-    with pytest.raises(ConcurrentLoad):
-        two.replace({"dt_year": years.limit(0)})
-    assert Warehouse(spark, root).table("dt_year").count() == 1
-    two.refresh()
-    two.replace({"dt_year": years.limit(0)})
-    assert Warehouse(spark, root).table("dt_year").count() == 0
-
-
 def test_staging_is_apart_and_goes(spark):
     wh = Warehouse(spark, new_folder(spark, "t"))
     one, two = wh.stage("x", spark.range(3)), wh.stage("x", spark.range(5))
