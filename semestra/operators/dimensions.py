@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from semestra.operators.numbering import PART, PLACE, placed
@@ -72,6 +74,29 @@ def resolve(facts: DataFrame, members: DataFrame, key: list[str], surrogate: str
     return facts.join(members.select(*key, surrogate), key, "left")
 
 
+def with_known_keys(facts: DataFrame, members: dict[str, DataFrame], most: int = 1000) -> DataFrame:
+    """Facts of the members alone, where a dimension's selected members are few.
+
+    Their keys are looked up first, in one small job, and stand as literals in the filter:
+    unlike the condition of a join they reach the files, whose statistics then pass over
+    row groups and pages without them. A dimension with more than ``most`` selected members
+    is left to its join.
+    """
+    if not members:
+        return facts
+    few = [
+        rows.select(F.lit(key).alias("name"), F.col(key).cast("bigint").alias("key")).distinct().limit(most + 1)
+        for key, rows in members.items()
+    ]
+    found: dict[str, list[int]] = {key: [] for key in members}
+    for row in reduce(DataFrame.unionByName, few).collect():
+        found[row.name].append(row.key)
+    for key, values in found.items():
+        if len(values) <= most:
+            facts = facts.filter(F.col(key).isin(sorted(values)))
+    return facts
+
+
 def star_join(facts: DataFrame, dimensions: list[tuple[DataFrame, str]]) -> DataFrame:
     """Inner join of a fact to its dimensions on their keys."""
     for members, key in dimensions:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from semestra.functions.numeric import exact_mean, half_up
-from semestra.operators.dimensions import star_join
+from semestra.operators.dimensions import star_join, with_known_keys
 from semestra.operators.olap import (
     PriceContext,
     Summary,
@@ -51,17 +51,20 @@ def _years(facts: DataFrame, column: str, years: tuple[int, int] | None) -> Data
 
 
 def _prices(wh, ctx: PriceContext, geo: DataFrame | None = None, years=None) -> DataFrame:
-    """Prices of one context joined to their dimensions; ``year`` prunes partitions."""
-    facts = _years(wh.table("fact_energy_price"), "period_year", years)
+    """Prices of one context joined to their dimensions. ``years`` prune partitions, and the
+    keys of the context row groups, as the facts are stored in their order."""
+    bands = wh.table("dt_consumption_band").filter(ctx.band_condition())
+    taxes = wh.table("dt_tax_level").filter(ctx.tax_condition())
+    units = wh.table("dt_price_unit").filter(ctx.unit_condition())
+    facts = with_known_keys(
+        _years(wh.table("fact_energy_price"), "period_year", years),
+        {"consumption_band_sk": bands, "tax_level_sk": taxes, "price_unit_sk": units},
+    )
     dimensions = [
         (wh.table("dt_semester").select("semester_sk", F.col("year_val").alias("year")), "semester_sk"),
-        (
-            wh.table("dt_consumption_band").filter(ctx.band_condition())
-            .select("consumption_band_sk", "consumer_type"),
-            "consumption_band_sk",
-        ),
-        (wh.table("dt_tax_level").filter(ctx.tax_condition()).select("tax_level_sk"), "tax_level_sk"),
-        (wh.table("dt_price_unit").filter(ctx.unit_condition()).select("price_unit_sk"), "price_unit_sk"),
+        (bands.select("consumption_band_sk", "consumer_type"), "consumption_band_sk"),
+        (taxes.select("tax_level_sk"), "tax_level_sk"),
+        (units.select("price_unit_sk"), "price_unit_sk"),
     ]
     if geo is not None:
         dimensions.append((geo, "geo_sk"))
