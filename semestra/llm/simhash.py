@@ -70,18 +70,21 @@ def fingerprint(data: bytes, size: int) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key`` and ``simhash`` (the 64 bits as long) of every row; null text has no words."""
+    """``key``, ``simhash`` (the 64 bits as long) and ``digest`` (another hash of the whole
+    text) of every row; null text has no words."""
     kind = docs.schema[key].dataType
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             prints = [fingerprint(data, size) for data in raw_texts(batch.column("text"))]
             bits = np.array(prints, np.uint64).astype("<u8").view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(bits)], ["key", "simhash"])
+            columns = [batch.column("key"), pa.array(bits), batch.column("digest")]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "simhash", "digest"])
 
-    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    out = rows.mapInArrow(run, f"key {kind.simpleString()}, simhash bigint")
-    return out.select(F.col("key").alias(key), "simhash")
+    value = F.col(f"`{text}`")
+    rows = docs.select(F.col(f"`{key}`").alias("key"), value.alias("text"), F.xxhash64(value).alias("digest"))
+    out = rows.mapInArrow(run, f"key {kind.simpleString()}, simhash bigint, digest bigint")
+    return out.select(F.col("key").alias(key), "simhash", "digest")
 
 
 def ball(radius: int) -> list[tuple[int, int]]:
@@ -123,6 +126,21 @@ def links(prints: DataFrame, distance: int = 2) -> DataFrame:
     )
 
 
+def _grouped(docs: DataFrame, size: int, distance: int, text: str, key: str) -> DataFrame:
+    """Key, simhash and digest of every row, the ``root`` of its component, and the least
+    key there as ``component_id``."""
+    prints = stored(fingerprints(docs, size, text, key), "simhash")
+    least = prints.groupBy("simhash").agg(F.min(key).alias("least"))
+    roots = stored(components(links(prints, distance), "hub", "other"), "roots")
+    rooted = least.join(roots, F.col("simhash") == F.col("node"), "left").select(
+        "simhash", "least", F.coalesce("root", "simhash").alias("root")
+    )
+    named = rooted.join(
+        rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root"
+    ).select("simhash", "root", "component_id")
+    return prints.join(named, "simhash")
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 3, distance: int = 2, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
@@ -133,16 +151,7 @@ def near_duplicates(
     of their own: a component of null keys alone has a null id. Repeated rows stay. An
     empty table gives no rows; other columns of ``docs`` are not looked at.
     """
-    prints = stored(fingerprints(docs, size, text, key), "simhash")
-    least = prints.groupBy("simhash").agg(F.min(key).alias("least"))
-    roots = stored(components(links(prints, distance), "hub", "other"), "roots")
-    rooted = least.join(roots, F.col("simhash") == F.col("node"), "left").select(
-        "simhash", "least", F.coalesce("root", "simhash").alias("root")
-    )
-    named = rooted.join(
-        rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root"
-    ).select("simhash", "component_id")
-    return prints.join(named, "simhash").select(
+    return _grouped(docs, size, distance, text, key).select(
         key, F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -150,13 +159,22 @@ def near_duplicates(
 def one_of_each(
     docs: DataFrame, size: int = 3, distance: int = 2, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the one of least key.
+    """The rows of ``docs`` without near copies: of each component one row of its least key.
 
-    Of several rows with that key the least text stays. Rows with a null key all stay.
+    Of several texts of that key in the component, the one of least fingerprint and digest
+    stays; a text of the same key in another component is no copy and stays too. Rows with
+    a null key all stay.
     """
-    groups = near_duplicates(docs, size, distance, text, key)
-    chosen = groups.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("__key")).distinct()
-    same = Window.partitionBy("__key").orderBy(F.col(f"`{text}`").asc_nulls_first())
-    met = docs.join(chosen, docs[f"`{key}`"] == chosen["__key"])
-    kept = met.withColumn("__n", F.row_number().over(same)).where("__n = 1").select(docs.columns)
+    groups = _grouped(docs, size, distance, text, key)
+    chosen = groups.where(F.col(key) == F.col("component_id")).groupBy("root").agg(
+        F.min(F.struct("simhash", "digest", F.col(key).alias("key"))).alias("least")
+    ).select(F.col("least.key").alias("__key"), F.col("least.digest").alias("__digest"))
+    # Repeated rows: all but one of a key and text go before anything moves
+    rows = docs.where(F.col(f"`{key}`").isNotNull()).select(
+        F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("row"),
+        F.col(f"`{key}`").alias("__key"), F.xxhash64(F.col(f"`{text}`")).alias("__digest"),
+    )
+    same = Window.partitionBy("__key", "__digest").orderBy(F.lit(0))
+    first = rows.withColumn("__n", F.row_number().over(same)).where("__n = 1")
+    kept = first.join(chosen, ["__key", "__digest"], "left_semi").select("row.*")
     return kept.unionByName(docs.where(F.col(f"`{key}`").isNull()))

@@ -83,6 +83,30 @@ def test_one_of_each(documents):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_key_with_two_texts(documents):
+    """A text is no copy of another one because they share a key."""
+    docs = documents([
+        (0, "a b c d e f"), (1, "a b c d e f"), (1, "zz a wholly other text"), (2, "zz a wholly other text"),
+        (3, "first of three"), (3, "second text of it"), (3, "second text of it"), (3, "and the third one"), (4, "and the third one"),
+    ])
+    kept = sorted((r.doc_id, r.text) for r in simhash.one_of_each(docs.withColumn("root", docs.doc_id)).collect())
+    assert kept == [
+        (0, "a b c d e f"), (1, "zz a wholly other text"), (3, "and the third one"), (3, "first of three"), (3, "second text of it"),
+    ]
+
+
+def test_odd_rows_keep_every_different_text(odd):
+    kept = {(r.doc_id, r.text) for r in simhash.one_of_each(odd).collect()}
+    rows = odd.collect()
+    groups = brute_groups([brute_fingerprint(r.text) for r in rows], 2)
+    for group in set(groups):
+        there = {(r.doc_id, r.text) for r, g in zip(rows, groups) if g == group}
+        keys = sorted(k for k, _ in there if k is not None)
+        stays = {x for x in there & kept if x[0] is not None}
+        assert len(stays) == bool(keys) and all(k == keys[0] for k, _ in stays)
+        assert {x for x in there if x[0] is None} <= kept
+
+
 def test_components_of_a_chain(spark):
     pairs = [(n, n + 1) for n in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3)]
     edges = spark.createDataFrame(pairs, "a int, b int")
