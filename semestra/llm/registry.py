@@ -71,7 +71,7 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scanned(_table(spark, sf_dir).select("doc_id", "text"))
     return found.select(
-        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans"
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "chances"
     )
 
 

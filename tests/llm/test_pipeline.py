@@ -20,7 +20,7 @@ COLUMNS = {
     "op3_likelihood": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"],
     "op4_rans": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op5_lines": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
-    "op6_secrets": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+    "op6_secrets": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "chances"],
     "op7_ordinal": ["doc_id", "n_words", "expected_grade", "tail_probability", "kept"],
     "op8_merge_dropout": ["doc_id", "n_pieces", "ids_sha256", "decoded_sha256"],
     "op9_syncmers": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
