@@ -11,20 +11,13 @@ from semestra.reference_data import METHOD_CODES, TAX_ORDER, literal_frame
 from semestra.session import materialise
 from semestra.sources import index_sheet
 from semestra.sources.codelists import read_codelists
-from semestra.sources.wide_tsv import missing_marker, read_wide
+from semestra.sources.wide_tsv import missing_marker, read_wide, union_sources
 from semestra.standins.common import doubles
 from semestra.standins.landing import (
     CLEAN_FLOW, DIRTY_FLOW, DIRTY_GEO, DIRTY_UNIT, MONTHS, SEMESTERS, landed, price_sources,
 )
 from semestra.standins.tables import raw
 
-ONE = "nrg_pc_204"
-
-
-def source(spark: SparkSession, sf_dir: str, dataset: str):
-    return next(s for s in price_sources(spark, sf_dir) if s.dataset == dataset)
-
-
 def all_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loading.all_price_observations(spark, price_sources(spark, sf_dir))
 
@@ -40,31 +33,40 @@ def _column(period: str) -> str:
     return "p" + period.replace("-", "_").lower()
 
 
+def _each_extract(spark: SparkSession, sf_dir: str, read) -> DataFrame:
+    """Something read from every price extract, with its ``dataset``."""
+    return union_sources([(read(source), {"dataset": source.dataset}) for source in price_sources(spark, sf_dir)])
+
+
 def wide_tsv_scan(spark, sf_dir):
-    """The extract as scanned, header trimmed and made SQL-friendly."""
-    wide = read_wide(spark, source(spark, sf_dir, ONE).path)
-    return wide.toDF("series_key", *[_column(name.strip()) for name in wide.columns[1:]])
+    """The extracts as scanned, header trimmed and made SQL-friendly."""
+    def scanned(source):
+        wide = read_wide(spark, source.path)
+        return wide.toDF("series_key", *[_column(name.strip()) for name in wide.columns[1:]])
+
+    return _each_extract(spark, sf_dir, scanned)
 
 
 def composite_key_split(spark, sf_dir):
-    wide, _ = loading.price_cells(spark, source(spark, sf_dir, ONE))
     present = sum(
         (F.when(missing_marker(F.col(f"`{s}`")) | (F.col(f"`{s}`") == ": c"), 0).otherwise(1) for s in SEMESTERS),
         F.lit(0),
     )
-    return wide.select(*loading.PRICE_KEYS, "key_parts", present.alias("observed"))
+    return _each_extract(spark, sf_dir, lambda source: loading.price_cells(spark, source)[0].select(
+        *loading.PRICE_KEYS, "key_parts", present.alias("observed")
+    ))
 
 
 def unpivot_periods(spark, sf_dir):
-    wide, _ = loading.price_cells(spark, source(spark, sf_dir, ONE))
-    return loading.unpivot_periods(wide, ["geo", "nrg_cons", "tax"], "semester", "semester_sk")
+    return _each_extract(spark, sf_dir, lambda source: loading.unpivot_periods(
+        loading.price_cells(spark, source)[0], ["geo", "nrg_cons", "tax"], "semester", "semester_sk"
+    ))
 
 
 def clean_observations(spark, sf_dir):
-    wide, _ = loading.price_cells(spark, source(spark, sf_dir, ONE))
-    return doubles(loading.price_observations(wide).select(
-        "geo_code", "band_code", "tax_code", "semester_sk", "price_val", "eurostat_flag", "out_of_range"
-    ))
+    return doubles(_each_extract(spark, sf_dir, lambda source: loading.price_observations(
+        loading.price_cells(spark, source)[0]
+    ).select("geo_code", "band_code", "tax_code", "semester_sk", "price_val", "eurostat_flag", "out_of_range")))
 
 
 def flag_extraction(spark, sf_dir):
@@ -228,23 +230,23 @@ def sql_supported(first_month: str) -> str:
 
 ORACLES = {
     "wide_tsv_scan": f"""WITH {CELLS}
-        SELECT 'S,E7000,' || band || ',KWH,' || tax || ',EUR,S' || l_suppkey AS series_key, {_PERIODS}
-        FROM prices WHERE dataset = '{ONE}' GROUP BY band, tax, l_suppkey""",
+        SELECT dataset, 'S,' || siec_code || ',' || band || ',KWH,' || tax || ',EUR,S' || l_suppkey AS series_key, {_PERIODS}
+        FROM prices GROUP BY dataset, siec_code, band, tax, l_suppkey""",
     "composite_key_split": f"""WITH {CELLS}
-        SELECT 'S' AS freq, 'E7000' AS siec, band AS nrg_cons, 'KWH' AS unit, tax, 'EUR' AS currency,
+        SELECT dataset, 'S' AS freq, siec_code AS siec, band AS nrg_cons, 'KWH' AS unit, tax, 'EUR' AS currency,
                'S' || l_suppkey AS geo, 7 AS key_parts, CAST(count(*) AS INT) AS observed
-        FROM prices WHERE dataset = '{ONE}' GROUP BY band, tax, l_suppkey""",
+        FROM prices GROUP BY dataset, siec_code, band, tax, l_suppkey""",
     "unpivot_periods": f"""WITH {CELLS},
-        series AS (SELECT DISTINCT band, tax, l_suppkey FROM prices WHERE dataset = '{ONE}')
-        SELECT 'S' || l_suppkey AS geo, band AS nrg_cons, tax, semester AS semester_sk,
+        series AS (SELECT DISTINCT dataset, band, tax, l_suppkey FROM prices)
+        SELECT dataset, 'S' || l_suppkey AS geo, band AS nrg_cons, tax, semester AS semester_sk,
                coalesce(cell, {_MISSING}) AS raw_val
         FROM series CROSS JOIN {_SEMESTERS}
-        LEFT JOIN (SELECT band, tax, l_suppkey, semester, cell FROM prices WHERE dataset = '{ONE}')
-          USING (band, tax, l_suppkey, semester)""",
+        LEFT JOIN (SELECT dataset, band, tax, l_suppkey, semester, cell FROM prices)
+          USING (dataset, band, tax, l_suppkey, semester)""",
     "clean_observations": f"""WITH {CELLS}
-        SELECT geo_code, band AS band_code, tax AS tax_code, semester AS semester_sk,
+        SELECT dataset, geo_code, band AS band_code, tax AS tax_code, semester AS semester_sk,
                CAST(price AS DOUBLE) AS price_val, eurostat_flag, false AS out_of_range
-        FROM prices WHERE dataset = '{ONE}'""",
+        FROM prices""",
     "flag_extraction": f"WITH {CELLS} SELECT dataset, eurostat_flag, count(*) AS n FROM prices GROUP BY ALL",
     "multi_source_union": f"""WITH {CELLS}
         SELECT commodity_type, consumer_type, siec_code, semester AS semester_sk, count(*) AS n,
