@@ -198,10 +198,14 @@ def load_metrics(spark, sf_dir):
 # verification ---------------------------------------------------------------------
 
 
+#: What stocks and the index are lowered by.
+LOWERED_STOCK, LOWERED_INDEX = 100, 5000
+
+
 class Overridden:
     """A warehouse with some tables replaced by faulty ones."""
 
-    def __init__(self, warehouse: StandInWarehouse, tables: dict[str, DataFrame]):
+    def __init__(self, warehouse: StandInWarehouse | Warehouse, tables: dict[str, DataFrame]):
         self.warehouse, self.tables = warehouse, tables
 
     def table(self, name: str) -> DataFrame:
@@ -230,16 +234,21 @@ def verify_counts(spark, sf_dir):
 
 
 def verify_duplicates(spark, sf_dir):
-    """Index and stock facts taken at the grain of orders and line items, which repeats keys."""
-    wh = StandInWarehouse(spark, sf_dir)
-    index = wh.raw("orders").select(
+    """Index and stock facts taken at the grain of orders and line items, which repeats keys;
+    some rows of the other tables stand twice."""
+    wh = stored_warehouse(spark, sf_dir)
+    index = raw(spark, sf_dir, "orders").select(
         month_text(month_number(F.col("o_orderdate"))).alias("month_sk"), F.lit(GLOBAL_SK).alias("geo_sk")
     )
-    stocks = wh.raw("lineitem").select(
+    stocks = raw(spark, sf_dir, "lineitem").select(
         month_text(month_number(F.col("l_shipdate"))).alias("month_sk"), F.col("l_suppkey").alias("geo_sk"),
         F.col("l_returnflag").alias("indicator_sk"), F.lit(1).alias("measure_unit_sk"),
     )
-    return verification.verify_duplicates(Overridden(wh, {"fact_gpr": index, "fact_oil_stocks": stocks}))
+    twice = {
+        name: wh.table(name).unionByName(wh.table(name).filter(PLANTED[name]))
+        for name in ("fact_import_dependency", "fact_energy_price", "br_geo_eu_membership")
+    }
+    return verification.verify_duplicates(Overridden(wh, {"fact_gpr": index, "fact_oil_stocks": stocks, **twice}))
 
 
 def verify_orphans(spark, sf_dir):
@@ -248,8 +257,13 @@ def verify_orphans(spark, sf_dir):
 
 
 def verify_sanity(spark, sf_dir):
-    """Prices lowered until some turn negative; two bands are exempt."""
-    return verification.verify_sanity(StandInWarehouse(spark, sf_dir, offset=-20000), ("B1", "B2"))
+    """Prices, stocks and the index lowered until some turn negative; two bands are exempt."""
+    wh = StandInWarehouse(spark, sf_dir, offset=-20000)
+    lowered = {
+        "fact_oil_stocks": wh.stocks().withColumn("indicator_value", F.col("indicator_value") - LOWERED_STOCK),
+        "fact_gpr": wh.index().withColumn("gprt_val", F.col("gprt_val") - LOWERED_INDEX),
+    }
+    return verification.verify_sanity(Overridden(wh, lowered), ("B1", "B2"))
 
 
 #: Which rows of each table are planted again with faults: a condition, or the periods of
@@ -562,14 +576,14 @@ ORACLES = {
         UNION ALL SELECT 'FACT_ENERGY_PRICE', count(*), min(semester), max(semester) FROM px_all
         UNION ALL SELECT 'FACT_OIL_STOCKS', count(*), min(month_sk), max(month_sk) FROM px_stock
         UNION ALL SELECT 'BR_GEO_EU_MEMBERSHIP', count(*), CAST(min(year) AS VARCHAR), CAST(max(year) AS VARCHAR) FROM px_bridge""",
-    "verify_duplicates": """
+    "verify_duplicates": f"""WITH {PRICE}, {DEPENDENCY}, {BRIDGE}
         SELECT 'GPR duplicates' AS check_name, count(*) AS issue_count FROM (
           SELECT 1 FROM orders GROUP BY strftime(o_orderdate, '%Y-%m') HAVING count(*) > 1)
         UNION ALL SELECT 'Oil stocks duplicates', count(*) FROM (
           SELECT 1 FROM lineitem GROUP BY strftime(l_shipdate, '%Y-%m'), l_suppkey, l_returnflag HAVING count(*) > 1)
-        UNION ALL SELECT 'Import dependency duplicates', 0
-        UNION ALL SELECT 'Energy price duplicates', 0
-        UNION ALL SELECT 'EU membership bridge duplicates', 0""",
+        UNION ALL SELECT 'Import dependency duplicates', count(*) FROM px_rate WHERE geo_sk = 3
+        UNION ALL SELECT 'Energy price duplicates', count(*) FROM px_all WHERE geo_sk = 3
+        UNION ALL SELECT 'EU membership bridge duplicates', count(*) FROM px_bridge WHERE year = 1998""",
     "verify_orphans": f"""WITH {PRICE}, {DEPENDENCY}, {STOCK}, {INDEX}, {BRIDGE}
         SELECT 'GPR orphan dimensions' AS check_name, count(*) AS issue_count FROM px_index WHERE month_sk = '1997-03'
         UNION ALL SELECT 'Import dependency orphan dimensions', count(*) FROM px_rate
@@ -580,12 +594,13 @@ ORACLES = {
           WHERE geo_sk IN {_BAD} OR indicator = 'Stock A' OR month_sk = '1997-03'
         UNION ALL SELECT 'EU membership bridge orphan dimensions', count(*) FROM px_bridge
           WHERE geo_sk IN {_BAD} OR year = 1998""",
-    "verify_sanity": f"""WITH {PRICE}, n AS (SELECT * FROM px_all WHERE price_val < 20000)
+    "verify_sanity": f"""WITH {PRICE}, {STOCK}, n AS (SELECT * FROM px_all WHERE price_val < 20000)
         SELECT 'Unexpected negative energy prices' AS check_name, count(*) AS issue_count
         FROM n WHERE band_code NOT IN ('B1', 'B2')
         UNION ALL SELECT 'Negative gas prices', count(*) FROM n WHERE commodity_type = 'GAS'
-        UNION ALL SELECT 'Negative oil stock values', 0
-        UNION ALL SELECT 'Negative GPR values', 0""",
+        UNION ALL SELECT 'Negative oil stock values', count(*) FROM px_stock WHERE indicator_value < {LOWERED_STOCK}
+        UNION ALL SELECT 'Negative GPR values', count(*) FROM (
+          SELECT 1 FROM orders GROUP BY strftime(o_orderdate, '%Y-%m') HAVING min(o_totalprice) < {LOWERED_INDEX})""",
     "constraint_report": f"WITH {PRICE}, {DEPENDENCY}, {STOCK}, {INDEX}, {BRIDGE} {_CONSTRAINTS}",
     "profile_shape": f"""WITH {CELLS}
         SELECT dataset, count(DISTINCT (band, tax, l_suppkey)) AS n_rows, 15 AS n_columns,
