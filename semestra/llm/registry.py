@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from semestra.llm import (
-    conversations, likelihood, lines, merges, mixing, ordinal, ranking, rans, secrets, simhash, suffixes, syncmers, toxicity,
+    conversations, likelihood, lines, merges, mixing, ordinal, ranking, rans, secrets, settings, simhash, suffixes, syncmers,
+    toxicity,
 )
 from semestra.llm.storage import new_path
 
@@ -22,7 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFra
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates of all documents for a mixture of languages."""
-    targets = corpus_pipeline.TARGETS
+    targets = settings.TARGETS
     out = mixing.mixed(
         _table(spark, sf_dir), _table(spark, sf_dir, "labels"), targets, keep=["doc_id"]
     )
@@ -35,7 +36,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(
-        _table(spark, sf_dir), corpus_pipeline.SHINGLE, corpus_pipeline.DISTANCE
+        _table(spark, sf_dir), settings.SHINGLE, settings.DISTANCE
     )
 
 
@@ -61,7 +62,7 @@ def op4_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir).select("doc_id", "text")
-    kept = lines.deduplicated(docs, min_docs=corpus_pipeline.COMMON_LINE, min_chars=1)
+    kept = lines.deduplicated(docs, min_docs=settings.COMMON_LINE, min_chars=1)
     return kept.select(
         "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"),
         F.sha2("text", 256).alias("kept_sha256"),
@@ -108,9 +109,9 @@ def _coded_digests(proto):
 
 def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text with dropout, decoded again; both told as digests."""
-    model = corpus_pipeline.model_bytes()
+    model = settings.model_bytes()
     docs = _table(spark, sf_dir).select("doc_id", "text")
-    coded = merges.encoded(docs, model, corpus_pipeline.DROPOUT, corpus_pipeline.SEED)
+    coded = merges.encoded(docs, model, settings.DROPOUT, settings.SEED)
     return coded.mapInArrow(
         _coded_digests(spark.sparkContext.broadcast(model)),
         "doc_id bigint, n_pieces bigint, ids_sha256 string, decoded_sha256 string",
