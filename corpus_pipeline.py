@@ -2,28 +2,12 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from semestra.llm import lines, merges, mixing, ordinal, simhash
+from semestra.llm.settings import COMMON_LINE, DISTANCE, DROPOUT, SEED, SHINGLE, TARGETS, model_bytes
 from semestra.llm.storage import new_path
 
-#: Shares of the languages' words in the mixture.
-TARGETS = {"en": 0.60, "de": 0.15, "fr": 0.15, "es": 0.10}
-#: Lines found in at least this many documents go, as in ``op5_lines``.
-COMMON_LINE = 10
-SHINGLE, DISTANCE = 3, 2
-DROPOUT, SEED = 0.1, 20
-
-# SentencePiece cuts text by this model; its content travels with the tasks
-MODEL = "piece_bpe_32k.model"
-
-
-def model_bytes(name: str = MODEL) -> bytes:
-    with open(public_tokenizers.path(name), "rb") as file:
-        return file.read()
-
-
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose predicted chance of a good grade reaches the model's cut."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
