@@ -122,8 +122,8 @@ def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = syncmers.edited(_table(spark, sf_dir).select("doc_id", "text"))
     return out.select(
         "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
-        syncmers.fingerprint(F.col("sketch")).alias("fingerprint"),
-        syncmers.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
+        syncmers.whole_fingerprint(F.col("hashes")).alias("fingerprint"),
+        syncmers.whole_fingerprint(F.col("edited_hashes")).alias("edited_fingerprint"),
         F.col("all_edited").alias("near_edited"), F.col("all_next").alias("near_next"),
     )
 

@@ -82,11 +82,22 @@ def fingerprint(sketch: Column) -> Column:
     return F.lower(F.array_join(F.transform(sketch, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
 
 
+def hashes(anchors: Column) -> Column:
+    """The different hashes of all anchors, in order and without places."""
+    return F.array_sort(F.array_distinct(F.transform(anchors, lambda x: F.shiftright(x, PLACE_BITS))))
+
+
+def whole_fingerprint(found: Column) -> Column:
+    """All hashes of a text as text: ten hex digits for each. Likeness follows from two of
+    these alone."""
+    low = (1 << (64 - PLACE_BITS)) - 1
+    return F.lower(F.array_join(F.transform(found, lambda x: F.substring(F.lpad(F.hex(x.bitwiseAND(F.lit(low))), 10, "0"), -10, 10)), ""))
+
+
 def likeness_of_all(one: Column, other: Column) -> Column:
-    """Share of common anchors among all of two texts, from their whole lists of anchors."""
-    a = F.transform(one, lambda x: F.shiftright(x, PLACE_BITS))
-    b = F.transform(other, lambda x: F.shiftright(x, PLACE_BITS))
-    return F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
+    """Share of common hashes among all of two texts."""
+    common = F.size(F.array_intersect(one, other))
+    return common / (F.size(one) + F.size(other) - common)
 
 
 def likeness(one: Column, other: Column) -> Column:
@@ -154,9 +165,9 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     In the edited text the last floor(n/2) code points give way to as many from the start
     of the next document, or all of that. Null texts count as empty. Gives ``key, n_chars,
-    edited_text, sketch, edited_sketch, near_edited, near_next, all_edited, all_next`` for
-    every row: ``all_`` is the likeness over all anchors, ``near_`` its estimate from the
-    sketches. Repeated rows are each other's next document. Other columns are not looked at.
+    edited_text, sketch, edited_sketch, hashes, edited_hashes, near_edited, near_next,
+    all_edited, all_next`` for every row: ``all_`` is the likeness over the hashes of all
+    anchors, ``near_`` its estimate from the sketches. Repeated rows are each other's next document. Other columns are not looked at.
     """
     rows = docs.select(F.col(f"`{key}`").alias(key), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     following = with_next(rows, key, ["text"], "text", lambda r: r)
@@ -171,10 +182,12 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     out = changed
     for name, prefix in (("text", ""), ("next_text", "next_"), ("edited_text", "edited_")):
         out = sketched(with_anchors(out, name, f"{prefix}anchors"), f"{prefix}anchors", f"{prefix}sketch")
-    found = [F.col(f"{prefix}anchors") for prefix in ("", "edited_", "next_")]
+    for prefix in ("", "next_", "edited_"):
+        out = out.withColumn(f"{prefix}hashes", hashes(F.col(f"{prefix}anchors")))
     return out.select(
-        key, "n_chars", "edited_text", "sketch", "edited_sketch",
+        key, "n_chars", "edited_text", "sketch", "edited_sketch", "hashes", "edited_hashes",
         likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
-        likeness_of_all(found[0], found[1]).alias("all_edited"), likeness_of_all(found[0], found[2]).alias("all_next"),
+        likeness_of_all(F.col("hashes"), F.col("edited_hashes")).alias("all_edited"),
+        likeness_of_all(F.col("hashes"), F.col("next_hashes")).alias("all_next"),
     )

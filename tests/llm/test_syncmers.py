@@ -129,3 +129,29 @@ def test_likeness_is_over_all_anchors(spark, documents, tmp_path):
     share = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
     rows = registry.op9_syncmers(spark, str(tmp_path)).collect()
     assert share > 0 and [r.near_next for r in rows] == pytest.approx([share, share])
+
+
+def hash_set(text):
+    low = (1 << (64 - syncmers.PLACE_BITS)) - 1
+    return {f"{(a >> syncmers.PLACE_BITS) & low:010x}" for a in brute_anchors(text)}
+
+
+def share_of(one, other):
+    return len(one & other) / len(one | other)
+
+
+def test_returned_columns_of_many(spark, documents, tmp_path):
+    """Fingerprints hold every anchor, and the likeness follows from them alone."""
+    words = [f"{a}{b}" for a in "ab cd ef é".split() for b in range(9)]
+    texts = [(n * 7, " ".join(words[(n * k) % 36] for k in range(1, 3 + n % 90))) for n in range(120)] + [(5, None), (6, "")]
+    documents(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in registry.op9_syncmers(spark, str(tmp_path)).collect()}
+    order = sorted((k, t or "") for k, t in texts)
+    for n, (key, text) in enumerate(order):
+        after = order[(n + 1) % len(order)][1]
+        half = len(text) // 2
+        changed = text[: len(text) - half] + after[:half]
+        cut = lambda f: {f[i : i + 10] for i in range(0, len(f), 10)}
+        assert cut(rows[key].fingerprint) == hash_set(text) and cut(rows[key].edited_fingerprint) == hash_set(changed)
+        assert rows[key].near_edited == pytest.approx(share_of(cut(rows[key].fingerprint), cut(rows[key].edited_fingerprint)))
+        assert rows[key].near_next == pytest.approx(share_of(hash_set(text), hash_set(after)))
