@@ -3,7 +3,9 @@
 Frequencies of all ids are counted once and shared by all blocks. A block holds the ids of
 consecutive documents. Its symbols are dealt in turn to interleaved lanes, each an own
 64-bit state, so that numpy codes one step of all lanes at a time. A block can be decoded
-alone, and from each of its checkpoints on; checksums cover its ids.
+alone, and from each of its checkpoints on, which are eight in a block of usual size; the
+reader deals the checkpoints of longer blocks, those of long documents, to several tasks.
+Checksums cover the ids of a block.
 
 File format: a folder of Parquet files, uncompressed, one row for each block.
 
@@ -48,7 +50,9 @@ TABLE_BITS = 20
 #: States stay in [2^31, 2^63), by 32 bits at a time.
 LOW_BITS = 31
 #: Interleaved states, steps between two checkpoints, and ids a block is closed at.
-LANES, STEPS, BLOCK = 1024, 128, 1 << 17
+LANES, STEPS, BLOCK = 1024, 64, 1 << 19
+#: Checkpoints that one task decodes; the ids of a longer block are dealt to several.
+SPAN = 32
 #: Words, and letters or marks in them, whose ids a worker remembers.
 REMEMBERED, REMEMBERED_PARTS = 300_000, 200_000
 
@@ -267,6 +271,7 @@ _FILE = (
     "part int, block int, start bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, "
     "crc32 bigint, words binary, states binary, places array<bigint>"
 )
+_IDS = "part int, block int, first int, ids binary"
 _NUMBERS = pa.list_(pa.int64())
 
 
@@ -408,28 +413,87 @@ def read_table(spark: SparkSession, path: str) -> np.ndarray:
     return out
 
 
-def read(spark: SparkSession, path: str, fields: str, row: Callable[[np.ndarray], tuple]) -> DataFrame:
+_SPAN_FIELDS = "part int, block int, first int, n_ids bigint, words binary, states binary, places array<bigint>"
+
+
+def spans(blocks: DataFrame, size: int = SPAN) -> DataFrame:
+    """Blocks cut at every ``size`` checkpoints: what is needed to decode ``n_ids`` ids from
+    the checkpoint ``first`` on. Each row is as good as a block of its own."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), _NUMBERS)
+        for batch in batches:
+            for block in batch.to_pylist():
+                places = [*block["places"], len(block["words"]) // _U32.itemsize]
+                for first in range(0, len(places) - 1, size):
+                    stop = min(first + size, len(places) - 1)
+                    ids = min(block["n_ids"], stop * STEPS * LANES) - first * STEPS * LANES
+                    row = [
+                        block["part"], block["block"], first, ids,
+                        block["words"][places[first] * _U32.itemsize : places[stop] * _U32.itemsize],
+                        block["states"][first * LANES * _U64.itemsize : stop * LANES * _U64.itemsize],
+                        [place - places[first] for place in places[first:stop]],
+                    ]
+                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], _names(_SPAN_FIELDS))
+
+    return blocks.select("part", "block", "n_ids", "words", "states", "places").mapInArrow(run, _SPAN_FIELDS)
+
+
+def _decoded(frequencies: np.ndarray):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = table_of(frequencies)
+        for batch in batches:
+            for span in batch.to_pylist():
+                ids = decode(span["n_ids"], Coded(span["words"], span["states"], span["places"]), table)
+                row = ([span["part"]], [span["block"]], [span["first"]], [ids.astype(_U32).tobytes()])
+                yield pa.RecordBatch.from_arrays(
+                    list(map(pa.array, row, (pa.int32(), pa.int32(), pa.int32(), pa.binary()))), ["part", "block", "first", "ids"]
+                )
+
+    return run
+
+
+def read(
+    spark: SparkSession, path: str, fields: str, row: Callable[[np.ndarray], tuple], size: int = SPAN
+) -> DataFrame:
     """``doc_id, start`` and what ``row`` makes of the ids, for every document of a file.
 
-    ``fields`` names and types what ``row`` returns. A block whose ids don't have its
-    checksum raises an error.
+    ``fields`` names and types what ``row`` returns. A block of up to ``size`` checkpoints is
+    decoded in one task. A longer one, as a long document has, is cut at every ``size``
+    checkpoints, these spans are decoded in tasks of their own, and the ids put together by
+    block. A block whose ids don't have its checksum raises an error.
     """
     frequencies = read_table(spark, path)
     schema = f"doc_id bigint, start bigint, {fields}"
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def documents(block: dict, ids: np.ndarray) -> pa.RecordBatch:
+        if checksum(ids) != block["crc32"]:
+            raise ValueError(f"block {block['part']}/{block['block']} is damaged")
+        ends = np.cumsum([0, *block["lengths"]])
+        rows = [row(ids[a:b]) for a, b in zip(ends, ends[1:])]
+        columns = [block["doc_ids"], (block["start"] + ends[:-1]).tolist(), *map(list, zip(*rows))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, None if i > 1 else pa.int64()) for i, c in enumerate(columns)], _names(schema)
+        )
+
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = table_of(frequencies)
         for batch in batches:
             for block in batch.to_pylist():
                 coded = Coded(block["words"], block["states"], block["places"])
-                ids = decode(block["n_ids"], coded, table)
-                if checksum(ids) != block["crc32"]:
-                    raise ValueError(f"block {block['part']}/{block['block']} is damaged")
-                ends = np.cumsum([0, *block["lengths"]])
-                rows = [row(ids[a:b]) for a, b in zip(ends, ends[1:])]
-                columns = [block["doc_ids"], (block["start"] + ends[:-1]).tolist(), *map(list, zip(*rows))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, None if i > 1 else pa.int64()) for i, c in enumerate(columns)], _names(schema)
-                )
+                yield documents(block, decode(block["n_ids"], coded, table))
 
-    return spark.read.parquet(f"{path}/blocks").mapInArrow(run, schema)
+    def joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in batch.to_pylist():
+                ids = b"".join(span["ids"] for span in block["spans"])
+                yield documents(block, np.frombuffer(ids, _U32))
+
+    blocks = spark.read.schema(_FILE).parquet(f"{path}/blocks")
+    long = F.col("n_ids") > size * STEPS * LANES
+    decoded = spans(blocks.where(long), size).repartition("part", "block", "first").mapInArrow(_decoded(frequencies), _IDS)
+    put_together = decoded.groupBy("part", "block").agg(F.sort_array(F.collect_list(F.struct("first", "ids"))).alias("spans"))
+    heads = blocks.where(long).select("part", "block", "start", "doc_ids", "lengths", "crc32")
+    return blocks.where(~long).mapInArrow(whole, schema).unionByName(
+        heads.join(put_together, ["part", "block"]).mapInArrow(joined, schema)
+    )

@@ -80,6 +80,30 @@ def test_file(spark, odd, definition):
     assert len(blocks) > 2 and sum(b.n_ids for b in blocks) == sum(b.n_tokens for b in got.collect())
 
 
+def test_long_documents_are_decoded_in_spans(spark, definition):
+    """A document of many checkpoints, between short ones, through rows of one checkpoint each."""
+    texts = {1: "a few words", 2: "one two, three. four " * 60_000, 3: None, 4: "the last"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    path = new_path(spark, "rans")
+    rans.write(docs, path, definition, 2, block=100_000)
+    blocks = spark.read.parquet(f"{path}/blocks")
+    span = rans.STEPS * rans.LANES
+    longest = blocks.orderBy("n_ids", ascending=False).first()
+    assert longest.n_ids > 4 * span and len(longest.places) == -(-longest.n_ids // span)
+    cut = rans.spans(blocks.where(f"n_ids = {longest.n_ids}"), 1).collect()
+    assert [row.first for row in cut] == list(range(len(longest.places)))
+    assert sum(row.n_ids for row in cut) == longest.n_ids and max(row.n_ids for row in cut) == span
+    assert b"".join(row.words for row in cut) == longest.words and b"".join(row.states for row in cut) == longest.states
+    wanted = expected(list(texts.items()), Tokenizer.from_str(definition))
+    for size in (1, 3, rans.SPAN):
+        got = rans.read(spark, path, "n_tokens bigint, crc bigint", lambda ids: (len(ids), rans.checksum(ids)), size)
+        assert sorted((str(r.doc_id), r.start, r.n_tokens, r.crc) for r in got.collect()) == wanted
+
+
+def test_a_block_of_usual_size_has_eight_checkpoints():
+    assert rans.BLOCK == 8 * rans.STEPS * rans.LANES
+
+
 def test_damage_is_noticed(spark, odd, definition):
     path, other = new_path(spark, "rans"), new_path(spark, "rans")
     rans.write(odd, path, definition, 2)
