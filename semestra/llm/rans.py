@@ -54,7 +54,7 @@ LANES, STEPS, BLOCK = 1024, 64, 1 << 19
 #: Checkpoints that one task decodes; the ids of a longer block are dealt to several.
 SPAN = 32
 #: Words, and letters or marks in them, whose ids a worker remembers.
-REMEMBERED, REMEMBERED_PARTS = 300_000, 200_000
+REMEMBERED, REMEMBERED_PARTS = 600_000, 400_000
 
 _U32, _U64 = np.dtype("<u4"), np.dtype("<u8")
 
