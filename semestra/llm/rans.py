@@ -31,6 +31,7 @@ import os
 import unicodedata
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from functools import lru_cache
@@ -54,7 +55,7 @@ LANES, STEPS, BLOCK = 1024, 64, 1 << 19
 #: Checkpoints that one task decodes; the ids of a longer block are dealt to several.
 SPAN = 32
 #: Words, and letters or marks in them, whose ids a worker remembers.
-REMEMBERED, REMEMBERED_PARTS = 600_000, 400_000
+REMEMBERED, REMEMBERED_PARTS = 300_000, 200_000
 
 _U32, _U64 = np.dtype("<u4"), np.dtype("<u8")
 
@@ -175,7 +176,7 @@ def _byte_letters() -> dict[int, int]:
     return {b: 256 + n for n, b in enumerate(others)}
 
 
-_LETTERS = _byte_letters()
+_LETTERS = "".join(chr(_byte_letters().get(b, b)) for b in range(256))
 
 
 @lru_cache(maxsize=2)
@@ -202,7 +203,7 @@ class WordTokens(dict):
     def _merged(self, part: bytes) -> bytes:
         """Ids of a run of letters, or of marks, that is already in lower case."""
         # Letters and marks of ASCII print, so they stand for themselves
-        letters = part.decode() if part.isascii() else part.decode("latin-1").translate(_LETTERS)
+        letters = part.decode() if part.isascii() else charmap_decode(part, "strict", _LETTERS)[0]
         merged = self.library.model.tokenize(letters)
         found = self.parts[part] = array(self.code, [token.id for token in merged]).tobytes()
         return found
@@ -213,8 +214,8 @@ class WordTokens(dict):
             lower = stem.lower()
             plain = lower.isalpha()
         else:
-            # Letter by letter, as the library does; only what stays a word of letters
-            text = "".join(map(str.lower, unicodedata.normalize("NFC", stem.decode())))
+            # Letter by letter, as the library does: a last sigma is like any other
+            text = unicodedata.normalize("NFC", stem.decode()).replace("\u03a3", "\u03c3").lower()
             lower, plain = text.encode(), text.isalpha()
         if not plain:
             ids = self.library.encode(word.decode(), add_special_tokens=False).ids
