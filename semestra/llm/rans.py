@@ -51,9 +51,9 @@ TABLE_BITS = 20
 #: States stay in [2^31, 2^63), by 32 bits at a time.
 LOW_BITS = 31
 #: Interleaved states, steps between two checkpoints, and ids a block is closed at.
-LANES, STEPS, BLOCK = 1024, 64, 1 << 19
+LANES, STEPS, BLOCK = 512, 32, 1 << 17
 #: Checkpoints that one task decodes; the ids of a longer block are dealt to several.
-SPAN = 32
+SPAN = 128
 #: Words, and letters or marks in them, whose ids a worker remembers.
 REMEMBERED, REMEMBERED_PARTS = 300_000, 200_000
 
@@ -133,31 +133,45 @@ def encode(ids: np.ndarray, table: Table) -> Coded:
     return Coded(words.tobytes(), states.tobytes(), [written - w for w in left[::-1]])
 
 
-def decode(n: int, coded: Coded, table: Table, first: int = 0, last: int | None = None) -> np.ndarray:
-    """The ids between two checkpoints, by default all ``n`` ids of a block."""
-    words = np.frombuffer(coded.words, _U32)
-    if first >= len(coded.places):
-        return np.zeros(0, np.uint32)
-    state = np.frombuffer(coded.states, _U64)[first * LANES : (first + 1) * LANES].astype(np.uint64)
-    at = coded.places[first]
-    stop = n if last is None else min(n, last * STEPS * LANES)
-    begin = first * STEPS * LANES
-    out = np.empty(stop - begin, np.uint32)
+def _side_by_side(state: np.ndarray, at: np.ndarray, n: int, words: np.ndarray, table: Table) -> np.ndarray:
+    """``n`` ids from each of several checkpoints: a row of states and a place in the words."""
+    out = np.empty((len(state), n), np.uint32)
     mask, bound = np.uint64((1 << TABLE_BITS) - 1), np.uint64(1 << LOW_BITS)
-    for a in range(begin, stop, LANES):
-        b = min(stop, a + LANES)
-        x = state[: b - a]
+    for a in range(0, n, LANES):
+        b = min(n, a + LANES)
+        x = state[:, : b - a]
         slot = x & mask
         ids = table.slots[slot]
-        out[a - begin : b - begin] = ids
+        out[:, a:b] = ids
         x = table.frequencies[ids] * (x >> np.uint64(TABLE_BITS)) + slot - table.starts[ids]
-        low = np.flatnonzero(x < bound)
-        x[low] = (x[low] << np.uint64(32)) | words[at : at + len(low)]
-        at += len(low)
-        state[: b - a] = x
+        below = x < bound
+        counts = np.count_nonzero(below, axis=1)
+        # Every checkpoint reads on from its own place
+        read = np.arange(counts.sum()) + np.repeat(at - np.cumsum(counts) + counts, counts)
+        low, flat = np.flatnonzero(below), x.reshape(-1)
+        flat[low] = (flat[low] << np.uint64(32)) | words[read]
+        at = at + counts
+        state[:, : b - a] = x
     return out
 
 
+def decode(n: int, coded: Coded, table: Table, first: int = 0, last: int | None = None) -> np.ndarray:
+    """The ids between two checkpoints, by default all ``n`` ids of a block.
+
+    All checkpoints are read from at once, but the last if fewer ids follow it.
+    """
+    words = np.frombuffer(coded.words, _U32)
+    span = STEPS * LANES
+    at = np.array(coded.places[first:last], np.int64)
+    state = np.frombuffer(coded.states, _U64)[first * LANES : (first + len(at)) * LANES].astype(np.uint64).reshape(-1, LANES)
+    size = min(n - first * span, len(at) * span)
+    whole = size // span if len(at) else 0
+    parts = [_side_by_side(state[:whole], at[:whole], span, words, table)] if whole else []
+    if whole < len(at):
+        parts.append(_side_by_side(state[whole:], at[whole:], size - whole * span, words, table))
+    return np.concatenate([np.zeros(0, np.uint32), *[part.reshape(-1) for part in parts]])
+
+
 def checksum(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype(_U32).tobytes())
 
