@@ -494,7 +494,8 @@ def read(
     def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = table_of(frequencies)
         for batch in batches:
-            for block in batch.to_pylist():
+            for n in range(batch.num_rows):
+                block = batch.slice(n, 1).to_pylist()[0]
                 coded = Coded(block["words"], block["states"], block["places"])
                 yield documents(block, decode(block["n_ids"], coded, table))
 
@@ -506,9 +507,11 @@ def read(
 
     blocks = spark.read.schema(_FILE).parquet(f"{path}/blocks")
     long = F.col("n_ids") > size * STEPS * LANES
+    ordinary = blocks.where(~long).mapInArrow(whole, schema)
+    # Only the numbers of ids are read for this; most files have no long block
+    if blocks.where(long).isEmpty():
+        return ordinary
     decoded = spans(blocks.where(long), size).repartition("part", "block", "first").mapInArrow(_decoded(frequencies), _IDS)
     put_together = decoded.groupBy("part", "block").agg(F.sort_array(F.collect_list(F.struct("first", "ids"))).alias("spans"))
     heads = blocks.where(long).select("part", "block", "start", "doc_ids", "lengths", "crc32")
-    return blocks.where(~long).mapInArrow(whole, schema).unionByName(
-        heads.join(put_together, ["part", "block"]).mapInArrow(joined, schema)
-    )
+    return ordinary.unionByName(heads.join(put_together, ["part", "block"]).mapInArrow(joined, schema))
