@@ -153,7 +153,7 @@ def judged(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str =
     bad rows that pass the base rules, the middle between equally good ones; without bad
     rows it is the least trusted score, without trusted ones all pass. Null texts have no
     words and fail the base rules; repeated rows are judged alike; other columns are not
-    looked at.
+    looked at; an empty table gives no rows.
     """
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))

@@ -229,7 +229,8 @@ def _kept_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", **rules) -> DataFrame:
     """Every row with ``text`` freed of repeated lines, and ``__n_lines``, ``__n_dropped``.
 
-    Other columns keep their names, values and order. See ``keep_bitmaps`` for the rules.
+    Other columns keep their names, values and order; an empty table gives no rows. See
+    ``keep_bitmaps`` for the rules.
     """
     bitmaps = keep_bitmaps(docs, text=text, key=key, **rules).select(
         F.col("doc").alias("__doc"), F.col("copy").alias("__copy"),

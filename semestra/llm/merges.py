@@ -383,7 +383,7 @@ def encoded(
     ``model`` is the content of a model file; it travels with the tasks. ``copy`` names a
     column of numbers that keep the draws of rows of one key apart (0 for all if None).
     Null and empty texts have no ids. Rows of one key, text and copy have the same ids, as
-    those of a null key have. Other columns are not looked at.
+    those of a null key have. Other columns are not looked at; an empty table gives no rows.
     """
     proto = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[key].dataType.simpleString()

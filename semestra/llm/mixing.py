@@ -207,7 +207,7 @@ def mixed(
     ``train_rows``); other documents need none, and null or unknown domains are left out of
     the fit. ``__copies`` is the rate rounded up or down by a hash of the key and text, so
     that its mean is the rate; repeated rows get equal copies. Null keys are hashed like
-    any other. Without labelled rows all shares are equal.
+    any other. Without labelled rows all shares are equal; an empty table gives no rows.
     """
     names = list(targets)
     number = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])

@@ -112,7 +112,8 @@ def graded(docs: DataFrame, model: OrdinalModel | None, text: str = "text") -> D
     """All columns of ``docs``, and ``__words, __grade, __tail, __kept``.
 
     Every row is scored over its whole text. Null and empty texts have no features and
-    the score 0. Without a model the grade is null, the tail 1 and every row is kept.
+    the score 0. Without a model the grade is null, the tail 1 and every row is kept. An
+    empty table gives no rows.
     """
     if model is None:
         return docs.withColumns({

@@ -167,7 +167,9 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     of the next document, or all of that. Null texts count as empty. Gives ``key, n_chars,
     edited_text, sketch, edited_sketch, hashes, edited_hashes, near_edited, near_next,
     all_edited, all_next`` for every row: ``all_`` is the likeness over the hashes of all
-    anchors, ``near_`` its estimate from the sketches. Repeated rows are each other's next document. Other columns are not looked at.
+    anchors, ``near_`` its estimate from the sketches.
+    Repeated rows are each other's next document. Other columns are not looked at; an empty
+    table gives no rows.
     """
     rows = docs.select(F.col(f"`{key}`").alias(key), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     following = with_next(rows, key, ["text"], "text", lambda r: r)
