@@ -12,14 +12,17 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from semestra.functions.text import month_number, month_text, semester_number, semester_text
+from semestra.functions.text import month_number, month_text, semester_number
 from semestra.plans.loading import Inputs, PriceSource
 from semestra.reference_data import GLOBAL_CODE, PRICE_DATASETS, literal_frame
 from semestra.session import new_folder
 from semestra.standins.tables import YEARS, band_code, money, raw
 
-SEMESTERS = [f"{y}-S{s}" for y in range(YEARS[0], YEARS[1] + 1) for s in (1, 2)]
-MONTHS = [f"{y}-{m:02d}" for y in range(YEARS[0], YEARS[1] + 1) for m in range(1, 13)]
+# Periods in order, with their numbers
+_SEMESTERS = {f"{y}-S{s}": 10 * y + s for y in range(YEARS[0], YEARS[1] + 1) for s in (1, 2)}
+_MONTHS = {f"{y}-{m:02d}": 100 * y + m for y in range(YEARS[0], YEARS[1] + 1) for m in range(1, 13)}
+_YEARS = {str(y): y for y in range(YEARS[0], YEARS[1] + 1)}
+SEMESTERS, MONTHS = [*_SEMESTERS], [*_MONTHS]
 DATASETS = {dataset: (commodity, consumer, siec) for dataset, commodity, consumer, siec in PRICE_DATASETS}
 CALENDARS = {"years": (1990, 2005), "semesters": YEARS, "months": YEARS}
 
@@ -44,29 +47,55 @@ def _write_wide(wide: DataFrame, path: str, *partition: str) -> None:
     )
 
 
-def _flagged(value: str, lines: str):
+def _flagged(value, lines):
     """Cell text: the number, and a flag by how many lines it stands for."""
-    suffix = F.expr(f"CASE {lines} WHEN 1 THEN '' WHEN 2 THEN ' e' WHEN 3 THEN ' p' ELSE ' e p' END")
-    return F.concat(F.col(value).cast("string"), suffix)
+    suffix = F.when(lines == 1, "").when(lines == 2, " e").when(lines == 3, " p").otherwise(" e p")
+    return F.concat(value.cast("string"), suffix)
 
 
-def _spread(cells: DataFrame, keys: list[str], period: str, periods: list[str], header: str, key, missing) -> DataFrame:
-    """One row per series: the composite key, then one column per period."""
-    wide = cells.groupBy(*keys).pivot(period, periods).agg(F.first("cell"))
-    return wide.select(
-        key.alias(header),
-        *[F.coalesce(F.col(f"`{p}`"), missing).alias(f"{p} ") for p in periods],
-    )
+def _series(rows: DataFrame, keys: list[str], period: str, periods: dict[str, int], cell) -> DataFrame:
+    """One row per series, with one column per period; ``cell`` makes an aggregate of the
+    condition that holds for the rows of a period.
+
+    Rows go to their series first and are put together there. About as many cells as rows
+    occur, so putting rows together before the shuffle would save none of it and keep the
+    cells of a whole part of the file in a task's memory.
+    """
+    cells = [cell(F.col(period) == number).alias(name) for name, number in periods.items()]
+    return rows.repartition(*keys).groupBy(*keys).agg(*cells)
+
+
+def _texts(periods: list[str], missing) -> list:
+    """The cells of a series as they stand in a file."""
+    return [F.coalesce(F.col(f"`{p}`"), missing).alias(f"{p} ") for p in periods]
 
 
 def _line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the price extracts take from line items, with bands and the numbers of semesters."""
     orders = raw(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), semester_text(semester_number(F.col("o_orderdate"))).alias("semester")
+        F.col("o_orderkey").alias("l_orderkey"), semester_number(F.col("o_orderdate")).alias("semester")
     )
     parts = raw(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), band_code(F.col("p_size")).alias("band")
     )
-    return raw(spark, sf_dir, "lineitem").join(parts, "l_partkey").join(orders, "l_orderkey")
+    return raw(spark, sf_dir, "lineitem").join(parts, "l_partkey").join(orders, "l_orderkey").select(
+        "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_extendedprice", "band", "semester"
+    )
+
+
+def _write_line_items(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Line items joined once for the extracts at fault, which are all made of them."""
+    _line_items(spark, sf_dir).select("l_suppkey", "l_linenumber", "l_extendedprice", "band", "semester").write.parquet(path)
+
+
+def _written_line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = "l_suppkey long, l_linenumber int, l_extendedprice double, band string, semester int"
+    return spark.read.schema(schema).parquet(landed(spark, sf_dir, "line_items"))
+
+
+def _lowest(price: str):
+    """A cell with the lowest price."""
+    return lambda here: F.min(F.when(here, F.col(price))).cast("string")
 
 
 def _write_prices(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -78,11 +107,12 @@ def _write_prices(spark: SparkSession, sf_dir: str, path: str) -> None:
     )
     tax = F.expr("CASE l_linenumber % 3 WHEN 0 THEN 'X_TAX' WHEN 1 THEN 'X_VAT' ELSE 'I_TAX' END")
     keys = ["dataset", "band", "tax", "l_suppkey"]
-    cells = (
-        _line_items(spark, sf_dir).withColumns({"dataset": dataset, "tax": tax})
-        .groupBy(*keys, "semester")
-        .agg(F.min(money("l_extendedprice")).alias("price"), F.count("*").alias("n"))
-        .select(*keys, "semester", _flagged("price", "n").alias("cell"))
+    rows = _line_items(spark, sf_dir).select(
+        dataset.alias("dataset"), "band", tax.alias("tax"), "l_suppkey", "semester", money("l_extendedprice").alias("price")
+    )
+    wide = _series(
+        rows, keys, "semester", _SEMESTERS,
+        lambda here: _flagged(F.min(F.when(here, F.col("price"))), F.count(F.when(here, 1))),
     )
     siec = F.expr("CASE WHEN dataset IN ('nrg_pc_202', 'nrg_pc_203') THEN 'G3000' ELSE 'E7000' END")
     key = F.concat_ws(
@@ -90,12 +120,7 @@ def _write_prices(spark: SparkSession, sf_dir: str, path: str) -> None:
         F.concat(F.lit("S"), "l_suppkey"),
     )
     missing = F.when(F.col("band") == "TOT_B", ": c").otherwise(": ")
-    wide = cells.groupBy(*keys).pivot("semester", SEMESTERS).agg(F.first("cell"))
-    wide = wide.select(
-        "dataset", key.alias(header),
-        *[F.coalesce(F.col(f"`{p}`"), missing).alias(f"{p} ") for p in SEMESTERS],
-    )
-    _write_wide(wide, path, "dataset")
+    _write_wide(wide.select("dataset", key.alias(header), *_texts(SEMESTERS, missing)), path, "dataset")
 
 
 def _write_dirty_prices(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -111,17 +136,16 @@ def _write_dirty_prices(spark: SparkSession, sf_dir: str, path: str) -> None:
         "CASE WHEN l_linenumber = 7 THEN 'Z_TAX' ELSE "
         "CASE l_linenumber % 3 WHEN 0 THEN 'X_TAX' WHEN 1 THEN 'X_VAT' ELSE 'I_TAX' END END"
     )
-    keys = ["freq", "siec", "band", "tax", "currency", "l_suppkey"]
-    cells = (
-        _line_items(spark, sf_dir).join(suppliers, "l_suppkey").withColumn("tax", tax)
-        .groupBy(*keys, "semester").agg(F.min(money("l_extendedprice")).alias("price"))
-        .select(*keys, "semester", F.col("price").cast("string").alias("cell"))
+    rows = _written_line_items(spark, sf_dir).select(
+        "band", tax.alias("tax"), "l_suppkey", "semester", money("l_extendedprice").alias("price")
     )
+    # A supplier given twice has its series once for each of its codes
+    wide = _series(rows, ["band", "tax", "l_suppkey"], "semester", _SEMESTERS, _lowest("price")).join(suppliers.distinct(), "l_suppkey")
     key = F.concat_ws(
         ",", "freq", "siec", "band", F.lit("KWH"), "tax", "currency", F.concat(F.lit("S"), "l_suppkey")
     )
     header = "freq,siec,nrg_cons,unit,tax,currency,geo\\TIME_PERIOD"
-    _write_wide(_spread(cells, keys, "semester", SEMESTERS, header, key, F.lit(": ")), path)
+    _write_wide(wide.select(key.alias(header), *_texts(SEMESTERS, F.lit(": "))), path)
 
 
 def _written_lines(lines: DataFrame, header: str, path: str) -> None:
@@ -143,13 +167,10 @@ def _write_faulty_prices(spark: SparkSession, sf_dir: str, path: str) -> None:
     """An extract whose keys are right but for repeated series (nation 7); with numbers too
     large (nation 9) and lines with a cell too many (nation 11)."""
     suppliers = raw(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    keys = ["band", "l_suppkey", "s_nationkey"]
-    cells = (
-        _line_items(spark, sf_dir).join(suppliers, "l_suppkey")
-        .groupBy(*keys, "semester").agg(F.min(money("l_extendedprice")).cast("string").alias("price"))
-        .withColumn("cell", F.when(F.col("s_nationkey") == 9, F.concat(F.lit("9999999"), "price")).otherwise(F.col("price")))
-    )
-    wide = cells.groupBy(*keys).pivot("semester", SEMESTERS).agg(F.first("cell"))
+    rows = _written_line_items(spark, sf_dir).select("band", "l_suppkey", "semester", money("l_extendedprice").alias("price"))
+    wide = _series(rows, ["band", "l_suppkey"], "semester", _SEMESTERS, _lowest("price")).join(suppliers.distinct(), "l_suppkey")
+    ahead = F.when(F.col("s_nationkey") == 9, "9999999").otherwise("")
+    wide = wide.withColumns({p: F.concat(ahead, F.col(f"`{p}`")) for p in SEMESTERS})
     key = F.concat_ws(
         ",", F.lit("S"), F.lit("E7000"), "band", F.lit("KWH"), F.lit("X_VAT"), F.lit("EUR"), F.concat(F.lit("S"), "l_suppkey")
     )
@@ -176,53 +197,51 @@ def _write_dirty_dependency(spark: SparkSession, sf_dir: str, path: str) -> None
         F.when(F.col("s_acctbal") >= 0, F.when(F.col("s_nationkey") == 3, "THS").otherwise("PC")).alias("unit"),
     )
     parts = raw(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    keys = ["freq", "siec", "unit", "l_suppkey", "s_nationkey"]
     brand = F.when(F.col("l_linenumber") == 7, F.concat(F.lit("X"), "p_brand")).otherwise(F.col("p_brand"))
-    price = F.min(money("l_extendedprice")).cast("string")
-    cells = (
-        raw(spark, sf_dir, "lineitem").join(suppliers, "l_suppkey").join(parts, "l_partkey").withColumn("siec", brand)
-        .groupBy(*keys, F.year("l_shipdate").cast("string").alias("year"))
-        .agg(F.when(F.col("s_nationkey") == 9, F.concat(F.lit("9999999"), price)).otherwise(price).alias("cell"))
+    rows = raw(spark, sf_dir, "lineitem").join(parts, "l_partkey").select(
+        brand.alias("siec"), "l_suppkey", F.year("l_shipdate").alias("year"), money("l_extendedprice").alias("price")
     )
+    wide = _series(rows, ["siec", "l_suppkey"], "year", _YEARS, _lowest("price")).join(suppliers.distinct(), "l_suppkey")
+    ahead = F.when(F.col("s_nationkey") == 9, "9999999").otherwise("")
     key = F.concat_ws(",", "freq", "siec", "unit", F.concat(F.lit("S"), "l_suppkey"))
-    years = [str(y) for y in range(YEARS[0], YEARS[1] + 1)]
-    wide = cells.groupBy(*keys).pivot("year", years).agg(F.first("cell"))
-    line = F.concat_ws("\t", key, *[F.coalesce(F.col(f"`{y}`"), F.lit(": ")) for y in years])
+    line = F.concat_ws("\t", key, *[F.coalesce(F.concat(ahead, F.col(f"`{y}`")), F.lit(": ")) for y in _YEARS])
     times = F.when(F.col("s_nationkey") == 7, 2).otherwise(1)
     lines = wide.select(F.explode(F.array_repeat(line, times)).alias("value"))
-    _written_lines(lines, "\t".join(["freq,siec,unit,geo\\TIME_PERIOD", *[f"{y} " for y in years]]), path)
+    _written_lines(lines, "\t".join(["freq,siec,unit,geo\\TIME_PERIOD", *[f"{y} " for y in _YEARS]]), path)
 
 
 def _write_dependency(spark: SparkSession, sf_dir: str, path: str) -> None:
     parts = raw(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("siec"))
-    lines = raw(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate").cast("string"))
-    columns = ["siec", "l_suppkey", "year", "l_extendedprice"]
-    both = lines.join(parts, "l_partkey").select(*columns).unionByName(
-        lines.withColumn("siec", F.lit("TOTAL")).select(*columns)
-    )
-    keys = ["siec", "l_suppkey"]
-    rate = (F.max(money("l_extendedprice", "decimal(12,4)")) - F.lit(60000).cast("decimal(12,4)"))
-    cells = (
-        both.groupBy(*keys, "year").agg(rate.cast("decimal(12,4)").alias("rate"), F.count("*").alias("n"))
-        .select(*keys, "year", _flagged("rate", "n").alias("cell"))
+    lines = raw(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_suppkey", F.year("l_shipdate").alias("year"), money("l_extendedprice", "decimal(12,4)").alias("price")
     )
+    less = F.lit(60000).cast("decimal(12,4)")
+
+    def cell(here):
+        rate = F.max(F.when(here, F.col("price"))) - less
+        return _flagged(rate.cast("decimal(12,4)"), F.count(F.when(here, 1)))
+
+    branded = _series(lines.join(parts, "l_partkey").drop("l_partkey"), ["siec", "l_suppkey"], "year", _YEARS, cell)
+    # A series for each supplier: few enough to be put together before the shuffle
+    totals = lines.groupBy("l_suppkey").agg(*[cell(F.col("year") == number).alias(year) for year, number in _YEARS.items()])
+    wide = branded.unionByName(totals.withColumn("siec", F.lit("TOTAL")))
     key = F.concat_ws(",", F.lit("A"), "siec", F.lit("PC"), F.concat(F.lit("S"), "l_suppkey"))
-    years = [str(y) for y in range(YEARS[0], YEARS[1] + 1)]
-    _write_wide(_spread(cells, keys, "year", years, "freq,siec,unit,geo\\TIME_PERIOD", key, F.lit(": ")), path)
+    _write_wide(wide.select(key.alias("freq,siec,unit,geo\\TIME_PERIOD"), *_texts([*_YEARS], F.lit(": "))), path)
 
 
 def _stock_cells(spark: SparkSession, sf_dir: str, flow: str, unit: str, geo: str):
     """Stock extract with its codes given as SQL over line items and suppliers."""
-    keys = ["flow", "unit", "geo"]
     suppliers = raw(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "l_suppkey")
-    cells = (
-        raw(spark, sf_dir, "lineitem").join(suppliers, "l_suppkey")
-        .withColumns({"flow": F.expr(flow), "unit": F.expr(unit), "geo": F.expr(geo)})
-        .groupBy(*keys, month_text(month_number(F.col("l_shipdate"))).alias("month"))
-        .agg(F.sum("l_quantity").cast("decimal(14,4)").cast("string").alias("cell"))
+    rows = raw(spark, sf_dir, "lineitem").join(suppliers, "l_suppkey").select(
+        F.expr(flow).alias("flow"), F.expr(unit).alias("unit"), F.expr(geo).alias("geo"),
+        month_number(F.col("l_shipdate")).alias("month"), "l_quantity",
+    )
+    wide = _series(
+        rows, ["flow", "unit", "geo"], "month", _MONTHS,
+        lambda here: F.sum(F.when(here, F.col("l_quantity"))).cast("decimal(14,4)").cast("string"),
     )
     key = F.concat_ws(",", F.lit("M"), "flow", "unit", "geo")
-    return _spread(cells, keys, "month", MONTHS, "freq,stk_flow,unit,geo\\TIME_PERIOD", key, F.lit(": "))
+    return wide.select(key.alias("freq,stk_flow,unit,geo\\TIME_PERIOD"), *_texts(MONTHS, F.lit(": ")))
 
 
 FLOW = (
@@ -364,6 +383,7 @@ def _write_part_codelists(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 _WRITERS: dict[str, Callable[[SparkSession, str, str], None]] = {
+    "line_items": _write_line_items,
     "prices": _write_prices,
     "prices_dirty": _write_dirty_prices,
     "prices_faulty": _write_faulty_prices,
