@@ -59,8 +59,9 @@ def duplicate_rows(name: str, rows: DataFrame, key: list[str]) -> DataFrame:
 def suspected_duplicates(name: str, rows: DataFrame, key: list[str]) -> DataFrame:
     """Like ``duplicate_rows`` on a 96-bit hash of the key. Zero proves there are no
     duplicates, and shuffling hashes is cheaper than shuffling wide text keys; any
-    other count is for ``duplicate_rows`` to confirm."""
-    hashed = rows.select(F.xxhash64(*key).alias("h64"), F.hash(*key).alias("h32"))
+    other count is for ``duplicate_rows`` to confirm. Hashes are counted where they were
+    sent to: counting them before would keep all of a task in memory, as most are unique."""
+    hashed = rows.select(F.xxhash64(*key).alias("h64"), F.hash(*key).alias("h32")).repartition("h64", "h32")
     return duplicate_rows(name, hashed, ["h64", "h32"])
 
 
