@@ -58,6 +58,12 @@ def gate_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _once(spark, sf_dir, "warehouse", make)
 
 
+def empty_source(spark: SparkSession, sf_dir: str) -> PriceSource:
+    """An extract without a number."""
+    lists = landed(spark, sf_dir, "faulty_codelists")
+    return PriceSource("nrg_pc_206", landed(spark, sf_dir, "prices_empty"), lists, "GAS", "HOUSEHOLD", "G3000")
+
+
 def faulty_sources(spark: SparkSession, sf_dir: str) -> list[PriceSource]:
     """Extracts breaking rules of keys, codes and cells; one without a number; and one with
     the header of another subject."""
@@ -66,7 +72,7 @@ def faulty_sources(spark: SparkSession, sf_dir: str) -> list[PriceSource]:
     return [
         PriceSource("nrg_pc_204", at("prices_dirty"), lists, "ELECTRICITY", "HOUSEHOLD", "E7000"),
         PriceSource("nrg_pc_205", at("prices_faulty"), lists, "ELECTRICITY", "NON_HOUSEHOLD", "E7000"),
-        PriceSource("nrg_pc_206", at("prices_empty"), lists, "GAS", "HOUSEHOLD", "G3000"),
+        empty_source(spark, sf_dir),
         PriceSource("nrg_pc_299", at("dependency"), lists, "GAS", "NON_HOUSEHOLD", "G3000"),
     ]
 
@@ -113,7 +119,7 @@ def gate_arity(spark, sf_dir):
 
 def gate_nonempty(spark, sf_dir):
     """Datasets expected against datasets holding observations."""
-    sources = [*price_sources(spark, sf_dir), faulty_sources(spark, sf_dir)[2]]
+    sources = [*price_sources(spark, sf_dir), empty_source(spark, sf_dir)]
     found = loading.price_gates(gate_warehouse(spark, sf_dir), sources)
     counted = literal_frame(
         spark, [(f"no observations in {name}", name, counters["observations"]) for name, counters in found.counters.items()],
