@@ -8,7 +8,9 @@ training add nothing.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from semestra.llm import text as texts
+from semestra.llm.storage import dropped, stored
 
 #: Buckets of word parts, as a power of two; numbers that embed a part.
 BITS, SIZE = 18, 8
@@ -30,11 +33,15 @@ PARTS = 1 + len(PREFIXES)
 _SALTS = [np.uint64(0x1111 * n) for n in range(PARTS)]
 _LONGER = np.uint64(1 << 40)
 
-#: Rated rows of either label that the model is fitted and calibrated on, chosen by a hash
-#: of their key among those of at most so many bytes. Bounds what comes to the driver.
+#: Rated rows of either label that the model begins on, chosen by a hash of their key among
+#: those of at most so many bytes. Bounds what comes to the driver.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 1500, 3000, 1 << 15
-#: Share of the sample that calibrates; ratings of a language that it takes for its own threshold.
+#: One in how many rated rows calibrates; ratings of a language that it takes for its own threshold.
 HELD, LEAST = 4, 10
+#: Rated rows that a task learns from; logits that are told apart in one unit by the calibration.
+PART_ROWS, STEPS = 1 << 13, 64
+#: Ratings that are sent to all tasks at once.
+SENT = 1 << 20
 #: Words that go through the filters at once.
 BLOCK = 1 << 15
 
@@ -233,10 +240,44 @@ def slopes(net: Network, part: Sample):
     return by_array, float(off.sum()), buckets, change
 
 
-def fitted(
+class Learner:
+    """A network in training, and the squares of its past slopes, with which steps shrink."""
+
+    def __init__(self, net: Network, common: np.ndarray, rate: float = 0.1, skipped: float = 0.3, fading: float = 0.001):
+        self.net, self.common = net, common
+        self.rate, self.skipped, self.fading = rate, skipped, fading
+        self.past_embedding = np.full(net.embedding.shape, 1e-6, np.float32)
+        self.past = [np.full_like(a, 1e-6) for a in (*net.filters, *net.shifts, net.output)]
+        self.past_bias = 1e-6
+
+    def learn(self, part: Sample, rng: np.random.Generator) -> None:
+        """One step on a batch."""
+        net = self.net
+        if self.skipped:
+            stays = rng.random(len(part.parts)) >= self.skipped
+            ends = np.concatenate(([0], np.cumsum(stays)))[part.firsts]
+            part = part._replace(parts=part.parts[stays], firsts=ends)
+        by_array, by_bias, buckets, change = slopes(net, part)
+        change += self.fading * net.embedding[buckets]
+        buckets, change = buckets[self.common[buckets]], change[self.common[buckets]]
+        self.past_embedding[buckets] += change * change
+        net.embedding[buckets] -= self.rate * change / np.sqrt(self.past_embedding[buckets])
+        arrays = []
+        for value, slope, squares in zip((*net.filters, *net.shifts, net.output), by_array, self.past):
+            squares += slope * slope
+            arrays.append(value - self.rate / 4 * slope / np.sqrt(squares))
+        self.past_bias += by_bias**2
+        k = len(WIDTHS)
+        self.net = net._replace(
+            filters=tuple(arrays[:k]), shifts=tuple(arrays[k : 2 * k]), output=arrays[-1],
+            bias=net.bias - self.rate / 4 * by_bias / self.past_bias**0.5,
+        )
+
+
+def begun(
     sample: Sample, rounds: int = 10, rate: float = 0.1, batch: int = 32, seed: int = 11,
     least_rows: int = 4, skipped: float = 0.3, fading: float = 0.001,
-) -> Network:
+) -> Learner:
     """Minibatches with steps that shrink with the squares of past slopes.
 
     Against learning rows by heart, parts in fewer than ``least_rows`` rows stay without
@@ -244,36 +285,19 @@ def fitted(
     learnt of a part is pulled back a little whenever the part is met.
     """
     rng = np.random.default_rng(seed)
-    common = _row_counts(sample) >= least_rows
     net = new_network(rng)
     net = net._replace(bias=float(np.log((sample.labels.sum() + 1) / ((sample.labels == 0).sum() + 1))))
-    past_embedding = np.full(net.embedding.shape, 1e-6, np.float32)
-    past = [np.full_like(a, 1e-6) for a in (*net.filters, *net.shifts, net.output)]
-    past_bias = 1e-6
+    learner = Learner(net, _row_counts(sample) >= least_rows, rate, skipped, fading)
     for _ in range(rounds):
         order = rng.permutation(len(sample.labels))
         for start in range(0, len(order), batch):
-            part = sample.rows(order[start : start + batch])
-            if skipped:
-                stays = rng.random(len(part.parts)) >= skipped
-                ends = np.concatenate(([0], np.cumsum(stays)))[part.firsts]
-                part = part._replace(parts=part.parts[stays], firsts=ends)
-            by_array, by_bias, buckets, change = slopes(net, part)
-            change += fading * net.embedding[buckets]
-            buckets, change = buckets[common[buckets]], change[common[buckets]]
-            past_embedding[buckets] += change * change
-            net.embedding[buckets] -= rate * change / np.sqrt(past_embedding[buckets])
-            arrays = []
-            for value, slope, squares in zip((*net.filters, *net.shifts, net.output), by_array, past):
-                squares += slope * slope
-                arrays.append(value - rate / 4 * slope / np.sqrt(squares))
-            past_bias += by_bias**2
-            k = len(WIDTHS)
-            net = net._replace(
-                filters=tuple(arrays[:k]), shifts=tuple(arrays[k : 2 * k]), output=arrays[-1],
-                bias=net.bias - rate / 4 * by_bias / past_bias**0.5,
-            )
-    return net
+            learner.learn(sample.rows(order[start : start + batch]), rng)
+    return learner
+
+
+def fitted(sample: Sample, **settings) -> Network:
+    """The network of ``begun``."""
+    return begun(sample, **settings).net
 
 
 def _threshold(chances: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
@@ -291,10 +315,18 @@ def calibrated(net: Network, held: Sample, weights: np.ndarray) -> Network:
 
     ``weights`` restore the shares that the labels have outside the sample.
     """
-    found, labels = logits(net, held.parts, held.firsts), held.labels
-    spread = found.std() or 1.0
-    x = np.stack(((found - found.mean()) / spread, np.ones(len(found))), 1)
-    toxic, clean = (labels == 1).sum(), (labels == 0).sum()
+    found = logits(net, held.parts, held.firsts)
+    return calibrated_on(net, found, held.labels, held.languages, weights, np.ones(len(found)))
+
+
+def calibrated_on(
+    net: Network, found: np.ndarray, labels: np.ndarray, languages: np.ndarray, weights: np.ndarray, rows: np.ndarray,
+) -> Network:
+    """``calibrated`` by the logits of held-out rows; each stands for a number of ``rows``."""
+    mean = np.average(found, weights=rows)
+    spread = np.sqrt(np.average((found - mean) ** 2, weights=rows)) or 1.0
+    x = np.stack(((found - mean) / spread, np.ones(len(found))), 1)
+    toxic, clean = rows[labels == 1].sum(), rows[labels == 0].sum()
     # A prior of one row on either side keeps the fit finite when the two part cleanly
     goal = np.where(labels == 1, (toxic + 1) / (toxic + 2), 1 / (clean + 2))
     w = np.array([1.0, 0.0])
@@ -311,12 +343,12 @@ def calibrated(net: Network, held: Sample, weights: np.ndarray) -> Network:
         while size > 1e-6 and loss(w - size * step) > loss(w):
             size /= 2
         w = w - size * step
-    net = net._replace(scale=float(w[0] / spread), offset=float(w[1] - w[0] * found.mean() / spread))
+    net = net._replace(scale=float(w[0] / spread), offset=float(w[1] - w[0] * mean / spread))
     chances = net.probabilities(found)
     cuts: list[tuple[str | None, float]] = [(None, _threshold(chances, labels, weights))]
-    for language in sorted({v for v in held.languages if v is not None}):
-        own = held.languages == language
-        if min((labels[own] == 1).sum(), (labels[own] == 0).sum()) >= LEAST:
+    for language in sorted({v for v in languages if v is not None}):
+        own = languages == language
+        if min(rows[own & (labels == 1)].sum(), rows[own & (labels == 0)].sum()) >= LEAST:
             cuts.append((language, _threshold(chances[own], labels[own], weights[own])))
     return net._replace(thresholds=tuple(cuts))
 
@@ -341,6 +373,15 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+#: Places are below this number.
+SPAN = 1 << 31
+
+
+def _place(key: Column) -> Column:
+    """The place of a key in the order of the sample, by a hash."""
+    return F.pmod(F.xxhash64(key, F.lit("toxicity")), F.lit(SPAN))
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, key: str, text: str, language: str | None, sizes: tuple[int, int], most_bytes: int,
 ) -> tuple[Sample, np.ndarray]:
@@ -349,7 +390,6 @@ def labelled_sample(
     At most ``sizes[label]`` rows of each label, those with the least hash of key and text,
     among texts of up to ``most_bytes``.
     """
-    span = 1 << 31
     ratings = labels.select(
         F.col(key).alias("__key"), F.col("label").cast("int").alias("label"),
     )
@@ -358,9 +398,8 @@ def labelled_sample(
     share = F.lit(0)
     for label, size in enumerate(sizes):
         bound = min(1.0, (2 * size + 100) / max(1, counts.get(label, 0)))
-        share = F.when(F.col("label") == label, int(bound * span)).otherwise(share)
-    place = F.pmod(F.xxhash64(F.col("__key"), F.lit("toxicity")), F.lit(span))
-    chosen = ratings.withColumn("place", place).where(F.col("place") < share)
+        share = F.when(F.col("label") == label, int(bound * SPAN)).otherwise(share)
+    chosen = ratings.withColumn("place", _place(F.col("__key"))).where(F.col("place") < share)
     lang = F.col(f"`{language}`").cast("string") if language else F.lit(None).cast("string")
     rows = docs.select(F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").alias("text"), lang.alias("lang"))
     short = F.octet_length(F.coalesce("text", F.lit(""))) <= most_bytes
@@ -382,23 +421,152 @@ def labelled_sample(
     return sample, stands[label]
 
 
+def _counted_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many rows of a task each bucket occurs."""
+    counts = np.zeros(1 << BITS, np.int64)
+    for batch in texts.pieces(batches):
+        parts, firsts = word_parts(*texts.text_bytes(batch.column("text")))
+        counts += _row_counts(Sample(parts, firsts, np.zeros(0), np.zeros(0)))
+    buckets = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(counts[buckets])], ["place", "rows"])
+
+
+def _common(rows: DataFrame, least_rows: int) -> np.ndarray:
+    """Which buckets occur in so many rows of the whole frame."""
+    counted = rows.select("text").mapInArrow(_counted_parts, "place bigint, rows bigint")
+    found = counted.groupBy("place").agg(F.sum("rows").alias("rows")).where(F.col("rows") >= least_rows)
+    common = np.zeros(1 << BITS, bool)
+    common[found.select("place").toArrow().column(0).to_numpy()] = True
+    return common
+
+
+def _dense(net: Network) -> np.ndarray:
+    """All numbers but the embedding, in rows as long as those of the embedding."""
+    flat = np.concatenate([*(a.ravel() for a in (*net.filters, *net.shifts, net.output)), [net.bias]])
+    return np.concatenate((flat, np.zeros(-len(flat) % SIZE))).reshape(-1, SIZE)
+
+
+def _moved(net: Network, places: np.ndarray, change: np.ndarray) -> Network:
+    """The network with changes of rows of the embedding and, behind it, of all other numbers."""
+    embedding, dense = net.embedding.copy(), _dense(net)
+    inside = places < len(embedding)
+    embedding[places[inside]] += change[inside].astype(np.float32)
+    dense[places[~inside] - len(embedding)] += change[~inside]
+    flat, arrays, at = dense.ravel(), [], 0
+    for array in (*net.filters, *net.shifts, net.output):
+        arrays.append(flat[at : at + array.size].reshape(array.shape).astype(array.dtype))
+        at += array.size
+    k = len(WIDTHS)
+    return net._replace(
+        embedding=embedding, filters=tuple(arrays[:k]), shifts=tuple(arrays[k : 2 * k]), output=arrays[-1], bias=float(flat[at]),
+    )
+
+
+_CHANGES = [f"c{n}" for n in range(SIZE)]
+
+
+def _learnt(shared, batch_rows: int = 32):
+    """What a task's rows, learnt from once in their order, change of the shared network."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learner: Learner = copy.deepcopy(shared.value)
+        before, rng, met = learner.net._replace(embedding=learner.net.embedding.copy()), None, False
+        for batch in texts.pieces(batches):
+            parts, firsts = word_parts(*texts.text_bytes(batch.column("text")))
+            labels = batch.column("label").to_numpy()
+            sample = Sample(parts, firsts, labels, np.full(len(labels), None))
+            rng = rng or np.random.default_rng(int(batch.column("place")[0].as_py()) if len(labels) else 0)
+            for start in range(0, len(labels), batch_rows):
+                learner.learn(sample.rows(np.arange(start, min(len(labels), start + batch_rows))), rng)
+                met = True
+        moved = learner.net.embedding - before.embedding
+        buckets = np.flatnonzero(moved.any(1))
+        dense = _dense(learner.net) - _dense(before)
+        places = np.concatenate((buckets, (1 << BITS) + np.arange(len(dense)))) if met else buckets
+        change = np.concatenate((moved[buckets], dense))[: len(places)]
+        columns = [pa.array(places, pa.int64()), *(pa.array(change[:, n], pa.float64()) for n in range(SIZE))]
+        yield pa.RecordBatch.from_arrays(columns, ["place", *_CHANGES])
+
+    return run
+
+
+def _taught(rows: DataFrame, learner: Learner) -> Network:
+    """The learner's network after every row was learnt from once.
+
+    Rows are dealt by their place to tasks of about ``PART_ROWS`` rows. Each goes on from the
+    learner by itself; a part of words changes by the mean over the tasks that met it, all
+    other numbers by the mean over all.
+    """
+    tasks = -(-rows.count() // PART_ROWS) or 1
+    shared = rows.sparkSession.sparkContext.broadcast(learner)
+    dealt = rows.select("place", "label", "text").repartition(tasks, "place")
+    dealt = dealt.sortWithinPartitions("place", F.md5(F.coalesce("text", F.lit(""))), "label")
+    changes = dealt.mapInArrow(_learnt(shared), "place bigint, " + ", ".join(f"{c} double" for c in _CHANGES))
+    table = changes.groupBy("place").agg(*[F.avg(c).alias(c) for c in _CHANGES]).toArrow()
+    shared.destroy()
+    change = np.stack([table.column(c).to_numpy() for c in _CHANGES], 1)
+    return _moved(learner.net, table.column("place").to_numpy(), change)
+
+
+def _told(shared):
+    """Label, language and rounded logit of held-out rows."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in texts.pieces(batches):
+            found = logits(shared.value, *word_parts(*texts.text_bytes(batch.column("text"))))
+            steps = pa.array(np.rint(np.clip(found, -1000, 1000) * STEPS).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("lang"), steps], ["label", "lang", "step"])
+
+    return run
+
+
+def rated_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, language: str | None) -> DataFrame:
+    """``place, label, lang, text`` of all rated rows.
+
+    The texts stay where they are and are looked through once for every ``SENT`` ratings,
+    which is cheaper than to shuffle all texts for the few that are rated.
+    """
+    ratings = labels.select(F.col(key).alias("__key"), F.col("label").cast("int").alias("label"), _place(F.col(key)).alias("place"))
+    lang = F.col(f"`{language}`").cast("string") if language else F.lit(None).cast("string")
+    rows = docs.select(F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").alias("text"), lang.alias("lang"))
+    slices = -(-ratings.count() // SENT) or 1
+    # Places are hashes, so slices of them are even
+    parts = [rows.join(F.broadcast(ratings.where(F.col("place") * slices / SPAN >= n).where(F.col("place") * slices / SPAN < n + 1)), "__key")
+             for n in range(slices)]
+    return reduce(DataFrame.unionByName, parts).select("place", "label", "lang", "text")
+
+
 def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", language: str | None = "lang",
-    toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN, most_bytes: int = TRAIN_BYTES,
+    toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN, most_bytes: int = TRAIN_BYTES, least_rows: int = 4,
 ) -> Network | None:
-    """A model from a bounded sample of rated rows; None where one of the labels is lacking.
+    """A model from all rated rows, whole texts; None where one of the labels is lacking.
 
-    ``labels`` has ``key`` and ``label`` (0 or 1), one row for a key. Three quarters of the
-    sample fit the network, the others calibrate it; ``language`` is looked at for the
-    thresholds alone.
+    ``labels`` has ``key`` and ``label`` (0 or 1), one row for a key. One in ``HELD`` rows, by
+    a hash of the key, calibrates and gives the thresholds; all others fit the network. It
+    begins on a bounded sample of them, on the driver; then all of them are learnt from in
+    tasks, whose changes are averaged. ``language`` is looked at for the thresholds alone.
     """
-    sample, weights = labelled_sample(docs, labels, key, text, language, (clean, toxic), most_bytes)
-    order = np.arange(len(sample.labels))
-    held = order % HELD == 0
-    if len(np.unique(sample.labels[~held])) < 2 or len(np.unique(sample.labels[held])) < 2:
+    held = _place(F.col(key)) % HELD == 0
+    sample, _ = labelled_sample(docs, labels.where(~held), key, text, language, (clean, toxic), most_bytes)
+    if len(np.unique(sample.labels)) < 2:
+        return None
+    learner = begun(sample, least_rows=least_rows)
+    rows = stored(rated_rows(docs, labels, key, text, language), "rated")
+    fit, rest = rows.where(F.col("place") % HELD != 0), rows.where(F.col("place") % HELD == 0)
+    learner.common = _common(fit, least_rows)
+    net = _taught(fit, learner)
+    shared = rows.sparkSession.sparkContext.broadcast(net)
+    told = rest.select("label", "lang", "text").mapInArrow(_told(shared), "label int, lang string, step bigint")
+    table = told.groupBy("label", "lang", "step").agg(F.count("*").alias("n")).toArrow()
+    table = table.sort_by([(name, "ascending") for name in ("label", "lang", "step")])
+    shared.destroy()
+    dropped(rows)
+    found, label, n = (table.column(c).to_numpy() for c in ("step", "label", "n"))
+    if len(np.unique(label)) < 2:
         return None
-    net = fitted(sample.rows(order[~held]))
-    return calibrated(net, sample.rows(order[held]), weights[held] / weights[held].mean())
+    n = n.astype(float)
+    return calibrated_on(net, found / STEPS, label, np.array(table.column("lang").to_pylist(), object), n, n)
 
 
 def scored(docs: DataFrame, model: Network | None, text: str = "text", language: str | None = "lang") -> DataFrame:

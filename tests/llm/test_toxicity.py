@@ -175,3 +175,41 @@ def test_without_one_of_the_labels(spark, odd):
     assert tx.train(odd, tx.rated(labels)) is None
     assert tx.train(odd.limit(0), tx.rated(labels.limit(0))) is None
     assert {r["__score"] for r in tx.scored(odd, None).collect()} == {0.0}
+
+
+def test_all_rated_rows_are_learnt_from(spark, documents, monkeypatch):
+    """A word of long texts alone, which the sample leaves out, is known after the tasks' pass."""
+    monkeypatch.setattr(tx, "PART_ROWS", 512)
+    rng = np.random.default_rng(5)
+    rude, long = ["nasty", "vulgar", "", ""], " long" * 300
+    rows = [(i, " ".join([f"{w}{rng.integers(40)}" for w in PLAIN] * 3 + [rude[i % 4]]) + long * (i % 2), int(i % 4 < 2)) for i in range(1600)]
+    labels = spark.createDataFrame([(i, v) for i, _, v in rows], "doc_id bigint, toxic int")
+    docs = documents([(i, t) for i, t, _ in rows])
+    model = tx.train(docs, tx.rated(labels), most_bytes=1000)
+    asked = documents([(0, f"river1 stone2 vulgar cloud4{long}"), (1, f"river1 stone2 unheard cloud4{long}")])
+    chances = [r["__score"] for r in tx.scored(asked, model).orderBy("doc_id").collect()]
+    assert chances[0] > chances[1] + 0.05
+
+
+def test_changes_come_back_to_their_places(net):
+    rng = np.random.default_rng(0)
+    other = tx.fitted(sample_of(corpus(200, seed=9)), rounds=1)
+    moved = other.embedding - net.embedding
+    dense = tx._dense(other) - tx._dense(net)
+    places = rng.permutation(np.arange(len(moved) + len(dense)))
+    found = tx._moved(net, places, np.concatenate((moved, dense))[places])
+    for a, b in zip(found[:4], other[:4]):
+        assert all(np.allclose(x, y, atol=1e-5) for x, y in zip(a, b))
+    assert np.isclose(found.bias, other.bias)
+
+
+def test_rated_rows_in_slices(spark, documents, monkeypatch):
+    rows = corpus(60)
+    docs = documents([(i, t) for i, t, _, _ in rows + rows[:5]])
+    labels = spark.createDataFrame([(i, v) for i, _, v, _ in rows[:40]] + [(9999, 1)], "doc_id bigint, toxic int")
+    found = []
+    for sent in (1 << 20, 7):
+        monkeypatch.setattr(tx, "SENT", sent)
+        found.append(sorted((r.place, r.label, r.text) for r in tx.rated_rows(docs, tx.rated(labels), "doc_id", "text", "lang").collect()))
+    assert len(found[0]) == 45 and found[0] == found[1]
+    assert sorted((v, t) for _, v, t in found[0]) == sorted((v, t) for _, t, v, _ in rows[:40] + rows[:5])
