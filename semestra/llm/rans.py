@@ -213,16 +213,23 @@ class WordTokens(dict):
         self.library = Tokenizer.from_str(definition)
         self.code = "H" if id_bytes(definition) == 2 else "I"
         self.parts: dict[bytes, bytes] = {}
+        self.merges = self.library.model.tokenize
+        width = id_bytes(definition)
+        self.numbers = [n.to_bytes(width, "little") for n in range(self.library.get_vocab_size())]
 
     def _merged(self, part: bytes) -> bytes:
         """Ids of a run of letters, or of marks, that is already in lower case."""
         # Letters and marks of ASCII print, so they stand for themselves
         letters = part.decode() if part.isascii() else charmap_decode(part, "strict", _LETTERS)[0]
-        merged = self.library.model.tokenize(letters)
-        found = self.parts[part] = array(self.code, [token.id for token in merged]).tobytes()
+        numbers = self.numbers
+        found = self.parts[part] = b"".join([numbers[token.id] for token in self.merges(letters)])
         return found
 
     def __missing__(self, word: bytes) -> bytes:
+        if word.isalpha():
+            lower = word.lower()
+            found = self[word] = self.parts.get(lower) or self._merged(lower)
+            return found
         stem = word.rstrip(_MARKS)
         if stem.isascii():
             lower = stem.lower()
@@ -384,7 +391,7 @@ def write(
         docs.select(block_of.cast("int").alias("part"), number.alias("key"), F.col(f"`{text}`").alias("text")), definition, end
     )
     ordered = ids.repartition("part").sortWithinPartitions("part", "key", "ids")
-    with few_rows_at_once(docs.sparkSession, 1000):
+    with few_rows_at_once(docs.sparkSession, 250):
         raw = stored(ordered.mapInArrow(_raw_blocks(block, width), _RAW), "blocks")
     sums = dict(map(tuple, raw.groupBy("part").agg(F.sum("n_ids")).collect()))
     starts, total = {}, 0
@@ -409,14 +416,16 @@ def write(
 
 @contextmanager
 def few_rows_at_once(spark: SparkSession, rows: int = 8) -> Iterator[None]:
-    """Send texts or blocks, which are large rows, to Python a few at a time."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    """Read texts or blocks, which are large rows, and send them to Python a few at a time."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = [spark.conf.get(name) for name in names]
+    for name in names:
+        spark.conf.set(name, str(rows))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
 
 
 def read_table(spark: SparkSession, path: str) -> np.ndarray:
@@ -473,7 +482,8 @@ def read(
 ) -> DataFrame:
     """``doc_id, start`` and what ``row`` makes of the ids, for every document of a file.
 
-    ``fields`` names and types what ``row`` returns. A block of up to ``size`` checkpoints is
+    ``fields`` names and types what ``row`` returns, which is written to the shared folder, as
+    blocks are read a few at a time by settings of the session. A block of up to ``size`` checkpoints is
     decoded in one task. A longer one, as a long document has, is cut at every ``size``
     checkpoints, these spans are decoded in tasks of their own, and the ids put together by
     block. A block whose ids don't have its checksum raises an error.
@@ -507,11 +517,12 @@ def read(
 
     blocks = spark.read.schema(_FILE).parquet(f"{path}/blocks")
     long = F.col("n_ids") > size * STEPS * LANES
-    ordinary = blocks.where(~long).mapInArrow(whole, schema)
+    out = blocks.where(~long).mapInArrow(whole, schema)
     # Only the numbers of ids are read for this; most files have no long block
-    if blocks.where(long).isEmpty():
-        return ordinary
-    decoded = spans(blocks.where(long), size).repartition("part", "block", "first").mapInArrow(_decoded(frequencies), _IDS)
-    put_together = decoded.groupBy("part", "block").agg(F.sort_array(F.collect_list(F.struct("first", "ids"))).alias("spans"))
-    heads = blocks.where(long).select("part", "block", "start", "doc_ids", "lengths", "crc32")
-    return ordinary.unionByName(heads.join(put_together, ["part", "block"]).mapInArrow(joined, schema))
+    if not blocks.where(long).isEmpty():
+        decoded = spans(blocks.where(long), size).repartition("part", "block", "first").mapInArrow(_decoded(frequencies), _IDS)
+        put_together = decoded.groupBy("part", "block").agg(F.sort_array(F.collect_list(F.struct("first", "ids"))).alias("spans"))
+        heads = blocks.where(long).select("part", "block", "start", "doc_ids", "lengths", "crc32")
+        out = out.unionByName(heads.join(put_together, ["part", "block"]).mapInArrow(joined, schema))
+    with few_rows_at_once(spark):
+        return stored(out, "documents")

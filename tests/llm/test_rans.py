@@ -119,3 +119,20 @@ def test_empty_table(spark, odd, definition):
     path = new_path(spark, "rans")
     rans.write(odd.limit(0), path, definition, 2)
     assert rans.read(spark, path, "n bigint", lambda ids: (len(ids),)).count() == 0
+
+
+def test_blocks_are_read_a_few_at_a_time(spark, odd, definition, monkeypatch):
+    """When they are coded and when they are read back; the settings of the session stay."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before, seen, kept = [spark.conf.get(name) for name in names], {}, rans.stored
+
+    def stored(frame, label):
+        seen[label] = [int(spark.conf.get(name)) for name in names]
+        return kept(frame, label)
+
+    monkeypatch.setattr(rans, "stored", stored)
+    path = new_path(spark, "rans")
+    rans.write(odd, path, definition, 2, block=2000)
+    rans.read(spark, path, "n bigint", lambda ids: (len(ids),))
+    assert seen["documents"] == [8, 8] and max(seen["blocks"]) <= 1000
+    assert [spark.conf.get(name) for name in names] == before
