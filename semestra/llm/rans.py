@@ -54,8 +54,8 @@ LOW_BITS = 31
 LANES, STEPS, BLOCK = 512, 32, 1 << 17
 #: Checkpoints that one task decodes; the ids of a longer block are dealt to several.
 SPAN = 128
-#: Words, and letters or marks in them, whose ids a worker remembers.
-REMEMBERED, REMEMBERED_PARTS = 300_000, 200_000
+#: Words, and runs of marks or other letters in them, whose ids a worker remembers.
+REMEMBERED, REMEMBERED_PARTS = 500_000, 200_000
 
 _U32, _U64 = np.dtype("<u4"), np.dtype("<u8")
 
@@ -111,20 +111,23 @@ def encode(ids: np.ndarray, table: Table) -> Coded:
     state = np.full(LANES, 1 << LOW_BITS, np.uint64)
     frequency, start = table.frequencies[ids], table.starts[ids]
     limit = frequency << np.uint64(LOW_BITS + 32 - TABLE_BITS)
+    gap = np.uint64(1 << TABLE_BITS) - frequency
     out: list[np.ndarray] = []
     saved: list[np.ndarray] = []
     written = 0
     left: list[int] = []
     for step in range(steps - 1, -1, -1):
         a, b = step * LANES, min(n, (step + 1) * LANES)
-        x, f = state[: b - a], frequency[a:b]
-        full = x >= limit[a:b]
-        # Lanes are read in rising order, so they are written in falling order
-        out.append((x[full] & np.uint64(0xFFFFFFFF)).astype(_U32)[::-1])
-        written += len(out[-1])
-        x[full] >>= np.uint64(32)
-        quotient = x // f
-        state[: b - a] = (quotient << np.uint64(TABLE_BITS)) + (x - quotient * f) + start[a:b]
+        x = state[: b - a]
+        full = np.flatnonzero(x >= limit[a:b])
+        renormed = x[full]
+        # The lower halves; lanes are read in rising order, so they are written in falling order
+        out.append(renormed.astype(_U32)[::-1])
+        written += len(full)
+        x[full] = renormed >> np.uint64(32)
+        # The quotient by the frequency moves up, the remainder stays: x + quotient * (2^20 - frequency)
+        x += x // frequency[a:b] * gap[a:b]
+        x += start[a:b]
         if step % STEPS == 0:
             saved.append(state.copy())
             left.append(written)
@@ -222,30 +225,35 @@ class WordTokens(dict):
         # Letters and marks of ASCII print, so they stand for themselves
         letters = part.decode() if part.isascii() else charmap_decode(part, "strict", _LETTERS)[0]
         numbers = self.numbers
-        found = self.parts[part] = b"".join([numbers[token.id] for token in self.merges(letters)])
+        return b"".join([numbers[token.id] for token in self.merges(letters)])
+
+    def _part(self, part: bytes) -> bytes:
+        """Ids of a run that is no word by itself, remembered apart."""
+        found = self.parts.get(part)
+        if found is None:
+            found = self.parts[part] = self._merged(part)
         return found
 
     def __missing__(self, word: bytes) -> bytes:
-        if word.isalpha():
-            lower = word.lower()
-            found = self[word] = self.parts.get(lower) or self._merged(lower)
-            return found
         stem = word.rstrip(_MARKS)
-        if stem.isascii():
+        if stem.isalpha():
+            # Letters of ASCII in lower case are a word themselves, remembered as such alone
             lower = stem.lower()
-            plain = lower.isalpha()
+            found = self[lower] if lower != word else self._merged(word)
+            plain = True
+        elif stem.isascii():
+            plain = False
         else:
             # Letter by letter, as the library does: a last sigma is like any other
             text = unicodedata.normalize("NFC", stem.decode()).replace("\u03a3", "\u03c3").lower()
-            lower, plain = text.encode(), text.isalpha()
+            plain = text.isalpha()
+            if plain:
+                found = self._part(text.encode())
         if not plain:
             ids = self.library.encode(word.decode(), add_special_tokens=False).ids
             found = array(self.code, ids).tobytes()
-        else:
-            found = self.parts.get(lower) or self._merged(lower)
-            if len(stem) != len(word):
-                marks = word[len(stem) :]
-                found += self.parts.get(marks) or self._merged(marks)
+        elif len(stem) != len(word):
+            found += self._part(word[len(stem) :])
         self[word] = found
         return found
 

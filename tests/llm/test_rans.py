@@ -59,6 +59,18 @@ def test_words_as_the_library(definition):
             assert np.frombuffer(data, "<u2").tolist() == [*library.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_words_are_remembered_once(definition):
+    library = Tokenizer.from_str(definition)
+    coder = rans.WordTokens(definition)
+    texts = ["plain Plain PLAIN, plain. école École!", "École plain, Other"]
+    found = coder.encode([t.encode() for t in texts], 2)
+    for text, data in zip(texts, found):
+        assert np.frombuffer(data, "<u2").tolist() == [*library.encode(text, add_special_tokens=False).ids, 2]
+    assert {b"plain", b"Plain", b"PLAIN,", b"other"} <= set(coder)
+    # Apart from the words there are only marks and words in other letters
+    assert set(coder.parts) == {b",", b".", b"!", "école".encode()}
+
+
 def expected(rows, library):
     """Rows in file order, with what a reader should find."""
     coded = [(k, [*library.encode(t or "", add_special_tokens=False).ids, 2]) for k, t in rows]
